@@ -19,12 +19,26 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
 
 
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mix_sources
+
+    return mix_sources(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import judge_quality
 
     return judge_quality(_table(spark, sf_dir, "documents"))
 
 
+def op8_matroska(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .matroska import store_texts
+
+    out = store_texts(_table(spark, sf_dir, "documents"))
+    load, media = F.col("payload"), F.col("media")
+    return out.select("doc_id", "n_bytes", F.octet_length(load).cast("long").alias("payload_bytes"), F.sha2(load, 256).alias("payload_sha256"), F.crc32(F.expr("substring(payload, -32, 32)")).alias("tail_crc32"), F.octet_length(media).cast("long").alias("media_bytes"), F.sha2(media, 256).alias("media_sha256"), "feature")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -45,4 +59,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from . import mixing
+
+    return {"op6_source_mixing": mixing.oracle()}

@@ -25,7 +25,7 @@ from .packing import slices
 
 BITS = 20
 #: Labelled rows that the model is fitted on, at most.
-MAX_TRAIN = 10_000
+MAX_TRAIN = 20_000
 SLICE_BYTES = 4 << 20
 #: Letters, digits and every byte of a non-ASCII character.
 _INSIDE = np.zeros(256, bool)
@@ -50,7 +50,7 @@ def features(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Ftrl:
     """FTRL-proximal with a per-coordinate rate; coordinate 2^BITS is the intercept and is not regularised."""
 
-    def __init__(self, alpha: float = 0.1, beta: float = 1.0, l1: float = 2.0, l2: float = 1.0):
+    def __init__(self, alpha: float = 4.0, beta: float = 1.0, l1: float = 6.0, l2: float = 0.0):
         self.alpha, self.beta, self.l1, self.l2 = alpha, beta, l1, l2
         self.z, self.n = np.zeros(2**BITS + 1), np.zeros(2**BITS + 1)
 
@@ -68,10 +68,11 @@ class Ftrl:
         self.n[at] = n + g * g
 
 
-def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "label", *, max_train: int = MAX_TRAIN, epochs: int = 4) -> dict[int, float]:
+def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "label", *, max_train: int | None = MAX_TRAIN, epochs: int = 3) -> dict[int, float]:
     """Weights by coordinate, the intercept under 2^BITS; only those that are not zero.
 
     ``labelled`` has id, text and a 0/1 label; rows with a null label are left out.
+    ``max_train`` None: the caller has bounded the rows.
     """
     rows = labelled.where(F.col(label_col).isNotNull()).select(F.xxhash64(F.col(id_col)).alias("h"), F.col(text_col).cast("string").alias("t"), F.col(label_col).cast("int").alias("y"))
 
@@ -91,7 +92,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lab
         keep = np.flatnonzero(w)
         yield pa.RecordBatch.from_arrays([pa.array(keep, pa.int64()), pa.array(w[keep])], names=["at", "w"])
 
-    one = rows.orderBy("h", "t", "y").limit(max_train)
+    one = rows if max_train is None else rows.orderBy("h", "t", "y").limit(max_train)
     return {r["at"]: r["w"] for r in one.repartition(1).sortWithinPartitions("h", "t", "y").mapInArrow(learn, "at long, w double").collect()}
 
 
@@ -138,6 +139,6 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     # At most max_train ids, so the join's build side is bounded.
     some = ids.orderBy(F.xxhash64("_i"), "label").limit(max_train)
     train = docs.join(F.broadcast(some), docs[id_col] == some["_i"]).select(F.col("_i"), F.col(text_col).alias("_t"), "label")
-    weights = fit(train, "_i", "_t", "label", max_train=max_train)
+    weights = fit(train, "_i", "_t", "label", max_train=None)
     out = score(docs, weights, id_col, text_col)
     return out.select(id_col, held_out(id_col).alias("held_out"), "score", F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"))
