@@ -32,6 +32,18 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .url_filter import filter_urls
+
+    return filter_urls(_table(spark, sf_dir, "pages"))
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .license_scan import scan_licenses
+
+    return scan_licenses(_table(spark, sf_dir, "documents")).drop("matches")
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import mix_sources
 
@@ -72,6 +84,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import line_dedup, mixing
+    from . import license_scan, line_dedup, mixing, url_filter
 
-    return {"op3_line_dedup": line_dedup.oracle(), "op6_source_mixing": mixing.oracle()}
+    return {"op3_line_dedup": line_dedup.oracle(), "op4_url_filter": url_filter.oracle(), "op5_license_scan": license_scan.oracle(), "op6_source_mixing": mixing.oracle()}
