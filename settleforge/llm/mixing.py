@@ -90,7 +90,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     edge, shift = sources.select("source", F.lit(0).cast("long").alias("prefix"), F.lit(0).cast("long").alias("below"), "budget"), HASH_BITS
     while shift:
         step = min(STEP_BITS, shift)
-        rows = with_sources(base.where("size > 0"), edge)
+        rows = with_sources(base.where("size > 0"), edge.select("source", "prefix", "below", "budget"))
         if shift < HASH_BITS:
             rows = rows.where(F.shiftright("h", shift) == F.col("prefix"))
         shift -= step
