@@ -34,9 +34,11 @@ class Scratch:
 
     def __init__(self, spark: SparkSession):
         self.spark, self.root, self.paths = spark, f"{shared_dir(spark)}/{uuid.uuid4().hex}", {}
+        self.made = 0
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.root}/{name}-{len(self.paths)}"
+        self.made += 1
+        path = f"{self.root}/{name}-{self.made}"
         df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(out)] = (path, out)
