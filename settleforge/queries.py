@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import fixtures
-from .operators import canonical, reconcile
+from .functions import identity, money, times
+from .operators import canonical, completeness, impact, late, publication, reconcile
+from .plans.checkpoints import saved
+from .sources import ledger
+from .sources.validate import validate
+from .streaming import clickstream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +31,12 @@ def query(sql: str | None = None, *, base: str | None = fixtures.SQL):
     return add
 
 
+def _inputs(spark: SparkSession, sf_dir: str) -> reconcile.Inputs:
+    """The projected datasets written once, for queries that read them many times."""
+    i = fixtures.inputs(spark, sf_dir)
+    return reconcile.Inputs(*[saved(df) for df in (i.orders, i.payments, i.refunds, i.fees, i.lines, i.payouts)])
+
+
 def _rule(f, spark: SparkSession, sf_dir: str) -> DataFrame:
     """A rule's rows without what only the merging needs; supports as one text."""
     return f(fixtures.inputs(spark, sf_dir)).select("entity_id", "expected_amount", "actual_amount", "variance", F.array_join("supporting_source_record_ids", ",").alias("supports"))
@@ -205,7 +216,7 @@ _TCODES = """, tc AS (SELECT order_id, 'CAPTURE_FOR_NON_PAYABLE_ORDER' AS c FROM
   successful_refund_count, successful_refund_total, expected_fee_total, reported_fee_total, (captured_total - successful_refund_total - expected_fee_total)::DECIMAL(18,2) AS lifetime_net_collection,
   CASE WHEN codes IS NULL THEN 'RECONCILED' ELSE 'EXCEPTION' END AS state, coalesce(codes, '') AS exception_codes FROM tot LEFT JOIN tcodes ON k = order_id""")
 def transaction_reconciliation(spark, sf_dir):
-    return reconcile.transactions(fixtures.inputs(spark, sf_dir)).withColumn("exception_codes", F.array_join("exception_codes", ","))
+    return reconcile.transactions(_inputs(spark, sf_dir)).withColumn("exception_codes", F.array_join("exception_codes", ","))
 
 
 _PCODES = f""", pc AS (SELECT unnest(outs) AS payout_id, 'DUPLICATE_SETTLEMENT_MOVEMENT' AS c FROM ({_DUP}) UNION ALL SELECT payout_id, 'MISSING_SETTLEMENT_LINE' FROM st WHERE n = 0
@@ -218,7 +229,7 @@ _PCODES = f""", pc AS (SELECT unnest(outs) AS payout_id, 'DUPLICATE_SETTLEMENT_M
   (reported_net_amount - expected_payout)::DECIMAL(18,2) AS end_to_end_payout_variance, expected_movement_count, settlement_line_count,
   CASE WHEN codes IS NULL AND reported_net_amount = expected_payout THEN 'RECONCILED' ELSE 'EXCEPTION' END AS state, coalesce(codes, '') AS exception_codes FROM pt LEFT JOIN pcodes ON k = payout_id""")
 def payout_reconciliation(spark, sf_dir):
-    return reconcile.payouts(fixtures.inputs(spark, sf_dir)).withColumn("exception_codes", F.array_join("exception_codes", ","))
+    return reconcile.payouts(_inputs(spark, sf_dir)).withColumn("exception_codes", F.array_join("exception_codes", ","))
 
 
 _EXC = [
@@ -242,7 +253,235 @@ _ALL = " UNION ALL ".join(f"SELECT '{r}' AS rule_id, '{c}' AS exception_type, '{
 
 @query(_TOT + _SET + _OUT + _ALL)
 def exceptions_all(spark, sf_dir):
-    return reconcile.merge_exceptions(reconcile.all_exceptions(fixtures.inputs(spark, sf_dir))).drop("supporting_source_record_ids")
+    return reconcile.merge_exceptions(reconcile.all_exceptions(_inputs(spark, sf_dir))).drop("supporting_source_record_ids")
+
+
+# --- sources, dates, late data, publication ------------------------------------------------------
+
+
+@query("SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS id, count(*) AS n, CASE WHEN l_partkey % 5 = 0 THEN 'INVALID_AMOUNT' WHEN l_partkey % 5 = 1 THEN 'INVALID_TYPE' WHEN l_partkey % 5 = 2 THEN 'UNSUPPORTED_CURRENCY' END AS reason_code FROM lineitem WHERE l_partkey % 7 < 2 AND l_partkey % 5 < 3 GROUP BY 1, 3", base=None)
+def quarantine_reasons(spark, sf_dir):
+    """Payouts made of lines with planted faults, through the validator."""
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").where("l_partkey % 7 < 2")
+    k = F.col("l_partkey") % 5
+    row = F.struct(F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("payout_id"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("payout_date"), F.when(k == 2, "USD").otherwise("EUR").alias("currency"), F.when(k == 0, "1.5").otherwise("1.50").alias("reported_net_amount"), F.when(k == 1, F.lit("1")).otherwise(F.lit("#")).alias("source_version"))
+    text = F.replace(F.to_json(row), F.lit('"#"'), F.lit("1"))
+    _, bad = validate(li.select(text.alias("payload")), "PAYOUT")
+    return bad.groupBy(F.col("source_id").alias("id"), "reason_code").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT DISTINCT l_extendedprice::DECIMAL(18,2)::VARCHAR AS raw, l_extendedprice::DECIMAL(18,2) AS amount FROM lineitem", base=None)
+def parsed_money(spark, sf_dir):
+    raw = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.col("l_extendedprice").cast("decimal(18,2)").cast("string").alias("raw")).distinct()
+    return raw.select("raw", money.parse_money(F.col("raw")).alias("amount"))
+
+
+_REPORTS = "(VALUES ('fees', 'provider', 12), ('orders', 'shop', 1), ('payments', 'provider', 2), ('payouts', 'provider', 12), ('refunds', 'provider', 2), ('settlement_lines', 'provider', 12)) r(report_type, source_system, h)"
+_DAYS = "(SELECT DISTINCT o_orderdate::DATE AS business_date FROM orders)"
+_LOCAL = "((business_date + 1)::TIMESTAMP + to_hours(h))"
+_LATER = f"timezone('UTC', timezone('Europe/Berlin', {_LOCAL}))::TIMESTAMP"
+#: Of the two readings of an hour that comes twice the earlier counts.
+_DUE = f"(CASE WHEN timezone('Europe/Berlin', timezone('UTC', {_LATER} - INTERVAL 1 HOUR)) = {_LOCAL} THEN {_LATER} - INTERVAL 1 HOUR ELSE {_LATER} END)"
+
+
+def _days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderdate").cast("date").alias("business_date")).distinct()
+
+
+@query(f"SELECT report_type, business_date, {_DUE} AS deadline_at_utc FROM {_DAYS}, {_REPORTS}", base=None)
+def report_deadlines(spark, sf_dir):
+    df = completeness.spine(spark, _days(spark, sf_dir))
+    return df.select("report_type", "business_date", times.deadline(F.col("report_type"), F.col("business_date")).cast("timestamp_ntz").alias("deadline_at_utc"))
+
+
+def _evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evidence of every report and day, with faults planted by day number."""
+    df = completeness.spine(spark, _days(spark, sf_dir)).withColumn("k", F.unix_date("business_date") % 11)
+    at = F.col("business_date").cast("timestamp")
+    k = F.col("k")
+    return df.select(
+        "report_type", "business_date", (k != 0).alias("has_data"), F.lit("b").alias("data_batch"), F.col("source_system").alias("data_source"), F.col("report_type").alias("data_report"),
+        F.when(k == 1, F.date_add("business_date", 1)).otherwise(F.col("business_date")).alias("data_date"), at.alias("data_received"), F.lit(5).cast("long").alias("data_rows"), F.lit("s").alias("data_sha256"),
+        ((k != 0) & (k != 2)).alias("has_manifest"), F.when(k == 3, "broken").alias("m_error"), F.when(k == 4, "c").otherwise("b").alias("m_batch"), F.col("source_system").alias("m_source"), F.col("report_type").alias("m_report"),
+        F.col("business_date").alias("m_date"), at.alias("m_received"), at.alias("m_generated"), F.when(k == 5, 6).otherwise(5).cast("long").alias("m_rows"), F.when(k == 6, "t").otherwise("s").alias("m_sha256"),
+    )
+
+
+_AS_OF = "1996-06-15 00:30:00"
+_CODES = "CASE epoch_days % 11 WHEN 0 THEN 'DATA_FILE_MISSING,MANIFEST_MISSING' WHEN 1 THEN 'DATA_BUSINESS_DATE_MISMATCH' WHEN 2 THEN 'MANIFEST_MISSING' WHEN 3 THEN 'MANIFEST_INVALID' WHEN 4 THEN 'BATCH_ID_MISMATCH' WHEN 5 THEN 'ROW_COUNT_MISMATCH' WHEN 6 THEN 'CHECKSUM_MISMATCH' ELSE '' END"
+_STATE = f"""SELECT source_system, report_type, business_date, codes AS issue_codes, CASE WHEN codes = '' THEN 'COMPLETE' WHEN TIMESTAMP '{_AS_OF}' < {_DUE} THEN 'PENDING' ELSE 'INCOMPLETE' END AS state
+  FROM (SELECT *, CASE WHEN business_date::TIMESTAMP > TIMESTAMP '{_AS_OF}' THEN 'DATA_FILE_MISSING,MANIFEST_MISSING' ELSE {_CODES} END AS codes FROM (SELECT *, date_diff('day', DATE '1970-01-01', business_date) AS epoch_days FROM {_DAYS}), {_REPORTS})"""
+
+
+def _completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return completeness.evaluate(completeness.spine(spark, _days(spark, sf_dir)), _evidence(spark, sf_dir), F.lit(_AS_OF).cast("timestamp"))
+
+
+@query(_STATE, base=None)
+def completeness_spine(spark, sf_dir):
+    return _completeness(spark, sf_dir).select("source_system", "report_type", "business_date", F.array_join("issue_codes", ",").alias("issue_codes"), "state")
+
+
+@query(f"SELECT report_type, business_date, state FROM (SELECT *, row_number() OVER (PARTITION BY report_type ORDER BY CASE state WHEN 'INCOMPLETE' THEN 0 WHEN 'PENDING' THEN 1 ELSE 2 END, business_date) AS n FROM ({_STATE})) WHERE n = 1", base=None)
+def worst_completeness(spark, sf_dir):
+    return completeness.worst_by_report(_completeness(spark, sf_dir)).select("report_type", "business_date", "state")
+
+
+@query(f"SELECT arg_max(state, CASE state WHEN 'INCOMPLETE' THEN 2 WHEN 'PENDING' THEN 1 ELSE 0 END) AS state FROM ({_STATE})", base=None)
+def overall_completeness(spark, sf_dir):
+    return completeness.overall(_completeness(spark, sf_dir))
+
+
+@query(f"SELECT 'SOURCE_REPORT' AS entity_type, source_system || ':' || report_type || ':' || business_date AS entity_id, CASE WHEN issue_codes IN ('DATA_FILE_MISSING,MANIFEST_MISSING', 'MANIFEST_MISSING') THEN 'SOURCE_REPORT_MISSING' ELSE 'SOURCE_REPORT_INVALID' END AS exception_type FROM ({_STATE}) WHERE state = 'INCOMPLETE'", base=None)
+def completeness_exceptions(spark, sf_dir):
+    return completeness.completeness_exceptions(_completeness(spark, sf_dir)).select("entity_type", "entity_id", "exception_type")
+
+
+@query("SELECT receipt_id, change_kind, strftime(d, '%Y-%m-%d') AS affected_dates, CASE WHEN change_kind IN ('EXACT_DUPLICATE', 'STALE_VERSION') THEN 'NO_LOGICAL_CHANGE' WHEN received <= TIMESTAMP '1995-06-17' THEN 'WITHIN_WATERMARK' WHEN d > DATE '1995-12-31' THEN 'FUTURE_IMPACT' WHEN change_kind = 'CORRECTION' THEN 'LATE_CORRECTION' WHEN change_kind = 'CONFLICT' THEN 'LATE_CONFLICT' ELSE 'LATE_NEW_FACT' END AS classification, greatest(0, date_diff('second', TIMESTAMP '1995-06-17', received)) AS arrival_delay_seconds FROM (SELECT receipt_id, available_on AS d, (available_on - 3)::TIMESTAMP + to_hours(5) AS received, CASE source_version WHEN 1 THEN 'NEW_RECORD' WHEN 2 THEN 'CORRECTION' ELSE CASE WHEN l_partkey % 2 = 0 THEN 'CONFLICT' ELSE 'EXACT_DUPLICATE' END END AS change_kind FROM receipts)")
+def late_classification(spark, sf_dir):
+    r = fixtures.payment_receipts(spark, sf_dir)
+    kind = F.when(F.col("source_version") == 1, late.NEW).when(F.col("source_version") == 2, late.CORRECTION).when(F.col("l_partkey") % 2 == 0, late.CONFLICT).otherwise(late.DUPLICATE)
+    c = r.select("receipt_id", "entity_type", "source_id", "source_version", (F.date_sub("available_on", 3).cast("timestamp") + F.expr("INTERVAL 5 HOURS")).alias("received_at_utc"), kind.alias("change_kind"), F.col("available_on").alias("affected_date"), F.lit(None).cast("string").alias("unresolved_reason"))
+    cand = late.candidates(c.drop("affected_date", "unresolved_reason"), c.select("receipt_id", "affected_date", "unresolved_reason"))
+    out = late.classify(cand, F.lit("run"), F.lit("1995-06-17 00:00:00").cast("timestamp"), F.lit("1995-12-31").cast("date"))
+    return out.select("receipt_id", "change_kind", F.array_join(F.transform("affected_dates", lambda d: d.cast("string")), ",").alias("affected_dates"), "classification", "arrival_delay_seconds")
+
+
+@query("SELECT 'FEE' AS entity_type, fee_id AS source_id, available_on AS affected_date, CASE WHEN available_on IS NULL THEN 'FEE needs its payment''s available_on date' END AS unresolved_reason FROM fee LEFT JOIN cap ON cap.payment_id = fee.payment_id UNION ALL SELECT 'SETTLEMENT_LINE', settlement_line_id, payout_date, CASE WHEN payout_date IS NULL THEN 'SETTLEMENT_LINE needs its payout''s date' END FROM line LEFT JOIN out ON out.payout_id = line.payout_id")
+def impact_dates(spark, sf_dir):
+    i = fixtures.inputs(spark, sf_dir)
+    r = impact.impact_records({"FEE": i.fees.drop("available_on"), "SETTLEMENT_LINE": i.lines}, {"FEE": "fee_id", "SETTLEMENT_LINE": "settlement_line_id"}).withColumn("created_at_utc", F.lit(None).cast("timestamp"))
+    return late.resolve_impact(r, reconcile.captured(i.payments), i.payouts).select("entity_type", "source_id", "affected_date", "unresolved_reason")
+
+
+@query("SELECT min(d) AS start, (max(d) + 1)::DATE AS end_exclusive FROM (SELECT d, (d - row_number() OVER (ORDER BY d)::INTEGER)::DATE AS k FROM (SELECT DISTINCT payout_date AS d FROM out)) GROUP BY k")
+def date_windows(spark, sf_dir):
+    return impact.date_windows(fixtures.inputs(spark, sf_dir).payouts.select(F.col("payout_date").alias("day")))
+
+
+@query("SELECT l_shipdate::DATE AS day, timezone('UTC', timezone('Europe/Berlin', l_shipdate::DATE::TIMESTAMP))::TIMESTAMP AS start_utc, timezone('UTC', timezone('Europe/Berlin', (l_shipdate::DATE + 1)::TIMESTAMP))::TIMESTAMP AS end_utc FROM lineitem GROUP BY 1", base=None)
+def business_day_bounds(spark, sf_dir):
+    d = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.col("l_shipdate").cast("date").alias("day")).distinct()
+    a, b = times.business_day_bounds(F.col("day"))
+    return d.select("day", a.cast("timestamp_ntz").alias("start_utc"), b.cast("timestamp_ntz").alias("end_utc"))
+
+
+@query("SELECT event_id, timezone('Europe/Berlin', timezone('UTC', ts))::DATE AS business_date FROM events", base=None)
+def business_dates(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", times.business_date(F.col("ts").cast("timestamp")).alias("business_date"))
+
+
+def _result(spark: SparkSession, sf_dir: str) -> reconcile.Result:
+    return reconcile.reconcile(_inputs(spark, sf_dir), "run-1", "2026-01-01 00:00:00", check=False)
+
+
+@query("SELECT section, entity_id, problem FROM (VALUES ('transactions', '', '')) v(section, entity_id, problem) WHERE false", base=None)
+def publication_violations(spark, sf_dir):
+    return publication.violations(_result(spark, sf_dir), "run-1")
+
+
+@query()
+def result_fingerprints(spark, sf_dir):
+    """A digest of each section; SQL engines have no common canonical JSON, so there is no oracle."""
+    parts = [publication.fingerprint(f).withColumn("section", F.lit(n)) for n, f in publication.sections(_result(spark, sf_dir)).items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query()
+def affected_closure(spark, sf_dir):
+    """What a change of one payment reaches; an iteration, so there is no oracle."""
+    i = fixtures.inputs(spark, sf_dir)
+    frames = {"ORDER": i.orders, "PAYMENT": reconcile.captured(i.payments), "REFUND": i.refunds, "FEE": i.fees, "SETTLEMENT_LINE": i.lines, "PAYOUT": i.payouts}
+    ids = {"ORDER": "order_id", "PAYMENT": "payment_id", "REFUND": "refund_id", "FEE": "fee_id", "SETTLEMENT_LINE": "settlement_line_id", "PAYOUT": "payout_id"}
+    r = saved(impact.impact_records(frames, ids))
+    changed = r.where("entity_type = 'PAYMENT'").orderBy("source_id").limit(1)
+    return impact.plan(r, r, changed, late.CORRECTION).keys
+
+
+@query("SELECT k AS attempt, least(3600, 30 * pow(2, least(k - 1, 12)))::BIGINT AS delay_seconds FROM range(1, 21) t(k)", base=None)
+def retry_backoff(spark, sf_dir):
+    return spark.range(1, 21).select(F.col("id").alias("attempt"), money.retry_delay(F.col("id"), F.lit(30)).alias("delay_seconds"))
+
+
+@query("SELECT payment_id, 'PAYMENTS/' || available_on || '/' || substr(payload_hash, 1, 2) || '/' || payload_hash || '.json' AS path FROM pay")
+def archive_paths(spark, sf_dir):
+    p = canonical.canonical(fixtures.payment_receipts(spark, sf_dir))
+    return p.select("payment_id", identity.archive_path(F.lit("payments"), F.col("available_on"), F.col("payload_hash")).alias("path"))
+
+
+@query("""SELECT receipt_id, 'source-variant:' || sha256('{"entity_type":"PAYMENT","payload_hash":"' || payload_hash || '","source_id":"' || payment_id || '","source_system":"provider","source_version":' || source_version || '}') AS reference FROM receipts""")
+def variant_references(spark, sf_dir):
+    r = fixtures.payment_receipts(spark, sf_dir)
+    return r.select("receipt_id", identity.variant_reference(*[F.col(c) for c in ("source_system", "entity_type", "source_id", "source_version", "payload_hash")]).alias("reference"))
+
+
+@query("""SELECT DISTINCT payment_id, sha256('{"entity_type":"PAYMENT","file_checksum":"' || payload_hash || '","manifest_checksum":"m","original_filename":"x.json","report_date":"' || available_on || '","report_type":"payments","schema_version":"1","source_system":"provider"}') AS delivery_key FROM pay""")
+def delivery_keys(spark, sf_dir):
+    p = canonical.canonical(fixtures.payment_receipts(spark, sf_dir))
+    lit = F.lit
+    return p.select("payment_id", identity.delivery_key(F.col("source_system"), lit("payments"), F.col("available_on"), F.col("entity_type"), lit(r"in\box/x.json"), lit("1"), F.col("payload_hash"), lit("m")).alias("delivery_key"))
+
+
+_BATCH = "SELECT l_suppkey AS batch_id, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_extendedprice) AS row_number, CASE WHEN l_partkey % 50 = 0 THEN 'INVALID_AMOUNT' END AS reason_code FROM lineitem"
+
+
+@query(f"SELECT b.batch_id, row_number, CASE WHEN code IS NULL THEN 'PENDING' ELSE 'QUARANTINED' END AS disposition, code AS reason_code, CASE WHEN bad THEN 'FAILED' ELSE 'PROCESSING' END AS batch_status FROM (SELECT *, batch_id % 10 = 0 OR batch_id % 10 = 1 AS bad, coalesce(reason_code, CASE WHEN batch_id % 10 < 2 THEN 'BATCH_VALIDATION_FAILED' END) AS code FROM ({_BATCH})) b", base=None)
+def batch_dispositions(spark, sf_dir):
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    w = Window.partitionBy("l_suppkey").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+    rows = li.select(F.col("l_suppkey").alias("batch_id"), F.row_number().over(w).cast("long").alias("row_number"), F.when(F.col("l_partkey") % 50 == 0, "INVALID_AMOUNT").alias("reason_code"))
+    b = F.col("batch_id") % 10
+    declared = rows.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n")).select("batch_id", (F.col("n") + F.when(b == 0, 1).otherwise(0)).alias("declared_row_count"), F.when(b == 1, "CHECKSUM_MISMATCH").alias("batch_error"))
+    return ledger.batch_dispositions(rows, declared)
+
+
+# --- clickstream ---------------------------------------------------------------------------------
+
+
+def _event_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    kind = F.create_map(*[F.lit(x) for x in ("view", "page_view", "click", "add_to_cart", "purchase", "purchase")])[F.col("event_type")]
+    row = F.struct(F.coalesce(kind, F.col("event_type")).alias("event_type"), F.col("user_id"), F.when(F.col("event_id") % 3 == 0, F.col("event_id")).alias("product_id"), F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("timestamp"))
+    return e.select(F.to_json(row, {"ignoreNullFields": "false"}).alias("value"), F.concat(F.lit("e"), "event_id", F.lit(".json")).alias("source_file"))
+
+
+_CLICK = "SELECT 'e' || event_id || '.json' AS source_file, CASE event_type WHEN 'view' THEN 'page_view' WHEN 'click' THEN 'add_to_cart' ELSE event_type END AS event_type, user_id, CASE WHEN event_id % 3 = 0 THEN event_id END AS product_id, ts::TIMESTAMP AS event_timestamp FROM events"
+_GOOD = f"(SELECT * FROM ({_CLICK}) WHERE event_type IN ('page_view', 'add_to_cart', 'purchase') AND user_id > 0)"
+
+
+@query(f"SELECT * FROM {_GOOD}", base=None)
+def events_valid(spark, sf_dir):
+    return clickstream.ingest(_event_files(spark, sf_dir))[0].withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp_ntz"))
+
+
+@query(f"SELECT source_file, CASE WHEN event_type NOT IN ('page_view', 'add_to_cart', 'purchase') THEN 'INVALID_EVENT_TYPE' ELSE 'INVALID_USER' END AS reason FROM ({_CLICK}) WHERE event_type NOT IN ('page_view', 'add_to_cart', 'purchase') OR user_id <= 0", base=None)
+def events_rejected(spark, sf_dir):
+    return clickstream.ingest(_event_files(spark, sf_dir))[1].drop("value")
+
+
+def _interval(spark: SparkSession, sf_dir: str):
+    return F.lit("2024-01-02 00:00:00").cast("timestamp"), F.lit("2024-01-09 00:00:00").cast("timestamp")
+
+
+@query(f"SELECT user_id, TIMESTAMP '2024-01-02' AS snapshot_hour, count(*) AS add_to_cart_count FROM {_GOOD} WHERE event_type = 'add_to_cart' AND event_timestamp >= TIMESTAMP '2024-01-02' AND event_timestamp < TIMESTAMP '2024-01-09' GROUP BY 1", base=None)
+def cart_snapshot(spark, sf_dir):
+    out = clickstream.cart_snapshot(clickstream.ingest(_event_files(spark, sf_dir))[0], *_interval(spark, sf_dir))
+    return out.withColumn("snapshot_hour", F.col("snapshot_hour").cast("timestamp_ntz"))
+
+
+@query(f"SELECT TIMESTAMP '2024-01-02' AS operation_timestamp, count(*)::DECIMAL(10,2) AS total_quantity FROM {_GOOD} WHERE event_type = 'purchase' AND event_timestamp >= TIMESTAMP '2024-01-02' AND event_timestamp < TIMESTAMP '2024-01-09'", base=None)
+def purchase_quantity(spark, sf_dir):
+    out = clickstream.purchase_quantity(clickstream.ingest(_event_files(spark, sf_dir))[0], *_interval(spark, sf_dir))
+    return out.withColumn("operation_timestamp", F.col("operation_timestamp").cast("timestamp_ntz"))
+
+
+@query(f"SELECT time_bucket(INTERVAL 30 SECOND, event_timestamp) AS start, event_type, CASE WHEN event_type = 'add_to_cart' THEN user_id END AS user_id, count(*) AS n FROM {_GOOD} WHERE event_type <> 'page_view' GROUP BY 1, 2, 3", base=None)
+def windowed_marts(spark, sf_dir):
+    out = clickstream.windowed_marts(clickstream.ingest(_event_files(spark, sf_dir))[0])
+    return out.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "user_id", "n")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
