@@ -3,17 +3,21 @@
 A document is the set of its distinct five-word shingles.  Documents with equal
 sets are one node.  Nodes that share a band of MinHash values are candidates; an
 odd sketch (the MinHash samples folded into a parity bitmap) estimates a pair's
-similarity from the population count of the XOR, far cheaper than the sets; what
-passes is confirmed on full sets and becomes a link.
+similarity from the population count of the XOR, far cheaper than the sets.  A
+second parity bitmap, of the whole set and of a size that follows it, bounds the
+similarity: an element that only one set has flips one bit, so the sets differ in
+at least as many elements as the XOR has bits, and a pair that the bound puts
+below the threshold is no link for certain.  What passes both is confirmed on
+full sets and becomes a link.
 
 No bucket is ever expanded into all its pairs:
 
 1. every member of a bucket is tried with the bucket's smallest id;
-2. in buckets that still span several components, members are compared by sketch
-   in blocks of bounded size, and each is tried with its nearest member of every
-   other component;
+2. in buckets that still span several components, members are compared by their
+   bitmaps in blocks of bounded size, and each is tried with its nearest member
+   of another component, again while that finds links;
 3. in buckets that span several components even then, every remaining pair
-   across components whose sketches are near enough is tried.
+   across components that the bitmaps allow is tried.
 
 Pairs inside one component need no trial, so nothing is lost: after step 3 each
 candidate pair is linked, confirmed unlinked, or already in one component.
@@ -42,6 +46,8 @@ SKETCH_BITS = 512
 SKETCH_SIMILARITY = 0.55
 #: Members compared with each other in one task.
 CHUNK = 512
+#: Times that step 2 runs at most; what it leaves is step 3's.
+NEAREST_ROUNDS = 3
 #: Ids that are sent to every task to pick texts by; more are joined by shuffling.
 BROADCAST_IDS = 1_000_000
 SLICE_BYTES = 2 << 20
@@ -110,6 +116,26 @@ def odd_sketches(mins: np.ndarray) -> np.ndarray:
     return np.packbits(odd.reshape(len(mins), SKETCH_BITS), axis=1).view(np.int64)
 
 
+def parity(u: np.ndarray) -> bytes:
+    """Parity bitmap of a whole set: a power of two of bits, 64 at least and twice the set's size at least."""
+    n = 1 << max(6, (2 * len(u) - 1).bit_length())
+    odd = np.bincount((T.mix(u) & np.uint64(n - 1)).astype(np.int64), minlength=n) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def folded(bitmap: np.ndarray, size: int) -> np.ndarray:
+    """Bitmaps (of words, in the last axis) halved until they have ``size`` words: bits whose places agree then cancel."""
+    while bitmap.shape[-1] > size:
+        half = bitmap.shape[-1] // 2
+        bitmap = bitmap[..., :half] ^ bitmap[..., half:]
+    return bitmap
+
+
+def allowed(flips: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of the given summed sizes can meet the threshold when they differ in ``flips`` elements at least."""
+    return 100 * (sizes - flips) >= percent * (sizes + flips)
+
+
 def most_flips(similarity: float) -> int:
     """The XOR population count that a pair of this similarity is expected to have.
 
@@ -121,7 +147,7 @@ def most_flips(similarity: float) -> int:
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, n_shingles, and of non-empty sets: digest, bands, sketch."""
+    """id, n_shingles, and of non-empty sets: digest, bands, sketch, parity."""
 
     def sign(batches):
         for batch in batches:
@@ -132,20 +158,36 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 some = np.flatnonzero(size)
                 mins = _sign([sets[i] for i in some])
                 digest: list = [None] * len(sets)
-                bands, sketch = list(digest), list(digest)
+                bands, sketch, whole = list(digest), list(digest), list(digest)
                 for i, k, s in zip(some.tolist(), band_keys(mins), odd_sketches(mins), strict=True):
                     digest[i], bands[i], sketch[i] = hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest(), k, s
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(size), pa.array(digest, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.list_(pa.int64()))], names=["id", "n_shingles", "digest", "bands", "sketch"])
+                    whole[i] = parity(sets[i])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(size), pa.array(digest, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.list_(pa.int64())), pa.array(whole, pa.binary())], names=["id", "n_shingles", "digest", "bands", "sketch", "parity"])
 
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(sign, "id long, n_shingles long, digest binary, bands array<long>, sketch array<long>")
+    return src.mapInArrow(sign, "id long, n_shingles long, digest binary, bands array<long>, sketch array<long>, parity binary")
+
+
+def _near(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that odd sketches put near enough and whole parities allow."""
 
+    def check(batches):
+        for batch in batches:
+            n, a, b = batch.column(2).to_numpy(), batch.column(3).to_pylist(), batch.column(4).to_pylist()
+            flips = np.empty(len(batch), np.int64)
+            for i, (x, y) in enumerate(zip(a, b, strict=True)):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                k = min(len(x), len(y))
+                flips[i] = np.bitwise_count(folded(x, k) ^ folded(y, k)).sum()
+            at = pa.array(np.flatnonzero(allowed(flips, n, percent)))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at)], names=["a", "b"])
 
-def _near(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sketches are near enough."""
     flips = sum((F.bit_count(F.col("sa")[i].bitwiseXOR(F.col("sb")[i])) for i in range(SKETCH_BITS // 64)), F.lit(0))
-    both = pairs.join(sketches.select(F.col("id").alias("a"), F.col("sketch").alias("sa")), "a").join(sketches.select(F.col("id").alias("b"), F.col("sketch").alias("sb")), "b")
-    return both.where(flips <= most_flips(SKETCH_SIMILARITY)).select("a", "b")
+    side = lambda x: nodes.select(F.col("id").alias(x), F.col("sketch").alias(f"s{x}"))
+    near = pairs.join(side("a"), "a").join(side("b"), "b").where(flips <= most_flips(SKETCH_SIMILARITY)).select("a", "b")
+    side = lambda x: nodes.select(F.col("id").alias(x), F.col("parity").alias(f"p{x}"), F.col("n_shingles").alias(f"n{x}"))
+    both = near.join(side("a"), "a").join(side("b"), "b")
+    return both.select("a", "b", (F.col("na") + F.col("nb")).alias("n"), "pa", "pb").mapInArrow(check, "a long, b long")
 
 
 def confirm(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int = 75) -> DataFrame:
@@ -193,41 +235,60 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
             return labels.select("node", "component")
 
 
-def _across(members: DataFrame, best_only: bool) -> DataFrame:
-    """Pairs (a, b), a < b, of members (key, m, id, component, sketch) of one bucket in different components with near sketches.
+def _across(members: DataFrame, nearest: bool, percent: int) -> DataFrame:
+    """Pairs (a, b), a < b, of members of one bucket in different components that both bitmaps allow.
 
-    A bucket of many members is dealt out in chunks, and each pair of chunks is
-    compared in a task of its own.  ``best_only``: of each member's near members
-    in another component, only the nearest.
+    ``members``: key, m, id, component, sketch, parity, n_shingles.  A bucket of
+    many members is dealt out in chunks, and each pair of chunks is compared in a
+    task of its own.  ``nearest``: of each member's pairs only the nearest.
     """
-    limit = most_flips(SKETCH_SIMILARITY)
+    limit, none = most_flips(SKETCH_SIMILARITY), 1 << 40
 
     def compare(key, table):
-        ids, comp = table["id"].to_numpy(), table["component"].to_numpy()
+        ids, comp, size, side = (table[c].to_numpy() for c in ("id", "component", "n_shingles", "side"))
         sketch = np.array(table["sketch"].to_pylist(), np.int64).view(np.uint64)
-        side = table["side"].to_numpy()
         left, right = np.flatnonzero(side == key[1].as_py()), np.flatnonzero(side == key[2].as_py())
         flips = np.bitwise_count(sketch[left][:, None, :] ^ sketch[right][None, :, :]).sum(axis=2, dtype=np.int64)
-        flips[(comp[left][:, None] == comp[right][None, :]) | (flips > limit)] = SKETCH_BITS + 1
-        i, j = np.nonzero(flips <= limit)
-        if best_only and len(i):
+        i, j = np.nonzero((flips <= limit) & (comp[left][:, None] != comp[right][None, :]))
+        i, j = left[i], right[j]
+        whole = [np.frombuffer(x, np.uint64) for x in table["parity"].to_pylist()]
+        words = np.array([len(x) for x in whole])
+        apart = np.full(len(i), none)
+        for n in np.unique(words):
+            at = np.flatnonzero(np.minimum(words[i], words[j]) == n)
+            have = np.flatnonzero(words >= n)
+            place = np.zeros(len(words), np.int64)
+            place[have] = np.arange(len(have))
+            rows = np.stack([folded(whole[k], n) for k in have])
+            step = max(1, (4 << 20) // (8 * int(n)))
+            for k in range(0, len(at), step):
+                some = at[k : k + step]
+                apart[some] = np.bitwise_count(rows[place[i[some]]] ^ rows[place[j[some]]]).sum(axis=1, dtype=np.int64)
+        ok = allowed(apart, size[i] + size[j], percent)
+        i, j, apart = i[ok], j[ok], apart[ok]
+        if nearest and len(i):
             keep = np.zeros(len(i), bool)
-            for me, other in ((left[i], comp[right[j]]), (right[j], comp[left[i]])):
-                order = np.lexsort((flips[i, j], other, me))
-                first = np.ones(len(order), bool)
-                first[1:] = (me[order][1:] != me[order][:-1]) | (other[order][1:] != other[order][:-1])
-                keep[order[first]] = True
+            for me in (i, j):
+                order = np.lexsort((apart, me))
+                keep[order[np.concatenate(([True], me[order][1:] != me[order][:-1]))]] = True
             i, j = i[keep], j[keep]
-        a, b = ids[left[i]], ids[right[j]]
+        a, b = ids[i], ids[j]
         return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
 
     n = F.ceil(F.col("m") / CHUNK).cast("int")
     dealt = members.withColumn("n", n).withColumn("side", F.pmod(F.xxhash64("id"), F.col("n")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    dealt = dealt.select("key", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "side", "id", "component", "sketch")
+    dealt = dealt.select("key", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "side", "id", "component", "sketch", "parity", "n_shingles")
     return dealt.groupBy("key", "lo", "hi").applyInArrow(compare, "a long, b long").distinct()
 
 
+def _unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members, with their component, of buckets that span several components; of buckets with the same members one is enough."""
+    own = members.where("m > 2").join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    split = own.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("id") % 2**40).alias("s"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("x")).where("lo < hi")
+    return own.join(split.groupBy("n", "s", "x").agg(F.min("key").alias("key")).select("key"), "key", "left_semi")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, percent: int = 75) -> DataFrame:
     """Link documents whose shingle sets meet 100 * intersection >= percent * union, and label components.
 
@@ -246,27 +307,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sig = scratch.write(signatures(docs, id_col, text_col), "signatures")
     sets = sig.where(F.col("id").isNotNull() & F.col("digest").isNotNull())
     heads = scratch.write(sets.groupBy("digest").agg(F.min("id").alias("head")), "heads")
-    nodes = scratch.write(sets.join(heads, (sets["digest"] == heads["digest"]) & (sets["id"] == heads["head"]), "left_semi").dropDuplicates(["id", "digest"]).select("id", "bands", "sketch"), "nodes")
-    sketches = nodes.select("id", "sketch")
+    nodes = scratch.write(sets.join(heads, (sets["digest"] == heads["digest"]) & (sets["id"] == heads["head"]), "left_semi").dropDuplicates(["id", "digest"]).drop("digest"), "nodes")
     equal = sets.join(heads, "digest").where(F.col("id") != F.col("head")).select(F.col("head").alias("a"), F.col("id").alias("b"))
 
     banded = nodes.select("id", F.explode("bands").alias("key"))
     buckets = banded.groupBy("key").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("m")).where("m > 1")
     members = scratch.write(banded.join(buckets, "key"), "members")
-    tried = scratch.write(_near(members.where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct(), sketches), "pairs")
+    tried = scratch.write(_near(members.where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct(), nodes, percent), "pairs")
     links = scratch.write(equal.unionByName(confirm(tried, docs, id_col, text_col, percent)), "links")
     labels = components(links, scratch)
-    for best_only in (True, False):
-        own = members.where("m > 2").join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-        split = own.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-        more = _across(own.join(split, "key", "left_semi").join(sketches, "id"), best_only)
-        more = scratch.write(more.join(tried, ["a", "b"], "left_anti"), "pairs")
-        if more.isEmpty():
+    useless = False
+    for nearest in [True] * NEAREST_ROUNDS + [False]:
+        if nearest and useless:
             continue
-        found = scratch.write(confirm(more, docs, id_col, text_col, percent), "links")
-        tried = tried.unionByName(more)
-        if not found.isEmpty():
+        more = _across(_unsettled(members, labels).join(nodes.drop("bands"), "id"), nearest, percent)
+        more = scratch.write(more.join(tried, ["a", "b"], "left_anti"), "pairs")
+        found = None if more.isEmpty() else scratch.write(confirm(more, docs, id_col, text_col, percent), "links")
+        useless = found is None or found.isEmpty()
+        if not useless:
             links = links.unionByName(found)
             labels = components(links, scratch)
+        tried = tried.unionByName(more)
     out = sig.join(labels.withColumnRenamed("node", "id"), "id", "left").select("id", "n_shingles", F.coalesce("component", "id").alias("component_id"))
     return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
