@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.money import contract_fee, total, variance
+from ..plans.checkpoints import saved
 from ..schemas import CONTRACT_VERSION, MONEY, PAYOUT_REPORTS, PROVIDER, REPORTS, SHOP, TRANSACTION_REPORTS
 from .completeness import completeness_exceptions
 
@@ -350,7 +351,8 @@ def reconcile(i: Inputs, run_id: str, detected_at, *, check: bool = True) -> Res
     """All result frames of one run."""
     if check:
         check_inputs(i)
-    raw = all_exceptions(i)
+    # Three results read the rules' rows, so they are written once.
+    raw = saved(all_exceptions(i))
     run = {"run_id": F.lit(run_id), "contract_version": F.lit(CONTRACT_VERSION)}
     at = F.lit(detected_at).cast("timestamp")
     return Result(

@@ -23,6 +23,7 @@ from ..operators import canonical, completeness
 from ..operators.reconcile import Inputs, Result, reconcile
 from ..schemas import REPORTS
 from ..sources.validate import validate
+from .checkpoints import saved
 
 MODES = ("VALID", "MISSING", "DATA_ONLY", "MANIFEST_ONLY", "INVALID_MANIFEST", "ROW_COUNT_MISMATCH", "CHECKSUM_MISMATCH")
 
@@ -109,7 +110,8 @@ def run_scenario(spark: SparkSession, path: str | Path | dict) -> Outcome:
     good, bad, typed = [], [], {}
     for report, (entity, _, _) in REPORTS.items():
         df = spark.createDataFrame(rows[report], "receipt_id string, payload string")
-        ok, no = validate(df, entity)
+        # Seventeen rules read these frames, so they are written once.
+        ok, no = map(saved, validate(df, entity))
         typed[entity] = ok.select("receipt_id", "record")
         good.append(ok.drop("record"))
         bad.append(no)
@@ -118,9 +120,11 @@ def run_scenario(spark: SparkSession, path: str | Path | dict) -> Outcome:
         receipts, quarantine = receipts.unionByName(g), quarantine.unionByName(b)
     canonical.check_receipts(receipts)
     receipts = canonical.unique_receipts(receipts)
-    frames = canonical.current_frames(receipts, typed)
+    receipts, quarantine = saved(receipts), saved(quarantine)
+    frames = {e: saved(df) for e, df in canonical.current_frames(receipts, typed).items()}
     days = spark.createDataFrame([(datetime.fromisoformat(day).date(),)], "business_date date")
     done = completeness.evaluate(completeness.spine(spark, days), report_evidence(spark, doc, rows, day, as_of), F.lit(as_of).cast("timestamp"))
+    done = saved(done)
     i = Inputs(frames["ORDER"], frames["PAYMENT"], frames["REFUND"], frames["FEE"], frames["SETTLEMENT_LINE"], frames["PAYOUT"], done, canonical.conflicts(receipts), quarantine.drop("receipt_id"))
     run_id = doc.get("run_id", f"scenario-{doc['scenario_id']}")
     result = reconcile(i, run_id, as_of)
