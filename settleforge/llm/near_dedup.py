@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from . import textops as T
 from .packing import slices
-from .storage import Scratch
+from .storage import Scratch, bound_batches
 
 SHINGLE = 5
 #: 32 bands of 4 values: a pair at similarity 0.75 is missed with probability (1 - 0.75^4)^32, about 5e-6.
@@ -163,6 +163,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     digest[i], bands[i], sketch[i] = hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest(), k, s
                     whole[i] = parity(sets[i])
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(size), pa.array(digest, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.list_(pa.int64())), pa.array(whole, pa.binary())], names=["id", "n_shingles", "digest", "bands", "sketch", "parity"])
+        T.release()
 
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return src.mapInArrow(sign, "id long, n_shingles long, digest binary, bands array<long>, sketch array<long>, parity binary")
@@ -181,6 +182,7 @@ def _near(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
                 flips[i] = np.bitwise_count(folded(x, k) ^ folded(y, k)).sum()
             at = pa.array(np.flatnonzero(allowed(flips, n, percent)))
             yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at)], names=["a", "b"])
+        T.release()
 
     flips = sum((F.bit_count(F.col("sa")[i].bitwiseXOR(F.col("sb")[i])) for i in range(SKETCH_BITS // 64)), F.lit(0))
     side = lambda x: nodes.select(F.col("id").alias(x), F.col("sketch").alias(f"s{x}"))
@@ -204,6 +206,7 @@ def confirm(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, perce
                     keep[i] = both > 0 and 100 * both >= percent * (len(u) + len(v) - both)
                 at = pa.array(np.flatnonzero(keep))
                 yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(1).take(at)], names=["a", "b"])
+        T.release()
 
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
@@ -303,6 +306,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     * other columns are ignored; texts of any length count whole.
     """
     spark: SparkSession = docs.sparkSession
+    bound_batches(spark)
     scratch = Scratch(spark)
     sig = scratch.write(signatures(docs, id_col, text_col), "signatures")
     sets = sig.where(F.col("id").isNotNull() & F.col("digest").isNotNull())

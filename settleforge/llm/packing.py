@@ -28,20 +28,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textops as T
+from .storage import bound_batches
 
 SEQUENCE = 2048
 END_ID = 1
 #: Tokens that are packed together; what a task holds of ids.
-GROUP_TOKENS = 1 << 22
+GROUP_TOKENS = 1 << 21
 #: ASCII punctuation but the apostrophe, which can begin a contraction, and what can end a special token.
 _POINT = np.zeros(256, bool)
 _POINT[[c for c in range(0x21, 0x7F) if not chr(c).isalnum() and chr(c) not in "'|>"]] = True
 _ALNUM = np.zeros(256, bool)
 _ALNUM[[c for c in range(0x30, 0x7F) if chr(c).isalnum()]] = True
 #: Text bytes tokenised at a time.
-SLICE_BYTES = 4 << 20
-_SLOTS = 1 << 22
-_POOL = 1 << 24
+SLICE_BYTES = 1 << 20
+_SLOTS = 1 << 21
+_POOL = 1 << 23
+#: New units that are encoded at a time.
+_CHUNK = 4096
 
 
 class UnitTokenizer:
@@ -60,15 +63,18 @@ class UnitTokenizer:
 
     def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Where in the pool the ids of new strings stand, and how many there are."""
-        lists = [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-        size = np.fromiter(map(len, lists), np.int32, len(lists))
-        ids = np.fromiter(chain.from_iterable(lists), np.int64, int(size.sum()))
-        if len(ids) and ids.max() > np.iinfo(self.pool.dtype).max:
+        sizes, ids = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for k in range(0, len(texts), _CHUNK):
+            lists = [e.ids for e in self.tokenizer.encode_batch(texts[k : k + _CHUNK], add_special_tokens=False)]
+            sizes.append(np.fromiter(map(len, lists), np.int32, len(lists)))
+            ids.append(np.fromiter(chain.from_iterable(lists), np.int64, int(sizes[-1].sum())))
+        size, flat = np.concatenate(sizes), np.concatenate(ids)
+        if len(flat) and flat.max() > np.iinfo(self.pool.dtype).max:
             self.pool = self.pool.astype(np.uint32)
-        end = self.used + len(ids)
+        end = self.used + len(flat)
         if end > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.zeros(max(len(self.pool), len(ids)), self.pool.dtype)])
-        self.pool[self.used : end] = ids
+            self.pool = np.concatenate([self.pool, np.zeros(max(len(self.pool) // 2, len(flat)), self.pool.dtype)])
+        self.pool[self.used : end] = flat
         at = (self.used + np.cumsum(size) - size).astype(np.int32)
         self.used = end
         return at, size
@@ -216,8 +222,8 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
             nonlocal base, ids, held, tokens
             sizes = np.array([len(x) for x in held], np.int64)
             pieces = assign(sizes, capacity, linear, quadratic)
-            for k in range(0, len(pieces), 2000):
-                some = pieces[k : k + 2000]
+            for k in range(0, len(pieces), 500):
+                some = pieces[k : k + 500]
                 col = [np.array(x, np.int64) for x in zip(*some, strict=True)]
                 blobs = [held[p[0]][p[1] : p[1] + p[2]].astype("<u4").tobytes() for p in some]
                 yield pa.RecordBatch.from_arrays([pa.array([ids[p[0]] for p in some], pa.int64()), pa.array(col[1]), pa.array(col[2]), pa.array(blobs, pa.binary()), pa.array(sizes[col[0]]), pa.array(col[3] + base), pa.array(col[4]), pa.array(linear * col[2] + quadratic * col[2].astype(float) ** 2)], names=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "cost"])
@@ -234,7 +240,9 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
                     yield from flush()
         if held:
             yield from flush()
+        T.release()
 
+    bound_batches(docs.sparkSession)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return src.mapInArrow(pack, _SCHEMA)
 

@@ -20,10 +20,11 @@ from pyspark.sql import functions as F
 
 from . import textops as T
 from .packing import slices
+from .storage import bound_batches
 
 #: Documents in the sample that orders the rules, and the longest text in it; they bound what the driver gets.
 SAMPLE_ROWS, SAMPLE_TEXT = 400, 200_000
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 WINDOW = 8
 
 _SYMBOL = np.zeros(256, bool)
@@ -187,24 +188,31 @@ def judge_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     * repeated rows are judged each on its own; an empty table gives no rows;
     * measures see whole texts; carried names may be anything but the result's.
     """
+    bound_batches(docs.sparkSession)
     every = tuple({r.name: r for r in base + rules}.values())
     order = ordered_rules(docs, every, id_col, text_col)
 
+    # A text that is carried is not sent a second time.
+    own = text_col in carry and docs.schema[text_col].dataType.simpleString() == "string"
+    at, first = (1 + carry.index(text_col), 1) if own else (1, 2)
+
     def judge(batches):
         for batch in batches:
-            for part in slices(batch, 1, SLICE_BYTES):
-                t = Texts(*T.column_bytes(part.column(1)))
+            for part in slices(batch, at, SLICE_BYTES):
+                t = Texts(*T.column_bytes(part.column(at)))
                 kept = np.zeros(len(part), bool)
                 kept[cascade(t, order)] = True
-                cols = [part.column(0), *[part.column(i) for i in range(2, part.num_columns)]]
+                cols = [part.column(0), *[part.column(i) for i in range(first, part.num_columns)]]
                 if measures:
                     failed = np.zeros(len(part), bool)
                     for r in base:
                         failed |= r.fails(t)
                     cols += [pa.array(t[m].astype(np.int64)) for m in MEASURES] + [pa.array(failed)]
                 yield pa.RecordBatch.from_arrays([*cols, pa.array(kept)], names=names)
+        T.release()
 
-    src = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"), *[F.col(c) for c in carry])
+    text = [] if own else [F.col(text_col).cast("string").alias("_text")]
+    src = docs.select(F.col(id_col).alias("_id"), *text, *[F.col(c) for c in carry])
     kinds = [f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}", *[f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry]]
     if measures:
         kinds += [f"{m} long" for m in MEASURES] + ["base_failed boolean"]

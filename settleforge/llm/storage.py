@@ -23,6 +23,17 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/settleforge"
 
 
+#: Rows that go to Python at a time; texts are long, and a batch is held by the JVM and by the worker at once.
+BATCH_ROWS = 1000
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to ``BATCH_ROWS`` rows; a smaller setting stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a scratch table."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -8,6 +8,9 @@ segments of about a megabyte that are cut between words.
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -143,3 +146,13 @@ def covered(starts: np.ndarray, width: int, n: int) -> np.ndarray:
     """Which of n positions lie in ``[s, s + width)`` of some start."""
     d = np.bincount(starts, minlength=n + 1)[: n + 1] - np.bincount(np.minimum(starts + width, n), minlength=n + 1)[: n + 1]
     return np.cumsum(d[:n]) > 0
+
+
+def release() -> None:
+    """Give freed memory back to the system; Python workers live on after a task, next to other tasks' workers."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # not this C library
