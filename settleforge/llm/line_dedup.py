@@ -1,19 +1,19 @@
-"""Line dedup by winnowing.  Built-in DataFrame functions only.
-
-The lines of a document are hashed, and of every ``window`` consecutive hashes
-the smallest (the rightmost of equals) is selected.  A run of ``window`` lines that
-stands in two places selects the same line in both, so the selected lines are
-fingerprints that no repeat of that length escapes.  A fingerprint is sent with
-the hashes of the windows that selected it:
-
-1. fingerprints are counted; one that occurs once has no repeat around it and goes;
-2. the windows of the others slide over the match, both ways from the shared
-   fingerprint: each is looked up by the hash of all its lines, and is late if
-   the same lines start earlier (smaller id, or same document, earlier line);
-3. the lines of late windows, united, are the later runs, and are cut out.
-
-Counting and finding the earliest start are aggregates with partial sums before
-the shuffle, so a line that a third of all documents share is one row a task.
+"""Line dedup over line hashes.  Built-in DataFrame functions only.
+
+The guarantee is one line: a line that is not blank is late if the same line
+stands earlier (smaller id, or same document, earlier line), whatever its
+neighbours are.  Winnowing with that guarantee selects every line, so every line
+is sent with its hash.  Blank lines part paragraphs and are no repeats of their
+own; they go only with a run of ``window`` lines that also starts earlier, so runs
+that hold a blank line are sent as well:
+
+1. lines and runs are counted by hash; one that occurs once goes no further;
+2. each of the others is late if its earliest place is another one;
+3. the lines of late lines and runs, united, are cut out.
+
+Counting and finding the earliest place are aggregates with partial sums before
+the shuffle, so a line that a third of all documents share is one row a task
+there; the join that marks later places reads a row for each of them.
 """
 
 from __future__ import annotations
@@ -21,8 +21,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Lines of a run; shorter repeats stay.
+#: Lines of a run that takes its blank lines with it; a line that is not blank needs no run.
 WINDOW = 3
+_NOT_BLANK = r"[^\x20\x09-\x0D]"
 
 
 def _lines(text: Column) -> Column:
@@ -34,42 +35,40 @@ def _window_hash(start: Column, window: int) -> Column:
     return F.xxhash64(*[F.element_at("lines", start + k) for k in range(1, window + 1)], F.lit(window))
 
 
-def fingerprints(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """From (id, row, lines): fingerprint hash, id, row and the windows (start, hash) that selected it."""
+def places(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """From (id, row, lines): id, row, start, length and hash of each line that is not blank and of each run of ``window`` lines that holds a blank one."""
     n = F.size("lines")
-    hashes = F.transform("lines", lambda x: F.xxhash64(x))
-    long_ = docs.where(n >= window).withColumn("hashes", hashes)
-    # Of each window the smallest hash, the rightmost of equals, as (hash, -place).
-    best = lambda i: F.array_min(F.array(*[F.struct(F.element_at("hashes", i + k).alias("f"), (-(i + k)).alias("p")) for k in range(1, window + 1)]))
-    windows = F.transform(F.sequence(F.lit(0), n - window), lambda i: F.struct(best(i).alias("s"), i.alias("start"), _window_hash(i, window).alias("w")))
-    return long_.select("id", "row", F.explode(windows).alias("x")).select("id", "row", F.col("x.s.f").alias("f"), F.col("x.start").alias("start"), F.col("x.w").alias("w"))
-
-
-def late_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(id, row, start) of each window of lines that also starts earlier."""
-    marks = fingerprints(docs, window)
-    shared = marks.groupBy("f").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("f")
-    near = marks.join(shared, "f", "left_semi")
-    first = near.groupBy("w").agg(F.min(F.struct("id", "row", "start")).alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    both = near.join(first, "w")
-    return both.where(F.struct("id", "row", "start") > F.col("a")).select("id", "row", "start")
-
-
-def _kept_parts(window: int) -> Column:
-    """The stretches (first line, number of lines) that no late window covers, from sorted ``starts`` and ``n_lines``."""
+    full = docs.where(n > 0).withColumn("full", F.transform("lines", lambda x: F.rlike(x, F.lit(_NOT_BLANK))))
+    one = F.transform(F.filter(F.sequence(F.lit(0), n - 1), lambda i: F.element_at("full", i + 1)), lambda i: F.struct(i.alias("start"), F.lit(1).alias("length"), _window_hash(i, 1).alias("w")))
+    blank = lambda i: ~F.forall(F.slice("full", i + 1, window), lambda x: x)
+    runs = F.transform(F.filter(F.sequence(F.lit(0), F.greatest(n - window, F.lit(0))), blank), lambda i: F.struct(i.alias("start"), F.lit(window).alias("length"), _window_hash(i, window).alias("w")))
+    runs = F.when((n >= window) & F.exists("full", lambda x: ~x), runs).otherwise(F.array().cast("array<struct<start: int, length: int, w: bigint>>"))
+    return full.select("id", "row", F.explode(F.concat(one, runs)).alias("x")).select("id", "row", "x.start", "x.length", "x.w")
+
+
+def late_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(id, row, line) of each line that stands, alone or in a run, earlier too; a line may come twice."""
+    every = places(docs, window)
+    first = every.groupBy("w").agg(F.min(F.struct("id", "row", "start")).alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    late = every.join(first, "w").where(F.struct("id", "row", "start") > F.col("a"))
+    return late.select("id", "row", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("length") - 1)).alias("line"))
+
+
+def _kept_parts() -> Column:
+    """The stretches (first line, line after the last) that hold no late line, from sorted ``starts`` and ``n_lines``."""
     s = F.col("starts")
     m = F.size(s)
-    # Ends of runs of overlapping or touching windows, and where the next run begins.
-    edge = F.filter(F.sequence(F.lit(1), m), lambda i: (i == m) | (F.element_at(s, F.least(i + 1, m)) > F.element_at(s, i) + window))
-    after = F.transform(edge, lambda i: F.struct((F.element_at(s, i) + window).alias("at"), F.when(i == m, F.col("n_lines")).otherwise(F.element_at(s, F.least(i + 1, m))).alias("to")))
+    # Ends of runs of late lines, and where the next run begins.
+    edge = F.filter(F.sequence(F.lit(1), m), lambda i: (i == m) | (F.element_at(s, F.least(i + 1, m)) > F.element_at(s, i) + 1))
+    after = F.transform(edge, lambda i: F.struct((F.element_at(s, i) + 1).alias("at"), F.when(i == m, F.col("n_lines")).otherwise(F.element_at(s, F.least(i + 1, m))).alias("to")))
     head = F.array(F.struct(F.lit(0).alias("at"), F.element_at(s, 1).alias("to")))
     return F.filter(F.concat(head, after), lambda x: x["to"] > x["at"])
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, window: int = WINDOW, carry: tuple[str, ...] = ()) -> DataFrame:
-    r"""Remove each line that lies in a run of ``window`` lines which also starts earlier.
+    r"""Remove each line that also stands earlier; a blank one if it lies in a run of ``window`` lines which also starts earlier.
 
-    Lines are what stands between ``\n``; they count unchanged, blank ones too.
+    Lines are what stands between ``\n``; they count unchanged.  Blank ones hold nothing but ASCII white space.
     "Earlier" is a smaller id (null first), then the smaller hash of the text for rows with
     one id, then an earlier line, as the input stands.  Returns a row for each
     input row: the id, the ``carry`` columns, ``n_lines``, ``n_removed`` (long)
@@ -77,17 +76,17 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     * null text: no lines, kept text null; empty text: one empty line;
     * rows with one id and one text count as one document: each keeps what it would keep alone;
-    * texts of fewer than ``window`` lines lose nothing; an empty table gives no rows;
+    * texts of one line are lines like others; an empty table gives no rows;
     * a document whose lines all go keeps an empty text.
     """
     text = F.col(text_col).cast("string")
     src = docs.select(F.col(id_col).alias("id"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(carry)], text.alias("text"), F.xxhash64(text).alias("row"))
     one = src.select("id", "row", _lines(F.col("text")).alias("lines"))
-    late = late_windows(one, window).groupBy("id", "row").agg(F.array_sort(F.collect_set("start")).alias("starts"))
+    late = late_lines(one, window).groupBy("id", "row").agg(F.array_sort(F.collect_set("line")).alias("starts"))
     late = late.select(F.col("id").alias("late_id"), F.col("row").alias("late_row"), "starts")
     both = src.join(late, src["id"].eqNullSafe(late["late_id"]) & (src["row"] == late["late_row"]), "left")
     both = both.withColumn("lines", F.when(F.col("starts").isNotNull(), _lines(F.col("text")))).withColumn("n_lines", F.size("lines"))
-    parts = _kept_parts(window)
+    parts = _kept_parts()
     kept = F.flatten(F.transform(parts, lambda x: F.slice("lines", x["at"] + 1, x["to"] - x["at"])))
     both = both.withColumn("kept", F.when(F.col("starts").isNotNull(), kept))
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.regexp_count("text", F.lit("\n")) + 1).cast("long")

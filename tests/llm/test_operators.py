@@ -198,6 +198,15 @@ def test_line_dedup_whole_table(docs, empty):
     assert dedup_lines(empty).count() == 0
 
 
+def test_line_dedup_single_lines(spark):
+    from settleforge.llm.line_dedup import dedup_lines
+
+    texts = [(1, "a b\nc\n\nd"), (2, "z\na b\ny"), (3, "d\nc"), (4, "q\n\nr\nq\n\nr\n"), (5, "p\n\n\nd"), (6, "a b"), (7, "\n"), (8, "c\n\nd\n "), (9, None), (None, "c\nown")]
+    got = {r["doc_id"]: (r["n_lines"], r["n_removed"], r["kept_text"]) for r in dedup_lines(spark.createDataFrame(rows_of(texts), SCHEMA).repartition(3)).collect()}
+    # Single lines and pairs go between any neighbours; a blank line goes only with a repeated run.
+    assert got == {None: (2, 0, "c\nown"), 1: (4, 1, "a b\n\nd"), 2: (3, 1, "z\ny"), 3: (2, 2, ""), 4: (7, 3, "q\n\nr\n"), 5: (4, 1, "p\n\n"), 6: (1, 1, ""), 7: (2, 0, "\n"), 8: (4, 3, " "), 9: (0, 0, None)}
+
+
 # --- url filter ----------------------------------------------------------------------------------
 
 
