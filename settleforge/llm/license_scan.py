@@ -1,16 +1,20 @@
 """License scans as an exact set-similarity join.  Built-in DataFrame functions only.
 
-A text block is a line; a block meets a template when it holds at least
-``THRESHOLD`` of the template's distinct words.  Words are ordered by their
+A text block is a line, or a window of words anywhere in the text, across line
+breaks: for a template of n words every ceil(n / threshold) words that follow one
+another.  A block meets a template when it holds at least ``THRESHOLD`` of the
+template's distinct words.  Words are ordered by their
 frequency over all documents, rarest first.  With t words in a template and
 o = ceil(threshold * t) needed in common, a block that meets it must share one of
 the template's t - o + 1 rarest words (prefix filter), must hold o template words
 at all (length filter), and must have enough words left on both sides behind the
-shared one (positional filter).  What is left is compared in full.
+shared one (positional filter).  What is left is compared in full.  Windows are
+not listed: those that hold a prefix word lie around its places, so the filters
+judge the stretch around each place, and the windows of what is left are compared.
 
 The templates are a fixed table of a few hundred words, so the index of their
 prefixes is small whatever the corpus; the documents are read twice, once to
-count and once to scan, and only lines of documents with a prefix word go on.
+count and once to scan, and only documents with a prefix word go on.
 """
 
 from __future__ import annotations
@@ -77,6 +81,27 @@ def word_frequencies(docs: DataFrame, text_col: str, vocabulary: list[str]) -> d
     return {r["w"]: r["n"] for r in one.groupBy("w").agg(F.count(F.lit(1)).alias("n")).collect()}
 
 
+def _window_hits(docs: DataFrame, table: DataFrame, rare: list[str], wide: int) -> DataFrame:
+    """(row, line_no, label, c) of the best window around each place of a prefix word, where it meets the template."""
+    tokens = F.flatten(F.transform("lines", lambda x, k: F.transform(words_of(x), lambda w: F.struct(w.alias("w"), k.alias("line")))))
+    texts = docs.where("lines IS NOT NULL").select("row", tokens.alias("tokens"))
+    # The words around a place from which the widest window can reach it, and the place among them.
+    places = F.filter(F.sequence(F.lit(1), F.size("tokens")), lambda p: F.element_at("tokens", p)["w"].isin(rare))
+    first = lambda p: F.greatest(p - (wide - 1), F.lit(1))
+    around = F.transform(places, lambda p: F.struct(F.element_at("tokens", p)["w"].alias("w"), (p - first(p) + 1).alias("p"), F.slice("tokens", first(p), p - first(p) + wide).alias("near")))
+    near = texts.select("row", F.explode(around).alias("x")).select("row", "x.*").join(F.broadcast(table), "w")
+    begin = F.greatest(F.col("p") - F.col("span") + 1, F.lit(1))
+    words = F.transform("near", lambda x: x["w"])
+    near = near.withColumn("words", words).withColumn("begin", begin)
+    # A window of which this is the rarest word holds none before it, so those behind it must do.
+    behind = F.slice("t_words", F.col("t_at") + 1, F.col("t"))
+    near = near.where(F.size(F.array_intersect(F.slice("words", F.col("begin"), F.col("p") - F.col("begin") + F.col("span")), behind)) >= F.col("need"))
+    starts = F.filter(F.sequence("begin", "p"), lambda i: F.array_contains("t_words", F.element_at("words", i)))
+    best = F.array_max(F.transform(starts, lambda i: F.struct(F.size(F.array_intersect(F.slice("words", i, F.col("span")), F.col("t_words"))).alias("common"), i.alias("i"))))
+    near = near.withColumn("best", best).where(F.col("best.common") >= F.col("need"))
+    return near.select("row", F.element_at("near", F.col("best.i"))["line"].alias("line_no"), "label", (F.col("best.common") / F.col("t")).alias("c"))
+
+
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, templates: dict[str, str] | None = None, phrases: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """Find license phrases and license blocks.
 
@@ -84,7 +109,8 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     phrases), ``first_word`` and ``last_word`` (smallest and largest start of a
     phrase, or null), ``base_labels``, ``labels`` (with those of the blocks),
     ``score`` (the largest containment of a template in a block; 1 where a
-    phrase stands) and ``matches`` (array of struct line, label, containment).
+    phrase stands) and ``matches`` (array of struct line, label, containment;
+    for a window the line of its first word).
 
     * null and empty texts have no words, empty labels and score 0; null ids stay null;
     * repeated rows are scanned each on its own; an empty table gives no rows;
@@ -99,9 +125,10 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     index = []
     for label, words in sets.items():
         words, need = sorted(words, key=order.get), math.ceil(round(threshold * len(words), 9))
-        index += [(w, label, at, len(words), need, words) for at, w in enumerate(words[: len(words) - need + 1])]
+        span = math.ceil(round(len(templates[label].split()) / threshold, 9))
+        index += [(w, label, at, len(words), need, words, span) for at, w in enumerate(words[: len(words) - need + 1])]
     rare = sorted({r[0] for r in index})
-    least = min(r[4] for r in index)
+    least, wide = min(r[4] for r in index), max(r[6] for r in index)
 
     # One pass: what the result needs of each document, and the lines of those that hold a prefix word.
     text = F.col(text_col).cast("string")
@@ -117,11 +144,12 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     blocks = docs_.where("lines IS NOT NULL").select("row", F.posexplode("lines").alias("line_no", "line"))
     blocks = blocks.select("row", "line_no", F.transform(F.array_sort(F.transform(own, lambda w: F.struct(rank[w].alias("r"), w.alias("w")))), lambda x: x["w"]).alias("ws")).where(F.size("ws") >= least)
     heads = blocks.select("row", "line_no", "ws", F.posexplode(F.slice("ws", F.lit(1), F.size("ws") - least + 1)).alias("at", "w"))
-    table = spark.createDataFrame(index, "w string, label string, t_at int, t int, need int, t_words array<string>")
+    table = spark.createDataFrame(index, "w string, label string, t_at int, t int, need int, t_words array<string>, span int")
     near = heads.join(F.broadcast(table), "w")
     near = near.where((F.size("ws") >= F.col("need")) & (F.least(F.size("ws") - F.col("at"), F.col("t") - F.col("t_at")) >= F.col("need")))
     common = F.size(F.array_intersect("ws", "t_words"))
     hits = near.where(common >= F.col("need")).select("row", "line_no", "label", (common / F.col("t")).alias("c")).distinct()
+    hits = hits.unionByName(_window_hits(docs_, table, rare, wide)).groupBy("row", "line_no", "label").agg(F.max("c").alias("c"))
     hits = hits.groupBy("row").agg(F.array_sort(F.collect_set("label")).alias("more"), F.max("c").alias("c"), F.array_sort(F.collect_list(F.struct(F.col("line_no").alias("line"), "label", F.col("c").alias("containment")))).alias("matches"))
 
     out = docs_.drop("lines").join(hits, "row", "left")

@@ -250,6 +250,48 @@ def test_license_scan(docs, empty, spark):
     assert scan_licenses(docs).count() == len(awkward()) and scan_licenses(empty).count() == 0
 
 
+def test_license_scan_wrapped_notices(spark):
+    from settleforge.llm.license_scan import TEMPLATES, scan_licenses
+
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:"
+    isc = "# Permission to use, copy, modify, and/or distribute this software for any\n# purpose with or without fee is hereby granted, provided that the above"
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal"
+    gpl = " * This program is free software: you can redistribute it and/or modify\n\n * it under the terms of the GNU General Public License as published by"
+    texts = [(1, bsd), (2, "x y\n" * 50 + isc), (3, mit), (4, gpl), (5, "\n".join(TEMPLATES["mpl-2.0"].split())), (6, "released " + "x " * 9 + "under\nthe license"), (7, "under the license\nx x x x\nreleased"), (8, "mit\nlicense the")]
+    got = {r["doc_id"]: r for r in scan_licenses(spark.createDataFrame(rows_of(texts), SCHEMA)).collect()}
+    assert [got[k]["labels"] for k in range(1, 9)] == ["bsd", "isc", "mit-notice", "gpl,gpl-notice", "mpl-2.0", "", "", ""]
+    assert [(m["line"], m["label"]) for m in got[2]["matches"]] == [(50, "isc")] and got[1]["score"] == got[3]["score"] == 1.0
+
+
+def brute_licenses(text, templates, threshold=0.8):
+    """Labels of the templates of which a line, or a window of 1 / threshold times their words, holds enough."""
+    out, split = {}, lambda x: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), x or ""))
+    lines, words = [split(x) for x in (text or "").split("\n")], split(text)
+    for label, t in templates.items():
+        need, span = set(t.split()), -(-len(t.split()) * 5 // 4)
+        blocks = lines + [words[i : i + span] for i in range(len(words))]
+        best = max([len(need & set(b)) for b in blocks], default=0) / len(need)
+        if best >= threshold - 1e-9:
+            out[label] = best
+    return out
+
+
+def test_license_scan_like_brute_force(spark):
+    from settleforge.llm.license_scan import TEMPLATES, scan_licenses
+
+    r, texts = random.Random(8), []
+    for i in range(150):
+        w = []
+        for _ in range(r.randrange(1, 4)):
+            t = TEMPLATES[r.choice(sorted(TEMPLATES))].split()
+            w += ["filler"] * r.randrange(5) + [y for x in t for y in ([x] if r.random() < 0.9 else []) + (["odd"] if r.random() < 0.15 else [])]
+        texts.append((i, "".join(x + r.choice(["\n", " ", ", ", " "]) for x in w)))
+    got = scan_licenses(spark.createDataFrame(rows_of(texts), SCHEMA), phrases={"no such phrase": "none"}).collect()
+    want = {i: brute_licenses(t, TEMPLATES) for i, t in texts}
+    assert {x["doc_id"]: (x["labels"], x["score"]) for x in got} == {i: (",".join(sorted(b)), max(b.values(), default=0.0)) for i, b in want.items()}
+    assert 20 < sum(map(len, want.values()))
+
+
 # --- mixing --------------------------------------------------------------------------------------
 
 
