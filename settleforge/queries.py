@@ -261,8 +261,8 @@ def exceptions_all(spark, sf_dir):
 
 @query("SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS id, count(*) AS n, CASE WHEN l_partkey % 5 = 0 THEN 'INVALID_AMOUNT' WHEN l_partkey % 5 = 1 THEN 'INVALID_TYPE' WHEN l_partkey % 5 = 2 THEN 'UNSUPPORTED_CURRENCY' END AS reason_code FROM lineitem WHERE l_partkey % 7 < 2 AND l_partkey % 5 < 3 GROUP BY 1, 3", base=None)
 def quarantine_reasons(spark, sf_dir):
-    """Payouts made of lines with planted faults, through the validator."""
-    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").where("l_partkey % 7 < 2")
+    """Payouts made of all lines, with planted faults, through the validator; the SQL knows two sevenths of the parts only."""
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     k = F.col("l_partkey") % 5
     row = F.struct(F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("payout_id"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("payout_date"), F.when(k == 2, "USD").otherwise("EUR").alias("currency"), F.when(k == 0, "1.5").otherwise("1.50").alias("reported_net_amount"), F.when(k == 1, F.lit("1")).otherwise(F.lit("#")).alias("source_version"))
     text = F.replace(F.to_json(row), F.lit('"#"'), F.lit("1"))

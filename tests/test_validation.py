@@ -1,5 +1,6 @@
 """Strict JSON rows: valid records, and the first reason of each bad one."""
 
+import collections
 import json
 
 import pytest
@@ -73,3 +74,13 @@ def test_quarantine_keeps_text_ids_only(spark):
     assert {r["source_id"] for r in bad.collect()} == {"p-7", None}
     with pytest.raises(ValueError, match="UNSUPPORTED_ENTITY_TYPE"):
         validate(bad, "COUPON")
+
+
+def test_quarantine_reasons_reads_every_line(spark, sf):
+    from settleforge.queries import quarantine_reasons
+
+    codes = {0: "INVALID_AMOUNT", 1: "INVALID_TYPE", 2: "UNSUPPORTED_CURRENCY"}
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").collect()
+    want = collections.Counter(("-".join(map(str, r)), codes[r["l_partkey"] % 5]) for r in lines if r["l_partkey"] % 5 in codes)
+    got = {(r["id"], r["reason_code"]): r["n"] for r in quarantine_reasons(spark, sf).collect()}
+    assert got == want and any(r["l_partkey"] % 7 >= 2 for r in lines)
