@@ -11,7 +11,9 @@ blocked when its distrust exceeds its trust by ``RATIO``.
 Links are the hosts of absolute ``href`` and ``src`` addresses, host names that
 the page's text mentions, and the tie between a host and its parent domain where
 both have pages.  Page links are summed per host pair before anything is joined.
-Mass is a whole number, so sums do not depend on their order and reruns agree.
+Mass is a whole number of ``FINE`` parts a unit, so sums do not depend on their order
+and reruns agree.  It is multiplied by a link's weight before it is divided by all
+the weight of the host, so a link of a hub loses less than a part, not its share.
 """
 
 from __future__ import annotations
@@ -30,8 +32,10 @@ RULES = (
     ("block", "net/fr/"),
 )
 ROUNDS = 12
-#: Total mass of each walk, the part of it that follows links (per cent), and the parts into which a host's links are divided.
+#: Total mass of each walk, the part of it that follows links (per cent), and the parts into which the SQL divides a host's links.
 MASS, FOLLOW, PARTS = 10**12, 85, 10**6
+#: Parts of a unit of mass; mass in parts times a weight of up to 10^13 fits into 38 digits.
+FINE = 10**12
 RATIO = 2
 #: Rounds between two cuts of the lineage.
 CUT_EVERY = 6
@@ -72,18 +76,30 @@ def host_links(pages: DataFrame) -> DataFrame:
     return one.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
 
 
+_WHOLE = "decimal(38,0)"
+
+
+def _share(mass: Column, n: Column, total: Column) -> Column:
+    """mass * n / total, rounded down; the product is exact and so is the quotient."""
+    product = (mass.cast("decimal(25,0)") * n.cast("decimal(13,0)")).cast(_WHOLE)
+    total = total.cast("decimal(20,0)")
+    return ((product - product % total) / total).cast(_WHOLE)
+
+
 def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """Mass of each (walk, host) from ``edges`` (walk, src, dst, n) and ``seeds`` (walk, host, n)."""
+    """Mass in parts of each (walk, host) from ``edges`` (walk, src, dst, n) and ``seeds`` (walk, host, n)."""
     scratch = Scratch(edges.sparkSession)
     out = edges.groupBy("walk", "src").agg(F.sum("n").alias("all"))
-    parts = scratch.write(edges.join(out, ["walk", "src"]).select("walk", "src", "dst", F.expr(f"(n * {PARTS}L) div all").alias("part")), "parts")
+    parts = scratch.write(edges.join(out, ["walk", "src"]).select("walk", "src", "dst", "n", "all"), "parts")
     total = seeds.groupBy("walk").agg(F.sum("n").alias("all"))
-    start = scratch.write(seeds.join(total, "walk").select("walk", "host", F.expr(f"({MASS}L div all) * n").alias("mass")), "seeds")
+    start = scratch.write(seeds.join(total, "walk").select("walk", "host", _share(F.lit(str(MASS * FINE)), F.col("n"), F.col("all")).alias("mass")), "seeds")
+    per_cent = lambda k: _share(F.col("mass"), F.lit(k), F.lit(100))
     mass = start
     for k in range(rounds):
-        moved = mass.withColumnRenamed("host", "src").join(parts, ["walk", "src"]).select("walk", F.col("dst").alias("host"), F.expr(f"((mass * part) div {PARTS}L) * {FOLLOW}L div 100L").alias("mass"))
-        back = start.select("walk", "host", F.expr(f"mass * {100 - FOLLOW}L div 100L").alias("mass"))
-        mass = moved.unionByName(back).groupBy("walk", "host").agg(F.sum("mass").alias("mass"))
+        out = mass.select("walk", F.col("host").alias("src"), per_cent(FOLLOW).alias("mass"))
+        moved = out.join(parts, ["walk", "src"]).select("walk", F.col("dst").alias("host"), _share(F.col("mass"), F.col("n"), F.col("all")).alias("mass"))
+        back = start.select("walk", "host", per_cent(100 - FOLLOW).alias("mass"))
+        mass = moved.unionByName(back).groupBy("walk", "host").agg(F.sum("mass").cast(_WHOLE).alias("mass"))
         if k % CUT_EVERY == CUT_EVERY - 1:
             mass = scratch.write(mass, "mass")
     return mass
@@ -94,7 +110,8 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
 
     Returns a row for each input row: the id, ``host``, ``path``, ``rule`` (or
     null), ``verdict`` (allow or block), ``trust`` and ``distrust`` of the host
-    (whole numbers of MASS; 0 where no walk comes).
+    (whole numbers of MASS, rounded down; 0 where no walk comes).  The verdict
+    compares them unrounded.
 
     * null urls and urls without ``://`` have empty host and path and are allowed;
     * null html has no links; null ids stay null; repeated rows count as pages of their own;
@@ -115,10 +132,10 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     links = scratch.write(host_links(src).unionByName(ties).groupBy("src", "dst").agg(F.sum("n").alias("n")), "links")
     both = links.select(F.lit(0).alias("walk"), "src", "dst", "n").unionByName(links.select(F.lit(1).alias("walk"), F.col("dst").alias("src"), F.col("src").alias("dst"), "n"))
     mass = propagate(both, trusted.unionByName(distrusted), rounds)
-    mass = mass.groupBy("host").agg(F.sum(F.when(F.col("walk") == 0, F.col("mass")).otherwise(0)).alias("trust"), F.sum(F.when(F.col("walk") == 1, F.col("mass")).otherwise(0)).alias("distrust"))
-    known = scratch.write(hosts.select("host").join(mass, "host").select(F.col("host").alias("h"), "trust", "distrust"), "trust")
+    mass = mass.groupBy("host").agg(*[F.sum(F.when(F.col("walk") == k, F.col("mass")).otherwise(F.lit(0).cast(_WHOLE))).cast(_WHOLE).alias(c) for k, c in enumerate(("trust", "distrust"))])
+    known = scratch.write(hosts.select("host").join(mass, "host").select(F.col("host").alias("h"), *[_share(F.col(c), F.lit(1), F.lit(FINE)).cast("long").alias(c) for c in ("trust", "distrust")], (F.col("distrust") > F.col("trust") * ratio).alias("bad")), "trust")
     out = judged.drop("html").join(known, judged["host"] == known["h"], "left").withColumns({"trust": F.coalesce("trust", F.lit(0)), "distrust": F.coalesce("distrust", F.lit(0))})
-    method = F.when(F.col("distrust") > ratio * F.col("trust"), "block").otherwise("allow")
+    method = F.when(F.col("bad"), "block").otherwise("allow")
     return out.select(F.col("id").alias(id_col), "host", "path", F.col("r.rule").alias("rule"), F.coalesce("r.verdict", method).alias("verdict"), "trust", "distrust")
 
 

@@ -234,6 +234,19 @@ def test_url_filter(spark):
     assert filter_urls(df.limit(0)).count() == 0
 
 
+def test_url_filter_hub_passes_mass_to_single_links(spark):
+    from settleforge.llm.url_filter import FINE, MASS, propagate
+
+    edges = spark.createDataFrame([(0, "hub", "big", 3 * 10**6), (0, "hub", "one", 1), (1, "bad", "big", 3 * 10**6), (1, "bad", "one", 1)], "walk int, src string, dst string, n long")
+    seeds = spark.createDataFrame([(0, "hub", 1), (1, "bad", 1)], "walk int, host string, n long")
+    got = {(r["walk"], r["host"]): int(r["mass"]) for r in propagate(edges, seeds, 2).collect()}
+    out = MASS * FINE * 15 // 100 * 85 // 100
+    for walk in (0, 1):
+        assert got[walk, "one"] == out // (3 * 10**6 + 1) > 0 and got[walk, "big"] == out * 3 * 10**6 // (3 * 10**6 + 1)
+    even = spark.createDataFrame([(0, "hub", f"h{i}", 1) for i in range(600)], "walk int, src string, dst string, n long").selectExpr("walk", "src", "dst", "n * 1000 AS n")
+    assert 0 <= out - sum(int(r["mass"]) for r in propagate(even, seeds.where("walk = 0"), 2).where("host <> 'hub'").collect()) < 600
+
+
 # --- license scan --------------------------------------------------------------------------------
 
 
