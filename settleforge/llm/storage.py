@@ -1,27 +1,17 @@
 """Scratch tables in the folder that the cluster shares.
 
-``spark.checkpoint.dir`` is read from the session; a local folder is made only
-where it is unset, as in tests.  A table is written once as Parquet, which cuts
-the lineage: executors lost later cost a re-read and never a recomputation.
+A table is written once as Parquet, which cuts the lineage: executors lost later
+cost a re-read and never a recomputation.  Tables that no later plan reads are
+dropped at once, the others when the driver's JVM ends.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="settleforge-")
-        spark.sparkContext.setCheckpointDir(root)
-        root = spark.sparkContext.getCheckpointDir()
-    return f"{root.rstrip('/')}/settleforge"
-
+from ..plans.checkpoints import delete_at_end, shared_dir
 
 #: Rows that go to Python at a time; texts are long, and a batch is held by the JVM and by the worker at once.
 BATCH_ROWS = 1000
@@ -44,13 +34,15 @@ class Scratch:
     """Scratch tables of one call; ``drop`` deletes one that no later plan reads."""
 
     def __init__(self, spark: SparkSession):
-        self.spark, self.root, self.paths = spark, f"{shared_dir(spark)}/{uuid.uuid4().hex}", {}
+        self.spark, self.root, self.paths = spark, f"{shared_dir(spark)}/settleforge/{uuid.uuid4().hex}", {}
         self.made = 0
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         self.made += 1
         path = f"{self.root}/{name}-{self.made}"
         df.write.parquet(path)
+        if self.made == 1:
+            delete_at_end(self.spark, self.root)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(out)] = (path, out)
         return out
