@@ -10,17 +10,21 @@ at least as many elements as the XOR has bits, and a pair that the bound puts
 below the threshold is no link for certain.  What passes both is confirmed on
 full sets and becomes a link.
 
-No bucket is ever expanded into all its pairs:
-
-1. every member of a bucket is tried with the bucket's smallest id;
-2. in buckets that still span several components, members are compared by their
-   bitmaps in blocks of bounded size, and each is tried with its nearest member
-   of another component, again while that finds links;
-3. in buckets that span several components even then, every remaining pair
-   across components that the bitmaps allow is tried.
-
-Pairs inside one component need no trial, so nothing is lost: after step 3 each
-candidate pair is linked, confirmed unlinked, or already in one component.
+No bucket is ever expanded into all its pairs, and linked nodes are contracted as
+soon as they are found, so each round sees fewer components than the one before:
+
+1. every node is tried with one other, the smallest id in all its buckets;
+2. in buckets that span several components, each component there is tried with
+   the bucket's smallest one, one pair of members for each pair of components;
+3. in buckets that span several components even then, the members outside the
+   bucket's largest component are compared with all others by their bitmaps, in
+   blocks of bounded size, and each is tried with its nearest, again while that
+   finds links;
+4. at last every remaining pair across components that the bitmaps allow is tried.
+
+Buckets that lie in one component drop out for good.  Pairs inside a component
+need no trial, so nothing is lost: after step 4 each candidate pair is linked,
+confirmed unlinked, or already in one component.
 """
 
 from __future__ import annotations
@@ -30,7 +34,8 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import textops as T
@@ -46,9 +51,9 @@ SKETCH_BITS = 512
 SKETCH_SIMILARITY = 0.55
 #: Members compared with each other in one task.
 CHUNK = 512
-#: Times that step 2 runs at most; what it leaves is step 3's.
-NEAREST_ROUNDS = 3
-#: Ids that are sent to every task to pick texts by; more are joined by shuffling.
+#: Times that steps 2 and 3 run at most; what they leave is step 4's.
+HEAD_ROUNDS, NEAREST_ROUNDS = 1, 3
+#: Ids that are sent to every task to pick texts by (8 bytes each); more are joined by shuffling.
 BROADCAST_IDS = 1_000_000
 SLICE_BYTES = 2 << 20
 
@@ -57,7 +62,7 @@ _A = _RNG.integers(0, 2**31, SAMPLES, dtype=np.uint32) * np.uint32(2) + np.uint3
 _B = _RNG.integers(0, 2**32, SAMPLES, dtype=np.uint32)
 
 
-def shingles(buf: np.ndarray, off: np.ndarray, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+def shingles(buf: np.ndarray, off: np.ndarray, width: int = SHINGLE, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of each row's shingles, repeats included, and the n + 1 offsets of the rows.
 
     A-Z are lower-cased; a row of fewer than ``width`` words has its whole word
@@ -65,9 +70,9 @@ def shingles(buf: np.ndarray, off: np.ndarray, width: int = SHINGLE) -> tuple[np
     """
     buf = T.LOWER[buf]
     s, e, woff = T.spans(buf, off)
-    words, count = T.hash_spans(buf, s, e), np.diff(woff)
+    words, count = T.hash_spans(buf, s, e, seed), np.diff(woff)
     row = T.row_of(woff)
-    all_ = T.fold(words, width, 0x2545F4914F6CDD1D)
+    all_ = T.fold(words, width, (0x2545F4914F6CDD1D, 0x9FB21C651E98DF25)[seed])
     ok = row[: len(all_)] == row[width - 1 :] if len(all_) else np.zeros(0, bool)
     size = np.maximum(count - width + 1, 0)
     short = np.flatnonzero((count > 0) & (count < width))
@@ -185,25 +190,47 @@ def _near(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
         T.release()
 
     flips = sum((F.bit_count(F.col("sa")[i].bitwiseXOR(F.col("sb")[i])) for i in range(SKETCH_BITS // 64)), F.lit(0))
-    side = lambda x: nodes.select(F.col("id").alias(x), F.col("sketch").alias(f"s{x}"))
-    near = pairs.join(side("a"), "a").join(side("b"), "b").where(flips <= most_flips(SKETCH_SIMILARITY)).select("a", "b")
-    side = lambda x: nodes.select(F.col("id").alias(x), F.col("parity").alias(f"p{x}"), F.col("n_shingles").alias(f"n{x}"))
-    both = near.join(side("a"), "a").join(side("b"), "b")
+
+    def side(x: str) -> DataFrame:
+        return nodes.select(F.col("id").alias(x), F.col("sketch").alias(f"s{x}"), F.col("parity").alias(f"p{x}"), F.col("n_shingles").alias(f"n{x}"))
+
+    both = pairs.join(side("b"), "b").join(side("a"), "a").where(flips <= most_flips(SKETCH_SIMILARITY))
     return both.select("a", "b", (F.col("na") + F.col("nb")).alias("n"), "pa", "pb").mapInArrow(check, "a long, b long")
 
 
+def _meets(u: tuple[np.ndarray, np.ndarray], v: tuple[np.ndarray, np.ndarray], percent: int) -> bool:
+    """Whether two sets, each sorted by a first hash and with a second one beside it, meet the threshold."""
+    _, i, j = np.intersect1d(u[0], v[0], assume_unique=True, return_indices=True)
+    both = int((u[1][i] == v[1][j]).sum())
+    return both > 0 and 100 * both >= percent * (len(u[0]) + len(v[0]) - both)
+
+
 def confirm(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int = 75) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets meet 100 * intersection >= percent * union.  ``pairs`` is read twice."""
+    """The pairs (a, b) whose full shingle sets meet 100 * intersection >= percent * union.  ``pairs`` is read twice.
+
+    The smaller id of a pair is often a hub, so its text is joined last: it is
+    shuffled once however many partners it has, and hashed once a slice.
+    """
+
+    def sets(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+        data = T.column_bytes(column)
+        (x, at), (y, _) = shingles(*data), shingles(*data, seed=1)
+        out = []
+        for i, j in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+            u, first = np.unique(x[i:j], return_index=True)
+            out.append((u, y[i:j][first]))
+        return out
 
     def check(batches):
         for batch in batches:
-            for part in slices(batch, 2, SLICE_BYTES):
-                (x, ax), (y, ay) = (shingles(*T.column_bytes(part.column(i))) for i in (2, 3))
-                keep = np.zeros(len(part), bool)
-                for i in range(len(part)):
-                    u, v = np.unique(x[ax[i] : ax[i + 1]]), np.unique(y[ay[i] : ay[i + 1]])
-                    both = len(np.intersect1d(u, v, assume_unique=True))
-                    keep[i] = both > 0 and 100 * both >= percent * (len(u) + len(v) - both)
+            for part in slices(batch, 3, SLICE_BYTES):
+                a = part.column(0).to_numpy()
+                new = np.concatenate(([True], a[1:] != a[:-1])) if len(a) else np.zeros(0, bool)
+                # Rows of one id may hold several texts; they stand together too, so the text decides.
+                new[1:] |= pc.not_equal(part.column(2)[1:], part.column(2)[:-1]).fill_null(True).to_numpy(zero_copy_only=False)
+                left, right = sets(part.column(2).filter(pa.array(new))), sets(part.column(3))
+                which = np.cumsum(new) - 1
+                keep = np.array([_meets(left[which[i]], right[i], percent) for i in range(len(part))], bool)
                 at = pa.array(np.flatnonzero(keep))
                 yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(1).take(at)], names=["a", "b"])
         T.release()
@@ -211,8 +238,8 @@ def confirm(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, perce
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).join(ids, "id", "left_semi")
-    both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
-    return both.select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long")
+    both = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b").join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
+    return both.select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long").distinct()
 
 
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
@@ -238,12 +265,24 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
             return labels.select("node", "component")
 
 
+def contracted(links: DataFrame, labels: DataFrame | None, scratch: Scratch) -> DataFrame:
+    """``labels`` (node, component) after the links (a, b) between nodes have joined their components."""
+    if labels is None:
+        return components(links, scratch)
+    end = lambda x: labels.select(F.col("node").alias(x), F.col("component").alias(f"c{x}"))
+    ends = links.join(end("a"), "a", "left").join(end("b"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    up = components(ends.distinct(), scratch)
+    moved = labels.join(up.select(F.col("node").alias("component"), F.col("component").alias("top")), "component", "left").select("node", F.coalesce("top", "component").alias("component"))
+    return scratch.write(moved.unionByName(up.join(labels, "node", "left_anti")), "labels")
+
+
 def _across(members: DataFrame, nearest: bool, percent: int) -> DataFrame:
     """Pairs (a, b), a < b, of members of one bucket in different components that both bitmaps allow.
 
-    ``members``: key, m, id, component, sketch, parity, n_shingles.  A bucket of
-    many members is dealt out in chunks, and each pair of chunks is compared in a
-    task of its own.  ``nearest``: of each member's pairs only the nearest.
+    ``members``: key, main, n_main, n_rest, id, component, sketch, parity,
+    n_shingles.  The members of a bucket's largest component (``main``) are not
+    compared with each other.  All are dealt out in chunks, and each pair of chunks
+    is compared in a task of its own.  ``nearest``: of each member's pairs only the nearest.
     """
     limit, none = most_flips(SKETCH_SIMILARITY), 1 << 40
 
@@ -278,18 +317,36 @@ def _across(members: DataFrame, nearest: bool, percent: int) -> DataFrame:
         a, b = ids[i], ids[j]
         return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
 
-    n = F.ceil(F.col("m") / CHUNK).cast("int")
-    dealt = members.withColumn("n", n).withColumn("side", F.pmod(F.xxhash64("id"), F.col("n")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    chunks = lambda n: F.ceil(F.col(n) / CHUNK).cast("int")
+    rest, mine = chunks("n_rest"), F.col("component") == F.col("main")
+    side = F.when(mine, rest + F.pmod(F.xxhash64("id"), chunks("n_main"))).otherwise(F.pmod(F.xxhash64("id"), rest)).cast("int")
+    last = F.when(mine, rest).otherwise(rest + chunks("n_main")) - 1
+    dealt = members.withColumn("side", side).withColumn("other", F.explode(F.sequence(F.lit(0), last)))
     dealt = dealt.select("key", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "side", "id", "component", "sketch", "parity", "n_shingles")
     return dealt.groupBy("key", "lo", "hi").applyInArrow(compare, "a long, b long").distinct()
 
 
-def _unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members, with their component, of buckets that span several components; of buckets with the same members one is enough."""
-    own = members.where("m > 2").join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    split = own.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("id") % 2**40).alias("s"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("x")).where("lo < hi")
-    return own.join(split.groupBy("n", "s", "x").agg(F.min("key").alias("key")).select("key"), "key", "left_semi")
+def _components_of(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members (key, id) with their component."""
+    own = members.join(labels.withColumnRenamed("node", "id"), "id", "left")
+    return own.select("key", "id", F.coalesce("component", "id").alias("component"))
+
+
+def _split(own: DataFrame) -> DataFrame:
+    """A row for each component of each bucket that spans several: key, component, its smallest id there, n, sums over its members, and the bucket's smallest component (top)."""
+    sums = [F.sum(F.xxhash64("id") % 2**40).alias("s"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("x")]
+    each = own.groupBy("key", "component").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n"), *sums)
+    bucket = Window.partitionBy("key")
+    both = each.withColumn("top", F.min(F.struct("component", "least")).over(bucket)).withColumn("high", F.max("component").over(bucket))
+    return both.where(F.col("top.component") < F.col("high")).drop("high")
+
+
+def _unsettled(own: DataFrame, split: DataFrame) -> DataFrame:
+    """Members of split buckets with what ``_across`` needs; of buckets with the same members one is enough."""
+    sums = split.groupBy("key").agg(F.max(F.struct("n", "component")).alias("m"), F.sum("n").alias("all"), F.sum("s").alias("s"), F.bit_xor("x").alias("x"))
+    one = sums.groupBy("all", "s", "x").agg(F.min(F.struct("key", "m")).alias("k"))
+    one = one.select("k.key", F.col("k.m.component").alias("main"), F.col("k.m.n").alias("n_main"), (F.col("all") - F.col("k.m.n")).alias("n_rest"))
+    return own.join(one, "key")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, percent: int = 75) -> DataFrame:
@@ -311,26 +368,40 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sig = scratch.write(signatures(docs, id_col, text_col), "signatures")
     sets = sig.where(F.col("id").isNotNull() & F.col("digest").isNotNull())
     heads = scratch.write(sets.groupBy("digest").agg(F.min("id").alias("head")), "heads")
-    nodes = scratch.write(sets.join(heads, (sets["digest"] == heads["digest"]) & (sets["id"] == heads["head"]), "left_semi").dropDuplicates(["id", "digest"]).drop("digest"), "nodes")
-    equal = sets.join(heads, "digest").where(F.col("id") != F.col("head")).select(F.col("head").alias("a"), F.col("id").alias("b"))
+    nodes = sets.join(heads.withColumnRenamed("head", "id"), ["digest", "id"], "left_semi").dropDuplicates(["digest", "id"])
+    nodes = scratch.write(nodes.drop("digest"), "nodes")
 
     banded = nodes.select("id", F.explode("bands").alias("key"))
     buckets = banded.groupBy("key").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("m")).where("m > 1")
-    members = scratch.write(banded.join(buckets, "key"), "members")
-    tried = scratch.write(_near(members.where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct(), nodes, percent), "pairs")
-    links = scratch.write(equal.unionByName(confirm(tried, docs, id_col, text_col, percent)), "links")
-    labels = components(links, scratch)
-    useless = False
-    for nearest in [True] * NEAREST_ROUNDS + [False]:
-        if nearest and useless:
+    members = scratch.write(banded.join(buckets, "key").select("key", "id", "head").distinct(), "members")
+    first = members.groupBy("id").agg(F.min("head").alias("a")).where("a < id").select("a", F.col("id").alias("b"))
+    tried = scratch.write(_near(first, nodes, percent), "pairs")
+    # An id that stands for several sets ties their nodes together.
+    own = sets.select("digest", "id").join(sets.groupBy("id").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).where("lo < hi"), "id", "left_semi").join(heads, "digest")
+    ties = own.select(F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")).where("a < b").distinct()
+    links = scratch.write(confirm(tried, docs, id_col, text_col, percent).unionByName(ties), "links")
+    labels = contracted(links, None, scratch)
+
+    members, useless = members.drop("head"), None
+    for step in ["head"] * HEAD_ROUNDS + ["nearest"] * NEAREST_ROUNDS + ["all"]:
+        if step == useless:
             continue
-        more = _across(_unsettled(members, labels).join(nodes.drop("bands"), "id"), nearest, percent)
-        more = scratch.write(more.join(tried, ["a", "b"], "left_anti"), "pairs")
+        own = _components_of(members, labels)
+        if step == "head":
+            more = _split(own).where(F.col("component") > F.col("top.component")).groupBy("top.component", "component").agg(F.min(F.struct(F.col("top.least").alias("a"), F.col("least").alias("b"))).alias("p"))
+            more = _near(more.select(F.least("p.a", "p.b").alias("a"), F.greatest("p.a", "p.b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"), nodes, percent)
+        else:
+            own = scratch.write(own, "own")
+            left = scratch.write(_unsettled(own, _split(own)), "members")
+            members = left.select("key", "id")
+            more = _across(left.join(nodes.drop("bands"), "id"), step == "nearest", percent).join(tried, ["a", "b"], "left_anti")
+        more = scratch.write(more, "pairs")
         found = None if more.isEmpty() else scratch.write(confirm(more, docs, id_col, text_col, percent), "links")
-        useless = found is None or found.isEmpty()
+        useless = step if found is None or found.isEmpty() else None
         if not useless:
-            links = links.unionByName(found)
-            labels = components(links, scratch)
+            labels = contracted(found, labels, scratch)
         tried = tried.unionByName(more)
-    out = sig.join(labels.withColumnRenamed("node", "id"), "id", "left").select("id", "n_shingles", F.coalesce("component", "id").alias("component_id"))
+    top = heads.join(labels.withColumnRenamed("node", "head"), "head", "left").select("digest", F.coalesce("component", "head").alias("component"))
+    out = sig.select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.col("digest")).alias("digest")).join(top, "digest", "left")
+    out = out.select("id", "n_shingles", F.coalesce("component", "id").alias("component_id"))
     return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
