@@ -9,19 +9,22 @@ Beside each symbol goes the word interval that its parse depends on; a symbol is
 *safe* for a window when that interval lies inside the window, and every other
 occurrence of the window then holds the same symbol at the same place.
 
-Spark runs five steps over blocks of documents in id order:
+Spark runs five steps over blocks of documents, dealt by a hash of id and text:
 
 1. each block recompresses its words and sends its distinct safe symbols, dealt
    by fingerprint, so a symbol counts once per block however often it occurs;
 2. each bucket answers, one bit a symbol, whether the symbol occurs elsewhere;
-3. a window that holds an unshared safe symbol occurs once and is dropped; the
-   blocks send 128-bit hashes of the few remaining windows;
-4. each bucket answers, one bit a window, whether an earlier block has it;
+3. shared symbols reveal where repeats can be: a window that holds a safe symbol
+   which nothing else has occurs once and is dropped; the blocks send two
+   independent 64-bit hashes of each of the few windows left, and where it stands first;
+4. each bucket answers, one bit a window, whether an earlier document has it;
 5. the blocks unite the repeated windows and keep the other words.
 
 Dropping in step 3 is exact, by the argument above; a window without any safe
 symbol (a long run of one word, say) stays in and is settled by step 4.  No step
 gathers a group: a passage that stands in every document costs one hash a block.
+Blocks need no order and no quantiles of the ids: a window carries the place (id,
+hash of the text) of its first occurrence, and places decide what is earlier.
 """
 
 from __future__ import annotations
@@ -34,15 +37,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textops as T
+from .storage import bound_batches
 
 #: Text bytes of a block; what a Python worker holds is a small multiple of this.
 BLOCK_BYTES = 8 << 20
 #: Hashes that a bucket is expected to get.
 BUCKET_HASHES = 1 << 21
-ROUNDS = 6
+#: Rounds; symbols of later ones reach over more words than a window of 20 has, and so are safe for none.
+ROUNDS = 4
 #: Symbols of fewer words are common and drop no window; leaving them out is safe.
 LEAST_WORDS = 2
 _FAR = 1 << 30
+_LEAST = -(2**63)
+#: Where a document stands among all: by id, rows of one id by a hash of their text.
+_PLACE = np.dtype([("id", "<i8"), ("row", "<i8")])
+_WINDOW = np.dtype([("h1", "<u8"), ("h2", "<u8"), ("place", _PLACE)])
 _M1, _M2 = 0x2545F4914F6CDD1D, 0x9FB21C651E98DF25
 
 
@@ -114,7 +123,7 @@ class _Block:
 
     def __init__(self, table: pa.Table, width: int, rounds: int):
         self.width = width
-        self.table = table.sort_by([("id", "ascending"), ("text", "ascending")])
+        self.table = table.sort_by([("id", "ascending"), ("row", "ascending")])
         nulls = self.table["id"].null_count
         if nulls:  # they sort last; here they come first
             self.table = pa.concat_tables([self.table.slice(len(self.table) - nulls), self.table.slice(0, len(self.table) - nulls)])
@@ -122,6 +131,11 @@ class _Block:
         self.starts, self.ends, self.woff = T.spans(self.buf, self.off)
         self.words = T.hash_spans(self.buf, self.starts, self.ends)
         self.row = T.row_of(self.woff)
+        self.places = np.zeros(len(self.table), _PLACE)
+        self.places["id"] = self.table["id"].fill_null(_LEAST).to_numpy()
+        self.places["row"] = self.table["row"].to_numpy()
+        if not rounds:
+            return
         sym, s, e, lo, hi = recompress(self.words, self.row, rounds)
         use = (hi.astype(np.int64) - lo <= width) & (e - s >= LEAST_WORDS)
         self.sym, self.lo, self.hi = sym[use], lo[use].astype(np.int64), hi[use].astype(np.int64)
@@ -140,8 +154,9 @@ class _Block:
         return np.flatnonzero(open_)
 
     def windows(self, at: np.ndarray):
-        """Distinct 128-bit hashes of the windows at ``at`` in order, which of them each window is, and whether it is the first."""
-        h1, h2 = T.fold(self.words, self.width, _M1)[at], T.fold(self.words, self.width, _M2)[at]
+        """The distinct windows at ``at`` in order (hashes, place of the first one), which of them each is, and whether it is the first."""
+        other = T.hash_spans(self.buf, self.starts, self.ends, seed=1)
+        h1, h2 = T.fold(self.words, self.width, _M1)[at], T.fold(other, self.width, _M2)[at]
         order = np.lexsort((h2, h1))  # stable: equal windows stay in text order
         a, b = h1[order], h2[order]
         new = np.ones(len(a), dtype=bool)
@@ -149,7 +164,9 @@ class _Block:
         which, first = np.empty(len(a), np.int64), np.zeros(len(a), bool)
         which[order] = np.cumsum(new) - 1
         first[order[new]] = True
-        return a[new], b[new], which, first
+        out = np.zeros(int(new.sum()), _WINDOW)
+        out["h1"], out["h2"], out["place"] = a[new], b[new], self.places[self.row[at[order[new]]]]
+        return out, which, first
 
 
 def _cuts(h: np.ndarray, buckets: int) -> np.ndarray:
@@ -159,11 +176,12 @@ def _cuts(h: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def _messages(block: int, buckets: int, h: np.ndarray, more: np.ndarray) -> pa.Table:
-    """One row a bucket that has hashes; ``more``: bits, or the second half of each hash."""
+    """One row a bucket that has hashes; ``more``: a bit, or a whole record, for each hash."""
     cut = _cuts(h, buckets)
-    rows = [b for b in range(buckets) if cut[b] < cut[b + 1]]
+    rows = np.flatnonzero(cut[1:] > cut[:-1]).tolist()
     pack = (lambda x: np.packbits(x).tobytes()) if more.dtype == bool else (lambda x: x.tobytes())
-    return pa.table({"bucket": pa.array(rows, pa.int64()), "block": pa.array([block] * len(rows), pa.int32()), "h": pa.array([h[cut[b] : cut[b + 1]].tobytes() for b in rows], pa.binary()), "more": pa.array([pack(more[cut[b] : cut[b + 1]]) for b in rows], pa.binary())})
+    own = (lambda x: x.tobytes()) if more.dtype == bool else (lambda x: b"")
+    return pa.table({"bucket": pa.array(rows, pa.int64()), "block": pa.array([block] * len(rows), pa.int32()), "h": pa.array([own(h[cut[b] : cut[b + 1]]) for b in rows], pa.binary()), "more": pa.array([pack(more[cut[b] : cut[b + 1]]) for b in rows], pa.binary())})
 
 
 def _bits(blob: bytes, n: int) -> np.ndarray:
@@ -195,17 +213,16 @@ def _shared(table):
 
 
 def _earlier(table: pa.Table, buckets: int) -> pa.Table:
-    """Step 4: which windows of each block an earlier block has.  A block's own row (which windows were sent) passes through."""
+    """Step 4: which windows of each block an earlier document of another block has.  A block's own row (which windows were sent) passes through."""
     if table["bucket"][0].as_py() >= buckets:
         return pa.table([table["block"].cast(pa.int32()), pa.array([1] * len(table), pa.int32()), table["bucket"], table["h"]], schema=_ANSWER_PA)
-    table = table.sort_by("block")
-    hs = [np.frombuffer(b, np.uint64) for b in table["h"].to_pylist()]
-    h, h2 = np.concatenate(hs), np.concatenate([np.frombuffer(b, np.uint64) for b in table["more"].to_pylist()])
-    order = np.lexsort((h2, h))
-    a, b = h[order], h2[order]
+    each = [np.frombuffer(b, _WINDOW) for b in table["more"].to_pylist()]
+    w = np.concatenate(each)
+    order = np.lexsort((w["place"]["row"], w["place"]["id"], w["h2"], w["h1"]))
+    a, b = w["h1"][order], w["h2"][order]
     late = np.zeros(len(a), dtype=bool)
     late[order[1:]] = (a[1:] == a[:-1]) & (b[1:] == b[:-1])
-    return _answers(table, 2, np.split(late, np.cumsum([len(x) for x in hs])[:-1]))
+    return _answers(table, 2, np.split(late, np.cumsum([len(x) for x in each])[:-1]))
 
 
 def _collected(answers: pa.Table, kind: int, sizes: np.ndarray) -> np.ndarray:
@@ -227,27 +244,19 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     ``removed`` (array of struct start, end: maximal runs of removed words).
 
     * null text: no words, kept text empty; null ids come before all others;
-    * rows with one id count as documents one after another, in text order, so of
-      repeated rows the first stays;
+    * rows with one id count as documents one after another, in the order of a hash
+      of their texts; of rows that are equal in id and text one stays;
     * documents of fewer than ``min_words`` words lose nothing;
     * an empty table gives an empty result; other columns are ignored;
     * documents of any length are hashed whole.
     """
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    src = src.withColumn("row", F.xxhash64("text"))
     total = src.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks, buckets = max(1, math.ceil(total / block_bytes)), max(1, math.ceil(total / 24 / BUCKET_HASHES))
     if total:
-        buckets = max(buckets, min(blocks, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    edges = np.zeros(0, np.int64)
-    if blocks > 1:
-        found = src.agg(F.percentile_approx("id", [i / blocks for i in range(1, blocks)], 100 * blocks).alias("q")).first()["q"]
-        edges = np.unique(np.array(found or [], dtype=np.int64))
-
-    def deal(batches):
-        for b in batches:
-            ids = b.column(0)
-            at = np.searchsorted(edges, ids.fill_null(-(2**63)).to_numpy(zero_copy_only=False), side="right").astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(at), ids, b.column(1)], names=["block", "id", "text"])
+        buckets = max(buckets, min(blocks, parts))
 
     def name_symbols(key, table):
         block = _Block(table, min_words, rounds)
@@ -257,18 +266,18 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         n, block = key[0].as_py(), _Block(table, min_words, rounds)
         shared = _collected(answers, 0, np.diff(_cuts(block.names, buckets)))
         at = block.candidates(shared)
-        h1, h2, _, _ = block.windows(at)
+        found, _, _ = block.windows(at)
         sent = np.zeros(len(block.words), dtype=bool)
         sent[at] = True
         own = pa.table({"bucket": pa.array([buckets + n], pa.int64()), "block": pa.array([n], pa.int32()), "h": pa.array([np.packbits(sent).tobytes()], pa.binary()), "more": pa.array([b""], pa.binary())})
-        return pa.concat_tables([_messages(n, buckets, h1, h2), own])
+        return pa.concat_tables([_messages(n, buckets, found["h1"], found), own])
 
     def keep_words(key, table, answers):
         block = _Block(table, min_words, 0)
         blob = next(b for k, b in zip(answers["kind"].to_pylist(), answers["bits"].to_pylist(), strict=True) if k == 1)
         at = np.flatnonzero(_bits(blob, len(block.words)))
-        h1, _, which, first = block.windows(at)
-        late = _collected(answers, 2, np.diff(_cuts(h1, buckets)))
+        found, which, first = block.windows(at)
+        late = _collected(answers, 2, np.diff(_cuts(found["h1"], buckets)))
         gone = T.covered(at[late[which] | ~first], min_words, len(block.words))
         removed = T.per_row(gone, block.woff)
         kept, runs = [], []
@@ -285,10 +294,23 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             kept.append(b" ".join(words))
         return pa.table({"id": block.table["id"], "n_words": pa.array(np.diff(woff)), "n_removed": pa.array(removed), "kept_text": pa.array(kept, pa.binary()).cast(pa.string()), "removed": pa.array(runs, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))})
 
-    dealt = src.mapInArrow(deal, "block int, id long, text string")
+    bound_batches(docs.sparkSession)
+    dealt = src.select(F.pmod(F.xxhash64("id", "row"), F.lit(blocks)).cast("int").alias("block"), "id", "text", "row")
     symbols = dealt.groupBy("block").applyInArrow(name_symbols, _MESSAGE)
     shared = symbols.groupBy("bucket").applyInArrow(_shared, _ANSWER)
     windows = dealt.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(send_windows, _MESSAGE)
     late = windows.groupBy("bucket").applyInArrow(lambda t: _earlier(t, buckets), _ANSWER)
     out = dealt.groupBy("block").cogroup(late.groupBy("block")).applyInArrow(keep_words, "id long, n_words long, n_removed long, kept_text string, removed array<struct<start: long, end: long>>")
     return out.withColumnRenamed("id", id_col)
+
+
+def oracle(table: str = "documents", width: int = 20) -> str:
+    """The same words in SQL, from all windows."""
+    return rf"""
+WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM {table}),
+k AS (SELECT doc_id, i, sha256(array_to_string(w[i:i + {width - 1}], ' ')) AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - {width - 2})) AS i FROM d)),
+late AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS n FROM k) WHERE n > 1),
+gone AS (SELECT DISTINCT doc_id, i + j AS i FROM late, range({width}) t(j)),
+x AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+g AS (SELECT x.doc_id, count(gone.i) AS n, coalesce(string_agg(word, ' ' ORDER BY x.i) FILTER (gone.i IS NULL), '') AS t FROM x LEFT JOIN gone ON gone.doc_id = x.doc_id AND gone.i = x.i GROUP BY x.doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(g.n, 0)::BIGINT AS n_removed, sha256(coalesce(g.t, '')) AS kept_sha256 FROM d LEFT JOIN g ON g.doc_id = d.doc_id"""
