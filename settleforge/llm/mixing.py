@@ -17,8 +17,8 @@ from .storage import Scratch
 #: Weights of the sources in code point order (null last), repeating.
 WEIGHTS = (3, 1, 2)
 HASH_BITS, STEP_BITS = 60, 12
-#: Sources up to which their table is sent to every task; more are joined by shuffling.
-BROADCAST_SOURCES = 50_000
+#: Sources, and bytes of their names, up to which their table is sent to every task; more are joined by shuffling.
+BROADCAST_SOURCES, BROADCAST_BYTES = 50_000, 8 << 20
 
 
 def word_count(text: Column) -> Column:
@@ -61,31 +61,30 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share_n
     return t.select("source", "source_size", "weight", target.alias("target"))
 
 
-def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", *, weights: tuple[int, ...] = WEIGHTS, seed: str = "") -> DataFrame:
-    """How often the mix takes each document.
+def _small(sources: DataFrame) -> bool:
+    """Whether a table by source is bounded, in rows and in bytes, well enough to go to every task."""
+    x = sources.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("source")).alias("b")).first()
+    return x["n"] <= BROADCAST_SOURCES and (x["b"] or 0) <= BROADCAST_BYTES
 
-    Returns a row for each input row: ``doc_id``, ``size`` (words), ``source``,
-    ``source_size``, ``target`` (the source's), ``copies`` (0, 1 or 2) and
-    ``taken`` (= copies * size).  A source's taken words differ from its target
-    by at most half the size of one document (of the rows with one hash).
 
-    * a null source is a source of its own and comes last; null text has size 0;
-    * repeated rows and rows with one id share a hash and are taken alike;
-    * an empty source has target 0; an empty table gives no rows;
-    * the choice depends on ids, sizes and the seed, so reruns agree.
+def with_sources(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
+    """Join by ``source``, null being a source; ``right`` has a row a source."""
+    right = (F.broadcast(right) if _small(right) else right).withColumnRenamed("source", "_s")
+    return left.join(right, left["source"].eqNullSafe(right["_s"]), how).drop("_s")
+
+
+def thresholds(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", *, weights: tuple[int, ...] = WEIGHTS, seed: str = "") -> DataFrame:
+    """A row a source: ``source``, ``source_size``, ``target``, ``full`` (copies of every document), ``lo`` and ``take``.
+
+    A document gets one copy more if its hash is below ``lo``, or is ``lo`` and ``take`` holds.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark)
-    base = scratch.write(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"), hash_of(F.col(id_col), seed).alias("h")), "sizes")
+    # Only what the histograms read: the choice itself needs no table of documents.
+    base = scratch.write(docs.select(F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"), hash_of(F.col(id_col), seed).alias("h")), "sizes")
     sources = source_targets(base.groupBy("source").agg(F.sum("size").alias("source_size")), weights)
     full = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("int")
     sources = scratch.write(sources.withColumn("full", full).withColumn("budget", F.col("target") - F.col("full") * F.col("source_size")), "sources")
-    small = sources.count() <= BROADCAST_SOURCES
-
-    def with_sources(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
-        right = right.withColumnRenamed("source", "_s")
-        return left.join(F.broadcast(right) if small else right, left["source"].eqNullSafe(right["_s"]), how).drop("_s")
-
     # edge: (source, bits read so far, words below them, budget).
     edge, shift = sources.select("source", F.lit(0).cast("long").alias("prefix"), F.lit(0).cast("long").alias("below"), "budget"), HASH_BITS
     while shift:
@@ -103,10 +102,32 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             break
     # The last bucket holds one hash: take it if that brings the source nearer to its budget.
     last = edge.select("source", "lo", (F.col("below") + F.col("size") / 2 <= F.col("budget")).alias("take"))
-    out = with_sources(with_sources(base, sources), last, "left")
-    more = F.coalesce((F.col("h") < F.col("lo")) | ((F.col("h") == F.col("lo")) & F.col("take")), F.lit(False))
-    copies = F.col("full") + more.cast("int")
-    return out.select("doc_id", "size", "source", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).cast("long").alias("taken"))
+    return scratch.write(with_sources(sources.drop("budget", "weight"), last, "left"), "thresholds")
+
+
+def copies(id_col: Column, seed: str = "") -> Column:
+    """How often the mix takes a document whose row holds its source's threshold."""
+    h = hash_of(id_col, seed)
+    return F.col("full") + F.coalesce((h < F.col("lo")) | ((h == F.col("lo")) & F.col("take")), F.lit(False)).cast("int")
+
+
+def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", *, weights: tuple[int, ...] = WEIGHTS, seed: str = "") -> DataFrame:
+    """How often the mix takes each document.
+
+    Returns a row for each input row: ``doc_id``, ``size`` (words), ``source``,
+    ``source_size``, ``target`` (the source's), ``copies`` (0, 1 or 2) and
+    ``taken`` (= copies * size).  A source's taken words differ from its target
+    by at most half the size of one document (of the rows with one hash).
+
+    * a null source is a source of its own and comes last; null text has size 0;
+    * repeated rows and rows with one id share a hash and are taken alike;
+    * an empty source has target 0; an empty table gives no rows;
+    * the choice depends on ids, sizes and the seed, so reruns agree.
+    """
+    limits = thresholds(docs, id_col, text_col, source_col, weights=weights, seed=seed)
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"))
+    out = with_sources(rows, limits).withColumn("copies", copies(F.col("doc_id"), seed))
+    return out.select("doc_id", "size", "source", "source_size", "target", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
 
 
 def oracle(table: str = "documents") -> str:

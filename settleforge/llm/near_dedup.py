@@ -405,3 +405,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     out = sig.select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.col("digest")).alias("digest")).join(top, "digest", "left")
     out = out.select("id", "n_shingles", F.coalesce("component", "id").alias("component_id"))
     return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def oracle(table: str = "documents", percent: int = 75) -> str:
+    """The same components in SQL, from every pair of documents that share a shingle."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[^\x20\x09-\x0D]+') AS w FROM {table}),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(CASE WHEN len(w) < {SHINGLE} THEN w ELSE w[i:i + {SHINGLE - 1}] END, ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {SHINGLE - 2}, 2))) AS i FROM w WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS MATERIALIZED (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS MATERIALIZED (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= {percent} * (x.n + y.n - i)),
+r AS (SELECT doc_id, doc_id AS c FROM w UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.c),
+c AS (SELECT doc_id, min(c) AS c FROM r GROUP BY 1)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.c AS component_id, w.doc_id = c.c AS kept FROM w LEFT JOIN n ON n.doc_id = w.doc_id JOIN c ON c.doc_id = w.doc_id"""

@@ -57,7 +57,7 @@ class UnitTokenizer:
         self._clear()
 
     def _clear(self) -> None:
-        self.keys = np.zeros(_SLOTS, np.uint64)
+        self.keys, self.others = np.zeros(_SLOTS, np.uint64), np.zeros(_SLOTS, np.uint64)
         self.at, self.size = np.zeros(_SLOTS, np.int32), np.zeros(_SLOTS, np.uint16)
         self.pool, self.used = np.zeros(1 << 20, np.uint16), 0
 
@@ -88,17 +88,25 @@ class UnitTokenizer:
         for at in _wide_space(buf):
             whole[np.searchsorted(off, at, side="right") - 1] = True
         us, ue, first = _units(buf, off, starts, ends, woff)
-        h = T.hash_spans(buf, us, ue)
+        # Units of up to eight bytes cannot collide at one length; longer ones are told apart by a second hash.
+        h, other = T.hash_spans(buf, us, ue), (ue - us).astype(np.uint64)
+        long = np.flatnonzero(ue - us > 8)
+        other[long] = T.hash_spans(buf, us[long], ue[long], seed=1)
         slot = (h >> np.uint64(20)).astype(np.int64) & (_SLOTS - 1)
         at, size = self.at[slot], self.size[slot].astype(np.int32)
-        miss = np.flatnonzero(self.keys[slot] != h)
+        miss = np.flatnonzero((self.keys[slot] != h) | (self.others[slot] != other))
         if len(miss):
-            new, where, back = np.unique(h[miss], return_index=True, return_inverse=True)
-            data, pick = buf.tobytes(), miss[where]
+            order = np.lexsort((other[miss], h[miss]))
+            a, b = h[miss][order], other[miss][order]
+            first_of = np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
+            back = np.empty(len(miss), np.int64)
+            back[order] = np.cumsum(first_of) - 1
+            data, pick = buf.tobytes(), miss[order[first_of]]
             a, n = self._encode([data[i:j].decode() for i, j in zip(us[pick].tolist(), ue[pick].tolist(), strict=True)])
             at[miss], size[miss] = a[back], n[back]
             s, keep = slot[pick], n < 1 << 16
-            self.keys[s[keep]], self.at[s[keep]], self.size[s[keep]] = new[keep], a[keep], n[keep]
+            self.keys[s[keep]], self.others[s[keep]] = h[pick[keep]], other[pick[keep]]
+            self.at[s[keep]], self.size[s[keep]] = a[keep], n[keep]
         for d in np.flatnonzero(whole):
             lo, hi = first[d], first[d + 1]
             a, n = self._encode([buf[off[d] : off[d + 1]].tobytes().decode()])

@@ -51,10 +51,14 @@ class Texts:
         return self._made[name]
 
     def subset(self, rows: np.ndarray) -> Texts:
+        """Some of the texts, with what was measured of them."""
         if len(rows) == len(self.off) - 1:
             return self
-        keep = np.repeat(np.isin(np.arange(len(self.off) - 1), rows), np.diff(self.off))
-        return Texts(self.buf[keep], np.concatenate(([0], np.cumsum(np.diff(self.off)[rows]))))
+        keep = np.zeros(len(self.off) - 1, bool)
+        keep[rows] = True
+        out = Texts(self.buf[np.repeat(keep, np.diff(self.off))], np.concatenate(([0], np.cumsum(np.diff(self.off)[rows]))))
+        out._made = {k: v[rows] for k, v in self._made.items() if k not in ("words", "lines", "hashes")}
+        return out
 
     def _count(self, table: np.ndarray) -> np.ndarray:
         return T.per_row(table[self.buf], self.off)
@@ -166,13 +170,19 @@ def ordered_rules(docs: DataFrame, rules: tuple[Rule, ...], id_col: str, text_co
 
 
 def cascade(texts: Texts, rules: list[Rule]) -> np.ndarray:
-    """The rows that every rule lets pass; a rule sees only what is left."""
-    left = np.arange(len(texts.off) - 1)
+    """The rows that every rule lets pass.
+
+    Rejected texts are cut out, so later rules do not see them, once they hold
+    enough bytes to be worth it; measures of the others are carried over.
+    """
+    left, alive = np.arange(len(texts.off) - 1), np.ones(len(texts.off) - 1, bool)
     for rule in rules:
-        lost = rule.fails(texts)
-        if lost.any():
-            left, texts = left[~lost], texts.subset(np.flatnonzero(~lost))
-    return left
+        alive &= ~rule.fails(texts)
+        size = np.diff(texts.off)
+        if 4 * size[alive].sum() <= 3 * size.sum():
+            at = np.flatnonzero(alive)
+            left, texts, alive = left[at], texts.subset(at), np.ones(len(at), bool)
+    return left[alive]
 
 
 def judge_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, rules: tuple[Rule, ...] = RULES, base: tuple[Rule, ...] = BASE_RULES, measures: bool = True, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -186,7 +196,8 @@ def judge_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     * null text counts as empty, and so has too few words; null ids stay null;
     * repeated rows are judged each on its own; an empty table gives no rows;
-    * measures see whole texts; carried names may be anything but the result's.
+    * measures see whole texts; a carried column may be called like one of the
+      result's, which then holds two of that name (take them by position).
     """
     bound_batches(docs.sparkSession)
     every = tuple({r.name: r for r in base + rules}.values())
@@ -200,6 +211,7 @@ def judge_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         for batch in batches:
             for part in slices(batch, at, SLICE_BYTES):
                 t = Texts(*T.column_bytes(part.column(at)))
+                own = [pa.array(t[m].astype(np.int64)) for m in MEASURES] if measures else []
                 kept = np.zeros(len(part), bool)
                 kept[cascade(t, order)] = True
                 cols = [part.column(0), *[part.column(i) for i in range(first, part.num_columns)]]
@@ -207,14 +219,36 @@ def judge_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     failed = np.zeros(len(part), bool)
                     for r in base:
                         failed |= r.fails(t)
-                    cols += [pa.array(t[m].astype(np.int64)) for m in MEASURES] + [pa.array(failed)]
+                    cols += [*own, pa.array(failed)]
                 yield pa.RecordBatch.from_arrays([*cols, pa.array(kept)], names=names)
         T.release()
 
     text = [] if own else [F.col(text_col).cast("string").alias("_text")]
-    src = docs.select(F.col(id_col).alias("_id"), *text, *[F.col(c) for c in carry])
-    kinds = [f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}", *[f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry]]
+    src = docs.select(F.col(id_col).alias("_id"), *text, *[F.col(c).alias(f"_c{i}") for i, c in enumerate(carry)])
+    kind = lambda c: docs.schema[c].dataType.simpleString()
+    kinds = [f"_id {kind(id_col)}", *[f"_c{i} {kind(c)}" for i, c in enumerate(carry)]]
     if measures:
         kinds += [f"{m} long" for m in MEASURES] + ["base_failed boolean"]
-    names = [id_col, *carry, *(MEASURES + ("base_failed",) if measures else ()), "kept"]
-    return src.mapInArrow(judge, ", ".join([*kinds, "kept boolean"]))
+    names = ["_id", *[f"_c{i}" for i in range(len(carry))], *(MEASURES + ("base_failed",) if measures else ()), "kept"]
+    out = src.mapInArrow(judge, ", ".join([*kinds, "kept boolean"]))
+    return out.toDF(id_col, *carry, *names[1 + len(carry) :])
+
+
+def oracle(table: str = "documents") -> str:
+    """The same measures and rules in SQL; every rule on every text."""
+    word = r"[^\x20\x09-\x0D]+"
+    count = lambda chars: f"len(regexp_extract_all(t, '[{chars}]'))"
+    return rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM {table}),
+w AS (SELECT doc_id, t, regexp_extract_all(t, '{word}') AS w FROM d),
+l AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, '{word}') GROUP BY 1),
+g AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, k) AS n FROM (SELECT doc_id, i, array_to_string(w[i:i + {WINDOW - 1}], ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - {WINDOW - 2})) AS i FROM w))),
+r AS (SELECT doc_id, count(DISTINCT i + j) AS n_repeat_words FROM g, range({WINDOW}) t(j) WHERE n > 1 GROUP BY 1),
+x AS (SELECT doc_id, count(*) AS n_stutters FROM (SELECT doc_id, w, unnest(range(2, len(w) + 1)) AS i FROM w) WHERE w[i] = w[i - 1] GROUP BY 1),
+m AS (SELECT w.doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars, {count('#*$%&|<>')}::BIGINT AS n_symbols, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
+  coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, coalesce(n_lines, 0) AS n_lines, coalesce(n_stutters, 0) AS n_stutters, {count('A-Za-z')} AS n_letters, {count('A-Z')} AS n_upper, {count('!?')} AS n_shouts
+  FROM w LEFT JOIN l USING (doc_id) LEFT JOIN r USING (doc_id) LEFT JOIN x USING (doc_id)),
+b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR 10 * n_symbols > 2 * n_words OR (n_letters >= 40 AND 100 * n_upper > 50 * n_letters) OR 10 * n_shouts > 4 * n_words OR 100 * n_stutters > 40 * n_words
+    OR (n_lines >= 4 AND 100 * n_dup_lines > 50 * n_lines) OR (n_words >= 20 AND (word_chars < 2 * n_words OR word_chars > 25 * n_words))) AS kept FROM b"""

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from . import textops as T
 from .packing import slices
+from .storage import bound_batches
 
 BITS = 20
 #: Labelled rows that the model is fitted on, at most.
@@ -68,11 +69,10 @@ class Ftrl:
         self.n[at] = n + g * g
 
 
-def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "label", *, max_train: int | None = MAX_TRAIN, epochs: int = 3) -> dict[int, float]:
+def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "label", *, max_train: int = MAX_TRAIN, epochs: int = 3) -> dict[int, float]:
     """Weights by coordinate, the intercept under 2^BITS; only those that are not zero.
 
     ``labelled`` has id, text and a 0/1 label; rows with a null label are left out.
-    ``max_train`` None: the caller has bounded the rows.
     """
     rows = labelled.where(F.col(label_col).isNotNull()).select(F.xxhash64(F.col(id_col)).alias("h"), F.col(text_col).cast("string").alias("t"), F.col(label_col).cast("int").alias("y"))
 
@@ -92,7 +92,8 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lab
         keep = np.flatnonzero(w)
         yield pa.RecordBatch.from_arrays([pa.array(keep, pa.int64()), pa.array(w[keep])], names=["at", "w"])
 
-    one = rows if max_train is None else rows.orderBy("h", "t", "y").limit(max_train)
+    # Sorted by hashes alone, so that whole texts are only moved for the rows taken.
+    one = rows.withColumn("k", F.xxhash64("t")).orderBy("h", "k", "y").limit(max_train).drop("k")
     return {r["at"]: r["w"] for r in one.repartition(1).sortWithinPartitions("h", "t", "y").mapInArrow(learn, "at long, w double").collect()}
 
 
@@ -134,11 +135,19 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     """Fit on the labelled rows that are not held out, then score all rows.
 
     Returns the id, ``held_out``, ``score`` and ``predicted`` (1 from ``threshold`` on).
+
+    * at most ``max_train`` labelled rows take part, those with the smallest hashes
+      of id, text and label, however often an id repeats in either table;
+    * null ids and null labels teach nothing; an id with two labels teaches both;
+    * the other columns of both tables are ignored, whatever their names.
     """
-    ids = labels.where(~held_out(id_col) & F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).select(F.col(id_col).alias("_i"), F.col(label_col).alias("label"))
+    bound_batches(docs.sparkSession)
+    known = labels.select(F.col(id_col).alias("_i"), F.col(label_col).cast("int").alias("_y"))
+    known = known.where(~held_out("_i") & F.col("_i").isNotNull() & F.col("_y").isNotNull()).distinct()
     # At most max_train ids, so the join's build side is bounded.
-    some = ids.orderBy(F.xxhash64("_i"), "label").limit(max_train)
-    train = docs.join(F.broadcast(some), docs[id_col] == some["_i"]).select(F.col("_i"), F.col(text_col).alias("_t"), "label")
-    weights = fit(train, "_i", "_t", "label", max_train=None)
+    some = known.orderBy(F.xxhash64("_i"), "_i", "_y").limit(max_train)
+    texts = docs.select(F.col(id_col).alias("_d"), F.col(text_col).cast("string").alias("_t"))
+    train = texts.join(F.broadcast(some), texts["_d"] == some["_i"]).select("_i", "_t", "_y")
+    weights = fit(train, "_i", "_t", "_y", max_train=max_train)
     out = score(docs, weights, id_col, text_col)
     return out.select(id_col, held_out(id_col).alias("held_out"), "score", F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"))
