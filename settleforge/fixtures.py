@@ -9,6 +9,8 @@ datasets can be written in SQL (``SQL``) for the oracle.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,9 +48,9 @@ def payment_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.unionByName(again)
 
 
-def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
-    """Current records of the six datasets."""
-    pay = canonical.canonical(payment_receipts(spark, sf_dir))
+def inputs(spark: SparkSession, sf_dir: str, keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> Inputs:
+    """Current records of the six datasets; ``keep`` is applied to what the others derive from."""
+    pay = keep(canonical.canonical(payment_receipts(spark, sf_dir)))
     cap = pay.where("status = 'CAPTURED'")
     od = spark.read.parquet(f"{sf_dir}/orders.parquet").where("o_orderkey % 97 <> 0")
     taken = cap.groupBy("order_id").agg(F.sum("amount").cast(MONEY).alias("taken"))
@@ -60,9 +62,9 @@ def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
     reported = F.when(F.col("status") == "CAPTURED", (fee + F.when(part % 10 == 1, _d("1.00")).otherwise(_d("0.00"))).cast(MONEY)).otherwise(_d("1.00"))
     fees = pay.where("(status = 'CAPTURED' AND l_partkey % 10 <> 0) OR (status = 'FAILED' AND l_partkey % 200 = 0)").select(F.concat(F.lit("FEE-"), "payment_id").alias("fee_id"), "payment_id", reported.alias("amount"), F.lit("EUR").alias("currency"), "available_on")
     back = F.when(part % 50 == 0, (F.col("amount") * F.lit("1.50").cast("decimal(3,2)")).cast(MONEY)).otherwise((F.col("amount") * F.col("discount_percent").cast("decimal(3,0)") / 100).cast(MONEY))
-    refunds = cap.where("l_returnflag = 'A' AND discount_percent > 0").select(F.concat(F.lit("REF-"), "payment_id").alias("refund_id"), F.when(part % 40 == 7, F.lit("PAY-NONE")).otherwise(F.col("payment_id")).alias("payment_id"), F.lit("SUCCEEDED").alias("status"), back.alias("amount"), F.lit("EUR").alias("currency"), F.date_add("available_on", 7).alias("available_on"))
+    refunds = cap.where("l_returnflag = 'A' AND discount_percent > 0").select(F.concat(F.lit("REF-"), "payment_id").alias("refund_id"), F.when(part % 40 == 7, F.lit("PAY-NONE")).otherwise(F.col("payment_id")).alias("payment_id"), F.lit("SUCCEEDED").alias("status"), back.alias("amount"), F.when(part % 31 == 4, "USD").otherwise("EUR").alias("currency"), F.date_add("available_on", 7).alias("available_on"))
     payments = pay.select("payment_id", "order_id", "attempt_number", "payment_method", "status", "amount", "currency", "available_on", "source_version", "l_partkey")
-    i = Inputs(orders, payments, refunds, fees, None, None)
+    i = Inputs(keep(orders), payments, refunds, fees, None, None)
     # A line for each movement, but for the planted faults; the part key is the payment's.
     m = expected_movements(i)
     key = F.regexp_extract("movement_id", r"PAY-\d+-\d+", 0)
@@ -70,9 +72,10 @@ def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
     amount = (F.col("signed_amount") + F.when(part % 60 == 4, _d("0.01")).otherwise(_d("0.00"))).cast(MONEY)
     one = m.select(F.concat_ws("-", F.lit("LINE"), "movement_type", "movement_id").alias("settlement_line_id"), F.concat(F.lit("OUT-"), F.col("available_on").cast("string")).alias("payout_id"), "movement_type", "movement_id", amount.alias("signed_amount"), "available_on", "l_partkey")
     lines = one.unionByName(one.where("l_partkey % 60 = 5").withColumn("settlement_line_id", F.concat("settlement_line_id", F.lit("-2"))))
+    lines = keep(lines)
     net = lines.groupBy("payout_id", F.col("available_on").alias("payout_date")).agg(F.sum("signed_amount").cast(MONEY).alias("net"))
     payouts = net.where("net >= 0").select("payout_id", "payout_date", F.lit("EUR").alias("currency"), (F.col("net") + F.when(F.dayofyear("payout_date") % 9 == 0, _d("1.00")).otherwise(_d("0.00"))).cast(MONEY).alias("reported_net_amount"))
-    i.lines, i.payouts = lines.drop("available_on", "l_partkey"), payouts
+    i.lines, i.payouts = lines.drop("available_on", "l_partkey"), keep(payouts)
     return i
 
 
@@ -96,7 +99,7 @@ ord AS MATERIALIZED (SELECT 'ORD-' || o_orderkey AS order_id, CASE o_orderstatus
 fee AS MATERIALIZED (SELECT 'FEE-' || payment_id AS fee_id, payment_id, (fee + CASE WHEN l_partkey % 10 = 1 THEN 1.00 ELSE 0.00 END)::DECIMAL(18,2) AS amount FROM cap WHERE l_partkey % 10 <> 0
   UNION ALL SELECT 'FEE-' || payment_id, payment_id, 1.00::DECIMAL(18,2) FROM pay WHERE status = 'FAILED' AND l_partkey % 200 = 0),
 ref AS MATERIALIZED (SELECT 'REF-' || payment_id AS refund_id, CASE WHEN l_partkey % 40 = 7 THEN 'PAY-NONE' ELSE payment_id END AS payment_id,
-  CASE WHEN l_partkey % 50 = 0 THEN round(amount * 1.50, 2) ELSE round(amount * pct::DECIMAL(3,0) * 0.01, 2) END::DECIMAL(18,2) AS amount, (available_on + 7)::DATE AS available_on, l_partkey
+  CASE WHEN l_partkey % 50 = 0 THEN round(amount * 1.50, 2) ELSE round(amount * pct::DECIMAL(3,0) * 0.01, 2) END::DECIMAL(18,2) AS amount, (available_on + 7)::DATE AS available_on, l_partkey, CASE WHEN l_partkey % 31 = 4 THEN 'USD' ELSE 'EUR' END AS currency
   FROM cap WHERE l_returnflag = 'A' AND pct > 0),
 capfee AS MATERIALIZED (SELECT cap.*, f.fee_total, coalesce(f.n, 0) AS n_fees, f.fee_id FROM cap LEFT JOIN (SELECT payment_id AS k, sum(amount)::DECIMAL(18,2) AS fee_total, count(*) AS n, min(fee_id) AS fee_id FROM fee GROUP BY 1) f ON f.k = cap.payment_id),
 mov AS MATERIALIZED (SELECT 'CAPTURE' AS movement_type, payment_id AS movement_id, available_on, amount AS signed_amount, l_partkey FROM cap

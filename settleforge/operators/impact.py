@@ -25,13 +25,22 @@ _MOVEMENT = {"CAPTURE": "PAYMENT", "REFUND": "REFUND", "FEE": "FEE"}
 
 @dataclass
 class Plan:
-    """``scope``: NONE, WINDOWS or FULL; frames are None where nothing is planned."""
+    """``scope``: NONE, WINDOWS or FULL; frames are None where nothing is planned.
+
+    ``reasons`` holds why a full rebuild is needed: a few codes, or a frame (reason)
+    with a row for each record that could not be bounded, however many there are.
+    """
 
     scope: str
-    reason_codes: list[str] = field(default_factory=list)
+    reasons: list[str] | DataFrame = field(default_factory=list)
     keys: DataFrame | None = None
     dates: DataFrame | None = None
 
+    @property
+    def reason_codes(self) -> list[str]:
+        """All reasons, in order, on the driver; where there may be many, read the frame."""
+        return self.reasons if isinstance(self.reasons, list) else [r[0] for r in self.reasons.orderBy("reason").collect()]
+
     def order_ids(self) -> DataFrame:
         return self.keys.where("entity_type = 'ORDER'").select(F.col("source_id").alias("order_id"))
 
@@ -132,11 +141,11 @@ def plan(before: DataFrame, after: DataFrame, changed: DataFrame, change_kind: s
     own = records.select(_node(F.col("entity_type"), F.col("source_id")).alias("node")).distinct()
     day = F.startswith("node", F.lit("DAY:"))
     missing = nodes.where(~day).join(own, "node", "left_anti").select(F.concat(F.lit("RELATED_RECORD_MISSING:"), "node").alias("reason"))
-    reasons = _issues(records).join(nodes, "node", "left_semi").select("reason").unionByName(missing).distinct().orderBy("reason")
-    codes = [r[0] for r in reasons.limit(1000).collect()]
+    reasons = _issues(records).join(nodes, "node", "left_semi").select("reason").unionByName(missing).distinct()
+    reasons = saved(reasons.select("reason"))
     keys = nodes.where(~day).select(F.regexp_extract("node", r"^([^:]*):", 1).alias("entity_type"), F.regexp_extract("node", r"^[^:]*:(.*)$", 1).alias("source_id"))
     dates = nodes.where(day).select(F.substring("node", 5, 10).cast("date").alias("day"))
-    return Plan("FULL" if codes else "WINDOWS", codes, keys, dates)
+    return Plan("WINDOWS" if reasons.isEmpty() else "FULL", reasons, keys, dates)
 
 
 def restrict(frames: dict[str, DataFrame], p: Plan, ids: dict[str, str]) -> dict[str, DataFrame]:

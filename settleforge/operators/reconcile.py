@@ -9,7 +9,8 @@ aggregating the many side, so no rule compares rows pairwise.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -27,7 +28,11 @@ class ReconciliationError(ValueError):
 
 @dataclass
 class Inputs:
-    """Current records by entity; ``completeness`` has a row for each of the six reports."""
+    """Current records by entity; ``completeness`` has a row for each of the six reports.
+
+    Frames that several rules read are made once by ``shared``; ``keep`` says what
+    becomes of them (``saved`` writes them, which pays when many rules run).
+    """
 
     orders: DataFrame
     payments: DataFrame
@@ -38,6 +43,14 @@ class Inputs:
     completeness: DataFrame | None = None
     conflicts: DataFrame | None = None
     quarantine: DataFrame | None = None
+    keep: Callable[[DataFrame], DataFrame] = lambda df: df
+    made: dict[str, DataFrame] = field(default_factory=dict)
+
+    def shared(self, build: Callable[[Inputs], DataFrame]) -> DataFrame:
+        """The frame that ``build`` makes of these inputs, made once."""
+        if build.__name__ not in self.made:
+            self.made[build.__name__] = self.keep(build(self))
+        return self.made[build.__name__]
 
 
 @dataclass
@@ -88,13 +101,13 @@ def succeeded(refunds: DataFrame) -> DataFrame:
 
 def orphan_payments(i: Inputs) -> DataFrame:
     """Captures whose order is unknown."""
-    df = captured(i.payments).join(i.orders.select("order_id"), "order_id", "left_anti")
+    df = i.shared(capture_facts).where("order_status IS NULL")
     return exception(df, "payment.order_exists", "ORPHAN_PAYMENT", "PAYMENT", F.col("payment_id"), None, F.col("amount"), F.array(ref("PAYMENT", "payment_id")))
 
 
 def captures_on_cancelled(i: Inputs) -> DataFrame:
     """Captures of cancelled orders; of several on one order the largest payment id stands for all."""
-    df = captured(i.payments).join(i.orders.where("status = 'CANCELLED'").select("order_id"), "order_id")
+    df = i.shared(capture_facts).where("order_status = 'CANCELLED'")
     return exception(df, "payment.order_is_payable", "CAPTURE_FOR_NON_PAYABLE_ORDER", "ORDER", F.col("order_id"), "0.00", F.col("amount"), F.array(ref("ORDER", "order_id"), ref("PAYMENT", "payment_id")), order=F.col("order_id"), rank=F.col("payment_id"))
 
 
@@ -118,7 +131,7 @@ def refund_totals(i: Inputs) -> DataFrame:
 
 def excess_refunds(i: Inputs) -> DataFrame:
     """Payments refunded beyond their amount."""
-    df = captured(i.payments).join(refund_totals(i), "payment_id").where("refund_total > amount")
+    df = i.shared(capture_facts).where("refund_total > amount")
     return exception(df, "refund.total_within_capture", "EXCESS_REFUND", "PAYMENT", F.col("payment_id"), F.col("amount"), F.col("refund_total"), F.concat(F.array(ref("PAYMENT", "payment_id")), F.col("refund_refs")), order=F.col("order_id"))
 
 
@@ -126,7 +139,21 @@ def payment_fees(i: Inputs) -> DataFrame:
     """Captures with their contractual fee and what fees are reported: total, count, ids in order."""
     f = i.fees.groupBy("payment_id").agg(total("amount").alias("fee_total"), F.count(F.lit(1)).alias("fee_count"), F.array_sort(F.collect_set("fee_id")).alias("fee_ids"))
     df = captured(i.payments).join(f, "payment_id", "left")
-    return df.withColumns({"expected_fee": contract_fee(F.col("payment_method"), F.col("amount")), "fee_count": F.coalesce("fee_count", F.lit(0)), "fee_total": F.coalesce("fee_total", F.lit(0).cast(MONEY)), "fee_ids": F.coalesce("fee_ids", F.array().cast("array<string>"))})
+    none = {"fee_count": F.lit(0), "fee_total": F.lit(0).cast(MONEY), "fee_ids": F.array().cast("array<string>")}
+    df = df.withColumns({c: F.coalesce(c, x) for c, x in none.items()})
+    return df.withColumn("expected_fee", contract_fee(F.col("payment_method"), F.col("amount")))
+
+
+def capture_facts(i: Inputs) -> DataFrame:
+    """Captures with their fees, their succeeded refunds and their order's status (null: no such order); all rules on payments are filters of it."""
+    o = i.orders.select("order_id", F.col("status").alias("order_status"))
+    columns = ("payment_id", "order_id", "amount", "currency", "available_on", "expected_fee", "fee_total", "fee_count", "fee_ids", "refund_total", "refund_count", "refund_refs", "order_status")
+    return payment_fees(i).join(refund_totals(i), "payment_id", "left").join(o, "order_id", "left").select(*columns)
+
+
+def _fees(i: Inputs) -> DataFrame:
+    """Captures with their fees: the shared facts where they are made, else no more than is asked for."""
+    return i.made[capture_facts.__name__] if capture_facts.__name__ in i.made else payment_fees(i)
 
 
 def _fee_refs() -> Column:
@@ -134,12 +161,12 @@ def _fee_refs() -> Column:
 
 
 def missing_fees(i: Inputs) -> DataFrame:
-    df = payment_fees(i).where("fee_count = 0")
+    df = _fees(i).where("fee_count = 0")
     return exception(df, "fee.processing_fee_exists", "MISSING_FEE", "PAYMENT", F.col("payment_id"), F.col("expected_fee"), "0.00", F.array(ref("PAYMENT", "payment_id")), order=F.col("order_id"))
 
 
 def fee_mismatches(i: Inputs) -> DataFrame:
-    df = payment_fees(i).where("fee_count > 0 AND fee_total <> expected_fee")
+    df = _fees(i).where("fee_count > 0 AND fee_total <> expected_fee")
     return exception(df, "fee.amount_matches_schedule", "FEE_MISMATCH", "PAYMENT", F.col("payment_id"), F.col("expected_fee"), F.col("fee_total"), F.concat(F.array(ref("PAYMENT", "payment_id")), _fee_refs()), order=F.col("order_id"))
 
 
@@ -153,9 +180,7 @@ def unexpected_fees(i: Inputs) -> DataFrame:
 
 def order_totals(i: Inputs) -> DataFrame:
     """Each order with what its captures, refunds and fees add up to; refunds and fees only of its captures."""
-    r = refund_totals(i).select("payment_id", "refund_total", "refund_count")
-    p = payment_fees(i).join(r, "payment_id", "left")
-    by_order = p.groupBy("order_id").agg(total("amount").alias("captured_total"), F.count(F.lit(1)).alias("captured_payment_count"), total("refund_total").alias("successful_refund_total"), F.coalesce(F.sum("refund_count"), F.lit(0)).alias("successful_refund_count"), total("expected_fee").alias("expected_fee_total"), total("fee_total").alias("reported_fee_total"), F.collect_set(ref("PAYMENT", "payment_id")).alias("payment_refs"))
+    by_order = i.shared(capture_facts).groupBy("order_id").agg(total("amount").alias("captured_total"), F.count(F.lit(1)).alias("captured_payment_count"), total("refund_total").alias("successful_refund_total"), F.coalesce(F.sum("refund_count"), F.lit(0)).alias("successful_refund_count"), total("expected_fee").alias("expected_fee_total"), total("fee_total").alias("reported_fee_total"), F.collect_set(ref("PAYMENT", "payment_id")).alias("payment_refs"))
     df = i.orders.join(by_order, "order_id", "left")
     zero = F.lit(0).cast(MONEY)
     df = df.withColumns({c: F.coalesce(c, zero) for c in ("captured_total", "successful_refund_total", "expected_fee_total", "reported_fee_total")} | {c: F.coalesce(c, F.lit(0)).cast("long") for c in ("captured_payment_count", "successful_refund_count")} | {"payment_refs": F.coalesce("payment_refs", F.array().cast("array<string>"))})
@@ -167,17 +192,17 @@ def _order_supports() -> Column:
 
 
 def missing_payments(i: Inputs) -> DataFrame:
-    df = order_totals(i).where("status = 'PAID' AND captured_payment_count = 0")
+    df = i.shared(order_totals).where("status = 'PAID' AND captured_payment_count = 0")
     return exception(df, "order.payment_exists", "MISSING_PAYMENT", "ORDER", F.col("order_id"), F.col("order_total"), "0.00", F.array(ref("ORDER", "order_id")), order=F.col("order_id"))
 
 
 def payment_mismatches(i: Inputs) -> DataFrame:
-    df = order_totals(i).where("status = 'PAID' AND captured_payment_count > 0 AND captured_total <> order_total")
+    df = i.shared(order_totals).where("status = 'PAID' AND captured_payment_count > 0 AND captured_total <> order_total")
     return exception(df, "order.collection_matches_total", "PAYMENT_AMOUNT_MISMATCH", "ORDER", F.col("order_id"), F.col("order_total"), F.col("captured_total"), _order_supports(), order=F.col("order_id"))
 
 
 def multiple_captures(i: Inputs) -> DataFrame:
-    df = order_totals(i).where("status = 'PAID' AND captured_payment_count > 1")
+    df = i.shared(order_totals).where("status = 'PAID' AND captured_payment_count > 1")
     return exception(df, "order.maximum_one_capture", "MULTIPLE_CAPTURE", "ORDER", F.col("order_id"), "1.00", F.col("captured_payment_count"), _order_supports(), order=F.col("order_id"))
 
 
@@ -189,7 +214,7 @@ def expected_movements(i: Inputs) -> DataFrame:
 
     A fee's movement has the reported fee's id only if there is exactly one.
     """
-    p = payment_fees(i)
+    p = _fees(i)
     pay = F.array(ref("PAYMENT", "payment_id"))
     fee_id = F.when(F.col("fee_count") == 1, F.col("fee_ids")[0]).otherwise(F.concat(F.lit("expected-fee:"), F.col("payment_id")))
     capture = p.select(F.lit("CAPTURE").alias("movement_type"), F.col("payment_id").alias("movement_id"), "available_on", F.col("amount").alias("signed_amount"), pay.alias("supporting_source_record_ids"))
@@ -214,14 +239,14 @@ def settled_movements(i: Inputs) -> DataFrame:
 
 
 def missing_settlement_lines(i: Inputs) -> DataFrame:
-    df = settled_movements(i).where("n_lines = 0")
+    df = i.shared(settled_movements).where("n_lines = 0")
     return exception(df, "settlement.expected_movement_exists", "MISSING_SETTLEMENT_LINE", "EXPECTED_MOVEMENT", F.concat_ws(":", "movement_type", "movement_id"), F.col("signed_amount"), "0.00", F.col("supporting_source_record_ids"), payout=F.col("payout_id"))
 
 
 def line_amount_mismatches(i: Inputs) -> DataFrame:
     """Single lines that differ from their movement; a fee's line is held against the reported fee if there is one."""
     f = i.fees.select(F.col("fee_id").alias("movement_id"), F.lit("FEE").alias("movement_type"), F.col("amount").alias("fee_amount"))
-    df = settled_movements(i).where("n_lines = 1").join(f, ["movement_type", "movement_id"], "left")
+    df = i.shared(settled_movements).where("n_lines = 1").join(f, ["movement_type", "movement_id"], "left")
     df = df.withColumn("expected", F.coalesce(-F.col("fee_amount"), F.col("signed_amount")).cast(MONEY)).where("line_amount <> expected")
     return exception(df, "settlement.amount_matches_reported_source_movement", "SETTLEMENT_LINE_AMOUNT_MISMATCH", "SETTLEMENT_LINE", F.col("line_id"), F.col("expected"), F.col("line_amount"), F.concat(F.col("supporting_source_record_ids"), F.array(ref("SETTLEMENT_LINE", "line_id"))), payout=F.col("payout_id"))
 
@@ -237,7 +262,7 @@ def payout_totals(i: Inputs) -> DataFrame:
 
 
 def payout_total_mismatches(i: Inputs) -> DataFrame:
-    df = payout_totals(i).where("provider_report_variance <> 0")
+    df = i.shared(payout_totals).where("provider_report_variance <> 0")
     return exception(df, "payout.header_matches_settlement_lines", "PAYOUT_TOTAL_MISMATCH", "PAYOUT", F.col("payout_id"), F.col("reported_line_total"), F.col("reported_net_amount"), F.concat(F.array(ref("PAYOUT", "payout_id")), F.col("line_refs")), payout=F.col("payout_id"))
 
 
@@ -252,23 +277,23 @@ def batch_conflicts(batches: DataFrame) -> DataFrame:
     return batches.groupBy("source_system", "report_type", "batch_id").agg(F.count_distinct("file_checksum").alias("n")).where("n > 1")
 
 
-#: Rule -> reports that must be complete before it runs.
+#: Rule, reports that must be complete before it runs, and the result that carries its code.
 RULES = (
-    (orphan_payments, ("orders", "payments")),
-    (captures_on_cancelled, ("orders", "payments")),
-    (orphan_refunds, ("payments", "refunds")),
-    (refund_currency, ("payments", "refunds")),
-    (excess_refunds, ("payments", "refunds")),
-    (missing_fees, ("payments", "fees")),
-    (fee_mismatches, ("payments", "fees")),
-    (unexpected_fees, ("payments", "fees")),
-    (missing_payments, ("orders", "payments")),
-    (payment_mismatches, ("orders", "payments")),
-    (multiple_captures, ("orders", "payments")),
-    (duplicate_settlement, ("settlement_lines",)),
-    (missing_settlement_lines, ("payments", "refunds", "fees", "settlement_lines")),
-    (line_amount_mismatches, ("payments", "refunds", "fees", "settlement_lines")),
-    (payout_total_mismatches, ("settlement_lines", "payouts")),
+    (orphan_payments, ("orders", "payments"), None),
+    (captures_on_cancelled, ("orders", "payments"), "order"),
+    (orphan_refunds, ("payments", "refunds"), None),
+    (refund_currency, ("payments", "refunds"), "order"),
+    (excess_refunds, ("payments", "refunds"), "order"),
+    (missing_fees, ("payments", "fees"), "order"),
+    (fee_mismatches, ("payments", "fees"), "order"),
+    (unexpected_fees, ("payments", "fees"), None),
+    (missing_payments, ("orders", "payments"), "order"),
+    (payment_mismatches, ("orders", "payments"), "order"),
+    (multiple_captures, ("orders", "payments"), "order"),
+    (duplicate_settlement, ("settlement_lines",), "payout"),
+    (missing_settlement_lines, ("payments", "refunds", "fees", "settlement_lines"), "payout"),
+    (line_amount_mismatches, ("payments", "refunds", "fees", "settlement_lines"), "payout"),
+    (payout_total_mismatches, ("settlement_lines", "payouts"), "payout"),
 )
 
 
@@ -284,10 +309,15 @@ def _gated(df: DataFrame, states: DataFrame | None, reports: tuple[str, ...]) ->
     return df.join(F.broadcast(states.where(ready).select(F.lit(1).alias("_go")))).drop("_go")
 
 
+def _rule_rows(i: Inputs, carried_by: tuple[str | None, ...]) -> list[DataFrame]:
+    """Rows of the rules that may run and whose codes those results carry."""
+    states = None if i.completeness is None else _states(i.completeness)
+    return [_gated(rule(i), states, reports) for rule, reports, carrier in RULES if carrier in carried_by]
+
+
 def all_exceptions(i: Inputs) -> DataFrame:
     """Rows of every rule that may run, before equal ones are merged."""
-    states = None if i.completeness is None else _states(i.completeness)
-    frames = [_gated(rule(i), states, reports) for rule, reports in RULES]
+    frames = _rule_rows(i, (None, "order", "payout"))
     if i.completeness is not None:
         c = completeness_exceptions(i.completeness)
         nothing = {"expected_amount": F.lit(None).cast(MONEY), "actual_amount": F.lit(None).cast(MONEY), "variance": F.lit(None).cast(MONEY), "order_id": F.lit(None).cast("string"), "payout_id": F.lit(None).cast("string"), "emitted": F.lit(None).cast("string")}
@@ -321,8 +351,8 @@ def _state(states: DataFrame | None, df: DataFrame, reports: tuple[str, ...], bl
 
 def transactions(i: Inputs, raw: DataFrame | None = None) -> DataFrame:
     """Result of each order."""
-    raw = all_exceptions(i) if raw is None else raw
-    df = order_totals(i).join(_codes(raw, "order_id"), "order_id", "left").withColumn("exception_codes", F.coalesce("exception_codes", F.array().cast("array<string>")))
+    raw = reduce(DataFrame.unionByName, _rule_rows(i, ("order",))) if raw is None else raw
+    df = i.shared(order_totals).join(_codes(raw, "order_id"), "order_id", "left").withColumn("exception_codes", F.coalesce("exception_codes", F.array().cast("array<string>")))
     df = _state(None if i.completeness is None else _states(i.completeness), df, TRANSACTION_REPORTS, F.size("exception_codes") > 0)
     net = (F.col("captured_total") - F.col("successful_refund_total") - F.col("expected_fee_total")).cast(MONEY)
     return df.select("order_id", F.col("status").alias("order_status"), "currency", "expected_collection", "captured_total", variance(F.col("expected_collection"), F.col("captured_total")).alias("collection_variance"), "captured_payment_count", "successful_refund_count", "successful_refund_total", "expected_fee_total", "reported_fee_total", net.alias("lifetime_net_collection"), "state", "exception_codes")
@@ -330,8 +360,8 @@ def transactions(i: Inputs, raw: DataFrame | None = None) -> DataFrame:
 
 def payouts(i: Inputs, raw: DataFrame | None = None) -> DataFrame:
     """Result of each payout; a variance against the expected movements blocks it like a code."""
-    raw = all_exceptions(i) if raw is None else raw
-    df = payout_totals(i).join(_codes(raw, "payout_id"), "payout_id", "left").withColumn("exception_codes", F.coalesce("exception_codes", F.array().cast("array<string>")))
+    raw = reduce(DataFrame.unionByName, _rule_rows(i, ("payout",))) if raw is None else raw
+    df = i.shared(payout_totals).join(_codes(raw, "payout_id"), "payout_id", "left").withColumn("exception_codes", F.coalesce("exception_codes", F.array().cast("array<string>")))
     df = _state(None if i.completeness is None else _states(i.completeness), df, PAYOUT_REPORTS, (F.size("exception_codes") > 0) | (F.col("end_to_end_payout_variance") != 0))
     return df.select("payout_id", "payout_date", "currency", "expected_payout", "reported_line_total", "reported_net_amount", "provider_report_variance", "end_to_end_payout_variance", "expected_movement_count", "settlement_line_count", "state", "exception_codes")
 
@@ -351,6 +381,7 @@ def reconcile(i: Inputs, run_id: str, detected_at, *, check: bool = True) -> Res
     """All result frames of one run."""
     if check:
         check_inputs(i)
+    i = replace(i, keep=saved, made={})
     # Three results read the rules' rows, so they are written once.
     raw = saved(all_exceptions(i))
     run = {"run_id": F.lit(run_id), "contract_version": F.lit(CONTRACT_VERSION)}
