@@ -10,6 +10,7 @@ import hashlib
 import json
 import os
 from collections.abc import Callable
+from datetime import datetime, timezone
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,9 +45,26 @@ def publish_source_file(path: str | Path, rows: list[dict], report_type: str, re
     return manifest
 
 
+def _empty_files(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, content, modificationTime) of files without bytes; Spark's own listing leaves them out.
+
+    Names are listed once on the driver, as for any scan of a folder; only the
+    empty files' names are kept.
+    """
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found, files = [], fs.listFiles(root, True)
+    while files.hasNext():
+        f = files.next()
+        if f.getLen() == 0 and ".json" in f.getPath().getName():
+            found.append((f.getPath().toString(), bytearray(), datetime.fromtimestamp(f.getModificationTime() / 1000, timezone.utc)))
+    return spark.createDataFrame(found, "path string, content binary, modificationTime timestamp")
+
+
 def read_deliveries(spark: SparkSession, folder: str) -> DataFrame:
-    """One row a delivery: stem, data_bytes, manifest_bytes, writing (a part file is there)."""
+    """One row a delivery: stem, data_bytes, manifest_bytes, writing (a part file is there, were it empty)."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json*").option("recursiveFileLookup", "true").load(folder)
+    files = files.select("path", "content", "modificationTime").unionByName(_empty_files(spark, folder))
     name = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"%20", " ")
     kind = F.when(F.endswith(name, F.lit(".part")), "part").when(F.endswith(name, F.lit(".manifest.json")), "manifest").when(F.endswith(name, F.lit(".json")), "data")
     one = files.select(F.regexp_replace("path", r"(\.manifest)?\.json(\.part)?$", "").alias("stem"), kind.alias("kind"), "content", "modificationTime").where("kind IS NOT NULL")
@@ -93,23 +111,39 @@ def gate(deliveries: DataFrame, versions: tuple[str, ...] = (FILE_SCHEMA_VERSION
     return out.withColumns({f: _manifest(m, f) for f in fields if f != "filename"}).drop("_m", "_d", "_r")
 
 
-def verify(gated: DataFrame) -> DataFrame:
-    """Ready deliveries with their key; raises on evidence that contradicts itself.  Unfinished ones are left out."""
+def judged(gated: DataFrame) -> DataFrame:
+    """Finished deliveries with their key and ``fault`` (null: sound); a bad one does not keep the others back."""
     report = F.lower("report_type")
     entity = F.create_map(*[F.lit(x) for k, (e, _, _) in REPORTS.items() for x in (k, e)])[report]
     system = F.create_map(*[F.lit(x) for k, (_, s, _) in REPORTS.items() for x in (k, s)])[report]
-    fault = F.when(F.col("state") == "REJECTED", F.col("reason")).when(F.coalesce((F.col("entity_type") != entity) | (F.lower("source_system") != system), F.lit(True)), "REPORT_ENTITY_SOURCE_DISAGREE").when(F.col("report_date").try_cast("date").isNull() | (F.length("report_date") != 10), "INVALID_REPORT_DATE")
-    df = gated.where("state <> 'WAITING'").withColumn("_fault", fault)
-    bad = df.where("_fault IS NOT NULL").select("stem", "_fault").take(5)
+    disagree = F.coalesce((F.col("entity_type") != entity) | (F.lower("source_system") != system), F.lit(True))
+    no_date = F.col("report_date").try_cast("date").isNull() | (F.length("report_date") != 10)
+    outside = F.rlike("filename", F.lit(r"(^|[/\\])\.\.?([/\\]|$)|[/\\]"))
+    fault = (
+        F.when(F.col("state") == "REJECTED", F.col("reason"))
+        .when(disagree, "REPORT_ENTITY_SOURCE_DISAGREE")
+        .when(no_date, "INVALID_REPORT_DATE")
+        .when(outside, "FILENAME_OUTSIDE_INBOX")
+    )
+    df = gated.where("state <> 'WAITING'").withColumn("fault", fault)
+    df = df.withColumns({"report_type": report, "report_date": F.col("report_date").try_cast("date"), "manifest_checksum": F.sha2("manifest_bytes", 256)})
+    parts = ("source_system", "report_type", "report_date", "entity_type", "filename", "schema_version", "checksum_sha256", "manifest_checksum")
+    return df.withColumn("delivery_key", F.when(F.col("fault").isNull(), delivery_key(*[F.col(c) for c in parts])))
+
+
+def verify(gated: DataFrame) -> DataFrame:
+    """Sound deliveries with their key; raises where a finished one is not.  ``judged`` returns faults as rows instead."""
+    df = judged(gated)
+    bad = df.where("fault IS NOT NULL").select("stem", "fault").take(5)
     if bad:
         raise DeliveryError(f"bad deliveries: {[tuple(b) for b in bad]}")
-    df = df.drop("_fault").withColumns({"report_type": report, "report_date": F.col("report_date").cast("date"), "manifest_checksum": F.sha2("manifest_bytes", 256)})
-    key = delivery_key(F.col("source_system"), F.col("report_type"), F.col("report_date"), F.col("entity_type"), F.col("filename"), F.col("schema_version"), F.col("checksum_sha256"), F.col("manifest_checksum"))
-    return df.withColumn("delivery_key", key)
+    return df.drop("fault")
 
 
 def ingest_ready(deliveries: DataFrame, ingest: Callable[[DataFrame], object]) -> DataFrame:
-    """Hand the ready deliveries on; returns the gate's findings for all."""
+    """Hand the sound deliveries on; returns the findings for all (stem, state, reason)."""
     found = gate(deliveries)
-    ingest(found.where("state = 'READY'"))
-    return found.select("stem", "state", "reason")
+    done = judged(found)
+    ingest(done.where("fault IS NULL").drop("fault"))
+    bad = done.where("fault IS NOT NULL").select("stem", F.lit("REJECTED").alias("_s"), F.col("fault").alias("_f"))
+    return found.join(bad, "stem", "left").select("stem", F.coalesce("_s", "state").alias("state"), F.coalesce("_f", "reason").alias("reason"))

@@ -6,6 +6,8 @@ receipts when they are read and never updated.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,15 +28,27 @@ class Ledger:
     def batches(self) -> DataFrame | None:
         return self._read("batches")
 
+    def _committed(self, name: str) -> DataFrame | None:
+        """Rows of deliveries that have a batch row, once each however often a broken attempt was repeated."""
+        df, batches = self._read(name), self.batches()
+        if df is None or batches is None:
+            return None
+        return df.join(batches.select("delivery_key"), "delivery_key", "left_semi").dropDuplicates(["delivery_key", "row_number"])
+
     def receipts(self, entity: str) -> DataFrame | None:
         """Valid receipts of one entity: receipt columns and the typed record."""
-        return self._read(f"receipts/{entity}")
+        return self._committed(f"receipts/{entity}")
 
     def quarantine(self) -> DataFrame | None:
-        return self._read("quarantine")
+        return self._committed("quarantine")
+
+    def ingest(self, verified: DataFrame, received_at, hook: Callable[[str], None] = lambda point: None) -> int:
+        """Append deliveries whose key is new; returns how many.
 
-    def ingest(self, verified: DataFrame, received_at) -> int:
-        """Append deliveries whose key is new; returns how many.  A repeated delivery changes nothing."""
+        A repeated delivery changes nothing.  After a crash between the appends the
+        delivery has no batch row: nothing of it is read, and ingesting it again
+        completes it.  ``hook`` is called between the appends.
+        """
         new = verified.dropDuplicates(["delivery_key"])
         known = self.batches()
         if known is not None:
@@ -48,6 +62,7 @@ class Ledger:
                 good, bad = validate(rows, entity)
                 good.write.mode("append").parquet(f"{self.files.root}/receipts/{entity}")
                 bad.write.mode("append").parquet(f"{self.files.root}/quarantine")
+                hook("after_rows")
             # The batch row comes last: a delivery without one has not been ingested.
             keep = new.select("delivery_key", "batch_id", "source_system", "report_type", "report_date", F.col("filename").alias("original_filename"), "schema_version", F.col("checksum_sha256").alias("file_checksum"), "manifest_checksum", "declared_row_count", F.size("rows").cast("long").alias("observed_row_count"), "received_at_utc", "data_bytes", "manifest_bytes", F.lit("COMMITTED").alias("status"))
             keep.write.mode("append").parquet(f"{self.files.root}/batches")
@@ -60,7 +75,6 @@ class Ledger:
         for e in ENTITIES:
             r = self.receipts(e)
             if r is not None:
-                r = r.join(self.batches().select("delivery_key"), "delivery_key", "left_semi")
                 out[e] = canonical(unique_receipts(r if as_of is None else r.where(F.col("received_at_utc") <= F.lit(as_of)))).select("record.*")
         return out
 

@@ -216,7 +216,14 @@ def test_gate_ledger_and_certification(spark, tmp_path):
     assert got == {"good": ("READY", "VERIFIED"), "bad": ("READY", "VERIFIED"), "count": rej("ROW_COUNT_MISMATCH"), "version": rej("UNSUPPORTED_SCHEMA_VERSION"), "named": rej("INVALID_MANIFEST"), "flag": rej("INVALID_MANIFEST"), "changed": rej("CHECKSUM_MISMATCH"), "writing": ("WAITING", "TEMPORARY_FILE_PRESENT"), "nodata": ("WAITING", "DATA_FILE_MISSING"), "alone": ("WAITING", "MANIFEST_MISSING"), "dup": rej("INVALID_DATA_JSON"), "obj": rej("INVALID_DATA_STRUCTURE"), "ints": rej("INVALID_DATA_STRUCTURE")}
     with pytest.raises(deliveries.DeliveryError):
         deliveries.verify(found)
+    faults = {r["stem"].rsplit("/", 1)[1]: r["fault"] for r in deliveries.judged(found).collect()}
+    assert {k for k, v in faults.items() if v is None} == {"good", "bad"} and faults["changed"] == "CHECKSUM_MISMATCH"
     ledger, ready = Ledger(spark, "file://" + str(tmp_path / "ledger")), deliveries.verify(found.where("state = 'READY'"))
+    # A crash between the appends leaves nothing that is read, and the next attempt completes it.
+    stop = recovery.FailOnce("after_rows")
+    with pytest.raises(recovery.InjectedFailure):
+        ledger.ingest(ready, "2026-03-02 19:00:00", hook=stop)
+    assert ledger.batches() is None and ledger.receipts("ORDER") is None and ledger.quarantine() is None
     assert ledger.ingest(ready, "2026-03-02 20:00:00") == 2
     assert ledger.ingest(ready, "2026-03-02 21:00:00") == 0
     assert sorted(r["order_id"] for r in ledger.current()["ORDER"].collect()) == ["b", "good"]
@@ -230,6 +237,14 @@ def test_gate_ledger_and_certification(spark, tmp_path):
         completeness.stored_completeness(ledger.stored_batches(), days, F.lit("2026-01-01").cast("timestamp"))
 
 
+def test_empty_files_are_seen(spark, tmp_path):
+    (tmp_path / "a.json").write_text("")
+    (tmp_path / "b.json.part").write_text("")
+    (tmp_path / "c.manifest.json").write_text("")
+    got = {r["stem"].rsplit("/", 1)[1]: (r["state"], r["reason"]) for r in deliveries.gate(deliveries.read_deliveries(spark, str(tmp_path))).collect()}
+    assert got == {"a": ("WAITING", "MANIFEST_MISSING"), "b": ("WAITING", "TEMPORARY_FILE_PRESENT"), "c": ("REJECTED", "INVALID_MANIFEST")}
+
+
 def test_archive(tmp_path):
     f = tmp_path / "x.json"
     f.write_text("[]")

@@ -25,7 +25,7 @@ CASES = [
     ("PAYMENT", change(PAYMENT, order_id=DROP, extra=1), "MISSING_FIELD"),
     ("PAYMENT", change(PAYMENT, extra=1), "UNEXPECTED_FIELD"),
     ("PAYMENT", change(PAYMENT, status="LOST", amount="x"), "INVALID_VALUE"),
-    ("PAYMENT", change(PAYMENT, amount="one hundred"), "INVALID_AMOUNT"),
+    ("PAYMENT", change(PAYMENT, amount="ten euros"), "INVALID_AMOUNT"),
     ("PAYMENT", change(PAYMENT, amount=64.5), "INVALID_AMOUNT"),
     ("PAYMENT", change(PAYMENT, amount="0.00"), "INVALID_AMOUNT"),
     ("PAYMENT", change(PAYMENT, currency="USD"), "UNSUPPORTED_CURRENCY"),
