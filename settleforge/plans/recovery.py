@@ -75,37 +75,58 @@ class Queue:
     def __init__(self, files: FileSystem, clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc)):
         self.files, self.clock = files, clock
 
+    @staticmethod
+    def request_id(change_key: str) -> str:
+        return hashlib.sha256(change_key.encode()).hexdigest()[:32]
+
     def _save(self, r: Request) -> None:
-        names = json.loads(self.files.read("queue/index.json") or "[]")
         self.files.write(f"queue/{r.request_id}.json", json.dumps(asdict(r), sort_keys=True))
-        if r.request_id not in names:
-            self.files.write("queue/index.json", json.dumps([*names, r.request_id]))
 
     def get(self, request_id: str) -> Request | None:
         text = self.files.read(f"queue/{request_id}.json")
         return None if text is None else Request(**json.loads(text))
 
     def requests(self) -> list[Request]:
-        return [r for n in json.loads(self.files.read("queue/index.json") or "[]") if (r := self.get(n))]
+        return [r for n in self.files.names("queue") if n.endswith(".json") and (r := self.get(n[:-5]))]
 
     def enqueue(self, change_key: str, reason_code: str, as_of: datetime, *, canonical_changed: bool = True, affects_history: bool = True, **options) -> Request | None:
         """A request for a change, one a change key; None where nothing has to be rebuilt."""
         if not (canonical_changed and affects_history):
             return None
-        request_id = hashlib.sha256(change_key.encode()).hexdigest()[:32]
-        old = self.get(request_id)
-        if old:
-            return old
+        request_id = self.request_id(change_key)
         now = _text(self.clock())
         r = Request(request_id, reason_code, _text(as_of), created_at_utc=now, next_attempt_at_utc=now, **options)
-        self._save(r)
-        return r
+        # The first of several callers makes the file; the others get what it holds.
+        made = self.files.create(f"queue/{request_id}.json", json.dumps(asdict(r), sort_keys=True))
+        return r if made else self.get(request_id)
 
-    def next_ready(self) -> Request | None:
-        """The pending request that is due and has waited longest."""
+    def _due(self) -> list[Request]:
         now = self.clock()
         due = [r for r in self.requests() if r.status == "PENDING" and _time(r.next_attempt_at_utc) <= now]
-        return min(due, key=lambda r: (r.next_attempt_at_utc, r.created_at_utc, r.request_id), default=None)
+        return sorted(due, key=lambda r: (r.next_attempt_at_utc, r.created_at_utc, r.request_id))
+
+    def claim_next(self, owner: str = "worker", lease_seconds: int = 3600) -> Request | None:
+        """The due request that has waited longest and that no other worker holds; it is this owner's until the lease ends.
+
+        A claim is a file that only one worker can make, one for each attempt; after
+        a lease has run out the next generation of the claim can be made.
+        """
+        for r in self._due():
+            generation = 0
+            while True:
+                name = f"queue/claims/{r.request_id}-{r.attempt_count}-{generation}"
+                until = self.clock() + timedelta(seconds=lease_seconds)
+                if self.files.create(name, json.dumps({"owner": owner, "until": _text(until)})):
+                    return r
+                held = json.loads(self.files.read(name) or "{}")
+                if not held or _time(held["until"]) > self.clock():
+                    break
+                generation += 1
+        return None
+
+    def next_ready(self) -> Request | None:
+        """The pending request that is due and has waited longest."""
+        return next(iter(self._due()), None)
 
     def mark_succeeded(self, request_id: str, run_id: str) -> None:
         r = self.get(request_id)
@@ -181,12 +202,12 @@ def inspect(queue: Queue, request_id: str, published: Callable[[str], bool] = la
 class Worker:
     """Claims a request, builds a result as of its cutoff, publishes it and completes the request."""
 
-    def __init__(self, queue: Queue, store, build: Callable, hook: Callable[[str], None] = lambda point: None):
-        self.queue, self.store, self.build, self.hook = queue, store, build, hook
+    def __init__(self, queue: Queue, store, build: Callable, hook: Callable[[str], None] = lambda point: None, owner: str = "worker"):
+        self.queue, self.store, self.build, self.hook, self.owner = queue, store, build, hook, owner
 
     def run_next(self) -> str | None:
         """The run id that was published, or None if nothing is due.  A failure is recorded and raised."""
-        r = self.queue.next_ready()
+        r = self.queue.claim_next(self.owner)
         if r is None:
             return None
         run_id = f"run-{r.request_id[:12]}-{r.attempt_count + 1}"
@@ -194,8 +215,9 @@ class Worker:
             self.hook("after_claim")
             result = self.build(run_id, _time(r.as_of_utc))
             self.hook("after_build")
-            self.store.publish(result, run_id, before_commit=lambda _: self.hook("before_pointer"))
+            self.store.publish(result, run_id, before_commit=lambda _: self.hook("before_pointer"), hook=self.hook)
             self.hook("after_pointer")
+            self.hook("before_complete")
             self.queue.mark_succeeded(r.request_id, run_id)
         except Exception as error:
             if self.store.current() and self.store.current().get("run_id") == run_id:

@@ -178,6 +178,84 @@ def test_queue(spark, tmp_path, result):
         q.requeue_failed(s.request_id, 1)
 
 
+def as_run(result, run_id):
+    from dataclasses import replace
+
+    own = {n: getattr(result, n).withColumn("run_id", F.lit(run_id)) for n in ("transactions", "payouts", "exceptions")}
+    return replace(result, **own)
+
+
+@pytest.mark.parametrize("point", recovery.FAILURE_POINTS)
+def test_every_failure_point(spark, tmp_path, result, point):
+    """Whatever breaks off, the request ends with one published result and is not run again after the pointer has moved."""
+    clock = Clock()
+    q, store, runs = recovery.Queue(FileSystem(spark, "file://" + str(tmp_path)), clock), MemoryStore(), []
+    r = q.enqueue("k", "NEW", clock.now)
+
+    def build(run_id, as_of):
+        runs.append(run_id)
+        return as_run(result, run_id)
+
+    stop = recovery.FailOnce(point)
+    worker = recovery.Worker(q, store, build, stop)
+    try:
+        worker.run_next()
+    except recovery.InjectedFailure:
+        clock.now += timedelta(seconds=31)
+        worker.run_next()
+    assert stop.fired and q.get(r.request_id).status == "SUCCEEDED" and store.current()["run_id"] == runs[-1]
+    late = point in ("after_pointer", "before_complete", "after_commit")
+    assert len(runs) == (1 if late or point == "after_claim" else 2) and worker.run_next() is None
+
+
+def test_claims_are_exclusive(spark, tmp_path):
+    clock = Clock()
+    files = FileSystem(spark, "file://" + str(tmp_path))
+    one, two = recovery.Queue(files, clock), recovery.Queue(files, clock)
+    a, b = one.enqueue("a", "NEW", clock.now), two.enqueue("b", "NEW", clock.now)
+    assert two.enqueue("a", "OTHER", clock.now).reason_code == "NEW" and len(one.requests()) == 2
+    first, second = one.claim_next("x", 60), two.claim_next("y", 60)
+    assert {first.request_id, second.request_id} == {a.request_id, b.request_id} and two.claim_next("z", 60) is None
+    clock.now += timedelta(seconds=61)
+    assert {two.claim_next("z", 60).request_id, one.claim_next("x", 60).request_id} == {a.request_id, b.request_id}
+    assert one.claim_next("x", 60) is None
+
+
+def test_rebuild_from_stored_evidence(spark, tmp_path):
+    """Deliveries to ledger to requests to published result; a late refund gives a second one; lost rows are noticed."""
+    from settleforge.plans import rebuild
+
+    box = tmp_path / "box"
+    box.mkdir()
+    day = date(2026, 3, 2)
+    for report, rows_ in BASE.items():
+        deliveries.publish_source_file(box / f"{report}.json", rows_, report, str(day))
+    deliveries.publish_source_file(box / "refunds.json", [], "refunds", str(day))
+    clock = Clock()
+    ledger = Ledger(spark, "file://" + str(tmp_path / "ledger"))
+    q, store = recovery.Queue(FileSystem(spark, "file://" + str(tmp_path / "control")), clock), Store(spark, "file://" + str(tmp_path / "out"))
+    findings, made = rebuild.ingest(ledger, q, deliveries.read_deliveries(spark, str(box)), clock.now)
+    assert {r["state"] for r in findings.collect()} == {"READY"} and len(made) == 6
+    assert rebuild.ingest(ledger, q, deliveries.read_deliveries(spark, str(box)), clock.now)[1] == []
+    days = spark.createDataFrame([(day,)], "business_date date")
+    build = lambda run_id, as_of: rebuild.rebuild(ledger, run_id, as_of, expected_days=days)
+    done = recovery.drain(recovery.Worker(q, store, build), max_requests=1)
+    assert done["failed"] == 0 and [r["state"] for r in store.read_current().transactions.collect()] == ["RECONCILED"]
+    before = rebuild.input_fingerprint(ledger, clock.now)
+    clock.now += timedelta(days=1)
+    from test_scenarios import refund
+
+    deliveries.publish_source_file(box / "late.json", [refund()], "refunds", "2026-03-03")
+    assert len(rebuild.ingest(ledger, q, deliveries.read_deliveries(spark, str(box)), clock.now)[1]) == 1
+    assert rebuild.input_fingerprint(ledger, clock.now) != before == rebuild.input_fingerprint(ledger, clock.now - timedelta(days=1))
+    late = rebuild.rebuild(ledger, "late", clock.now)
+    assert [str(r["successful_refund_total"]) for r in late.transactions.collect()] == ["30.00"]
+    spark.read.parquet(ledger.files.root + "/receipts/FEE").limit(0).write.mode("overwrite").parquet(ledger.files.root + "/receipts/FEE2")
+    ledger.files.delete("receipts/FEE")
+    with pytest.raises(rebuild.EvidenceLost, match="ROWS_NOT_CONSERVED"):
+        rebuild.rebuild(ledger, "lost", clock.now)
+
+
 def test_failure_after_the_pointer_is_not_repeated(spark, tmp_path):
     q, store = recovery.Queue(FileSystem(spark, "file://" + str(tmp_path)), Clock()), MemoryStore()
     r = q.enqueue("k", "NEW", q.clock())
