@@ -10,6 +10,7 @@ datasets can be written in SQL (``SQL``) for the oracle.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from .functions.money import contract_fee
 from .operators import canonical
 from .operators.reconcile import Inputs, expected_movements
-from .schemas import MONEY, PROVIDER
+from .schemas import FILE_SCHEMA_VERSION, MONEY, PROVIDER, REPORTS
 
 
 def _d(x: str | float) -> Column:
@@ -79,6 +80,30 @@ def inputs(spark: SparkSession, sf_dir: str, keep: Callable[[DataFrame], DataFra
     return i
 
 
+def deliveries(spark: SparkSession, sf_dir: str, keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """The datasets as daily deliveries, in the shape that the gate reads: data file and manifest of each report and day."""
+    i = inputs(spark, sf_dir, keep)
+    at, version, day = F.lit("2020-01-01T00:00:00Z").alias("effective_at_utc"), F.lit(1).alias("source_version"), lambda c: F.date_format(c, "yyyy-MM-dd")
+    money = lambda c: F.col(c).cast("string").alias(c)
+    rows = {
+        "orders": (i.orders, F.lit("2020-01-01"), ["order_id", F.lit("2020-01-01T00:00:00Z").alias("created_at_utc"), "status", "currency", money("order_total"), version]),
+        "payments": (i.payments, day("available_on"), ["payment_id", "order_id", "attempt_number", "payment_method", "status", money("amount"), "currency", at, F.when(F.col("status") == "CAPTURED", day("available_on")).alias("available_on"), "source_version"]),
+        "refunds": (i.refunds, day("available_on"), ["refund_id", "payment_id", "status", money("amount"), "currency", at, day("available_on").alias("available_on"), version]),
+        "fees": (i.fees, day("available_on"), ["fee_id", "payment_id", F.lit("PROCESSING").alias("fee_type"), money("amount"), "currency", at, day("available_on").alias("available_on"), version]),
+        "settlement_lines": (i.lines, F.replace("payout_id", F.lit("OUT-"), F.lit("")), ["settlement_line_id", "payout_id", "movement_type", "movement_id", money("signed_amount"), F.lit("EUR").alias("currency"), version]),
+        "payouts": (i.payouts, day("payout_date"), ["payout_id", day("payout_date").alias("payout_date"), "currency", money("reported_net_amount"), version]),
+    }
+    out = []
+    for report, (df, date, columns) in rows.items():
+        entity, system, _ = REPORTS[report]
+        one = df.select(date.alias("report_date"), F.to_json(F.struct(*columns)).alias("row")).groupBy("report_date").agg(F.array_sort(F.collect_list("row")).alias("rows"))
+        stem = F.concat(F.lit(f"{report}-"), F.col("report_date"))
+        one = one.select(stem.alias("stem"), "report_date", F.size("rows").alias("n"), F.encode(F.concat(F.lit("["), F.array_join("rows", ","), F.lit("]")), "utf-8").alias("data_bytes"))
+        said = {"filename": F.concat("stem", F.lit(".json")), "source_system": F.lit(system), "report_type": F.lit(report), "report_date": F.col("report_date"), "entity_type": F.lit(entity), "schema_version": F.lit(FILE_SCHEMA_VERSION), "row_count": F.col("n"), "checksum_sha256": F.sha2("data_bytes", 256)}
+        out.append(one.select("stem", "data_bytes", F.encode(F.to_json(F.struct(*[c.alias(k) for k, c in said.items()])), "utf-8").alias("manifest_bytes"), F.lit(False).alias("writing")))
+    return reduce(DataFrame.unionByName, out)
+
+
 #: The same datasets in SQL; names as in ``inputs``.
 SQL = """
 receipts0 AS (SELECT DISTINCT ON (receipt_id) * FROM (SELECT 'PAY-' || l_orderkey || '-' || l_linenumber AS payment_id, 'ORD-' || l_orderkey AS order_id, l_linenumber AS attempt_number,

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -10,8 +13,11 @@ from pyspark.sql import functions as F
 from . import fixtures
 from .functions import identity, money, times
 from .operators import canonical, completeness, impact, late, publication, reconcile
-from .plans.checkpoints import saved
-from .sources import ledger
+from .plans import rebuild
+from .plans.checkpoints import delete_at_end, saved, shared_dir
+from .plans.store import Store
+from .sources import deliveries
+from .sources import ledger as ledger_module
 from .sources.validate import validate
 from .streaming import clickstream
 
@@ -273,6 +279,42 @@ def quarantine_reasons(spark, sf_dir):
     return bad.groupBy(F.col("source_id").alias("id"), "reason_code").agg(F.count(F.lit(1)).alias("n"))
 
 
+#: Fields of each entity beside its id, currency and version; faults are planted by the part's residue modulo 6.
+_AT, _ON = "'1995-01-01T10:00:00Z'", "'1995-01-02'"
+_FIELDS = {
+    "ORDER": ("order_id", f"'created_at_utc', {_AT}, 'status', if(k = 4, 'LOST', 'PAID'), 'order_total', amount"),
+    "PAYMENT": ("payment_id", f"'order_id', 'o', 'attempt_number', 1, 'payment_method', if(k = 4, 'CASH', 'CARD'), 'status', 'CAPTURED', 'amount', amount, 'effective_at_utc', {_AT}, 'available_on', {_ON}"),
+    "REFUND": ("refund_id", f"'payment_id', 'p', 'status', if(k = 4, 'LOST', 'SUCCEEDED'), 'amount', amount, 'effective_at_utc', {_AT}, 'available_on', {_ON}"),
+    "FEE": ("fee_id", f"'payment_id', 'p', 'fee_type', if(k = 4, 'GIFT', 'PROCESSING'), 'amount', amount, 'effective_at_utc', {_AT}, 'available_on', {_ON}"),
+    "SETTLEMENT_LINE": ("settlement_line_id", "'payout_id', 'p', 'movement_type', if(k = 4, 'GIFT', 'CAPTURE'), 'movement_id', 'm', 'signed_amount', amount"),
+}
+_VERDICTS = ("UNSUPPORTED_CURRENCY", "INVALID_VALUE", "INVALID_AMOUNT", "MISSING_FIELD", "INVALID_VALUE", "VALID")
+
+
+def _parsed(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+    """Verdict on each line's record of an entity."""
+    key, fields = _FIELDS[entity]
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr("concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS id", "int(l_partkey % 6) AS k", "if(l_partkey % 6 = 2, '1.5', '1.50') AS amount").distinct()
+    row = F.expr(f"named_struct('{key}', id, {fields}, 'currency', CASE k WHEN 0 THEN 'USD' WHEN 3 THEN NULL ELSE 'EUR' END, 'source_version', if(k = 1, 0, 1))")
+    good, bad = validate(li.select(F.to_json(row).alias("payload")), entity)
+    return good.select("source_id", F.lit("VALID").alias("verdict")).unionByName(bad.select("source_id", F.col("reason_code").alias("verdict")))
+
+
+def _parser(entity: str) -> None:
+    """Register the query of one entity's parser."""
+
+    def run(spark, sf_dir):
+        return _parsed(spark, sf_dir, entity)
+
+    run.__name__ = f"parsed_{entity.lower()}s"
+    verdicts = " ".join(f"WHEN {k} THEN '{v}'" for k, v in enumerate(_VERDICTS))
+    query(f"SELECT DISTINCT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS source_id, CASE l_partkey % 6 {verdicts} END AS verdict FROM lineitem", base=None)(run)
+
+
+for _entity in _FIELDS:
+    _parser(_entity)
+
+
 @query("SELECT DISTINCT l_extendedprice::DECIMAL(18,2)::VARCHAR AS raw, l_extendedprice::DECIMAL(18,2) AS amount FROM lineitem", base=None)
 def parsed_money(spark, sf_dir):
     raw = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.col("l_extendedprice").cast("decimal(18,2)").cast("string").alias("raw")).distinct()
@@ -299,19 +341,28 @@ def report_deadlines(spark, sf_dir):
 
 def _evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Evidence of every report and day, with faults planted by day number."""
-    df = completeness.spine(spark, _days(spark, sf_dir)).withColumn("k", F.unix_date("business_date") % 11)
+    df = completeness.spine(spark, _days(spark, sf_dir)).withColumn("k", F.unix_date("business_date") % 18)
     at = F.col("business_date").cast("timestamp")
     k = F.col("k")
-    return df.select(
-        "report_type", "business_date", (k != 0).alias("has_data"), F.lit("b").alias("data_batch"), F.col("source_system").alias("data_source"), F.col("report_type").alias("data_report"),
-        F.when(k == 1, F.date_add("business_date", 1)).otherwise(F.col("business_date")).alias("data_date"), at.alias("data_received"), F.lit(5).cast("long").alias("data_rows"), F.lit("s").alias("data_sha256"),
-        ((k != 0) & (k != 2)).alias("has_manifest"), F.when(k == 3, "broken").alias("m_error"), F.when(k == 4, "c").otherwise("b").alias("m_batch"), F.col("source_system").alias("m_source"), F.col("report_type").alias("m_report"),
-        F.col("business_date").alias("m_date"), at.alias("m_received"), at.alias("m_generated"), F.when(k == 5, 6).otherwise(5).cast("long").alias("m_rows"), F.when(k == 6, "t").otherwise("s").alias("m_sha256"),
-    )
+    wrong = lambda n, right, other: F.when(k == n, other).otherwise(F.col(right))
+    data = {
+        "has_data": k != 0, "data_batch": F.lit("b"), "data_source": wrong(11, "source_system", "elsewhere"), "data_report": wrong(12, "report_type", "other"),
+        "data_date": wrong(1, "business_date", F.date_add("business_date", 1)), "data_received": at, "data_rows": F.lit(5).cast("long"), "data_sha256": F.lit("s"),
+    }
+    manifest = {
+        "has_manifest": (k != 0) & (k != 2), "m_error": F.when(k == 3, "broken"), "m_batch": F.when(k == 4, "c").otherwise("b"), "m_source": wrong(7, "source_system", "elsewhere"),
+        "m_report": wrong(8, "report_type", "other"), "m_date": wrong(9, "business_date", F.date_add("business_date", 1)), "m_received": at,
+        "m_generated": F.when(k == 10, at + F.expr("INTERVAL 1 SECOND")).otherwise(at), "m_rows": F.when(k == 5, 6).otherwise(5).cast("long"), "m_sha256": F.when(k == 6, "t").otherwise("s"),
+    }
+    return df.select("report_type", "business_date", *[c.alias(n) for n, c in (data | manifest).items()])
 
 
 _AS_OF = "1996-06-15 00:30:00"
-_CODES = "CASE epoch_days % 11 WHEN 0 THEN 'DATA_FILE_MISSING,MANIFEST_MISSING' WHEN 1 THEN 'DATA_BUSINESS_DATE_MISMATCH' WHEN 2 THEN 'MANIFEST_MISSING' WHEN 3 THEN 'MANIFEST_INVALID' WHEN 4 THEN 'BATCH_ID_MISMATCH' WHEN 5 THEN 'ROW_COUNT_MISMATCH' WHEN 6 THEN 'CHECKSUM_MISMATCH' ELSE '' END"
+_PLANTED = (
+    "DATA_FILE_MISSING,MANIFEST_MISSING", "DATA_BUSINESS_DATE_MISMATCH", "MANIFEST_MISSING", "MANIFEST_INVALID", "BATCH_ID_MISMATCH", "ROW_COUNT_MISMATCH", "CHECKSUM_MISMATCH",
+    "MANIFEST_SOURCE_MISMATCH", "MANIFEST_REPORT_TYPE_MISMATCH", "MANIFEST_BUSINESS_DATE_MISMATCH", "MANIFEST_GENERATED_AFTER_RECEIPT", "DATA_SOURCE_MISMATCH", "DATA_REPORT_TYPE_MISMATCH",
+)
+_CODES = "CASE epoch_days % 18 " + " ".join(f"WHEN {k} THEN '{c}'" for k, c in enumerate(_PLANTED)) + " ELSE '' END"
 _STATE = f"""SELECT source_system, report_type, business_date, codes AS issue_codes, CASE WHEN codes = '' THEN 'COMPLETE' WHEN TIMESTAMP '{_AS_OF}' < {_DUE} THEN 'PENDING' ELSE 'INCOMPLETE' END AS state
   FROM (SELECT *, CASE WHEN business_date::TIMESTAMP > TIMESTAMP '{_AS_OF}' THEN 'DATA_FILE_MISSING,MANIFEST_MISSING' ELSE {_CODES} END AS codes FROM (SELECT *, date_diff('day', DATE '1970-01-01', business_date) AS epoch_days FROM {_DAYS}), {_REPORTS})"""
 
@@ -378,9 +429,56 @@ def _result(spark: SparkSession, sf_dir: str) -> reconcile.Result:
     return reconcile.reconcile(_inputs(spark, sf_dir), "run-1", "2026-01-01 00:00:00", check=False)
 
 
-@query("SELECT section, entity_id, problem FROM (VALUES ('transactions', '', '')) v(section, entity_id, problem) WHERE false", base=None)
+@query(_OUT + "SELECT 'transactions' AS section, order_id AS entity_id, 'COLLECTION_VARIANCE' AS problem FROM ord WHERE order_id LIKE '%7' UNION ALL SELECT 'payouts', payout_id, 'KEY_NOT_UNIQUE' FROM pt WHERE day(payout_date) = 3 UNION ALL SELECT 'exceptions', payment_id, 'EXCEPTION_VARIANCE' FROM capfee WHERE n_fees = 0")
 def publication_violations(spark, sf_dir):
-    return publication.violations(_result(spark, sf_dir), "run-1")
+    """A sound result with three planted faults: wrong variances of orders and of exceptions, and payouts that come twice."""
+    r = _result(spark, sf_dir)
+    off = (F.col("collection_variance") + F.when(F.endswith("order_id", F.lit("7")), 1).otherwise(0)).cast("decimal(18,2)")
+    late = (F.col("variance") + F.when(F.col("exception_type") == "MISSING_FEE", 1).otherwise(0)).cast("decimal(18,2)")
+    bad = replace(r, transactions=r.transactions.withColumn("collection_variance", off), payouts=r.payouts.unionByName(r.payouts.where("day(payout_date) = 3")), exceptions=r.exceptions.withColumn("variance", late))
+    return publication.violations(bad, "run-1")
+
+
+#: State of one report under which rules are gated; the others are complete.
+_GATES = {"complete": ("orders", "COMPLETE"), "fees-pending": ("fees", "PENDING"), "payments-incomplete": ("payments", "INCOMPLETE")}
+
+
+@query(_TOT + _TCODES + """, late AS (SELECT order_id AS k, string_agg(DISTINCT c, ',' ORDER BY c) AS codes FROM tc WHERE c NOT IN ('MISSING_FEE', 'FEE_MISMATCH') GROUP BY 1)
+  SELECT 'complete' AS gate, order_id, CASE WHEN codes IS NULL THEN 'RECONCILED' ELSE 'EXCEPTION' END AS state, coalesce(codes, '') AS codes FROM ord LEFT JOIN tcodes ON k = order_id
+  UNION ALL SELECT 'fees-pending', order_id, 'PENDING', coalesce(codes, '') FROM ord LEFT JOIN late ON k = order_id UNION ALL SELECT 'payments-incomplete', order_id, 'INCOMPLETE', '' FROM ord""")
+def gated_transactions(spark, sf_dir):
+    """Orders under three states of the reports; rules that need an unfinished report do not run."""
+    i, out = _inputs(spark, sf_dir), []
+    for gate, (report, state) in _GATES.items():
+        day = spark.range(1).select(F.lit("1996-06-15").cast("date").alias("business_date"))
+        done = completeness.spine(spark, day).withColumn("state", F.when(F.col("report_type") == report, state).otherwise("COMPLETE"))
+        t = reconcile.transactions(replace(i, completeness=done))
+        out.append(t.select(F.lit(gate).alias("gate"), "order_id", "state", F.array_join("exception_codes", ",").alias("codes")))
+    return reduce(DataFrame.unionByName, out)
+
+
+@query("SELECT 'PAYMENT' AS entity_type, payment_id AS entity_id, 'CONFLICTING_SOURCE_VERSION' AS exception_type, string_agg(DISTINCT receipt_id, ',' ORDER BY receipt_id) AS supports FROM ev WHERE disposition = 'CONFLICTED' GROUP BY payment_id")
+def conflict_exceptions(spark, sf_dir):
+    out = reconcile.conflict_exceptions(canonical.conflicts(fixtures.payment_receipts(spark, sf_dir)))
+    return out.select("entity_type", "entity_id", "exception_type", F.array_join("supporting_source_record_ids", ",").alias("supports"))
+
+
+_EUR = ", refeur AS (SELECT * FROM ref WHERE currency = 'EUR')"
+
+
+@query((_EUR + _TOT + _TCODES).replace("FROM ref ", "FROM refeur AS ref ").replace("SELECT * FROM refeur AS ref WHERE", "SELECT * FROM ref WHERE") + """SELECT order_id, status AS order_status, captured_total, successful_refund_total, reported_fee_total, (captured_total - successful_refund_total - expected_fee_total)::DECIMAL(18,2) AS lifetime_net_collection,
+  CASE WHEN codes IS NULL THEN 'RECONCILED' ELSE 'EXCEPTION' END AS state, coalesce(codes, '') AS exception_codes FROM tot LEFT JOIN tcodes ON k = order_id""")
+def durable_rebuild(spark, sf_dir):
+    """Daily deliveries of all reports through gate, ledger, rebuild and publication; refunds in another currency are quarantined on the way."""
+    root = f"{shared_dir(spark)}/durable/{uuid.uuid4().hex}"
+    ledger = ledger_module.Ledger(spark, f"{root}/ledger")
+    found = deliveries.judged(deliveries.gate(fixtures.deliveries(spark, sf_dir, saved)))
+    ledger.ingest(found.where("fault IS NULL").drop("fault"), "2026-01-01 00:00:00")
+    delete_at_end(spark, root)
+    store = Store(spark, f"{root}/results")
+    store.publish(rebuild.rebuild(ledger, "run-1", "2026-01-02 00:00:00"), "run-1")
+    t = store.read_current().transactions
+    return t.select("order_id", "order_status", "captured_total", "successful_refund_total", "reported_fee_total", "lifetime_net_collection", "state", F.array_join("exception_codes", ",").alias("exception_codes"))
 
 
 @query()
@@ -438,7 +536,7 @@ def batch_dispositions(spark, sf_dir):
     rows = li.select(F.col("l_suppkey").alias("batch_id"), F.row_number().over(w).cast("long").alias("row_number"), F.when(F.col("l_partkey") % 50 == 0, "INVALID_AMOUNT").alias("reason_code"))
     b = F.col("batch_id") % 10
     declared = rows.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n")).select("batch_id", (F.col("n") + F.when(b == 0, 1).otherwise(0)).alias("declared_row_count"), F.when(b == 1, "CHECKSUM_MISMATCH").alias("batch_error"))
-    return ledger.batch_dispositions(rows, declared)
+    return ledger_module.batch_dispositions(rows, declared)
 
 
 # --- clickstream ---------------------------------------------------------------------------------
