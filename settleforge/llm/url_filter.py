@@ -8,9 +8,11 @@ the trusted seeds along links; distrust is one from the blocked seeds along
 reversed links, so that who links to blocked hosts is distrusted.  A host is
 blocked when its distrust exceeds its trust by ``RATIO``.
 
-Links are the hosts of absolute ``href`` and ``src`` addresses, host names that
-the page's text mentions, and the tie between a host and its parent domain where
-both have pages.  Page links are summed per host pair before anything is joined.
+Links are the hosts of absolute ``href`` and ``src`` addresses (quoted either way or
+not at all, in any case), host names of three labels or more that the page
+mentions outside addresses and attributes, and the tie between a host and its
+parent domain where both have pages.  User names and ports are no part of a node
+of the graph.  Page links are summed per host pair before anything is joined.
 Mass is a whole number of ``FINE`` parts a unit, so sums do not depend on their order
 and reruns agree.  It is multiplied by a link's weight before it is divided by all
 the weight of the host, so a link of a hub loses less than a part, not its share.
@@ -32,16 +34,22 @@ RULES = (
     ("block", "net/fr/"),
 )
 ROUNDS = 12
-#: Total mass of each walk, the part of it that follows links (per cent), and the parts into which the SQL divides a host's links.
-MASS, FOLLOW, PARTS = 10**12, 85, 10**6
+#: Total mass of each walk, and the part of it that follows links (per cent).
+MASS, FOLLOW = 10**12, 85
 #: Parts of a unit of mass; mass in parts times a weight of up to 10^13 fits into 38 digits.
 FINE = 10**12
 RATIO = 2
 #: Rounds between two cuts of the lineage.
 CUT_EVERY = 6
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-_LINK = r"""(?:href|src|HREF|SRC)="?(?:https?:|HTTPS?:)?//([^/?#"'\s<>]+)"""
-_NAME = r"(?:[A-Za-z0-9-]+\.){2,}[A-Za-z]{2,}"
+#: One pass over a page finds address attributes with their values, other addresses, and names.
+_ATTRIBUTE = r"""(?:href|src)\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+)"""
+_FOUND = rf"""(?<![^\s"'/])(?i:{_ATTRIBUTE})|//[^\s"'<>]*|(?<![A-Za-z0-9-])(?:[A-Za-z0-9-]++\.){{2,}}[A-Za-z]{{2,}}"""
+#: The host that an address attribute leads to.
+_LEADS = r"""(?i)^\w+\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s<>]+)"""
+# Last parts of file names, which are no host names.
+_FILES = ("css", "gif", "gz", "htm", "html", "ico", "jpeg", "jpg", "js", "json", "md", "pdf", "php", "png", "svg", "txt", "webp", "xml", "zip")
+_NODE = r"([^@:]*)(:\d*)?$"
 
 
 def _low(c: Column) -> Column:
@@ -68,11 +76,18 @@ def rule_of(host: Column, path: Column, rules: tuple = RULES) -> Column:
     return out
 
 
+def node_of(host: Column) -> Column:
+    """The host's node in the graph: without user name and port, A-Z lower-cased."""
+    return _low(F.regexp_extract(host, _NODE, 1))
+
+
 def host_links(pages: DataFrame) -> DataFrame:
-    """(src, dst, n) from (host, html): links between different hosts, summed."""
-    linked = F.concat(F.regexp_extract_all("html", F.lit(_LINK), F.lit(1)), F.regexp_extract_all("html", F.lit(_NAME), F.lit(0)))
-    one = pages.where("host <> ''").select(F.col("host").alias("src"), F.explode(linked).alias("x"))
-    one = one.select("src", _low(F.regexp_extract("x", r"([^@:]*)(:\d*)?$", 1)).alias("dst")).where("src <> dst AND dst <> ''")
+    """(src, dst, n) from (node, html): links between different hosts, summed."""
+    found = F.regexp_extract_all("html", F.lit(_FOUND), F.lit(0))
+    one = pages.where("node <> ''").select(F.col("node").alias("src"), F.explode(found).alias("x")).where(~F.startswith("x", F.lit("//")))
+    name = F.when(~F.lower(F.substring_index("x", ".", -1)).isin(*_FILES), F.col("x"))
+    one = one.withColumn("x", F.when(F.contains("x", F.lit("=")), F.regexp_extract("x", _LEADS, 1)).otherwise(name))
+    one = one.select("src", node_of(F.col("x")).alias("dst")).where("src <> dst AND dst <> ''")
     return one.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -122,48 +137,55 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     scratch = Scratch(spark)
     host, path = host_and_path(F.col(url_col).cast("string"))
     src = pages.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path"), F.col(html_col).cast("string").alias("html"))
-    judged = src.withColumn("r", rule_of(F.col("host"), F.col("path"), rules))
-    hosts = judged.where("host <> ''").groupBy("host").agg(F.count(F.lit(1)).alias("pages"), F.count_if(F.col("r.verdict") == "allow").alias("allowed"), F.count_if(F.col("r.verdict") == "block").alias("blocked"))
+    judged = src.withColumn("r", rule_of(F.col("host"), F.col("path"), rules)).withColumn("node", node_of(F.col("host")))
+    hosts = judged.where("node <> ''").groupBy(F.col("node").alias("host")).agg(F.count(F.lit(1)).alias("pages"), F.count_if(F.col("r.verdict") == "allow").alias("allowed"), F.count_if(F.col("r.verdict") == "block").alias("blocked"))
     hosts = scratch.write(hosts, "hosts")
     trusted = hosts.where("allowed > 0 AND 2 * blocked <= pages").select(F.lit(0).alias("walk"), "host", F.col("allowed").alias("n"))
     distrusted = hosts.where("2 * blocked > pages").select(F.lit(1).alias("walk"), "host", F.col("blocked").alias("n"))
     parent = hosts.select(F.col("host").alias("a"), F.regexp_extract("host", r"^[^.]*\.(.*)$", 1).alias("b")).join(hosts.select(F.col("host").alias("b")), "b", "left_semi")
     ties = parent.select(F.col("a").alias("src"), F.col("b").alias("dst"), F.lit(1).cast("long").alias("n")).unionByName(parent.select(F.col("b").alias("src"), F.col("a").alias("dst"), F.lit(1).cast("long").alias("n")))
-    links = scratch.write(host_links(src).unionByName(ties).groupBy("src", "dst").agg(F.sum("n").alias("n")), "links")
+    links = scratch.write(host_links(judged).unionByName(ties).groupBy("src", "dst").agg(F.sum("n").alias("n")), "links")
     both = links.select(F.lit(0).alias("walk"), "src", "dst", "n").unionByName(links.select(F.lit(1).alias("walk"), F.col("dst").alias("src"), F.col("src").alias("dst"), "n"))
     mass = propagate(both, trusted.unionByName(distrusted), rounds)
     mass = mass.groupBy("host").agg(*[F.sum(F.when(F.col("walk") == k, F.col("mass")).otherwise(F.lit(0).cast(_WHOLE))).cast(_WHOLE).alias(c) for k, c in enumerate(("trust", "distrust"))])
     known = scratch.write(hosts.select("host").join(mass, "host").select(F.col("host").alias("h"), *[_share(F.col(c), F.lit(1), F.lit(FINE)).cast("long").alias(c) for c in ("trust", "distrust")], (F.col("distrust") > F.col("trust") * ratio).alias("bad")), "trust")
-    out = judged.drop("html").join(known, judged["host"] == known["h"], "left").withColumns({"trust": F.coalesce("trust", F.lit(0)), "distrust": F.coalesce("distrust", F.lit(0))})
+    out = judged.drop("html").join(known, judged["node"] == known["h"], "left").withColumns({"trust": F.coalesce("trust", F.lit(0)), "distrust": F.coalesce("distrust", F.lit(0))})
     method = F.when(F.col("bad"), "block").otherwise("allow")
     return out.select(F.col("id").alias(id_col), "host", "path", F.col("r.rule").alias("rule"), F.coalesce("r.verdict", method).alias("verdict"), "trust", "distrust")
 
 
 def oracle(table: str = "pages") -> str:
-    """The same walks in SQL, one table expression a round."""
+    """The same walks in SQL, one table expression a round; each quoting of an address has a pattern of its own."""
     cases = "".join(f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '/{p}') THEN {{'rule': '{r}', 'verdict': '{v}'}} " for v, r in sorted(RULES, key=lambda x: (-len(x[1]), x[1])) for h, _, p in [r.partition("/")])
     low = lambda x: f"translate({x}, '{_UPPER}', '{_UPPER.lower()}')"
+    node = lambda x: low(rf"regexp_extract({x}, '([^@:]*)(:\d*)?$', 1)")
     rounds = []
     for k in range(ROUNDS):
         prev = "start" if k == 0 else f"m{k - 1}"
-        rounds.append(f"""m{k} AS MATERIALIZED (SELECT walk, host, sum(mass)::BIGINT AS mass FROM (
-  SELECT p.walk, p.dst AS host, ((m.mass * p.part) // {PARTS}) * {FOLLOW} // 100 AS mass FROM {prev} m JOIN parts p ON m.walk = p.walk AND m.host = p.src
+        rounds.append(f"""m{k} AS MATERIALIZED (SELECT walk, host, sum(mass)::HUGEINT AS mass FROM (
+  SELECT p.walk, p.dst AS host, ((m.mass * {FOLLOW} // 100) * p.n) // p.total AS mass FROM {prev} m JOIN parts p ON m.walk = p.walk AND m.host = p.src
   UNION ALL SELECT walk, host, mass * {100 - FOLLOW} // 100 FROM start) GROUP BY walk, host)""")
-    link, name = _LINK.replace("'", "''"), _NAME
+    scheme, host = r"\s*(?:[Hh][Tt][Tt][Pp][Ss]?:)?//", r"""([^/?#"''\s<>]+)"""
+    attribute = r"""(?:^|[\s"''/])(?:[Hh][Rr][Ee][Ff]|[Ss][Rr][Cc])\s*=\s*"""
+    found = ", ".join(f"regexp_extract_all(html, '{attribute}{quote}{scheme}{host}', 1)" for quote in ('"', "''", ""))
+    address = rf"""(?:^|[\s"''/])(?i:{_ATTRIBUTE})|//[^\s"''<>]*""".replace("'[^']*'", "''[^'']*''").replace("""[^\\s"'>]+""", """[^\\s"''>]+""")
+    name = r"(?:[A-Za-z0-9-]+\.){2,}[A-Za-z]{2,}"
     return rf"""
 WITH u AS (SELECT page_id, html, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) END AS rest FROM {table}),
 s AS (SELECT page_id, html, coalesce({low("regexp_extract(rest, '^([^/?#]*)', 1)")}, '') AS host, coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM u),
-j AS MATERIALIZED (SELECT *, CASE {cases}END AS r FROM s),
-hosts AS MATERIALIZED (SELECT host, count(*) AS pages, count(*) FILTER (r.verdict = 'allow') AS allowed, count(*) FILTER (r.verdict = 'block') AS blocked FROM j WHERE host <> '' GROUP BY host),
+j AS MATERIALIZED (SELECT *, {node('host')} AS node, CASE {cases}END AS r FROM s),
+hosts AS MATERIALIZED (SELECT node AS host, count(*) AS pages, count(*) FILTER (r.verdict = 'allow') AS allowed, count(*) FILTER (r.verdict = 'block') AS blocked FROM j WHERE node <> '' GROUP BY node),
 seeds AS (SELECT 0 AS walk, host, allowed AS n FROM hosts WHERE allowed > 0 AND 2 * blocked <= pages UNION ALL SELECT 1, host, blocked FROM hosts WHERE 2 * blocked > pages),
 parent AS (SELECT a.host AS a, b.host AS b FROM hosts a JOIN hosts b ON b.host = regexp_extract(a.host, '^[^.]*\.(.*)$', 1)),
-x AS (SELECT host AS src, unnest(list_concat(regexp_extract_all(html, '{link}', 1), regexp_extract_all(html, '{name}'))) AS x FROM j WHERE host <> ''),
-y AS (SELECT src, {low(r"regexp_extract(x, '([^@:]*)(:\d*)?$', 1)")} AS dst FROM x),
+x AS (SELECT node AS src, unnest(list_concat({found})) AS x FROM j WHERE node <> ''
+  UNION ALL SELECT src, x FROM (SELECT node AS src, unnest(regexp_extract_all(regexp_replace(html, '{address}', ' ', 'g'), '{name}')) AS x FROM j WHERE node <> '') WHERE lower(string_split(x, '.')[-1]) NOT IN {_FILES}),
+y AS (SELECT src, {node('x')} AS dst FROM x),
 links AS MATERIALIZED (SELECT src, dst, count(*) AS n FROM (SELECT src, dst FROM y WHERE src <> dst AND dst <> '' UNION ALL SELECT a, b FROM parent UNION ALL SELECT b, a FROM parent) GROUP BY src, dst),
 edges AS (SELECT 0 AS walk, src, dst, n FROM links UNION ALL SELECT 1, dst, src, n FROM links),
-parts AS MATERIALIZED (SELECT walk, src, dst, (n * {PARTS} // sum(n) OVER (PARTITION BY walk, src))::BIGINT AS part FROM edges),
-start AS MATERIALIZED (SELECT walk, host, (({MASS} // sum(n) OVER (PARTITION BY walk)) * n)::BIGINT AS mass FROM seeds),
+parts AS MATERIALIZED (SELECT walk, src, dst, n::HUGEINT AS n, (sum(n) OVER (PARTITION BY walk, src))::HUGEINT AS total FROM edges),
+start AS MATERIALIZED (SELECT walk, host, ({MASS * FINE}::HUGEINT * n) // (sum(n) OVER (PARTITION BY walk))::HUGEINT AS mass FROM seeds),
 {", ".join(rounds)},
-known AS (SELECT host, sum(CASE WHEN walk = 0 THEN mass ELSE 0 END)::BIGINT AS trust, sum(CASE WHEN walk = 1 THEN mass ELSE 0 END)::BIGINT AS distrust FROM m{ROUNDS - 1} GROUP BY host)
-SELECT page_id, j.host, path, r.rule AS rule, coalesce(r.verdict, CASE WHEN coalesce(distrust, 0) > {RATIO} * coalesce(trust, 0) THEN 'block' ELSE 'allow' END) AS verdict,
-       coalesce(trust, 0) AS trust, coalesce(distrust, 0) AS distrust FROM j LEFT JOIN known ON j.host = known.host"""
+known AS (SELECT host, sum(CASE WHEN walk = 0 THEN mass ELSE 0 END)::HUGEINT AS trust, sum(CASE WHEN walk = 1 THEN mass ELSE 0 END)::HUGEINT AS distrust FROM m{ROUNDS - 1} GROUP BY host)
+SELECT page_id, j.host, path, r.rule AS rule, coalesce(r.verdict, CASE WHEN h.host IS NOT NULL AND coalesce(distrust, 0) > {RATIO} * coalesce(trust, 0) THEN 'block' ELSE 'allow' END) AS verdict,
+       CASE WHEN h.host IS NULL THEN 0 ELSE coalesce(trust, 0) // {FINE} END::BIGINT AS trust, CASE WHEN h.host IS NULL THEN 0 ELSE coalesce(distrust, 0) // {FINE} END::BIGINT AS distrust
+FROM j LEFT JOIN hosts h ON h.host = j.node LEFT JOIN known ON j.node = known.host"""
