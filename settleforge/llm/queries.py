@@ -84,6 +84,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import license_scan, line_dedup, mixing, url_filter
-
-    return {"op3_line_dedup": line_dedup.oracle(), "op4_url_filter": url_filter.oracle(), "op5_license_scan": license_scan.oracle(), "op6_source_mixing": mixing.oracle()}
+    from . import license_scan, line_dedup, mixing, near_dedup, quality, substring_dedup, url_filter
+
+    return {
+        "op1_substring_dedup": substring_dedup.oracle(),
+        "op2_near_dedup": near_dedup.oracle(),
+        "op3_line_dedup": line_dedup.oracle(),
+        "op4_url_filter": url_filter.oracle(),
+        "op5_license_scan": license_scan.oracle(),
+        "op6_source_mixing": mixing.oracle(),
+        "op7_quality_rules": quality.oracle(),
+    }
