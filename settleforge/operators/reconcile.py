@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.money import contract_fee, total, variance
 from ..plans.checkpoints import saved
-from ..schemas import CONTRACT_VERSION, MONEY, PAYOUT_REPORTS, PROVIDER, REPORTS, SHOP, TRANSACTION_REPORTS
+from ..schemas import CONTRACT_VERSION, MONEY, PAYOUT_REPORTS, PROVIDER, REPORTS, RULE_OF, SHOP, TRANSACTION_REPORTS
 from .completeness import completeness_exceptions
 
 
@@ -69,12 +69,12 @@ def ref(entity: str, id_col: str) -> Column:
     return F.concat(F.lit(f"{system}:{entity}:"), F.col(id_col))
 
 
-def exception(df: DataFrame, rule: str, code: str, entity_type: str | Column, entity_id: Column, expected=None, actual=None, supports: Column | None = None, order: Column | None = None, payout: Column | None = None, rank: Column | None = None) -> DataFrame:
+def exception(df: DataFrame, code: str, entity_type: str | Column, entity_id: Column, expected=None, actual=None, supports: Column | None = None, order: Column | None = None, payout: Column | None = None, rank: Column | None = None) -> DataFrame:
     """A rule's rows in the common shape; ``order`` and ``payout`` say which result carries the code."""
     money = lambda x: F.lit(None).cast(MONEY) if x is None else (x if isinstance(x, Column) else F.lit(x)).cast(MONEY)
     text = lambda x: F.lit(None).cast("string") if x is None else x
     return df.select(
-        F.lit(rule).alias("rule_id"),
+        F.lit(RULE_OF[code]).alias("rule_id"),
         F.lit(code).alias("exception_type"),
         (entity_type if isinstance(entity_type, Column) else F.lit(entity_type)).alias("entity_type"),
         entity_id.alias("entity_id"),
@@ -102,26 +102,26 @@ def succeeded(refunds: DataFrame) -> DataFrame:
 def orphan_payments(i: Inputs) -> DataFrame:
     """Captures whose order is unknown."""
     df = i.shared(capture_facts).where("order_status IS NULL")
-    return exception(df, "payment.order_exists", "ORPHAN_PAYMENT", "PAYMENT", F.col("payment_id"), None, F.col("amount"), F.array(ref("PAYMENT", "payment_id")))
+    return exception(df, "ORPHAN_PAYMENT", "PAYMENT", F.col("payment_id"), None, F.col("amount"), F.array(ref("PAYMENT", "payment_id")))
 
 
 def captures_on_cancelled(i: Inputs) -> DataFrame:
     """Captures of cancelled orders; of several on one order the largest payment id stands for all."""
     df = i.shared(capture_facts).where("order_status = 'CANCELLED'")
-    return exception(df, "payment.order_is_payable", "CAPTURE_FOR_NON_PAYABLE_ORDER", "ORDER", F.col("order_id"), "0.00", F.col("amount"), F.array(ref("ORDER", "order_id"), ref("PAYMENT", "payment_id")), order=F.col("order_id"), rank=F.col("payment_id"))
+    return exception(df, "CAPTURE_FOR_NON_PAYABLE_ORDER", "ORDER", F.col("order_id"), "0.00", F.col("amount"), F.array(ref("ORDER", "order_id"), ref("PAYMENT", "payment_id")), order=F.col("order_id"), rank=F.col("payment_id"))
 
 
 def orphan_refunds(i: Inputs) -> DataFrame:
     """Succeeded refunds of no captured payment."""
     df = succeeded(i.refunds).join(captured(i.payments).select("payment_id"), "payment_id", "left_anti")
-    return exception(df, "refund.captured_payment_exists", "ORPHAN_REFUND", "REFUND", F.col("refund_id"), None, F.col("amount"), F.array(ref("REFUND", "refund_id")))
+    return exception(df, "ORPHAN_REFUND", "REFUND", F.col("refund_id"), None, F.col("amount"), F.array(ref("REFUND", "refund_id")))
 
 
 def refund_currency(i: Inputs) -> DataFrame:
     """Refunds in another currency than their payment."""
     p = captured(i.payments).select("payment_id", "order_id", F.col("currency").alias("_c"))
     df = succeeded(i.refunds).join(p, "payment_id").where("currency <> _c")
-    return exception(df, "refund.currency_matches_payment", "REFUND_CURRENCY_MISMATCH", "REFUND", F.col("refund_id"), supports=F.array(ref("PAYMENT", "payment_id"), ref("REFUND", "refund_id")), order=F.col("order_id"))
+    return exception(df, "REFUND_CURRENCY_MISMATCH", "REFUND", F.col("refund_id"), supports=F.array(ref("PAYMENT", "payment_id"), ref("REFUND", "refund_id")), order=F.col("order_id"))
 
 
 def refund_totals(i: Inputs) -> DataFrame:
@@ -132,7 +132,7 @@ def refund_totals(i: Inputs) -> DataFrame:
 def excess_refunds(i: Inputs) -> DataFrame:
     """Payments refunded beyond their amount."""
     df = i.shared(capture_facts).where("refund_total > amount")
-    return exception(df, "refund.total_within_capture", "EXCESS_REFUND", "PAYMENT", F.col("payment_id"), F.col("amount"), F.col("refund_total"), F.concat(F.array(ref("PAYMENT", "payment_id")), F.col("refund_refs")), order=F.col("order_id"))
+    return exception(df, "EXCESS_REFUND", "PAYMENT", F.col("payment_id"), F.col("amount"), F.col("refund_total"), F.concat(F.array(ref("PAYMENT", "payment_id")), F.col("refund_refs")), order=F.col("order_id"))
 
 
 def payment_fees(i: Inputs) -> DataFrame:
@@ -162,17 +162,17 @@ def _fee_refs() -> Column:
 
 def missing_fees(i: Inputs) -> DataFrame:
     df = _fees(i).where("fee_count = 0")
-    return exception(df, "fee.processing_fee_exists", "MISSING_FEE", "PAYMENT", F.col("payment_id"), F.col("expected_fee"), "0.00", F.array(ref("PAYMENT", "payment_id")), order=F.col("order_id"))
+    return exception(df, "MISSING_FEE", "PAYMENT", F.col("payment_id"), F.col("expected_fee"), "0.00", F.array(ref("PAYMENT", "payment_id")), order=F.col("order_id"))
 
 
 def fee_mismatches(i: Inputs) -> DataFrame:
     df = _fees(i).where("fee_count > 0 AND fee_total <> expected_fee")
-    return exception(df, "fee.amount_matches_schedule", "FEE_MISMATCH", "PAYMENT", F.col("payment_id"), F.col("expected_fee"), F.col("fee_total"), F.concat(F.array(ref("PAYMENT", "payment_id")), _fee_refs()), order=F.col("order_id"))
+    return exception(df, "FEE_MISMATCH", "PAYMENT", F.col("payment_id"), F.col("expected_fee"), F.col("fee_total"), F.concat(F.array(ref("PAYMENT", "payment_id")), _fee_refs()), order=F.col("order_id"))
 
 
 def unexpected_fees(i: Inputs) -> DataFrame:
     df = i.fees.join(captured(i.payments).select("payment_id"), "payment_id", "left_anti")
-    return exception(df, "fee.belongs_to_capture", "UNEXPECTED_FEE", "FEE", F.col("fee_id"), "0.00", F.col("amount"), F.array(ref("FEE", "fee_id")))
+    return exception(df, "UNEXPECTED_FEE", "FEE", F.col("fee_id"), "0.00", F.col("amount"), F.array(ref("FEE", "fee_id")))
 
 
 # --- orders --------------------------------------------------------------------------------------
@@ -193,17 +193,17 @@ def _order_supports() -> Column:
 
 def missing_payments(i: Inputs) -> DataFrame:
     df = i.shared(order_totals).where("status = 'PAID' AND captured_payment_count = 0")
-    return exception(df, "order.payment_exists", "MISSING_PAYMENT", "ORDER", F.col("order_id"), F.col("order_total"), "0.00", F.array(ref("ORDER", "order_id")), order=F.col("order_id"))
+    return exception(df, "MISSING_PAYMENT", "ORDER", F.col("order_id"), F.col("order_total"), "0.00", F.array(ref("ORDER", "order_id")), order=F.col("order_id"))
 
 
 def payment_mismatches(i: Inputs) -> DataFrame:
     df = i.shared(order_totals).where("status = 'PAID' AND captured_payment_count > 0 AND captured_total <> order_total")
-    return exception(df, "order.collection_matches_total", "PAYMENT_AMOUNT_MISMATCH", "ORDER", F.col("order_id"), F.col("order_total"), F.col("captured_total"), _order_supports(), order=F.col("order_id"))
+    return exception(df, "PAYMENT_AMOUNT_MISMATCH", "ORDER", F.col("order_id"), F.col("order_total"), F.col("captured_total"), _order_supports(), order=F.col("order_id"))
 
 
 def multiple_captures(i: Inputs) -> DataFrame:
     df = i.shared(order_totals).where("status = 'PAID' AND captured_payment_count > 1")
-    return exception(df, "order.maximum_one_capture", "MULTIPLE_CAPTURE", "ORDER", F.col("order_id"), "1.00", F.col("captured_payment_count"), _order_supports(), order=F.col("order_id"))
+    return exception(df, "MULTIPLE_CAPTURE", "ORDER", F.col("order_id"), "1.00", F.col("captured_payment_count"), _order_supports(), order=F.col("order_id"))
 
 
 # --- movements and payouts -----------------------------------------------------------------------
@@ -228,7 +228,7 @@ def duplicate_settlement(i: Inputs) -> DataFrame:
     key = ["movement_type", "movement_id"]
     many = i.lines.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.collect_set(ref("SETTLEMENT_LINE", "settlement_line_id")).alias("refs"), F.collect_set("payout_id").alias("payout_ids")).where("n > 1")
     df = many.withColumn("payout_id", F.explode("payout_ids"))
-    return exception(df, "settlement.unique_movement_allocation", "DUPLICATE_SETTLEMENT_MOVEMENT", "SETTLEMENT_MOVEMENT", F.concat_ws(":", *key), None, F.col("n"), F.col("refs"), payout=F.col("payout_id"))
+    return exception(df, "DUPLICATE_SETTLEMENT_MOVEMENT", "SETTLEMENT_MOVEMENT", F.concat_ws(":", *key), None, F.col("n"), F.col("refs"), payout=F.col("payout_id"))
 
 
 def settled_movements(i: Inputs) -> DataFrame:
@@ -240,7 +240,7 @@ def settled_movements(i: Inputs) -> DataFrame:
 
 def missing_settlement_lines(i: Inputs) -> DataFrame:
     df = i.shared(settled_movements).where("n_lines = 0")
-    return exception(df, "settlement.expected_movement_exists", "MISSING_SETTLEMENT_LINE", "EXPECTED_MOVEMENT", F.concat_ws(":", "movement_type", "movement_id"), F.col("signed_amount"), "0.00", F.col("supporting_source_record_ids"), payout=F.col("payout_id"))
+    return exception(df, "MISSING_SETTLEMENT_LINE", "EXPECTED_MOVEMENT", F.concat_ws(":", "movement_type", "movement_id"), F.col("signed_amount"), "0.00", F.col("supporting_source_record_ids"), payout=F.col("payout_id"))
 
 
 def line_amount_mismatches(i: Inputs) -> DataFrame:
@@ -248,7 +248,7 @@ def line_amount_mismatches(i: Inputs) -> DataFrame:
     f = i.fees.select(F.col("fee_id").alias("movement_id"), F.lit("FEE").alias("movement_type"), F.col("amount").alias("fee_amount"))
     df = i.shared(settled_movements).where("n_lines = 1").join(f, ["movement_type", "movement_id"], "left")
     df = df.withColumn("expected", F.coalesce(-F.col("fee_amount"), F.col("signed_amount")).cast(MONEY)).where("line_amount <> expected")
-    return exception(df, "settlement.amount_matches_reported_source_movement", "SETTLEMENT_LINE_AMOUNT_MISMATCH", "SETTLEMENT_LINE", F.col("line_id"), F.col("expected"), F.col("line_amount"), F.concat(F.col("supporting_source_record_ids"), F.array(ref("SETTLEMENT_LINE", "line_id"))), payout=F.col("payout_id"))
+    return exception(df, "SETTLEMENT_LINE_AMOUNT_MISMATCH", "SETTLEMENT_LINE", F.col("line_id"), F.col("expected"), F.col("line_amount"), F.concat(F.col("supporting_source_record_ids"), F.array(ref("SETTLEMENT_LINE", "line_id"))), payout=F.col("payout_id"))
 
 
 def payout_totals(i: Inputs) -> DataFrame:
@@ -263,13 +263,13 @@ def payout_totals(i: Inputs) -> DataFrame:
 
 def payout_total_mismatches(i: Inputs) -> DataFrame:
     df = i.shared(payout_totals).where("provider_report_variance <> 0")
-    return exception(df, "payout.header_matches_settlement_lines", "PAYOUT_TOTAL_MISMATCH", "PAYOUT", F.col("payout_id"), F.col("reported_line_total"), F.col("reported_net_amount"), F.concat(F.array(ref("PAYOUT", "payout_id")), F.col("line_refs")), payout=F.col("payout_id"))
+    return exception(df, "PAYOUT_TOTAL_MISMATCH", "PAYOUT", F.col("payout_id"), F.col("reported_line_total"), F.col("reported_net_amount"), F.concat(F.array(ref("PAYOUT", "payout_id")), F.col("line_refs")), payout=F.col("payout_id"))
 
 
 def conflict_exceptions(conflicts: DataFrame) -> DataFrame:
     """Entities in conflict; the exception's entity type is the conflict's own."""
     c = conflicts.withColumn("_type", F.col("entity_type"))
-    return exception(c, "canonicalization.same_version_conflict", "CONFLICTING_SOURCE_VERSION", F.col("_type"), F.col("source_id"), supports=F.col("receipt_ids"))
+    return exception(c, "CONFLICTING_SOURCE_VERSION", F.col("_type"), F.col("source_id"), supports=F.col("receipt_ids"))
 
 
 def batch_conflicts(batches: DataFrame) -> DataFrame:

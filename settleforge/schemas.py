@@ -43,10 +43,33 @@ MOVEMENT_TYPE = ("CAPTURE", "REFUND", "FEE")
 STATES = ("PENDING", "INCOMPLETE", "RECONCILED", "EXCEPTION")
 DISPOSITIONS = ("ACCEPTED", "STALE", "DUPLICATE", "CONFLICTED", "QUARANTINED")
 
+# Exception type -> the rule that finds it.
+RULE_OF = {
+    "ORPHAN_PAYMENT": "payment.order_exists",
+    "CAPTURE_FOR_NON_PAYABLE_ORDER": "payment.order_is_payable",
+    "ORPHAN_REFUND": "refund.captured_payment_exists",
+    "REFUND_CURRENCY_MISMATCH": "refund.currency_matches_payment",
+    "EXCESS_REFUND": "refund.total_within_capture",
+    "MISSING_FEE": "fee.processing_fee_exists",
+    "FEE_MISMATCH": "fee.amount_matches_schedule",
+    "UNEXPECTED_FEE": "fee.belongs_to_capture",
+    "MISSING_PAYMENT": "order.payment_exists",
+    "PAYMENT_AMOUNT_MISMATCH": "order.collection_matches_total",
+    "MULTIPLE_CAPTURE": "order.maximum_one_capture",
+    "DUPLICATE_SETTLEMENT_MOVEMENT": "settlement.unique_movement_allocation",
+    "MISSING_SETTLEMENT_LINE": "settlement.expected_movement_exists",
+    "SETTLEMENT_LINE_AMOUNT_MISMATCH": "settlement.amount_matches_reported_source_movement",
+    "PAYOUT_TOTAL_MISMATCH": "payout.header_matches_settlement_lines",
+    "CONFLICTING_SOURCE_VERSION": "canonicalization.same_version_conflict",
+}
+
+# The keys of a report's manifest in its contract form.
+MANIFEST_KEYS = "batch_id:text source_system:enum report_type:enum business_date:date schema_version:version generated_at_utc:ts row_count:count sha256:sha256"
+
 
 @dataclass(frozen=True)
 class Field:
-    """A payload field: text, int, ts, date, money (> 0), money0 (>= 0), signed, currency or enum."""
+    """A payload field: text, int, count (>= 0), version, sha256, ts, date, money (> 0), money0 (>= 0), signed, currency or enum."""
 
     name: str
     kind: str
@@ -93,3 +116,7 @@ _TYPES = {"text": T.StringType(), "int": T.LongType(), "ts": T.TimestampType(),
 def record_type(entity: str) -> T.StructType:
     """The validated record of an entity; ``attempt_number`` is an int, other whole numbers are long."""
     return T.StructType([T.StructField(f.name, T.IntegerType() if f.name == "attempt_number" else _TYPES[f.kind]) for f in ENTITIES[entity].fields])
+
+
+#: The contract form of a manifest; its version and checksum are looked at first.
+MANIFEST = Entity("MANIFEST", "batch_id", _f(MANIFEST_KEYS, source_system=(PROVIDER, SHOP), report_type=tuple(REPORTS)), ("schema_version", "sha256"))

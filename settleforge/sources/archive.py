@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 import shutil
@@ -67,3 +68,45 @@ def restore(root: Path, report_type: str, report_date: date, checksum: str, to:
     if checksum_of(to) != checksum:
         raise ArchiveError(f"archived file {source} is damaged")
     return to
+
+
+class ArchiveLog:
+    """What became of each delivery's file: PENDING, ARCHIVED or FAILED; anything but ARCHIVED is tried again.
+
+    States are small JSON files in the control folder ``files`` (see
+    ``plans.store.FileSystem``); evidence in the ledger does not depend on them.
+    """
+
+    def __init__(self, files, root: Path, max_attempts: int = 5):
+        self.files, self.root, self.max_attempts = files, Path(root), max_attempts
+
+    def request(self, key: str, source: Path, report_type: str, report_date: date, checksum: str) -> dict:
+        """Ask for a file to be archived; asking again changes nothing."""
+        relative_path(report_type, report_date, checksum)
+        state = {"key": key, "source": str(source), "report_type": report_type, "report_date": report_date.isoformat(), "checksum": checksum, "status": "PENDING", "attempts": 0}
+        self.files.create(f"archive/{key}.json", json.dumps(state, sort_keys=True))
+        return self.state(key)
+
+    def state(self, key: str) -> dict | None:
+        text = self.files.read(f"archive/{key}.json")
+        return None if text is None else json.loads(text)
+
+    def states(self) -> list[dict]:
+        return [self.state(n[:-5]) for n in self.files.names("archive") if n.endswith(".json")]
+
+    def run(self) -> list[dict]:
+        """Archive what is not archived and has attempts left; returns the states of those tried."""
+        out = []
+        for s in self.states():
+            if s["status"] == "ARCHIVED" or s["attempts"] >= self.max_attempts:
+                continue
+            s["attempts"] += 1
+            try:
+                target, _ = archive(self.root, Path(s["source"]), s["report_type"], date.fromisoformat(s["report_date"]), s["checksum"])
+                s |= {"status": "ARCHIVED", "path": str(target)}
+                s.pop("error", None)
+            except (OSError, ValueError) as e:
+                s |= {"status": "FAILED", "error": f"{type(e).__name__}: {e}"}
+            self.files.write(f"archive/{s['key']}.json", json.dumps(s, sort_keys=True))
+            out.append(s)
+        return out

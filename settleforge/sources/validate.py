@@ -15,7 +15,7 @@ from pyspark.sql.types import StringType
 from ..functions.identity import canonical_json
 from ..functions.money import parse_money
 from ..functions.times import has_offset, parse_date, parse_instant
-from ..schemas import CURRENCY, ENTITIES, Entity, Field, record_type
+from ..schemas import CURRENCY, ENTITIES, Entity, Field, MANIFEST, MANIFEST_SCHEMA_VERSION, record_type
 
 _FAIL = "struct<code: string, field: string, detail: string>"
 
@@ -41,6 +41,12 @@ def check(v: Column, f: Field) -> Column:
     if f.kind == "int":
         n = F.try_variant_get(v, f"$.{f.name}", "bigint")
         return F.when(kind != "BIGINT", fail("INVALID_TYPE", f.name, "must be an integer")).when(n <= 0, fail("INVALID_VALUE", f.name, "must be positive")).otherwise(none)
+    if f.kind in ("count", "version"):
+        n, least = F.try_variant_get(v, f"$.{f.name}", "bigint"), 0 if f.kind == "count" else 1
+        out = F.when(kind != "BIGINT", fail("INVALID_TYPE", f.name, "must be an integer")).when(n < least, fail("INVALID_VALUE", f.name, f"must be {least} or more"))
+        if f.kind == "version":
+            out = out.when(n != MANIFEST_SCHEMA_VERSION, fail("UNSUPPORTED_SCHEMA_VERSION", f.name, f"must be {MANIFEST_SCHEMA_VERSION}"))
+        return out.otherwise(none)
     if f.kind in ("money", "money0", "signed"):
         amount = parse_money(text, f.kind == "signed")
         bad = (kind != "STRING") | amount.isNull()
@@ -55,6 +61,8 @@ def check(v: Column, f: Field) -> Column:
     out = out.when((text == "") | F.rlike(text, F.lit(r"\A\s|\s\z")), fail("INVALID_VALUE", f.name, "must be text without outer white space"))
     if f.kind == "enum":
         out = out.when(~text.isin(*f.values), fail("INVALID_VALUE", f.name, "is not a known value"))
+    elif f.kind == "sha256":
+        out = out.when(~F.rlike(text, F.lit(r"\A[0-9a-f]{64}\z")), fail("INVALID_VALUE", f.name, "must be 64 lower-case hex digits"))
     elif f.kind == "currency":
         out = out.when(text != CURRENCY, fail("UNSUPPORTED_CURRENCY", f.name, f"must be {CURRENCY}"))
     elif f.kind == "ts":
@@ -91,7 +99,7 @@ def first_fault(v: Column, e: Entity) -> Column:
 
 def _value(v: Column, f: Field) -> Column:
     text = _text(v, f.name)
-    if f.kind == "int":
+    if f.kind in ("int", "count", "version"):
         return F.try_variant_get(v, f"$.{f.name}", "int" if f.name == "attempt_number" else "bigint")
     if f.kind in ("money", "money0", "signed"):
         return parse_money(text, f.kind == "signed")
@@ -127,3 +135,20 @@ def validate(rows: DataFrame, entity: str, payload_col: str = "payload") -> tupl
     where = F.when(F.col("_fault.field").isNotNull(), F.concat(F.col("_fault.field"), F.lit(": "))).otherwise("")
     bad = read.where("_fault IS NOT NULL").select(*rest, F.lit(entity).alias("entity_type"), _text(v, e.id_field).alias("source_id"), F.col("_fault.code").alias("reason_code"), F.concat(where, F.col("_fault.detail")).alias("reason_detail"), F.coalesce(F.to_json(v), F.col(payload_col)).alias("raw_payload_json"))
     return good, bad
+
+
+def parse_manifests(rows: DataFrame, payload_col: str = "payload") -> tuple[DataFrame, DataFrame]:
+    """Split JSON texts of manifests in their contract form into (valid, faulty).
+
+    ``valid`` has the other columns and the typed ``manifest``; ``faulty`` has them,
+    ``reason_code`` and ``reason_detail`` of the first fault.
+    """
+    rest = [c for c in rows.columns if c != payload_col]
+    read = rows.withColumn("_v", F.try_parse_json(payload_col))
+    v = F.col("_v")
+    fault = F.when(v.isNull(), fail("INVALID_JSON", F.lit(None).cast("string"), "is not strict JSON")).otherwise(first_fault(v, MANIFEST))
+    read = read.withColumn("_fault", fault)
+    good = read.where("_fault IS NULL").select(*rest, F.struct(*[_value(v, f).alias(f.name) for f in MANIFEST.fields]).alias("manifest"))
+    where = F.when(F.col("_fault.field").isNotNull(), F.concat(F.col("_fault.field"), F.lit(": "))).otherwise("")
+    bad = read.where("_fault IS NOT NULL").select(*rest, F.col("_fault.code").alias("reason_code"), F.concat(where, F.col("_fault.detail")).alias("reason_detail"))
+    return good, bad

@@ -339,6 +339,44 @@ def test_archive(tmp_path):
         archive.relative_path("coupons", date(2026, 3, 2), sha)
 
 
+def test_archive_is_retried(spark, tmp_path):
+    f = tmp_path / "x.json"
+    log = archive.ArchiveLog(FileSystem(spark, "file://" + str(tmp_path / "control")), tmp_path / "a", max_attempts=3)
+    sha = __import__("hashlib").sha256(b"[]").hexdigest()
+    assert log.request("k", f, "orders", date(2026, 3, 2), sha)["status"] == "PENDING"
+    assert log.run()[0]["status"] == "FAILED" and "FileNotFoundError" in log.state("k")["error"]
+    f.write_text("[]")
+    assert log.request("k", f, "orders", date(2026, 3, 2), sha)["attempts"] == 1
+    done = log.run()[0]
+    assert done["status"] == "ARCHIVED" and done["attempts"] == 2 and not f.exists() and log.run() == []
+    with pytest.raises(ValueError):
+        log.request("q", f, "coupons", date(2026, 3, 2), sha)
+
+
+def test_contract_manifests(spark):
+    from settleforge.sources.validate import parse_manifests
+
+    good = {"batch_id": "b", "source_system": "shop", "report_type": "orders", "business_date": "2026-03-02", "schema_version": 1, "generated_at_utc": "2026-03-02T10:00:00Z", "row_count": 0, "sha256": "a" * 64}
+    cases = {"ok": good, "version": {**good, "schema_version": 2}, "type": {**good, "schema_version": "1"}, "sum": {**good, "sha256": "A" * 64}, "count": {**good, "row_count": -1}, "system": {**good, "source_system": "bank"}, "extra": {**good, "x": 1}, "none": {k: v for k, v in good.items() if k != "batch_id"}, "two": {**good, "schema_version": 2, "sha256": "x"}}
+    df = spark.createDataFrame([(k, json.dumps(v)) for k, v in cases.items()] + [("json", "{")], "k string, payload string")
+    valid, bad = parse_manifests(df)
+    assert [(r["k"], r["manifest"]["row_count"], r["manifest"]["business_date"]) for r in valid.collect()] == [("ok", 0, date(2026, 3, 2))]
+    assert {r["k"]: r["reason_code"] for r in bad.collect()} == {"version": "UNSUPPORTED_SCHEMA_VERSION", "type": "INVALID_TYPE", "sum": "INVALID_VALUE", "count": "INVALID_VALUE", "system": "INVALID_VALUE", "extra": "UNEXPECTED_FIELD", "none": "MISSING_FIELD", "two": "UNSUPPORTED_SCHEMA_VERSION", "json": "INVALID_JSON"}
+
+
+def test_runner(spark, tmp_path):
+    from settleforge.plans import runner
+
+    assert runner.load_callable("json:dumps") is json.dumps
+    for bad in ("json", "json:", ":dumps", "json:a:b"):
+        with pytest.raises(ValueError):
+            runner.load_callable(bad)
+    with pytest.raises(TypeError):
+        runner.load_callable("json:__name__")
+    places = [f"--{n}=file://{tmp_path}/{n}" for n in ("control", "results", "ledger")]
+    assert runner.main(places) == 0
+
+
 def test_click_stream(spark, tmp_path):
     box = tmp_path / "in"
     box.mkdir()
