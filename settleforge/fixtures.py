@@ -49,8 +49,11 @@ def payment_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.unionByName(again)
 
 
-def inputs(spark: SparkSession, sf_dir: str, keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> Inputs:
-    """Current records of the six datasets; ``keep`` is applied to what the others derive from."""
+def inputs(spark: SparkSession, sf_dir: str, keep: Callable[[DataFrame], DataFrame] = lambda df: df, settled: bool = True) -> Inputs:
+    """Current records of the six datasets; ``keep`` is applied to what others derive from.
+
+    Without ``settled`` that is not done to settlement lines and payouts, for callers that read neither.
+    """
     pay = keep(canonical.canonical(payment_receipts(spark, sf_dir)))
     cap = pay.where("status = 'CAPTURED'")
     od = spark.read.parquet(f"{sf_dir}/orders.parquet").where("o_orderkey % 97 <> 0")
@@ -73,10 +76,11 @@ def inputs(spark: SparkSession, sf_dir: str, keep: Callable[[DataFrame], DataFra
     amount = (F.col("signed_amount") + F.when(part % 60 == 4, _d("0.01")).otherwise(_d("0.00"))).cast(MONEY)
     one = m.select(F.concat_ws("-", F.lit("LINE"), "movement_type", "movement_id").alias("settlement_line_id"), F.concat(F.lit("OUT-"), F.col("available_on").cast("string")).alias("payout_id"), "movement_type", "movement_id", amount.alias("signed_amount"), "available_on", "l_partkey")
     lines = one.unionByName(one.where("l_partkey % 60 = 5").withColumn("settlement_line_id", F.concat("settlement_line_id", F.lit("-2"))))
-    lines = keep(lines)
+    later = keep if settled else lambda df: df
+    lines = later(lines)
     net = lines.groupBy("payout_id", F.col("available_on").alias("payout_date")).agg(F.sum("signed_amount").cast(MONEY).alias("net"))
     payouts = net.where("net >= 0").select("payout_id", "payout_date", F.lit("EUR").alias("currency"), (F.col("net") + F.when(F.dayofyear("payout_date") % 9 == 0, _d("1.00")).otherwise(_d("0.00"))).cast(MONEY).alias("reported_net_amount"))
-    i.lines, i.payouts = lines.drop("available_on", "l_partkey"), keep(payouts)
+    i.lines, i.payouts = lines.drop("available_on", "l_partkey"), later(payouts)
     return i
 
 

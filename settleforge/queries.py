@@ -37,9 +37,9 @@ def query(sql: str | None = None, *, base: str | None = fixtures.SQL):
     return add
 
 
-def _inputs(spark: SparkSession, sf_dir: str) -> reconcile.Inputs:
+def _inputs(spark: SparkSession, sf_dir: str, settled: bool = True) -> reconcile.Inputs:
     """The projected datasets, with what many rules read written once."""
-    i = fixtures.inputs(spark, sf_dir, saved)
+    i = fixtures.inputs(spark, sf_dir, saved, settled)
     i.keep = saved
     return i
 
@@ -171,7 +171,7 @@ def multiple_captures(spark, sf_dir):
 
 @query("SELECT movement_type, movement_id, available_on, signed_amount FROM mov")
 def expected_movements(spark, sf_dir):
-    return reconcile.expected_movements(fixtures.inputs(spark, sf_dir)).drop("supporting_source_record_ids")
+    return reconcile.expected_movements(fixtures.inputs(spark, sf_dir, saved, settled=False)).drop("supporting_source_record_ids")
 
 
 _DUP = "SELECT movement_type || ':' || movement_id AS k, count(*) AS n, list(DISTINCT 'provider:SETTLEMENT_LINE:' || settlement_line_id) AS refs, list(DISTINCT payout_id) AS outs FROM line GROUP BY 1 HAVING count(*) > 1"
@@ -224,7 +224,7 @@ _TCODES = """, tc AS (SELECT order_id, 'CAPTURE_FOR_NON_PAYABLE_ORDER' AS c FROM
   successful_refund_count, successful_refund_total, expected_fee_total, reported_fee_total, (captured_total - successful_refund_total - expected_fee_total)::DECIMAL(18,2) AS lifetime_net_collection,
   CASE WHEN codes IS NULL THEN 'RECONCILED' ELSE 'EXCEPTION' END AS state, coalesce(codes, '') AS exception_codes FROM tot LEFT JOIN tcodes ON k = order_id""")
 def transaction_reconciliation(spark, sf_dir):
-    return reconcile.transactions(_inputs(spark, sf_dir)).withColumn("exception_codes", F.array_join("exception_codes", ","))
+    return reconcile.transactions(_inputs(spark, sf_dir, settled=False)).withColumn("exception_codes", F.array_join("exception_codes", ","))
 
 
 _PCODES = f""", pc AS (SELECT unnest(outs) AS payout_id, 'DUPLICATE_SETTLEMENT_MOVEMENT' AS c FROM ({_DUP}) UNION ALL SELECT payout_id, 'MISSING_SETTLEMENT_LINE' FROM st WHERE n = 0
@@ -448,7 +448,7 @@ _GATES = {"complete": ("orders", "COMPLETE"), "fees-pending": ("fees", "PENDING"
   UNION ALL SELECT 'fees-pending', order_id, 'PENDING', coalesce(codes, '') FROM ord LEFT JOIN late ON k = order_id UNION ALL SELECT 'payments-incomplete', order_id, 'INCOMPLETE', '' FROM ord""")
 def gated_transactions(spark, sf_dir):
     """Orders under three states of the reports; rules that need an unfinished report do not run."""
-    i, out = _inputs(spark, sf_dir), []
+    i, out = _inputs(spark, sf_dir, settled=False), []
     for gate, (report, state) in _GATES.items():
         day = spark.range(1).select(F.lit("1996-06-15").cast("date").alias("business_date"))
         done = completeness.spine(spark, day).withColumn("state", F.when(F.col("report_type") == report, state).otherwise("COMPLETE"))
