@@ -382,24 +382,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = scratch.write(confirm(tried, docs, id_col, text_col, percent).unionByName(ties), "links")
     labels = contracted(links, None, scratch)
 
-    members, useless = members.drop("head"), None
+    members, left, useless = members.drop("head"), None, None
     for step in ["head"] * HEAD_ROUNDS + ["nearest"] * NEAREST_ROUNDS + ["all"]:
         if step == useless:
             continue
-        own = _components_of(members, labels)
         if step == "head":
-            more = _split(own).where(F.col("component") > F.col("top.component")).groupBy("top.component", "component").agg(F.min(F.struct(F.col("top.least").alias("a"), F.col("least").alias("b"))).alias("p"))
-            more = _near(more.select(F.least("p.a", "p.b").alias("a"), F.greatest("p.a", "p.b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"), nodes, percent)
+            split = _split(_components_of(members, labels)).where(F.col("component") > F.col("top.component"))
+            more = split.groupBy("top.component", "component").agg(F.min(F.struct(F.col("top.least").alias("a"), F.col("least").alias("b"))).alias("p"))
+            more = more.select(F.least("p.a", "p.b").alias("a"), F.greatest("p.a", "p.b").alias("b")).distinct()
+            more = _near(more.join(tried, ["a", "b"], "left_anti"), nodes, percent)
         else:
-            own = scratch.write(own, "own")
-            left = scratch.write(_unsettled(own, _split(own)), "members")
-            members = left.select("key", "id")
+            if left is None:  # nothing has been linked since where it is not
+                own = scratch.write(_components_of(members, labels), "own")
+                left = scratch.write(_unsettled(own, _split(own)), "members")
+                members = left.select("key", "id")
             more = _across(left.join(nodes.drop("bands"), "id"), step == "nearest", percent).join(tried, ["a", "b"], "left_anti")
         more = scratch.write(more, "pairs")
         found = None if more.isEmpty() else scratch.write(confirm(more, docs, id_col, text_col, percent), "links")
         useless = step if found is None or found.isEmpty() else None
         if not useless:
-            labels = contracted(found, labels, scratch)
+            labels, left = contracted(found, labels, scratch), None
         tried = tried.unionByName(more)
     top = heads.join(labels.withColumnRenamed("node", "head"), "head", "left").select("digest", F.coalesce("component", "head").alias("component"))
     out = sig.select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.col("digest")).alias("digest")).join(top, "digest", "left")
