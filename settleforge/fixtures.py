@@ -34,7 +34,9 @@ def payment_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("ORD-"), "l_orderkey").alias("order_id"),
         F.col("l_linenumber").cast("int").alias("attempt_number"),
         F.when(F.col("l_returnflag") == "R", "WALLET").otherwise("CARD").alias("payment_method"),
-        F.when((F.col("l_linestatus") == "F") & (F.col("l_linenumber") <= 2), "CAPTURED").otherwise("FAILED").alias("status"),
+        F.when(
+            (F.col("l_linestatus") == "F") & (F.col("l_linenumber") <= 2), "CAPTURED"
+        ).otherwise("FAILED").alias("status"),
         amount.alias("amount"),
         F.lit("EUR").alias("currency"),
         F.col("l_shipdate").cast("date").alias("available_on"),
@@ -42,14 +44,25 @@ def payment_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus",
         F.round(F.col("l_discount") * 100).cast("long").alias("discount_percent"),
     )
-    content = F.concat_ws("|", "l_partkey", "l_suppkey", F.col("amount").cast("string"), "l_returnflag", "l_linestatus", F.col("available_on").cast("string"))
-    df = df.withColumns({"receipt_id": F.concat_ws("|", "payment_id", "l_partkey", "l_suppkey", F.col("amount").cast("string")), "payload_hash": F.sha2(content, 256), "source_system": F.lit(PROVIDER), "entity_type": F.lit("PAYMENT"), "source_id": F.col("payment_id")})
+    content = F.concat_ws(
+        "|", "l_partkey", "l_suppkey", F.col("amount").cast("string"), "l_returnflag", "l_linestatus",
+        F.col("available_on").cast("string")
+    )
+    df = df.withColumns(
+        {
+            "receipt_id": F.concat_ws("|", "payment_id", "l_partkey", "l_suppkey", F.col("amount").cast("string")),
+            "payload_hash": F.sha2(content, 256), "source_system": F.lit(PROVIDER), "entity_type": F.lit("PAYMENT"),
+            "source_id": F.col("payment_id")
+        }
+    )
     df = df.dropDuplicates(["receipt_id"])
     again = df.where("l_partkey % 25 = 3").withColumn("receipt_id", F.concat("receipt_id", F.lit("|again")))
     return df.unionByName(again)
 
 
-def inputs(spark: SparkSession, sf_dir: str, keep: Callable[[DataFrame], DataFrame] = lambda df: df, settled: bool = True) -> Inputs:
+def inputs(
+    spark: SparkSession, sf_dir: str, keep: Callable[[DataFrame], DataFrame] = lambda df: df, settled: bool = True
+) -> Inputs:
     """Current records of the six datasets; ``keep`` is applied to what others derive from.
 
     Without ``settled`` that is not done to settlement lines and payouts, for callers that read neither.
@@ -59,27 +72,66 @@ def inputs(spark: SparkSession, sf_dir: str, keep: Callable[[DataFrame], DataFra
     od = spark.read.parquet(f"{sf_dir}/orders.parquet").where("o_orderkey % 97 <> 0")
     taken = cap.groupBy("order_id").agg(F.sum("amount").cast(MONEY).alias("taken"))
     od = od.withColumn("order_id", F.concat(F.lit("ORD-"), "o_orderkey")).join(taken, "order_id", "left")
-    status = F.when(F.col("o_orderstatus") == "F", "PAID").when(F.col("o_orderstatus") == "P", "CANCELLED").otherwise("PAYMENT_PENDING")
-    orders = od.select("order_id", status.alias("status"), F.lit("EUR").alias("currency"), F.when((F.col("o_orderkey") % 5 == 0) | F.col("taken").isNull(), F.col("o_totalprice").cast(MONEY)).otherwise(F.col("taken")).alias("order_total"), F.col("o_orderdate").alias("created_at_utc"), F.lit(1).cast("long").alias("source_version"))
+    status = F.when(F.col("o_orderstatus") == "F", "PAID").when(
+        F.col("o_orderstatus") == "P", "CANCELLED"
+    ).otherwise("PAYMENT_PENDING")
+    orders = od.select(
+        "order_id", status.alias("status"), F.lit("EUR").alias("currency"),
+        F.when(
+            (F.col("o_orderkey") % 5 == 0) | F.col("taken").isNull(), F.col("o_totalprice").cast(MONEY)
+        ).otherwise(F.col("taken")).alias("order_total"),
+        F.col("o_orderdate").alias("created_at_utc"), F.lit(1).cast("long").alias("source_version")
+    )
     part = F.col("l_partkey")
     fee = contract_fee(F.col("payment_method"), F.col("amount"))
-    reported = F.when(F.col("status") == "CAPTURED", (fee + F.when(part % 10 == 1, _d("1.00")).otherwise(_d("0.00"))).cast(MONEY)).otherwise(_d("1.00"))
-    fees = pay.where("(status = 'CAPTURED' AND l_partkey % 10 <> 0) OR (status = 'FAILED' AND l_partkey % 200 = 0)").select(F.concat(F.lit("FEE-"), "payment_id").alias("fee_id"), "payment_id", reported.alias("amount"), F.lit("EUR").alias("currency"), "available_on")
-    back = F.when(part % 50 == 0, (F.col("amount") * F.lit("1.50").cast("decimal(3,2)")).cast(MONEY)).otherwise((F.col("amount") * F.col("discount_percent").cast("decimal(3,0)") / 100).cast(MONEY))
-    refunds = cap.where("l_returnflag = 'A' AND discount_percent > 0").select(F.concat(F.lit("REF-"), "payment_id").alias("refund_id"), F.when(part % 40 == 7, F.lit("PAY-NONE")).otherwise(F.col("payment_id")).alias("payment_id"), F.lit("SUCCEEDED").alias("status"), back.alias("amount"), F.when(part % 31 == 4, "USD").otherwise("EUR").alias("currency"), F.date_add("available_on", 7).alias("available_on"))
-    payments = pay.select("payment_id", "order_id", "attempt_number", "payment_method", "status", "amount", "currency", "available_on", "source_version", "l_partkey")
+    reported = F.when(
+        F.col("status") == "CAPTURED", (fee + F.when(part % 10 == 1, _d("1.00")).otherwise(_d("0.00"))).cast(MONEY)
+    ).otherwise(_d("1.00"))
+    fees = pay.where("(status = 'CAPTURED' AND l_partkey % 10 <> 0) OR (status = 'FAILED' AND l_partkey % 200 = 0)").select(
+        F.concat(F.lit("FEE-"), "payment_id").alias("fee_id"), "payment_id", reported.alias("amount"),
+        F.lit("EUR").alias("currency"), "available_on"
+    )
+    back = F.when(part % 50 == 0, (F.col("amount") * F.lit("1.50").cast("decimal(3,2)")).cast(MONEY)).otherwise(
+        (F.col("amount") * F.col("discount_percent").cast("decimal(3,0)") / 100).cast(MONEY)
+    )
+    refunds = cap.where("l_returnflag = 'A' AND discount_percent > 0").select(
+        F.concat(F.lit("REF-"), "payment_id").alias("refund_id"),
+        F.when(part % 40 == 7, F.lit("PAY-NONE")).otherwise(F.col("payment_id")).alias("payment_id"),
+        F.lit("SUCCEEDED").alias("status"), back.alias("amount"),
+        F.when(part % 31 == 4, "USD").otherwise("EUR").alias("currency"),
+        F.date_add("available_on", 7).alias("available_on")
+    )
+    payments = pay.select(
+        "payment_id", "order_id", "attempt_number", "payment_method", "status", "amount", "currency", "available_on",
+        "source_version", "l_partkey"
+    )
     i = Inputs(keep(orders), payments, refunds, fees, None, None)
     # A line for each movement, but for the planted faults; the part key is the payment's.
     m = expected_movements(i)
     key = F.regexp_extract("movement_id", r"PAY-\d+-\d+", 0)
-    m = m.withColumn("payment_id", key).join(pay.select("payment_id", "l_partkey"), "payment_id").where("l_partkey % 60 <> 3 AND NOT startswith(movement_id, 'expected-fee:')")
+    m = m.withColumn("payment_id", key).join(pay.select("payment_id", "l_partkey"), "payment_id").where(
+        "l_partkey % 60 <> 3 AND NOT startswith(movement_id, 'expected-fee:')"
+    )
     amount = (F.col("signed_amount") + F.when(part % 60 == 4, _d("0.01")).otherwise(_d("0.00"))).cast(MONEY)
-    one = m.select(F.concat_ws("-", F.lit("LINE"), "movement_type", "movement_id").alias("settlement_line_id"), F.concat(F.lit("OUT-"), F.col("available_on").cast("string")).alias("payout_id"), "movement_type", "movement_id", amount.alias("signed_amount"), "available_on", "l_partkey")
-    lines = one.unionByName(one.where("l_partkey % 60 = 5").withColumn("settlement_line_id", F.concat("settlement_line_id", F.lit("-2"))))
+    one = m.select(
+        F.concat_ws("-", F.lit("LINE"), "movement_type", "movement_id").alias("settlement_line_id"),
+        F.concat(F.lit("OUT-"), F.col("available_on").cast("string")).alias("payout_id"), "movement_type",
+        "movement_id", amount.alias("signed_amount"), "available_on", "l_partkey"
+    )
+    lines = one.unionByName(
+        one.where("l_partkey % 60 = 5").withColumn("settlement_line_id", F.concat("settlement_line_id", F.lit("-2")))
+    )
     later = keep if settled else lambda df: df
     lines = later(lines)
-    net = lines.groupBy("payout_id", F.col("available_on").alias("payout_date")).agg(F.sum("signed_amount").cast(MONEY).alias("net"))
-    payouts = net.where("net >= 0").select("payout_id", "payout_date", F.lit("EUR").alias("currency"), (F.col("net") + F.when(F.dayofyear("payout_date") % 9 == 0, _d("1.00")).otherwise(_d("0.00"))).cast(MONEY).alias("reported_net_amount"))
+    net = lines.groupBy(
+        "payout_id", F.col("available_on").alias("payout_date")
+    ).agg(F.sum("signed_amount").cast(MONEY).alias("net"))
+    payouts = net.where("net >= 0").select(
+        "payout_id", "payout_date", F.lit("EUR").alias("currency"),
+        (
+            F.col("net") + F.when(F.dayofyear("payout_date") % 9 == 0, _d("1.00")).otherwise(_d("0.00"))
+        ).cast(MONEY).alias("reported_net_amount")
+    )
     i.lines, i.payouts = lines.drop("available_on", "l_partkey"), later(payouts)
     return i
 
@@ -87,24 +139,75 @@ def inputs(spark: SparkSession, sf_dir: str, keep: Callable[[DataFrame], DataFra
 def deliveries(spark: SparkSession, sf_dir: str, keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """The datasets as daily deliveries, in the shape that the gate reads: data file and manifest of each report and day."""
     i = inputs(spark, sf_dir, keep)
-    at, version, day = F.lit("2020-01-01T00:00:00Z").alias("effective_at_utc"), F.lit(1).alias("source_version"), lambda c: F.date_format(c, "yyyy-MM-dd")
+    at, version, day = F.lit(
+        "2020-01-01T00:00:00Z"
+    ).alias("effective_at_utc"), F.lit(1).alias("source_version"), lambda c: F.date_format(c, "yyyy-MM-dd")
     money = lambda c: F.col(c).cast("string").alias(c)
     rows = {
-        "orders": (i.orders, F.lit("2020-01-01"), ["order_id", F.lit("2020-01-01T00:00:00Z").alias("created_at_utc"), "status", "currency", money("order_total"), version]),
-        "payments": (i.payments, day("available_on"), ["payment_id", "order_id", "attempt_number", "payment_method", "status", money("amount"), "currency", at, F.when(F.col("status") == "CAPTURED", day("available_on")).alias("available_on"), "source_version"]),
-        "refunds": (i.refunds, day("available_on"), ["refund_id", "payment_id", "status", money("amount"), "currency", at, day("available_on").alias("available_on"), version]),
-        "fees": (i.fees, day("available_on"), ["fee_id", "payment_id", F.lit("PROCESSING").alias("fee_type"), money("amount"), "currency", at, day("available_on").alias("available_on"), version]),
-        "settlement_lines": (i.lines, F.replace("payout_id", F.lit("OUT-"), F.lit("")), ["settlement_line_id", "payout_id", "movement_type", "movement_id", money("signed_amount"), F.lit("EUR").alias("currency"), version]),
-        "payouts": (i.payouts, day("payout_date"), ["payout_id", day("payout_date").alias("payout_date"), "currency", money("reported_net_amount"), version]),
+        "orders": (
+            i.orders, F.lit("2020-01-01"),
+            [
+                "order_id", F.lit("2020-01-01T00:00:00Z").alias("created_at_utc"), "status", "currency",
+                money("order_total"), version
+            ]
+        ),
+        "payments": (
+            i.payments, day("available_on"),
+            [
+                "payment_id", "order_id", "attempt_number", "payment_method", "status", money("amount"), "currency", at,
+                F.when(F.col("status") == "CAPTURED", day("available_on")).alias("available_on"), "source_version"
+            ]
+        ),
+        "refunds": (
+            i.refunds, day("available_on"),
+            [
+                "refund_id", "payment_id", "status", money("amount"), "currency", at,
+                day("available_on").alias("available_on"), version
+            ]
+        ),
+        "fees": (
+            i.fees, day("available_on"),
+            [
+                "fee_id", "payment_id", F.lit("PROCESSING").alias("fee_type"), money("amount"), "currency", at,
+                day("available_on").alias("available_on"), version
+            ]
+        ),
+        "settlement_lines": (
+            i.lines, F.replace("payout_id", F.lit("OUT-"), F.lit("")),
+            [
+                "settlement_line_id", "payout_id", "movement_type", "movement_id", money("signed_amount"),
+                F.lit("EUR").alias("currency"), version
+            ]
+        ),
+        "payouts": (
+            i.payouts, day("payout_date"),
+            ["payout_id", day("payout_date").alias("payout_date"), "currency", money("reported_net_amount"), version]
+        ),
     }
     out = []
     for report, (df, date, columns) in rows.items():
         entity, system, _ = REPORTS[report]
-        one = df.select(date.alias("report_date"), F.to_json(F.struct(*columns)).alias("row")).groupBy("report_date").agg(F.array_sort(F.collect_list("row")).alias("rows"))
+        one = df.select(
+            date.alias("report_date"), F.to_json(F.struct(*columns)).alias("row")
+        ).groupBy("report_date").agg(F.array_sort(F.collect_list("row")).alias("rows"))
         stem = F.concat(F.lit(f"{report}-"), F.col("report_date"))
-        one = one.select(stem.alias("stem"), "report_date", F.size("rows").alias("n"), F.encode(F.concat(F.lit("["), F.array_join("rows", ","), F.lit("]")), "utf-8").alias("data_bytes"))
-        said = {"filename": F.concat("stem", F.lit(".json")), "source_system": F.lit(system), "report_type": F.lit(report), "report_date": F.col("report_date"), "entity_type": F.lit(entity), "schema_version": F.lit(FILE_SCHEMA_VERSION), "row_count": F.col("n"), "checksum_sha256": F.sha2("data_bytes", 256)}
-        out.append(one.select("stem", "data_bytes", F.encode(F.to_json(F.struct(*[c.alias(k) for k, c in said.items()])), "utf-8").alias("manifest_bytes"), F.lit(False).alias("writing")))
+        one = one.select(
+            stem.alias("stem"), "report_date", F.size("rows").alias("n"),
+            F.encode(F.concat(F.lit("["), F.array_join("rows", ","), F.lit("]")), "utf-8").alias("data_bytes")
+        )
+        said = {
+            "filename": F.concat("stem", F.lit(".json")), "source_system": F.lit(system), "report_type": F.lit(report),
+            "report_date": F.col("report_date"), "entity_type": F.lit(entity),
+            "schema_version": F.lit(FILE_SCHEMA_VERSION), "row_count": F.col("n"),
+            "checksum_sha256": F.sha2("data_bytes", 256)
+        }
+        out.append(
+            one.select(
+                "stem", "data_bytes",
+                F.encode(F.to_json(F.struct(*[c.alias(k) for k, c in said.items()])), "utf-8").alias("manifest_bytes"),
+                F.lit(False).alias("writing")
+            )
+        )
     return reduce(DataFrame.unionByName, out)
 
 

@@ -32,7 +32,10 @@ def contract_fee(method: Column, amount: Column) -> Column:
     """The contractual fee of a capture, rounded half up; null for an unknown method."""
     out = F.lit(None).cast(MONEY)
     for name, (fixed, rate) in FEE_SCHEDULE.items():
-        out = F.when(method == name, cents(F.lit(fixed).cast("decimal(4,2)") + amount.cast(MONEY) * F.lit(rate).cast("decimal(4,3)"))).otherwise(out)
+        out = F.when(
+            method == name,
+            cents(F.lit(fixed).cast("decimal(4,2)") + amount.cast(MONEY) * F.lit(rate).cast("decimal(4,3)"))
+        ).otherwise(out)
     return out
 
 

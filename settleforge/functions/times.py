@@ -48,4 +48,6 @@ def business_day_bounds(day: Column) -> tuple[Column, Column]:
 
 def delay_seconds(received: Column, watermark: Column) -> Column:
     """Whole seconds that something arrived after the watermark; 0 if before."""
-    return F.greatest(F.lit(0), F.floor(F.unix_micros(received) / 1_000_000 - F.unix_micros(watermark) / 1_000_000)).cast("long")
+    return F.greatest(
+        F.lit(0), F.floor(F.unix_micros(received) / 1_000_000 - F.unix_micros(watermark) / 1_000_000)
+    ).cast("long")

@@ -26,7 +26,9 @@ def unique_receipts(receipts: DataFrame) -> DataFrame:
 def reused_receipts(receipts: DataFrame) -> DataFrame:
     """Receipt ids that stand for different contents."""
     content = F.struct(*IDENTITY, "source_version", "payload_hash")
-    return receipts.groupBy("receipt_id").agg(F.min(content).alias("lo"), F.max(content).alias("hi")).where("lo <> hi").select("receipt_id")
+    return receipts.groupBy("receipt_id").agg(
+        F.min(content).alias("lo"), F.max(content).alias("hi")
+    ).where("lo <> hi").select("receipt_id")
 
 
 def check_receipts(receipts: DataFrame) -> None:
@@ -49,10 +51,16 @@ def evidence(receipts: DataFrame, first_seen: str | None = None) -> DataFrame:
     top = F.max("source_version").over(who)
     df = receipts.withColumn("_top", top).withColumn("_n", F.row_number().over(same))
     won = F.col("source_version") == F.col("_top")
-    df = df.withColumn("_lo", F.min(F.when(won, F.col("payload_hash"))).over(who)).withColumn("_hi", F.max(F.when(won, F.col("payload_hash"))).over(who))
+    df = df.withColumn(
+        "_lo", F.min(F.when(won, F.col("payload_hash"))).over(who)
+    ).withColumn("_hi", F.max(F.when(won, F.col("payload_hash"))).over(who))
     split = F.col("_lo") != F.col("_hi")
-    disposition = F.when(~won, "STALE").when(split, "CONFLICTED").when(F.col("_n") > 1, "DUPLICATE").otherwise("ACCEPTED")
-    reason = F.when(~won, "a higher version is known").when(split, "one version with different payloads").when(F.col("_n") > 1, "same version and payload as the accepted receipt").otherwise("current version")
+    disposition = F.when(~won, "STALE").when(split, "CONFLICTED").when(
+        F.col("_n") > 1, "DUPLICATE"
+    ).otherwise("ACCEPTED")
+    reason = F.when(~won, "a higher version is known").when(split, "one version with different payloads").when(
+        F.col("_n") > 1, "same version and payload as the accepted receipt"
+    ).otherwise("current version")
     return df.withColumns({"disposition": disposition, "reason": reason}).drop("_top", "_n", "_lo", "_hi")
 
 
@@ -64,13 +72,21 @@ def canonical(receipts: DataFrame) -> DataFrame:
 def conflicts(receipts: DataFrame) -> DataFrame:
     """Entities whose highest version has several payloads, with the sorted payloads and receipts."""
     bad = evidence(receipts).where("disposition = 'CONFLICTED'")
-    return bad.groupBy(*IDENTITY, "source_version").agg(F.array_sort(F.collect_set("payload_hash")).alias("payload_hashes"), F.array_sort(F.collect_set("receipt_id")).alias("receipt_ids"))
+    return bad.groupBy(*IDENTITY, "source_version").agg(
+        F.array_sort(F.collect_set("payload_hash")).alias("payload_hashes"),
+        F.array_sort(F.collect_set("receipt_id")).alias("receipt_ids")
+    )
 
 
 def evidence_counts(ev: DataFrame, quarantined: DataFrame | None = None) -> DataFrame:
     """One row of counts by disposition."""
-    out = ev.agg(F.count(F.lit(1)).alias("unique_receipts"), *[F.count_if(F.col("disposition") == d).alias(d.lower()) for d in ("ACCEPTED", "STALE", "DUPLICATE", "CONFLICTED")])
-    n = quarantined.agg(F.count(F.lit(1)).alias("quarantined")) if quarantined is not None else ev.sparkSession.range(1).select(F.lit(0).cast("long").alias("quarantined"))
+    out = ev.agg(
+        F.count(F.lit(1)).alias("unique_receipts"),
+        *[F.count_if(F.col("disposition") == d).alias(d.lower()) for d in ("ACCEPTED", "STALE", "DUPLICATE", "CONFLICTED")]
+    )
+    n = quarantined.agg(
+        F.count(F.lit(1)).alias("quarantined")
+    ) if quarantined is not None else ev.sparkSession.range(1).select(F.lit(0).cast("long").alias("quarantined"))
     return out.crossJoin(n)
 
 
@@ -111,4 +127,6 @@ class ReplayLedger:
 def current_frames(receipts: DataFrame, per_entity: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Current records by entity from receipts and each entity's typed receipts (receipt_id, record)."""
     won = canonical(unique_receipts(receipts)).select("receipt_id")
-    return {e: per_entity[e].join(won, "receipt_id", "left_semi").select("record.*") for e in ENTITIES if e in per_entity}
+    return {
+        e: per_entity[e].join(won, "receipt_id", "left_semi").select("record.*") for e in ENTITIES if e in per_entity
+    }

@@ -39,7 +39,9 @@ class Plan:
     @property
     def reason_codes(self) -> list[str]:
         """All reasons, in order, on the driver; where there may be many, read the frame."""
-        return self.reasons if isinstance(self.reasons, list) else [r[0] for r in self.reasons.orderBy("reason").collect()]
+        return self.reasons if isinstance(self.reasons, list) else [
+            r[0] for r in self.reasons.orderBy("reason").collect()
+        ]
 
     def order_ids(self) -> DataFrame:
         return self.keys.where("entity_type = 'ORDER'").select(F.col("source_id").alias("order_id"))
@@ -56,15 +58,22 @@ def date_windows(dates: DataFrame, day_col: str = "day") -> DataFrame:
     d = dates.select(F.col(day_col).alias("d")).where("d IS NOT NULL").distinct()
     # Days fall into years first, so that no task numbers all of them; runs that meet at a year's end are joined after.
     y = d.withColumn("y", F.year("d"))
-    run = y.withColumn("k", F.date_sub("d", F.row_number().over(Window.partitionBy("y").orderBy("d")))).groupBy("y", "k").agg(F.min("d").alias("start"), F.date_add(F.max("d"), 1).alias("end"))
+    run = y.withColumn(
+        "k", F.date_sub("d", F.row_number().over(Window.partitionBy("y").orderBy("d")))
+    ).groupBy("y", "k").agg(F.min("d").alias("start"), F.date_add(F.max("d"), 1).alias("end"))
     w = Window.orderBy("start")
-    run = run.withColumn("new", F.coalesce((F.col("start") != F.lag("end").over(w)).cast("int"), F.lit(1))).withColumn("g", F.sum("new").over(w))
+    run = run.withColumn(
+        "new", F.coalesce((F.col("start") != F.lag("end").over(w)).cast("int"), F.lit(1))
+    ).withColumn("g", F.sum("new").over(w))
     return run.groupBy("g").agg(F.min("start").alias("start"), F.max("end").alias("end_exclusive")).drop("g")
 
 
 def utc_windows(windows: DataFrame) -> DataFrame:
     """Windows as instants of business days."""
-    return windows.select("start", "end_exclusive", business_day_bounds(F.col("start"))[0].alias("start_utc"), business_day_bounds(F.col("end_exclusive"))[0].alias("end_utc"))
+    return windows.select(
+        "start", "end_exclusive", business_day_bounds(F.col("start"))[0].alias("start_utc"),
+        business_day_bounds(F.col("end_exclusive"))[0].alias("end_utc")
+    )
 
 
 def _node(entity: str | Column, key: Column) -> Column:
@@ -80,7 +89,9 @@ def _edges(r: DataFrame) -> DataFrame:
         F.when((kind == "PAYMENT") & there("order_id"), _node("ORDER", F.col("order_id"))),
         F.when(kind.isin("REFUND", "FEE") & there("payment_id"), _node("PAYMENT", F.col("payment_id"))),
         F.when((kind == "SETTLEMENT_LINE") & there("payout_id"), _node("PAYOUT", F.col("payout_id"))),
-        F.when((kind == "SETTLEMENT_LINE") & there("movement_id") & moved.isNotNull(), _node(moved, F.col("movement_id"))),
+        F.when(
+            (kind == "SETTLEMENT_LINE") & there("movement_id") & moved.isNotNull(), _node(moved, F.col("movement_id"))
+        ),
         F.when(kind.isin("PAYMENT", "REFUND"), _node("DAY", F.col("available_on").cast("string"))),
         F.when(kind == "PAYOUT", _node("DAY", F.col("payout_date").cast("string"))),
     ]
@@ -95,14 +106,33 @@ def _issues(r: DataFrame) -> DataFrame:
     found = [
         F.when((kind == "PAYMENT") & gone("order_id"), "MISSING_RELATIONSHIP_ID"),
         F.when(kind.isin("REFUND", "FEE") & gone("payment_id"), "MISSING_RELATIONSHIP_ID"),
-        F.when((kind == "SETTLEMENT_LINE") & (gone("payout_id") | (F.col("movement_type").isin(*_MOVEMENT) & gone("movement_id"))), "MISSING_RELATIONSHIP_ID"),
-        F.when((kind == "SETTLEMENT_LINE") & ~F.coalesce(F.col("movement_type").isin(*_MOVEMENT), F.lit(False)), "MOVEMENT_TYPE_UNRESOLVED"),
-        F.when((kind == "PAYMENT") & (F.col("status") == "CAPTURED") & F.col("available_on").isNull(), "CAPTURE_DATE_UNRESOLVED"),
-        F.when((kind == "REFUND") & (F.col("status") == "SUCCEEDED") & F.col("available_on").isNull(), "REFUND_DATE_UNRESOLVED"),
+        F.when(
+            (kind == "SETTLEMENT_LINE") & (
+                gone("payout_id") | (F.col("movement_type").isin(*_MOVEMENT) & gone("movement_id"))
+            ),
+            "MISSING_RELATIONSHIP_ID"
+        ),
+        F.when(
+            (kind == "SETTLEMENT_LINE") & ~F.coalesce(F.col("movement_type").isin(*_MOVEMENT), F.lit(False)),
+            "MOVEMENT_TYPE_UNRESOLVED"
+        ),
+        F.when(
+            (kind == "PAYMENT") & (F.col("status") == "CAPTURED") & F.col("available_on").isNull(),
+            "CAPTURE_DATE_UNRESOLVED"
+        ),
+        F.when(
+            (kind == "REFUND") & (F.col("status") == "SUCCEEDED") & F.col("available_on").isNull(),
+            "REFUND_DATE_UNRESOLVED"
+        ),
         F.when((kind == "PAYOUT") & F.col("payout_date").isNull(), "PAYOUT_DATE_UNRESOLVED"),
-        F.when(~kind.isin("ORDER", "PAYMENT", "REFUND", "FEE", "SETTLEMENT_LINE", "PAYOUT"), "ENTITY_IMPACT_UNSUPPORTED"),
+        F.when(
+            ~kind.isin("ORDER", "PAYMENT", "REFUND", "FEE", "SETTLEMENT_LINE", "PAYOUT"), "ENTITY_IMPACT_UNSUPPORTED"
+        ),
     ]
-    return r.select(_node(kind, F.col("source_id")).alias("node"), F.explode(F.filter(F.array(*found), lambda x: x.isNotNull())).alias("reason"))
+    return r.select(
+        _node(kind, F.col("source_id")).alias("node"),
+        F.explode(F.filter(F.array(*found), lambda x: x.isNotNull())).alias("reason")
+    )
 
 
 def closure(edges: DataFrame, seeds: DataFrame) -> DataFrame:
@@ -110,13 +140,21 @@ def closure(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     edges = saved(edges)
     seen = frontier = saved(seeds.select("node").distinct())
     while True:
-        new = saved(frontier.join(edges, frontier["node"] == edges["u"]).select(F.col("v").alias("node")).distinct().join(seen, "node", "left_anti"))
+        new = saved(
+            frontier.join(
+                edges, frontier["node"] == edges["u"]
+            ).select(F.col("v").alias("node")).distinct().join(seen, "node", "left_anti")
+        )
         if new.isEmpty():
             return seen
         seen, frontier = seen.unionByName(new), new
 
 
-FIELDS = {"entity_type": "string", "source_id": "string", "status": "string", "order_id": "string", "payment_id": "string", "payout_id": "string", "movement_type": "string", "movement_id": "string", "available_on": "date", "payout_date": "date"}
+FIELDS = {
+    "entity_type": "string", "source_id": "string", "status": "string", "order_id": "string", "payment_id": "string",
+    "payout_id": "string", "movement_type": "string", "movement_id": "string", "available_on": "date",
+    "payout_date": "date"
+}
 
 
 def impact_records(frames: dict[str, DataFrame], ids: dict[str, str]) -> DataFrame:
@@ -124,11 +162,21 @@ def impact_records(frames: dict[str, DataFrame], ids: dict[str, str]) -> DataFra
     out = []
     for entity, df in frames.items():
         given = {"entity_type": F.lit(entity), "source_id": F.col(ids[entity])}
-        out.append(df.select(*[given.get(c, F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c) for c, t in FIELDS.items()]))
+        out.append(
+            df.select(
+                *[
+                    given.get(c, F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c) for c,
+                    t in FIELDS.items()
+                ]
+            )
+        )
     return reduce(lambda a, b: a.unionByName(b), out)
 
 
-def plan(before: DataFrame, after: DataFrame, changed: DataFrame, change_kind: str, canonical_changed: bool = True, completeness_changed: bool = False) -> Plan:
+def plan(
+    before: DataFrame, after: DataFrame, changed: DataFrame, change_kind: str, canonical_changed: bool = True,
+    completeness_changed: bool = False
+) -> Plan:
     """What to rebuild after a change; anything that cannot be bounded asks for a full rebuild."""
     if completeness_changed:
         return Plan("FULL", ["REPORT_COMPLETENESS_CHANGED"])
@@ -140,14 +188,24 @@ def plan(before: DataFrame, after: DataFrame, changed: DataFrame, change_kind: s
     nodes = closure(_edges(records), changed.select(_node(F.col("entity_type"), F.col("source_id")).alias("node")))
     own = records.select(_node(F.col("entity_type"), F.col("source_id")).alias("node")).distinct()
     day = F.startswith("node", F.lit("DAY:"))
-    missing = nodes.where(~day).join(own, "node", "left_anti").select(F.concat(F.lit("RELATED_RECORD_MISSING:"), "node").alias("reason"))
+    missing = nodes.where(~day).join(own, "node", "left_anti").select(
+        F.concat(F.lit("RELATED_RECORD_MISSING:"), "node").alias("reason")
+    )
     reasons = _issues(records).join(nodes, "node", "left_semi").select("reason").unionByName(missing).distinct()
     reasons = saved(reasons.select("reason"))
-    keys = nodes.where(~day).select(F.regexp_extract("node", r"^([^:]*):", 1).alias("entity_type"), F.regexp_extract("node", r"^[^:]*:(.*)$", 1).alias("source_id"))
+    keys = nodes.where(~day).select(
+        F.regexp_extract("node", r"^([^:]*):", 1).alias("entity_type"),
+        F.regexp_extract("node", r"^[^:]*:(.*)$", 1).alias("source_id")
+    )
     dates = nodes.where(day).select(F.substring("node", 5, 10).cast("date").alias("day"))
     return Plan("WINDOWS" if reasons.isEmpty() else "FULL", reasons, keys, dates)
 
 
 def restrict(frames: dict[str, DataFrame], p: Plan, ids: dict[str, str]) -> dict[str, DataFrame]:
     """The records that a windowed rebuild must read: those in the plan's closure."""
-    return {e: df.join(p.keys.where(F.col("entity_type") == e).select(F.col("source_id").alias(ids[e])), ids[e], "left_semi") for e, df in frames.items()}
+    return {
+        e: df.join(
+            p.keys.where(F.col("entity_type") == e).select(F.col("source_id").alias(ids[e])), ids[e], "left_semi"
+        ) for e,
+        df in frames.items()
+    }

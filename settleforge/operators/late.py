@@ -15,7 +15,9 @@ NEW, CORRECTION, CONFLICT, DUPLICATE, STALE = "NEW_RECORD", "CORRECTION", "CONFL
 _DATES = "array<date>"
 
 
-def resolve_impact(records: DataFrame, payments: DataFrame, payouts: DataFrame, orders_by_creation: bool = False) -> DataFrame:
+def resolve_impact(
+    records: DataFrame, payments: DataFrame, payouts: DataFrame, orders_by_creation: bool = False
+) -> DataFrame:
     """Dates that each record affects, or why they are unknown.
 
     ``records``: entity_type, source_id, and as far as the entity has them
@@ -28,9 +30,15 @@ def resolve_impact(records: DataFrame, payments: DataFrame, payouts: DataFrame,
     df = records.join(p, F.col("payment_id") == F.col("_p"), "left").join(o, F.col("payout_id") == F.col("_o"), "left")
     kind = F.col("entity_type")
     order = business_date(F.col("created_at_utc")) if orders_by_creation else F.lit(None).cast("date")
-    day = F.when(kind.isin("PAYMENT", "REFUND"), F.col("available_on")).when(kind == "FEE", F.col("_pay_on")).when(kind == "SETTLEMENT_LINE", F.col("_out_on")).when(kind == "PAYOUT", F.col("payout_date")).when(kind == "ORDER", order)
-    why = F.when(kind.isin("PAYMENT", "REFUND"), F.concat(kind, F.lit(" has no available_on date"))).when(kind == "FEE", "FEE needs its payment's available_on date").when(kind == "SETTLEMENT_LINE", "SETTLEMENT_LINE needs its payout's date").when(kind == "PAYOUT", "PAYOUT has no payout_date").when(kind == "ORDER", "ORDER has no effective date").otherwise(F.concat(F.lit("unsupported entity type "), kind))
-    df = df.withColumn("affected_date", day).withColumn("unresolved_reason", F.when(F.col("affected_date").isNull(), why))
+    day = F.when(kind.isin("PAYMENT", "REFUND"), F.col("available_on")).when(kind == "FEE", F.col("_pay_on")).when(
+        kind == "SETTLEMENT_LINE", F.col("_out_on")
+    ).when(kind == "PAYOUT", F.col("payout_date")).when(kind == "ORDER", order)
+    why = F.when(
+        kind.isin("PAYMENT", "REFUND"), F.concat(kind, F.lit(" has no available_on date"))
+    ).when(kind == "FEE", "FEE needs its payment's available_on date").when(kind == "SETTLEMENT_LINE", "SETTLEMENT_LINE needs its payout's date").when(kind == "PAYOUT", "PAYOUT has no payout_date").when(kind == "ORDER", "ORDER has no effective date").otherwise(F.concat(F.lit("unsupported entity type "), kind))
+    df = df.withColumn("affected_date", day).withColumn(
+        "unresolved_reason", F.when(F.col("affected_date").isNull(), why)
+    )
     return df.drop("_p", "_o", "_pay_on", "_out_on")
 
 
@@ -41,8 +49,13 @@ def candidates(changes: DataFrame, impacts: DataFrame) -> DataFrame:
     received_at_utc, change_kind; ``impacts``: receipt_id, affected_date,
     unresolved_reason of the incoming and, if there is one, the previous record.
     """
-    i = impacts.groupBy("receipt_id").agg(F.array_sort(F.collect_set("affected_date")).alias("affected_dates"), F.array_sort(F.collect_set("unresolved_reason")).alias("_why"))
-    df = changes.join(i, "receipt_id", "left").withColumn("affected_dates", F.coalesce("affected_dates", F.array().cast(_DATES)))
+    i = impacts.groupBy("receipt_id").agg(
+        F.array_sort(F.collect_set("affected_date")).alias("affected_dates"),
+        F.array_sort(F.collect_set("unresolved_reason")).alias("_why")
+    )
+    df = changes.join(i, "receipt_id", "left").withColumn(
+        "affected_dates", F.coalesce("affected_dates", F.array().cast(_DATES))
+    )
     return df.withColumn("unresolved_reason", F.when(F.size("_why") > 0, F.array_join("_why", "; "))).drop("_why")
 
 
@@ -55,11 +68,26 @@ def classify(cands: DataFrame, run_id: Column, watermark: Column, covered_throug
     """
     historical = F.filter("affected_dates", lambda d: d <= covered_through)
     df = cands.withColumn("historical_dates", historical)
-    kind = F.when(F.col("change_kind").isin(DUPLICATE, STALE), "NO_LOGICAL_CHANGE").when(F.col("received_at_utc") <= watermark, "WITHIN_WATERMARK").when(F.col("unresolved_reason").isNotNull(), "UNRESOLVED_IMPACT").when(F.size("historical_dates") == 0, "FUTURE_IMPACT")
-    kind = kind.when(F.col("change_kind") == CORRECTION, "LATE_CORRECTION").when(F.col("change_kind") == CONFLICT, "LATE_CONFLICT").otherwise("LATE_NEW_FACT")
-    df = df.withColumns({"classification": kind, "boundary_run_id": run_id, "input_watermark_utc": watermark, "covered_through_date": covered_through})
+    kind = F.when(
+        F.col("change_kind").isin(DUPLICATE, STALE), "NO_LOGICAL_CHANGE"
+    ).when(F.col("received_at_utc") <= watermark, "WITHIN_WATERMARK").when(F.col("unresolved_reason").isNotNull(), "UNRESOLVED_IMPACT").when(F.size("historical_dates") == 0, "FUTURE_IMPACT")
+    kind = kind.when(
+        F.col("change_kind") == CORRECTION, "LATE_CORRECTION"
+    ).when(F.col("change_kind") == CONFLICT, "LATE_CONFLICT").otherwise("LATE_NEW_FACT")
+    df = df.withColumns(
+        {
+            "classification": kind, "boundary_run_id": run_id, "input_watermark_utc": watermark,
+            "covered_through_date": covered_through
+        }
+    )
     late = F.startswith("classification", F.lit("LATE_"))
-    return df.withColumns({"is_late": late, "requires_reprocessing": late | (F.col("classification") == "UNRESOLVED_IMPACT"), "arrived_after_watermark": F.col("received_at_utc") > watermark, "arrival_delay_seconds": delay_seconds(F.col("received_at_utc"), watermark)})
+    return df.withColumns(
+        {
+            "is_late": late, "requires_reprocessing": late | (F.col("classification") == "UNRESOLVED_IMPACT"),
+            "arrived_after_watermark": F.col("received_at_utc") > watermark,
+            "arrival_delay_seconds": delay_seconds(F.col("received_at_utc"), watermark)
+        }
+    )
 
 
 def change_kinds(receipts: DataFrame, known: DataFrame) -> DataFrame:
@@ -69,7 +97,11 @@ def change_kinds(receipts: DataFrame, known: DataFrame) -> DataFrame:
     version, other payload: a conflict; lower version: stale; no entity yet: new.
     """
     who = ["source_system", "entity_type", "source_id"]
-    top = known.groupBy(*who).agg(F.max("source_version").alias("_top"), F.max_by("payload_hash", "source_version").alias("_hash"))
+    top = known.groupBy(*who).agg(
+        F.max("source_version").alias("_top"), F.max_by("payload_hash", "source_version").alias("_hash")
+    )
     df = receipts.join(top, who, "left")
-    kind = F.when(F.col("_top").isNull(), NEW).when(F.col("source_version") > F.col("_top"), CORRECTION).when(F.col("source_version") < F.col("_top"), STALE).when(F.col("payload_hash") == F.col("_hash"), DUPLICATE).otherwise(CONFLICT)
+    kind = F.when(F.col("_top").isNull(), NEW).when(F.col("source_version") > F.col("_top"), CORRECTION).when(
+        F.col("source_version") < F.col("_top"), STALE
+    ).when(F.col("payload_hash") == F.col("_hash"), DUPLICATE).otherwise(CONFLICT)
     return df.withColumn("change_kind", kind).drop("_top", "_hash")

@@ -16,7 +16,10 @@ from ..sources.ledger import Ledger
 from .checkpoints import saved
 from .recovery import Queue, Request
 
-_RECEIPT = ("delivery_key", "receipt_id", "source_system", "entity_type", "source_id", "source_version", "payload_hash", "received_at_utc")
+_RECEIPT = (
+    "delivery_key", "receipt_id", "source_system", "entity_type", "source_id", "source_version", "payload_hash",
+    "received_at_utc"
+)
 _EMPTY = "delivery_key string, receipt_id string, source_system string, entity_type string, source_id string, source_version long, payload_hash string, received_at_utc timestamp"
 
 
@@ -44,15 +47,21 @@ def lost_evidence(ledger: Ledger, as_of) -> DataFrame:
     n = rows.groupBy("delivery_key", "source_system", "entity_type").agg(F.count(F.lit(1)).alias("n"))
     both = b.join(n, "delivery_key", "left")
     foreign = (F.col("entity_type") != F.col("entity")) | (F.col("source_system") != F.col("system"))
-    by = both.groupBy("delivery_key", "observed_row_count").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.bool_or(foreign).alias("foreign"))
-    problem = F.when(F.col("n") != F.col("observed_row_count"), "ROWS_NOT_CONSERVED").when(F.col("foreign"), "IDENTITY_MISMATCH")
+    by = both.groupBy("delivery_key", "observed_row_count").agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.bool_or(foreign).alias("foreign")
+    )
+    problem = F.when(
+        F.col("n") != F.col("observed_row_count"), "ROWS_NOT_CONSERVED"
+    ).when(F.col("foreign"), "IDENTITY_MISMATCH")
     return by.select("delivery_key", problem.alias("problem")).where("problem IS NOT NULL")
 
 
 def input_fingerprint(ledger: Ledger, as_of) -> str:
     """A digest of what a rebuild as of an instant reads; equal inputs in any order have equal ones."""
     stable = [c for c in _RECEIPT if c != "received_at_utc"]
-    q = ledger.quarantine().where(F.col("received_at_utc") <= F.lit(as_of).cast("timestamp")).select("delivery_key", "receipt_id", "reason_code")
+    q = ledger.quarantine().where(
+        F.col("received_at_utc") <= F.lit(as_of).cast("timestamp")
+    ).select("delivery_key", "receipt_id", "reason_code")
     parts = [fingerprint(envelopes(ledger, as_of).select(*stable)).first()[0], fingerprint(q).first()[0]]
     return ledger.spark.range(1).select(F.sha2(F.lit("|".join(parts)), 256)).first()[0]
 
@@ -70,7 +79,11 @@ def rebuild(ledger: Ledger, run_id: str, as_of, *, expected_days: DataFrame | No
     receipts = saved(canonical.unique_receipts(envelopes(ledger, as_of)))
     current = ledger.current(as_of)
     none = lambda e: ledger.spark.createDataFrame([], record_type(e))
-    frames = [saved(current[e]) if e in current else none(e) for e in ("ORDER", "PAYMENT", "REFUND", "FEE", "SETTLEMENT_LINE", "PAYOUT")]
+    frames = [
+        saved(current[e]) if e in current else none(e) for e in (
+            "ORDER", "PAYMENT", "REFUND", "FEE", "SETTLEMENT_LINE", "PAYOUT"
+        )
+    ]
     done = None
     if expected_days is not None:
         days = completeness.stored_completeness(ledger.stored_batches(), expected_days, F.lit(as_of).cast("timestamp"))
@@ -80,7 +93,9 @@ def rebuild(ledger: Ledger, run_id: str, as_of, *, expected_days: DataFrame | No
     return reconcile(Inputs(*frames, done, canonical.conflicts(receipts), q), run_id, as_of, check=done is not None)
 
 
-def ingest(ledger: Ledger, queue: Queue, deliveries: DataFrame, received_at: datetime) -> tuple[DataFrame, list[Request]]:
+def ingest(
+    ledger: Ledger, queue: Queue, deliveries: DataFrame, received_at: datetime
+) -> tuple[DataFrame, list[Request]]:
     """Store sound deliveries and ask for one rebuild each; returns findings of all deliveries and the new requests.
 
     Requests are made for every committed batch that has none, so a crash after

@@ -15,7 +15,10 @@ from datetime import datetime, timedelta, timezone
 
 from .store import FileSystem
 
-FAILURE_POINTS = ("after_claim", "after_build", "after_validate", "after_rows", "before_pointer", "after_pointer", "before_complete", "after_commit")
+FAILURE_POINTS = (
+    "after_claim", "after_build", "after_validate", "after_rows", "before_pointer", "after_pointer", "before_complete",
+    "after_commit"
+)
 
 
 class InjectedFailure(RuntimeError):
@@ -89,7 +92,10 @@ class Queue:
     def requests(self) -> list[Request]:
         return [r for n in self.files.names("queue") if n.endswith(".json") and (r := self.get(n[:-5]))]
 
-    def enqueue(self, change_key: str, reason_code: str, as_of: datetime, *, canonical_changed: bool = True, affects_history: bool = True, **options) -> Request | None:
+    def enqueue(
+        self, change_key: str, reason_code: str, as_of: datetime, *, canonical_changed: bool = True,
+        affects_history: bool = True, **options
+    ) -> Request | None:
         """A request for a change, one a change key; None where nothing has to be rebuilt."""
         if not (canonical_changed and affects_history):
             return None
@@ -179,9 +185,14 @@ def inspect(queue: Queue, request_id: str, published: Callable[[str], bool] = la
     try:
         r = queue.get(request_id)
     except OSError:
-        return Observation(request_id, None, "CHECK_AGAIN", "the control log could not be read; read it again before deciding")
+        return Observation(
+            request_id, None, "CHECK_AGAIN", "the control log could not be read; read it again before deciding"
+        )
     if r is None:
-        return Observation(request_id, None, "INVESTIGATE_MISSING_REQUEST", "there is no such request; look at the delivery that should have made it")
+        return Observation(
+            request_id, None, "INVESTIGATE_MISSING_REQUEST",
+            "there is no such request; look at the delivery that should have made it"
+        )
     if r.source_batch_status != "COMMITTED":
         raise QueueError("the request does not rest on committed evidence")
     if r.status == "SUCCEEDED":
@@ -191,7 +202,9 @@ def inspect(queue: Queue, request_id: str, published: Callable[[str], bool] = la
     if r.status == "FAILED":
         if r.result_run_id or not r.completed_at_utc or not r.last_error:
             raise QueueError("a failed request is inconsistent")
-        return Observation(request_id, r.status, "MANUAL_REQUEUE", "attempts are used up; mend the cause, then grant more")
+        return Observation(
+            request_id, r.status, "MANUAL_REQUEUE", "attempts are used up; mend the cause, then grant more"
+        )
     if r.status != "PENDING" or r.result_run_id or r.completed_at_utc or r.attempt_count >= r.max_attempts:
         raise QueueError("a pending request is inconsistent")
     if _time(r.next_attempt_at_utc) <= queue.clock():
@@ -202,7 +215,10 @@ def inspect(queue: Queue, request_id: str, published: Callable[[str], bool] = la
 class Worker:
     """Claims a request, builds a result as of its cutoff, publishes it and completes the request."""
 
-    def __init__(self, queue: Queue, store, build: Callable, hook: Callable[[str], None] = lambda point: None, owner: str = "worker"):
+    def __init__(
+        self, queue: Queue, store, build: Callable, hook: Callable[[str], None] = lambda point: None,
+        owner: str = "worker"
+    ):
         self.queue, self.store, self.build, self.hook, self.owner = queue, store, build, hook, owner
 
     def run_next(self) -> str | None:
@@ -230,7 +246,9 @@ class Worker:
         return run_id
 
 
-def drain(worker: Worker, *, max_requests: int = 10, max_seconds: float = 300.0, clock: Callable[[], float] = time.monotonic) -> dict:
+def drain(
+    worker: Worker, *, max_requests: int = 10, max_seconds: float = 300.0, clock: Callable[[], float] = time.monotonic
+) -> dict:
     """Run due requests until none is due or a bound is met."""
     if max_requests < 1 or max_seconds <= 0:
         raise ValueError("bounds must be positive")

@@ -39,7 +39,11 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--control", required=True, help="folder of the queue")
     p.add_argument("--results", required=True, help="folder of published results")
     p.add_argument("--ledger", required=True, help="folder of the ingestion ledger")
-    p.add_argument("--builder", default=f"{__name__}:stored_evidence" if __name__ != "__main__" else "settleforge.plans.runner:stored_evidence", help="module:function called with the session and the ledger folder; returns what makes a result of (run_id, as_of)")
+    p.add_argument(
+        "--builder",
+        default=f"{__name__}:stored_evidence" if __name__ != "__main__" else "settleforge.plans.runner:stored_evidence",
+        help="module:function called with the session and the ledger folder; returns what makes a result of (run_id, as_of)"
+    )
     p.add_argument("--max-requests", type=int, default=10)
     p.add_argument("--max-seconds", type=float, default=300.0)
     args = p.parse_args(argv)

@@ -25,7 +25,9 @@ from ..schemas import REPORTS
 from ..sources.validate import validate
 from .checkpoints import saved
 
-MODES = ("VALID", "MISSING", "DATA_ONLY", "MANIFEST_ONLY", "INVALID_MANIFEST", "ROW_COUNT_MISMATCH", "CHECKSUM_MISMATCH")
+MODES = (
+    "VALID", "MISSING", "DATA_ONLY", "MANIFEST_ONLY", "INVALID_MANIFEST", "ROW_COUNT_MISMATCH", "CHECKSUM_MISMATCH"
+)
 
 
 class ScenarioError(ValueError):
@@ -75,12 +77,19 @@ def read_rows(doc: dict) -> dict[str, list[tuple[str, str]]]:
         rows = []
         for n, row in enumerate(doc.get("inputs", {}).get(report, []), 1):
             wrapped = isinstance(row, dict) and set(row) == {"receipt_id", "payload"}
-            rows.append((row["receipt_id"] if wrapped else f"{report}.json:{n}", json.dumps(row["payload"] if wrapped else row, ensure_ascii=False)))
+            rows.append(
+                (
+                    row["receipt_id"] if wrapped else f"{report}.json:{n}",
+                    json.dumps(row["payload"] if wrapped else row, ensure_ascii=False)
+                )
+            )
         out[report] = rows
     return out
 
 
-def report_evidence(spark: SparkSession, doc: dict, rows: dict[str, list[tuple[str, str]]], day: str, as_of: datetime) -> DataFrame:
+def report_evidence(
+    spark: SparkSession, doc: dict, rows: dict[str, list[tuple[str, str]]], day: str, as_of: datetime
+) -> DataFrame:
     """Evidence of each report from its mode; reports that the file does not name are missing."""
     out = []
     for report, given in doc.get("reports", {}).items():
@@ -94,11 +103,21 @@ def report_evidence(spark: SparkSession, doc: dict, rows: dict[str, list[tuple[s
         received = _time(given.get("received_at_utc", as_of.isoformat()), f"{report}.received_at_utc")
         generated = _time(given.get("generated_at_utc", received.isoformat()), f"{report}.generated_at_utc")
         batch, system = given.get("batch_id", f"{doc['scenario_id']}-{report}-{day}"), REPORTS[report][1]
-        n, sha = len(rows[report]), hashlib.sha256(json.dumps([json.loads(p) for _, p in rows[report]], sort_keys=True, separators=(",", ":")).encode()).hexdigest()
+        n, sha = len(rows[report]), hashlib.sha256(
+            json.dumps([json.loads(p) for _, p in rows[report]], sort_keys=True, separators=(",", ":")).encode()
+        ).hexdigest()
         date = datetime.fromisoformat(day).date()
         data = mode != "MANIFEST_ONLY"
         manifest, sound = mode != "DATA_ONLY", mode not in ("DATA_ONLY", "INVALID_MANIFEST")
-        out.append((report, date, data, batch, system, report, date, received, n, sha, manifest, None if sound or not manifest else "not valid", *((batch, system, report, date) if sound else (None,) * 4), received, generated if sound else None, n + (mode == "ROW_COUNT_MISMATCH") if sound else None, ("0" * 64 if mode == "CHECKSUM_MISMATCH" else sha) if sound else None))
+        out.append(
+            (
+                report, date, data, batch, system, report, date, received, n, sha, manifest,
+                None if sound or not manifest else "not valid",
+                *((batch, system, report, date) if sound else (None,) * 4), received, generated if sound else None,
+                n + (mode == "ROW_COUNT_MISMATCH") if sound else None,
+                ("0" * 64 if mode == "CHECKSUM_MISMATCH" else sha) if sound else None
+            )
+        )
     return spark.createDataFrame(out, completeness.EVIDENCE.replace("\n", " "))
 
 
@@ -123,9 +142,14 @@ def run_scenario(spark: SparkSession, path: str | Path | dict) -> Outcome:
     receipts, quarantine = saved(receipts), saved(quarantine)
     frames = {e: saved(df) for e, df in canonical.current_frames(receipts, typed).items()}
     days = spark.createDataFrame([(datetime.fromisoformat(day).date(),)], "business_date date")
-    done = completeness.evaluate(completeness.spine(spark, days), report_evidence(spark, doc, rows, day, as_of), F.lit(as_of).cast("timestamp"))
+    done = completeness.evaluate(
+        completeness.spine(spark, days), report_evidence(spark, doc, rows, day, as_of), F.lit(as_of).cast("timestamp")
+    )
     done = saved(done)
-    i = Inputs(frames["ORDER"], frames["PAYMENT"], frames["REFUND"], frames["FEE"], frames["SETTLEMENT_LINE"], frames["PAYOUT"], done, canonical.conflicts(receipts), quarantine.drop("receipt_id"))
+    i = Inputs(
+        frames["ORDER"], frames["PAYMENT"], frames["REFUND"], frames["FEE"], frames["SETTLEMENT_LINE"],
+        frames["PAYOUT"], done, canonical.conflicts(receipts), quarantine.drop("receipt_id")
+    )
     run_id = doc.get("run_id", f"scenario-{doc['scenario_id']}")
     result = reconcile(i, run_id, as_of)
     view = {
@@ -144,9 +168,21 @@ def run_scenario(spark: SparkSession, path: str | Path | dict) -> Outcome:
 
 def _plain(df: DataFrame) -> list[dict]:
     """Rows as JSON values: money and dates as text; in a fixed order."""
-    kinds = {f.name: f.dataType for f in df.schema.fields if f.name not in ("run_id", "contract_version", "detected_at_utc", "status")}
-    cols = [F.col(n).cast("string").alias(n) if isinstance(k, (T.DecimalType, T.DateType, T.TimestampType)) else F.col(n) for n, k in kinds.items()]
-    return sorted((r.asDict(recursive=True) for r in df.select(*cols).collect()), key=lambda r: json.dumps(r, sort_keys=True, default=str))
+    kinds = {
+        f.name: f.dataType for f in df.schema.fields if f.name not in (
+            "run_id", "contract_version", "detected_at_utc", "status"
+        )
+    }
+    cols = [
+        F.col(n).cast("string").alias(n) if isinstance(
+            k, (T.DecimalType, T.DateType, T.TimestampType)
+        ) else F.col(n) for n,
+        k in kinds.items()
+    ]
+    return sorted(
+        (r.asDict(recursive=True) for r in df.select(*cols).collect()),
+        key=lambda r: json.dumps(r, sort_keys=True, default=str)
+    )
 
 
 def _difference(name: str, want, got: list[dict]) -> list[str]:

@@ -46,7 +46,10 @@ def _inputs(spark: SparkSession, sf_dir: str, settled: bool = True) -> reconcile
 
 def _rule(f, spark: SparkSession, sf_dir: str) -> DataFrame:
     """A rule's rows without what only the merging needs; supports as one text."""
-    return f(fixtures.inputs(spark, sf_dir)).select("entity_id", "expected_amount", "actual_amount", "variance", F.array_join("supporting_source_record_ids", ",").alias("supports"))
+    return f(fixtures.inputs(spark, sf_dir)).select(
+        "entity_id", "expected_amount", "actual_amount", "variance",
+        F.array_join("supporting_source_record_ids", ",").alias("supports")
+    )
 
 
 def _money(x: str) -> str:
@@ -58,7 +61,9 @@ def _exc(entity: str, expected: str, actual: str, supports: str, source: str) ->
     return f"SELECT {entity} AS entity_id, {_money(expected)} AS expected_amount, {_money(actual)} AS actual_amount, {_money(var)} AS variance, {supports} AS supports FROM {source}"
 
 
-_PAY, _ORD, _FEE, _REF = ("'provider:PAYMENT:' || {}", "'shop:ORDER:' || {}", "'provider:FEE:' || {}", "'provider:REFUND:' || {}")
+_PAY, _ORD, _FEE, _REF = (
+    "'provider:PAYMENT:' || {}", "'shop:ORDER:' || {}", "'provider:FEE:' || {}", "'provider:REFUND:' || {}"
+)
 _LIST = "(SELECT string_agg(DISTINCT x, ',' ORDER BY x) FROM unnest({}) t(x))"
 
 
@@ -67,21 +72,32 @@ _LIST = "(SELECT string_agg(DISTINCT x, ',' ORDER BY x) FROM unnest({}) t(x))"
 
 @query("SELECT receipt_id, disposition FROM ev")
 def evidence_dispositions(spark, sf_dir):
-    return canonical.evidence(canonical.unique_receipts(fixtures.payment_receipts(spark, sf_dir))).select("receipt_id", "disposition")
+    return canonical.evidence(
+        canonical.unique_receipts(fixtures.payment_receipts(spark, sf_dir))
+    ).select("receipt_id", "disposition")
 
 
 @query("SELECT payment_id, receipt_id, source_version, payload_hash, amount FROM pay")
 def canonical_payments(spark, sf_dir):
-    return canonical.canonical(fixtures.payment_receipts(spark, sf_dir)).select("payment_id", "receipt_id", "source_version", "payload_hash", "amount")
+    return canonical.canonical(fixtures.payment_receipts(spark, sf_dir)).select(
+        "payment_id", "receipt_id", "source_version", "payload_hash", "amount"
+    )
 
 
-@query("SELECT payment_id AS source_id, source_version, string_agg(DISTINCT payload_hash, ',' ORDER BY payload_hash) AS payload_hashes, string_agg(DISTINCT receipt_id, ',' ORDER BY receipt_id) AS receipt_ids FROM ev WHERE disposition = 'CONFLICTED' GROUP BY 1, 2")
+@query(
+    "SELECT payment_id AS source_id, source_version, string_agg(DISTINCT payload_hash, ',' ORDER BY payload_hash) AS payload_hashes, string_agg(DISTINCT receipt_id, ',' ORDER BY receipt_id) AS receipt_ids FROM ev WHERE disposition = 'CONFLICTED' GROUP BY 1, 2"
+)
 def version_conflicts(spark, sf_dir):
     out = canonical.conflicts(fixtures.payment_receipts(spark, sf_dir))
-    return out.select("source_id", "source_version", F.array_join("payload_hashes", ",").alias("payload_hashes"), F.array_join("receipt_ids", ",").alias("receipt_ids"))
+    return out.select(
+        "source_id", "source_version", F.array_join("payload_hashes", ",").alias("payload_hashes"),
+        F.array_join("receipt_ids", ",").alias("receipt_ids")
+    )
 
 
-@query("SELECT count(*) AS unique_receipts, count(*) FILTER (disposition = 'ACCEPTED') AS accepted, count(*) FILTER (disposition = 'STALE') AS stale, count(*) FILTER (disposition = 'DUPLICATE') AS duplicate, count(*) FILTER (disposition = 'CONFLICTED') AS conflicted, 0::BIGINT AS quarantined FROM ev")
+@query(
+    "SELECT count(*) AS unique_receipts, count(*) FILTER (disposition = 'ACCEPTED') AS accepted, count(*) FILTER (disposition = 'STALE') AS stale, count(*) FILTER (disposition = 'DUPLICATE') AS duplicate, count(*) FILTER (disposition = 'CONFLICTED') AS conflicted, 0::BIGINT AS quarantined FROM ev"
+)
 def evidence_counts(spark, sf_dir):
     return canonical.evidence_counts(canonical.evidence(fixtures.payment_receipts(spark, sf_dir)))
 
@@ -95,7 +111,9 @@ def receipt_dedup(spark, sf_dir):
 @query("SELECT receipt_id FROM receipts WHERE l_partkey % 50 = 0")
 def reused_receipts(spark, sf_dir):
     r = fixtures.payment_receipts(spark, sf_dir)
-    return canonical.reused_receipts(r.unionByName(r.where("l_partkey % 50 = 0").withColumn("payload_hash", F.lit("other"))))
+    return canonical.reused_receipts(
+        r.unionByName(r.where("l_partkey % 50 = 0").withColumn("payload_hash", F.lit("other")))
+    )
 
 
 # --- rules ---------------------------------------------------------------------------------------
@@ -103,25 +121,47 @@ def reused_receipts(spark, sf_dir):
 
 @query("SELECT payment_id, payment_method, amount, fee AS expected_fee FROM cap")
 def expected_fees(spark, sf_dir):
-    return reconcile.payment_fees(fixtures.inputs(spark, sf_dir)).select("payment_id", "payment_method", "amount", "expected_fee")
+    return reconcile.payment_fees(fixtures.inputs(spark, sf_dir)).select(
+        "payment_id", "payment_method", "amount", "expected_fee"
+    )
 
 
-@query(_exc("payment_id", "NULL", "amount", _PAY.format("payment_id"), "cap WHERE order_id NOT IN (SELECT order_id FROM ord)"))
+@query(
+    _exc(
+        "payment_id", "NULL", "amount", _PAY.format("payment_id"),
+        "cap WHERE order_id NOT IN (SELECT order_id FROM ord)"
+    )
+)
 def orphan_payments(spark, sf_dir):
     return _rule(reconcile.orphan_payments, spark, sf_dir)
 
 
-@query(_exc("order_id", "0.00", "amount", f"{_PAY.format('payment_id')} || ',' || {_ORD.format('order_id')}", "cap WHERE order_id IN (SELECT order_id FROM ord WHERE status = 'CANCELLED')"))
+@query(
+    _exc(
+        "order_id", "0.00", "amount", f"{_PAY.format('payment_id')} || ',' || {_ORD.format('order_id')}",
+        "cap WHERE order_id IN (SELECT order_id FROM ord WHERE status = 'CANCELLED')"
+    )
+)
 def captures_on_cancelled(spark, sf_dir):
     return _rule(reconcile.captures_on_cancelled, spark, sf_dir)
 
 
-@query(_exc("refund_id", "NULL", "amount", _REF.format("refund_id"), "ref WHERE payment_id NOT IN (SELECT payment_id FROM cap)"))
+@query(
+    _exc(
+        "refund_id", "NULL", "amount", _REF.format("refund_id"),
+        "ref WHERE payment_id NOT IN (SELECT payment_id FROM cap)"
+    )
+)
 def orphan_refunds(spark, sf_dir):
     return _rule(reconcile.orphan_refunds, spark, sf_dir)
 
 
-@query(_exc("cap.payment_id", "cap.amount", "t", f"{_PAY.format('cap.payment_id')} || ',' || refs", f"cap JOIN (SELECT payment_id, sum(amount) AS t, string_agg({_REF.format('refund_id')}, ',' ORDER BY refund_id) AS refs FROM ref GROUP BY 1) r ON r.payment_id = cap.payment_id WHERE t > cap.amount"))
+@query(
+    _exc(
+        "cap.payment_id", "cap.amount", "t", f"{_PAY.format('cap.payment_id')} || ',' || refs",
+        f"cap JOIN (SELECT payment_id, sum(amount) AS t, string_agg({_REF.format('refund_id')}, ',' ORDER BY refund_id) AS refs FROM ref GROUP BY 1) r ON r.payment_id = cap.payment_id WHERE t > cap.amount"
+    )
+)
 def excess_refunds(spark, sf_dir):
     return _rule(reconcile.excess_refunds, spark, sf_dir)
 
@@ -131,17 +171,29 @@ def missing_fees(spark, sf_dir):
     return _rule(reconcile.missing_fees, spark, sf_dir)
 
 
-@query(_exc("payment_id", "fee", "fee_total", f"{_FEE.format('fee_id')} || ',' || {_PAY.format('payment_id')}", "capfee WHERE n_fees > 0 AND fee_total <> fee"))
+@query(
+    _exc(
+        "payment_id", "fee", "fee_total", f"{_FEE.format('fee_id')} || ',' || {_PAY.format('payment_id')}",
+        "capfee WHERE n_fees > 0 AND fee_total <> fee"
+    )
+)
 def fee_mismatches(spark, sf_dir):
     return _rule(reconcile.fee_mismatches, spark, sf_dir)
 
 
-@query(_exc("fee_id", "0.00", "amount", _FEE.format("fee_id"), "fee WHERE payment_id NOT IN (SELECT payment_id FROM cap)"))
+@query(
+    _exc("fee_id", "0.00", "amount", _FEE.format("fee_id"), "fee WHERE payment_id NOT IN (SELECT payment_id FROM cap)")
+)
 def unexpected_fees(spark, sf_dir):
     return _rule(reconcile.unexpected_fees, spark, sf_dir)
 
 
-@query(_exc("refund_id", "NULL", "NULL", f"{_PAY.format('ref.payment_id')} || ',' || {_REF.format('refund_id')}", "ref JOIN cap ON cap.payment_id = ref.payment_id WHERE currency <> 'EUR'"))
+@query(
+    _exc(
+        "refund_id", "NULL", "NULL", f"{_PAY.format('ref.payment_id')} || ',' || {_REF.format('refund_id')}",
+        "ref JOIN cap ON cap.payment_id = ref.payment_id WHERE currency <> 'EUR'"
+    )
+)
 def refund_currency_mismatches(spark, sf_dir):
     return _rule(reconcile.refund_currency, spark, sf_dir)
 
@@ -154,24 +206,40 @@ _TOT = """, tot AS MATERIALIZED (SELECT o.order_id, o.status, o.order_total, CAS
 _OSUP = "array_to_string(list_append(pays, 'shop:ORDER:' || order_id), ',')"
 
 
-@query(_TOT + _exc("order_id", "order_total", "0.00", _ORD.format("order_id"), "tot WHERE status = 'PAID' AND captured_payment_count = 0"))
+@query(
+    _TOT + _exc(
+        "order_id", "order_total", "0.00", _ORD.format("order_id"),
+        "tot WHERE status = 'PAID' AND captured_payment_count = 0"
+    )
+)
 def missing_payments(spark, sf_dir):
     return _rule(reconcile.missing_payments, spark, sf_dir)
 
 
-@query(_TOT + _exc("order_id", "order_total", "captured_total", _OSUP, "tot WHERE status = 'PAID' AND captured_payment_count > 0 AND captured_total <> order_total"))
+@query(
+    _TOT + _exc(
+        "order_id", "order_total", "captured_total", _OSUP,
+        "tot WHERE status = 'PAID' AND captured_payment_count > 0 AND captured_total <> order_total"
+    )
+)
 def payment_mismatches(spark, sf_dir):
     return _rule(reconcile.payment_mismatches, spark, sf_dir)
 
 
-@query(_TOT + _exc("order_id", "1.00", "captured_payment_count", _OSUP, "tot WHERE status = 'PAID' AND captured_payment_count > 1"))
+@query(
+    _TOT + _exc(
+        "order_id", "1.00", "captured_payment_count", _OSUP, "tot WHERE status = 'PAID' AND captured_payment_count > 1"
+    )
+)
 def multiple_captures(spark, sf_dir):
     return _rule(reconcile.multiple_captures, spark, sf_dir)
 
 
 @query("SELECT movement_type, movement_id, available_on, signed_amount FROM mov")
 def expected_movements(spark, sf_dir):
-    return reconcile.expected_movements(fixtures.inputs(spark, sf_dir, saved, settled=False)).drop("supporting_source_record_ids")
+    return reconcile.expected_movements(
+        fixtures.inputs(spark, sf_dir, saved, settled=False)
+    ).drop("supporting_source_record_ids")
 
 
 _DUP = "SELECT movement_type || ':' || movement_id AS k, count(*) AS n, list(DISTINCT 'provider:SETTLEMENT_LINE:' || settlement_line_id) AS refs, list(DISTINCT payout_id) AS outs FROM line GROUP BY 1 HAVING count(*) > 1"
@@ -190,12 +258,22 @@ _SET = """, sup AS (SELECT 'CAPTURE' AS t, payment_id AS m, ['provider:PAYMENT:'
   LEFT JOIN own ON own.payout_id = out.payout_id AND own.movement_type = mov.movement_type AND own.movement_id = mov.movement_id JOIN sup ON sup.t = mov.movement_type AND sup.m = mov.movement_id)"""
 
 
-@query(_SET + _exc("movement_type || ':' || movement_id", "signed_amount", "0.00", "array_to_string(list_sort(s), ',')", "st WHERE n = 0"))
+@query(
+    _SET + _exc(
+        "movement_type || ':' || movement_id", "signed_amount", "0.00", "array_to_string(list_sort(s), ',')",
+        "st WHERE n = 0"
+    )
+)
 def missing_settlement_lines(spark, sf_dir):
     return _rule(reconcile.missing_settlement_lines, spark, sf_dir)
 
 
-@query(_SET + _exc("l", "e", "a", "array_to_string(list_sort(list_append(s, 'provider:SETTLEMENT_LINE:' || l)), ',')", "(SELECT st.*, coalesce(-fee.amount, signed_amount) AS e FROM st LEFT JOIN fee ON movement_type = 'FEE' AND fee_id = movement_id WHERE n = 1) WHERE a <> e"))
+@query(
+    _SET + _exc(
+        "l", "e", "a", "array_to_string(list_sort(list_append(s, 'provider:SETTLEMENT_LINE:' || l)), ',')",
+        "(SELECT st.*, coalesce(-fee.amount, signed_amount) AS e FROM st LEFT JOIN fee ON movement_type = 'FEE' AND fee_id = movement_id WHERE n = 1) WHERE a <> e"
+    )
+)
 def line_amount_mismatches(spark, sf_dir):
     return _rule(reconcile.line_amount_mismatches, spark, sf_dir)
 
@@ -205,7 +283,13 @@ _OUT = """, pt AS MATERIALIZED (SELECT out.*, coalesce(lt, 0)::DECIMAL(18,2) AS
   LEFT JOIN (SELECT available_on AS d, sum(signed_amount) AS et, count(*) AS en FROM mov GROUP BY 1) ON d = payout_date)"""
 
 
-@query(_OUT + _exc("payout_id", "reported_line_total", "reported_net_amount", "array_to_string(list_sort(list_append(refs, 'provider:PAYOUT:' || payout_id)), ',')", "pt WHERE reported_net_amount <> reported_line_total"))
+@query(
+    _OUT + _exc(
+        "payout_id", "reported_line_total", "reported_net_amount",
+        "array_to_string(list_sort(list_append(refs, 'provider:PAYOUT:' || payout_id)), ',')",
+        "pt WHERE reported_net_amount <> reported_line_total"
+    )
+)
 def payout_total_mismatches(spark, sf_dir):
     return _rule(reconcile.payout_total_mismatches, spark, sf_dir)
 
@@ -224,7 +308,9 @@ _TCODES = """, tc AS (SELECT order_id, 'CAPTURE_FOR_NON_PAYABLE_ORDER' AS c FROM
   successful_refund_count, successful_refund_total, expected_fee_total, reported_fee_total, (captured_total - successful_refund_total - expected_fee_total)::DECIMAL(18,2) AS lifetime_net_collection,
   CASE WHEN codes IS NULL THEN 'RECONCILED' ELSE 'EXCEPTION' END AS state, coalesce(codes, '') AS exception_codes FROM tot LEFT JOIN tcodes ON k = order_id""")
 def transaction_reconciliation(spark, sf_dir):
-    return reconcile.transactions(_inputs(spark, sf_dir, settled=False)).withColumn("exception_codes", F.array_join("exception_codes", ","))
+    return reconcile.transactions(_inputs(spark, sf_dir, settled=False)).withColumn(
+        "exception_codes", F.array_join("exception_codes", ",")
+    )
 
 
 _PCODES = f""", pc AS (SELECT unnest(outs) AS payout_id, 'DUPLICATE_SETTLEMENT_MOVEMENT' AS c FROM ({_DUP}) UNION ALL SELECT payout_id, 'MISSING_SETTLEMENT_LINE' FROM st WHERE n = 0
@@ -241,39 +327,97 @@ def payout_reconciliation(spark, sf_dir):
 
 
 _EXC = [
-    ("payment.order_exists", "ORPHAN_PAYMENT", "PAYMENT", "payment_id", "NULL", "amount", "cap WHERE order_id NOT IN (SELECT order_id FROM ord)"),
-    ("payment.order_is_payable", "CAPTURE_FOR_NON_PAYABLE_ORDER", "ORDER", "order_id", "0.00", "arg_max(amount, payment_id)", "cap WHERE order_id IN (SELECT order_id FROM ord WHERE status = 'CANCELLED') GROUP BY order_id"),
-    ("refund.captured_payment_exists", "ORPHAN_REFUND", "REFUND", "refund_id", "NULL", "amount", "ref WHERE payment_id NOT IN (SELECT payment_id FROM cap)"),
-    ("refund.currency_matches_payment", "REFUND_CURRENCY_MISMATCH", "REFUND", "refund_id", "NULL", "NULL", "ref JOIN cap ON cap.payment_id = ref.payment_id WHERE currency <> 'EUR'"),
-    ("refund.total_within_capture", "EXCESS_REFUND", "PAYMENT", "payment_id", "amount", "t", "cap JOIN (SELECT payment_id AS p, sum(amount) AS t FROM ref GROUP BY 1) ON p = payment_id WHERE t > amount"),
+    (
+        "payment.order_exists", "ORPHAN_PAYMENT", "PAYMENT", "payment_id", "NULL", "amount",
+        "cap WHERE order_id NOT IN (SELECT order_id FROM ord)"
+    ),
+    (
+        "payment.order_is_payable", "CAPTURE_FOR_NON_PAYABLE_ORDER", "ORDER", "order_id", "0.00",
+        "arg_max(amount, payment_id)",
+        "cap WHERE order_id IN (SELECT order_id FROM ord WHERE status = 'CANCELLED') GROUP BY order_id"
+    ),
+    (
+        "refund.captured_payment_exists", "ORPHAN_REFUND", "REFUND", "refund_id", "NULL", "amount",
+        "ref WHERE payment_id NOT IN (SELECT payment_id FROM cap)"
+    ),
+    (
+        "refund.currency_matches_payment", "REFUND_CURRENCY_MISMATCH", "REFUND", "refund_id", "NULL", "NULL",
+        "ref JOIN cap ON cap.payment_id = ref.payment_id WHERE currency <> 'EUR'"
+    ),
+    (
+        "refund.total_within_capture", "EXCESS_REFUND", "PAYMENT", "payment_id", "amount", "t",
+        "cap JOIN (SELECT payment_id AS p, sum(amount) AS t FROM ref GROUP BY 1) ON p = payment_id WHERE t > amount"
+    ),
     ("fee.processing_fee_exists", "MISSING_FEE", "PAYMENT", "payment_id", "fee", "0.00", "capfee WHERE n_fees = 0"),
-    ("fee.amount_matches_schedule", "FEE_MISMATCH", "PAYMENT", "payment_id", "fee", "fee_total", "capfee WHERE n_fees > 0 AND fee_total <> fee"),
-    ("fee.belongs_to_capture", "UNEXPECTED_FEE", "FEE", "fee_id", "0.00", "amount", "fee WHERE payment_id NOT IN (SELECT payment_id FROM cap)"),
-    ("order.payment_exists", "MISSING_PAYMENT", "ORDER", "order_id", "order_total", "0.00", "tot WHERE status = 'PAID' AND captured_payment_count = 0"),
-    ("order.collection_matches_total", "PAYMENT_AMOUNT_MISMATCH", "ORDER", "order_id", "order_total", "captured_total", "tot WHERE status = 'PAID' AND captured_payment_count > 0 AND captured_total <> order_total"),
-    ("order.maximum_one_capture", "MULTIPLE_CAPTURE", "ORDER", "order_id", "1.00", "captured_payment_count", "tot WHERE status = 'PAID' AND captured_payment_count > 1"),
-    ("settlement.unique_movement_allocation", "DUPLICATE_SETTLEMENT_MOVEMENT", "SETTLEMENT_MOVEMENT", "k", "NULL", "n", f"({_DUP})"),
-    ("settlement.expected_movement_exists", "MISSING_SETTLEMENT_LINE", "EXPECTED_MOVEMENT", "movement_type || ':' || movement_id", "signed_amount", "0.00", "st WHERE n = 0"),
-    ("settlement.amount_matches_reported_source_movement", "SETTLEMENT_LINE_AMOUNT_MISMATCH", "SETTLEMENT_LINE", "l", "e", "a", "(SELECT st.*, coalesce(-fee.amount, signed_amount) AS e FROM st LEFT JOIN fee ON movement_type = 'FEE' AND fee_id = movement_id WHERE n = 1) WHERE a <> e"),
-    ("payout.header_matches_settlement_lines", "PAYOUT_TOTAL_MISMATCH", "PAYOUT", "payout_id", "reported_line_total", "reported_net_amount", "pt WHERE reported_net_amount <> reported_line_total"),
+    (
+        "fee.amount_matches_schedule", "FEE_MISMATCH", "PAYMENT", "payment_id", "fee", "fee_total",
+        "capfee WHERE n_fees > 0 AND fee_total <> fee"
+    ),
+    (
+        "fee.belongs_to_capture", "UNEXPECTED_FEE", "FEE", "fee_id", "0.00", "amount",
+        "fee WHERE payment_id NOT IN (SELECT payment_id FROM cap)"
+    ),
+    (
+        "order.payment_exists", "MISSING_PAYMENT", "ORDER", "order_id", "order_total", "0.00",
+        "tot WHERE status = 'PAID' AND captured_payment_count = 0"
+    ),
+    (
+        "order.collection_matches_total", "PAYMENT_AMOUNT_MISMATCH", "ORDER", "order_id", "order_total",
+        "captured_total", "tot WHERE status = 'PAID' AND captured_payment_count > 0 AND captured_total <> order_total"
+    ),
+    (
+        "order.maximum_one_capture", "MULTIPLE_CAPTURE", "ORDER", "order_id", "1.00", "captured_payment_count",
+        "tot WHERE status = 'PAID' AND captured_payment_count > 1"
+    ),
+    (
+        "settlement.unique_movement_allocation", "DUPLICATE_SETTLEMENT_MOVEMENT", "SETTLEMENT_MOVEMENT", "k", "NULL",
+        "n", f"({_DUP})"
+    ),
+    (
+        "settlement.expected_movement_exists", "MISSING_SETTLEMENT_LINE", "EXPECTED_MOVEMENT",
+        "movement_type || ':' || movement_id", "signed_amount", "0.00", "st WHERE n = 0"
+    ),
+    (
+        "settlement.amount_matches_reported_source_movement", "SETTLEMENT_LINE_AMOUNT_MISMATCH", "SETTLEMENT_LINE", "l",
+        "e", "a",
+        "(SELECT st.*, coalesce(-fee.amount, signed_amount) AS e FROM st LEFT JOIN fee ON movement_type = 'FEE' AND fee_id = movement_id WHERE n = 1) WHERE a <> e"
+    ),
+    (
+        "payout.header_matches_settlement_lines", "PAYOUT_TOTAL_MISMATCH", "PAYOUT", "payout_id", "reported_line_total",
+        "reported_net_amount", "pt WHERE reported_net_amount <> reported_line_total"
+    ),
 ]
-_ALL = " UNION ALL ".join(f"SELECT '{r}' AS rule_id, '{c}' AS exception_type, '{t}' AS entity_type, {e} AS entity_id, {_money(x)} AS expected_amount, {_money(a)} AS actual_amount, {_money('NULL' if 'NULL' in (x, a) else f'({a}) - ({x})')} AS variance FROM {s}" for r, c, t, e, x, a, s in _EXC)
+_ALL = " UNION ALL ".join(
+    f"SELECT '{r}' AS rule_id, '{c}' AS exception_type, '{t}' AS entity_type, {e} AS entity_id, {_money(x)} AS expected_amount, {_money(a)} AS actual_amount, {_money('NULL' if 'NULL' in (x, a) else f'({a}) - ({x})')} AS variance FROM {s}" for r,
+    c, t, e, x, a, s in _EXC
+)
 
 
 @query(_TOT + _SET + _OUT + _ALL)
 def exceptions_all(spark, sf_dir):
-    return reconcile.merge_exceptions(reconcile.all_exceptions(_inputs(spark, sf_dir))).drop("supporting_source_record_ids")
+    return reconcile.merge_exceptions(
+        reconcile.all_exceptions(_inputs(spark, sf_dir))
+    ).drop("supporting_source_record_ids")
 
 
 # --- sources, dates, late data, publication ------------------------------------------------------
 
 
-@query("SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS id, count(*) AS n, CASE WHEN l_partkey % 5 = 0 THEN 'INVALID_AMOUNT' WHEN l_partkey % 5 = 1 THEN 'INVALID_TYPE' WHEN l_partkey % 5 = 2 THEN 'UNSUPPORTED_CURRENCY' END AS reason_code FROM lineitem WHERE l_partkey % 5 < 3 GROUP BY 1, 3", base=None)
+@query(
+    "SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS id, count(*) AS n, CASE WHEN l_partkey % 5 = 0 THEN 'INVALID_AMOUNT' WHEN l_partkey % 5 = 1 THEN 'INVALID_TYPE' WHEN l_partkey % 5 = 2 THEN 'UNSUPPORTED_CURRENCY' END AS reason_code FROM lineitem WHERE l_partkey % 5 < 3 GROUP BY 1, 3",
+    base=None
+)
 def quarantine_reasons(spark, sf_dir):
     """Payouts made of all lines, with planted faults, through the validator."""
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     k = F.col("l_partkey") % 5
-    row = F.struct(F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("payout_id"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("payout_date"), F.when(k == 2, "USD").otherwise("EUR").alias("currency"), F.when(k == 0, "1.5").otherwise("1.50").alias("reported_net_amount"), F.when(k == 1, F.lit("1")).otherwise(F.lit("#")).alias("source_version"))
+    row = F.struct(
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("payout_id"),
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("payout_date"),
+        F.when(k == 2, "USD").otherwise("EUR").alias("currency"),
+        F.when(k == 0, "1.5").otherwise("1.50").alias("reported_net_amount"),
+        F.when(k == 1, F.lit("1")).otherwise(F.lit("#")).alias("source_version")
+    )
     text = F.replace(F.to_json(row), F.lit('"#"'), F.lit("1"))
     _, bad = validate(li.select(text.alias("payload")), "PAYOUT")
     return bad.groupBy(F.col("source_id").alias("id"), "reason_code").agg(F.count(F.lit(1)).alias("n"))
@@ -283,10 +427,22 @@ def quarantine_reasons(spark, sf_dir):
 _AT, _ON = "'1995-01-01T10:00:00Z'", "'1995-01-02'"
 _FIELDS = {
     "ORDER": ("order_id", f"'created_at_utc', {_AT}, 'status', if(k = 4, 'LOST', 'PAID'), 'order_total', amount"),
-    "PAYMENT": ("payment_id", f"'order_id', 'o', 'attempt_number', 1, 'payment_method', if(k = 4, 'CASH', 'CARD'), 'status', 'CAPTURED', 'amount', amount, 'effective_at_utc', {_AT}, 'available_on', {_ON}"),
-    "REFUND": ("refund_id", f"'payment_id', 'p', 'status', if(k = 4, 'LOST', 'SUCCEEDED'), 'amount', amount, 'effective_at_utc', {_AT}, 'available_on', {_ON}"),
-    "FEE": ("fee_id", f"'payment_id', 'p', 'fee_type', if(k = 4, 'GIFT', 'PROCESSING'), 'amount', amount, 'effective_at_utc', {_AT}, 'available_on', {_ON}"),
-    "SETTLEMENT_LINE": ("settlement_line_id", "'payout_id', 'p', 'movement_type', if(k = 4, 'GIFT', 'CAPTURE'), 'movement_id', 'm', 'signed_amount', amount"),
+    "PAYMENT": (
+        "payment_id",
+        f"'order_id', 'o', 'attempt_number', 1, 'payment_method', if(k = 4, 'CASH', 'CARD'), 'status', 'CAPTURED', 'amount', amount, 'effective_at_utc', {_AT}, 'available_on', {_ON}"
+    ),
+    "REFUND": (
+        "refund_id",
+        f"'payment_id', 'p', 'status', if(k = 4, 'LOST', 'SUCCEEDED'), 'amount', amount, 'effective_at_utc', {_AT}, 'available_on', {_ON}"
+    ),
+    "FEE": (
+        "fee_id",
+        f"'payment_id', 'p', 'fee_type', if(k = 4, 'GIFT', 'PROCESSING'), 'amount', amount, 'effective_at_utc', {_AT}, 'available_on', {_ON}"
+    ),
+    "SETTLEMENT_LINE": (
+        "settlement_line_id",
+        "'payout_id', 'p', 'movement_type', if(k = 4, 'GIFT', 'CAPTURE'), 'movement_id', 'm', 'signed_amount', amount"
+    ),
 }
 _VERDICTS = ("UNSUPPORTED_CURRENCY", "INVALID_VALUE", "INVALID_AMOUNT", "MISSING_FIELD", "INVALID_VALUE", "VALID")
 
@@ -294,10 +450,17 @@ _VERDICTS = ("UNSUPPORTED_CURRENCY", "INVALID_VALUE", "INVALID_AMOUNT", "MISSING
 def _parsed(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     """Verdict on each line's record of an entity."""
     key, fields = _FIELDS[entity]
-    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr("concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS id", "int(l_partkey % 6) AS k", "if(l_partkey % 6 = 2, '1.5', '1.50') AS amount").distinct()
-    row = F.expr(f"named_struct('{key}', id, {fields}, 'currency', CASE k WHEN 0 THEN 'USD' WHEN 3 THEN NULL ELSE 'EUR' END, 'source_version', if(k = 1, 0, 1))")
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr(
+        "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS id", "int(l_partkey % 6) AS k",
+        "if(l_partkey % 6 = 2, '1.5', '1.50') AS amount"
+    ).distinct()
+    row = F.expr(
+        f"named_struct('{key}', id, {fields}, 'currency', CASE k WHEN 0 THEN 'USD' WHEN 3 THEN NULL ELSE 'EUR' END, 'source_version', if(k = 1, 0, 1))"
+    )
     good, bad = validate(li.select(F.to_json(row).alias("payload")), entity)
-    return good.select("source_id", F.lit("VALID").alias("verdict")).unionByName(bad.select("source_id", F.col("reason_code").alias("verdict")))
+    return good.select("source_id", F.lit("VALID").alias("verdict")).unionByName(
+        bad.select("source_id", F.col("reason_code").alias("verdict"))
+    )
 
 
 def _parser(entity: str) -> None:
@@ -308,16 +471,24 @@ def _parser(entity: str) -> None:
 
     run.__name__ = f"parsed_{entity.lower()}s"
     verdicts = " ".join(f"WHEN {k} THEN '{v}'" for k, v in enumerate(_VERDICTS))
-    query(f"SELECT DISTINCT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS source_id, CASE l_partkey % 6 {verdicts} END AS verdict FROM lineitem", base=None)(run)
+    query(
+        f"SELECT DISTINCT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS source_id, CASE l_partkey % 6 {verdicts} END AS verdict FROM lineitem",
+        base=None
+    )(run)
 
 
 for _entity in _FIELDS:
     _parser(_entity)
 
 
-@query("SELECT DISTINCT l_extendedprice::DECIMAL(18,2)::VARCHAR AS raw, l_extendedprice::DECIMAL(18,2) AS amount FROM lineitem", base=None)
+@query(
+    "SELECT DISTINCT l_extendedprice::DECIMAL(18,2)::VARCHAR AS raw, l_extendedprice::DECIMAL(18,2) AS amount FROM lineitem",
+    base=None
+)
 def parsed_money(spark, sf_dir):
-    raw = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.col("l_extendedprice").cast("decimal(18,2)").cast("string").alias("raw")).distinct()
+    raw = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        F.col("l_extendedprice").cast("decimal(18,2)").cast("string").alias("raw")
+    ).distinct()
     return raw.select("raw", money.parse_money(F.col("raw")).alias("amount"))
 
 
@@ -330,13 +501,18 @@ _DUE = f"(CASE WHEN timezone('Europe/Berlin', timezone('UTC', {_LATER} - INTERVA
 
 
 def _days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderdate").cast("date").alias("business_date")).distinct()
+    return spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        F.col("o_orderdate").cast("date").alias("business_date")
+    ).distinct()
 
 
 @query(f"SELECT report_type, business_date, {_DUE} AS deadline_at_utc FROM {_DAYS}, {_REPORTS}", base=None)
 def report_deadlines(spark, sf_dir):
     df = completeness.spine(spark, _days(spark, sf_dir))
-    return df.select("report_type", "business_date", times.deadline(F.col("report_type"), F.col("business_date")).cast("timestamp_ntz").alias("deadline_at_utc"))
+    return df.select(
+        "report_type", "business_date",
+        times.deadline(F.col("report_type"), F.col("business_date")).cast("timestamp_ntz").alias("deadline_at_utc")
+    )
 
 
 def _evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -346,13 +522,23 @@ def _evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("k")
     wrong = lambda n, right, other: F.when(k == n, other).otherwise(F.col(right))
     data = {
-        "has_data": k != 0, "data_batch": F.lit("b"), "data_source": wrong(11, "source_system", "elsewhere"), "data_report": wrong(12, "report_type", "other"),
-        "data_date": wrong(1, "business_date", F.date_add("business_date", 1)), "data_received": at, "data_rows": F.lit(5).cast("long"), "data_sha256": F.lit("s"),
+        "has_data": k != 0, "data_batch": F.lit("b"), "data_source": wrong(
+            11, "source_system", "elsewhere"
+        ), "data_report": wrong(12, "report_type", "other"),
+        "data_date": wrong(
+            1, "business_date", F.date_add("business_date", 1)
+        ), "data_received": at, "data_rows": F.lit(5).cast("long"), "data_sha256": F.lit("s"),
     }
     manifest = {
-        "has_manifest": (k != 0) & (k != 2), "m_error": F.when(k == 3, "broken"), "m_batch": F.when(k == 4, "c").otherwise("b"), "m_source": wrong(7, "source_system", "elsewhere"),
-        "m_report": wrong(8, "report_type", "other"), "m_date": wrong(9, "business_date", F.date_add("business_date", 1)), "m_received": at,
-        "m_generated": F.when(k == 10, at + F.expr("INTERVAL 1 SECOND")).otherwise(at), "m_rows": F.when(k == 5, 6).otherwise(5).cast("long"), "m_sha256": F.when(k == 6, "t").otherwise("s"),
+        "has_manifest": (k != 0) & (k != 2), "m_error": F.when(k == 3, "broken"), "m_batch": F.when(k == 4, "c").otherwise("b"), "m_source": wrong(
+            7, "source_system", "elsewhere"
+        ),
+        "m_report": wrong(8, "report_type", "other"), "m_date": wrong(
+            9, "business_date", F.date_add("business_date", 1)
+        ), "m_received": at,
+        "m_generated": F.when(
+            k == 10, at + F.expr("INTERVAL 1 SECOND")
+        ).otherwise(at), "m_rows": F.when(k == 5, 6).otherwise(5).cast("long"), "m_sha256": F.when(k == 6, "t").otherwise("s"),
     }
     return df.select("report_type", "business_date", *[c.alias(n) for n, c in (data | manifest).items()])
 
@@ -368,79 +554,138 @@ _STATE = f"""SELECT source_system, report_type, business_date, codes AS issue_co
 
 
 def _completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return completeness.evaluate(completeness.spine(spark, _days(spark, sf_dir)), _evidence(spark, sf_dir), F.lit(_AS_OF).cast("timestamp"))
+    return completeness.evaluate(
+        completeness.spine(spark, _days(spark, sf_dir)), _evidence(spark, sf_dir), F.lit(_AS_OF).cast("timestamp")
+    )
 
 
 @query(_STATE, base=None)
 def completeness_spine(spark, sf_dir):
-    return _completeness(spark, sf_dir).select("source_system", "report_type", "business_date", F.array_join("issue_codes", ",").alias("issue_codes"), "state")
+    return _completeness(spark, sf_dir).select(
+        "source_system", "report_type", "business_date", F.array_join("issue_codes", ",").alias("issue_codes"), "state"
+    )
 
 
-@query(f"SELECT report_type, business_date, state FROM (SELECT *, row_number() OVER (PARTITION BY report_type ORDER BY CASE state WHEN 'INCOMPLETE' THEN 0 WHEN 'PENDING' THEN 1 ELSE 2 END, business_date) AS n FROM ({_STATE})) WHERE n = 1", base=None)
+@query(
+    f"SELECT report_type, business_date, state FROM (SELECT *, row_number() OVER (PARTITION BY report_type ORDER BY CASE state WHEN 'INCOMPLETE' THEN 0 WHEN 'PENDING' THEN 1 ELSE 2 END, business_date) AS n FROM ({_STATE})) WHERE n = 1",
+    base=None
+)
 def worst_completeness(spark, sf_dir):
     return completeness.worst_by_report(_completeness(spark, sf_dir)).select("report_type", "business_date", "state")
 
 
-@query(f"SELECT arg_max(state, CASE state WHEN 'INCOMPLETE' THEN 2 WHEN 'PENDING' THEN 1 ELSE 0 END) AS state FROM ({_STATE})", base=None)
+@query(
+    f"SELECT arg_max(state, CASE state WHEN 'INCOMPLETE' THEN 2 WHEN 'PENDING' THEN 1 ELSE 0 END) AS state FROM ({_STATE})",
+    base=None
+)
 def overall_completeness(spark, sf_dir):
     return completeness.overall(_completeness(spark, sf_dir))
 
 
-@query(f"SELECT 'SOURCE_REPORT' AS entity_type, source_system || ':' || report_type || ':' || business_date AS entity_id, CASE WHEN issue_codes IN ('DATA_FILE_MISSING,MANIFEST_MISSING', 'MANIFEST_MISSING') THEN 'SOURCE_REPORT_MISSING' ELSE 'SOURCE_REPORT_INVALID' END AS exception_type FROM ({_STATE}) WHERE state = 'INCOMPLETE'", base=None)
+@query(
+    f"SELECT 'SOURCE_REPORT' AS entity_type, source_system || ':' || report_type || ':' || business_date AS entity_id, CASE WHEN issue_codes IN ('DATA_FILE_MISSING,MANIFEST_MISSING', 'MANIFEST_MISSING') THEN 'SOURCE_REPORT_MISSING' ELSE 'SOURCE_REPORT_INVALID' END AS exception_type FROM ({_STATE}) WHERE state = 'INCOMPLETE'",
+    base=None
+)
 def completeness_exceptions(spark, sf_dir):
-    return completeness.completeness_exceptions(_completeness(spark, sf_dir)).select("entity_type", "entity_id", "exception_type")
+    return completeness.completeness_exceptions(_completeness(spark, sf_dir)).select(
+        "entity_type", "entity_id", "exception_type"
+    )
 
 
-@query("SELECT receipt_id, change_kind, strftime(d, '%Y-%m-%d') AS affected_dates, CASE WHEN change_kind IN ('EXACT_DUPLICATE', 'STALE_VERSION') THEN 'NO_LOGICAL_CHANGE' WHEN received <= TIMESTAMP '1995-06-17' THEN 'WITHIN_WATERMARK' WHEN d > DATE '1995-12-31' THEN 'FUTURE_IMPACT' WHEN change_kind = 'CORRECTION' THEN 'LATE_CORRECTION' WHEN change_kind = 'CONFLICT' THEN 'LATE_CONFLICT' ELSE 'LATE_NEW_FACT' END AS classification, greatest(0, date_diff('second', TIMESTAMP '1995-06-17', received)) AS arrival_delay_seconds FROM (SELECT receipt_id, available_on AS d, (available_on - 3)::TIMESTAMP + to_hours(5) AS received, CASE source_version WHEN 1 THEN 'NEW_RECORD' WHEN 2 THEN 'CORRECTION' ELSE CASE WHEN l_partkey % 2 = 0 THEN 'CONFLICT' ELSE 'EXACT_DUPLICATE' END END AS change_kind FROM receipts)")
+@query(
+    "SELECT receipt_id, change_kind, strftime(d, '%Y-%m-%d') AS affected_dates, CASE WHEN change_kind IN ('EXACT_DUPLICATE', 'STALE_VERSION') THEN 'NO_LOGICAL_CHANGE' WHEN received <= TIMESTAMP '1995-06-17' THEN 'WITHIN_WATERMARK' WHEN d > DATE '1995-12-31' THEN 'FUTURE_IMPACT' WHEN change_kind = 'CORRECTION' THEN 'LATE_CORRECTION' WHEN change_kind = 'CONFLICT' THEN 'LATE_CONFLICT' ELSE 'LATE_NEW_FACT' END AS classification, greatest(0, date_diff('second', TIMESTAMP '1995-06-17', received)) AS arrival_delay_seconds FROM (SELECT receipt_id, available_on AS d, (available_on - 3)::TIMESTAMP + to_hours(5) AS received, CASE source_version WHEN 1 THEN 'NEW_RECORD' WHEN 2 THEN 'CORRECTION' ELSE CASE WHEN l_partkey % 2 = 0 THEN 'CONFLICT' ELSE 'EXACT_DUPLICATE' END END AS change_kind FROM receipts)"
+)
 def late_classification(spark, sf_dir):
     r = fixtures.payment_receipts(spark, sf_dir)
-    kind = F.when(F.col("source_version") == 1, late.NEW).when(F.col("source_version") == 2, late.CORRECTION).when(F.col("l_partkey") % 2 == 0, late.CONFLICT).otherwise(late.DUPLICATE)
-    c = r.select("receipt_id", "entity_type", "source_id", "source_version", (F.date_sub("available_on", 3).cast("timestamp") + F.expr("INTERVAL 5 HOURS")).alias("received_at_utc"), kind.alias("change_kind"), F.col("available_on").alias("affected_date"), F.lit(None).cast("string").alias("unresolved_reason"))
-    cand = late.candidates(c.drop("affected_date", "unresolved_reason"), c.select("receipt_id", "affected_date", "unresolved_reason"))
-    out = late.classify(cand, F.lit("run"), F.lit("1995-06-17 00:00:00").cast("timestamp"), F.lit("1995-12-31").cast("date"))
-    return out.select("receipt_id", "change_kind", F.array_join(F.transform("affected_dates", lambda d: d.cast("string")), ",").alias("affected_dates"), "classification", "arrival_delay_seconds")
-
-
-@query("SELECT 'FEE' AS entity_type, fee_id AS source_id, available_on AS affected_date, CASE WHEN available_on IS NULL THEN 'FEE needs its payment''s available_on date' END AS unresolved_reason FROM fee LEFT JOIN cap ON cap.payment_id = fee.payment_id UNION ALL SELECT 'SETTLEMENT_LINE', settlement_line_id, payout_date, CASE WHEN payout_date IS NULL THEN 'SETTLEMENT_LINE needs its payout''s date' END FROM line LEFT JOIN out ON out.payout_id = line.payout_id")
+    kind = F.when(F.col("source_version") == 1, late.NEW).when(
+        F.col("source_version") == 2, late.CORRECTION
+    ).when(F.col("l_partkey") % 2 == 0, late.CONFLICT).otherwise(late.DUPLICATE)
+    c = r.select(
+        "receipt_id", "entity_type", "source_id", "source_version",
+        (F.date_sub("available_on", 3).cast("timestamp") + F.expr("INTERVAL 5 HOURS")).alias("received_at_utc"),
+        kind.alias("change_kind"), F.col("available_on").alias("affected_date"),
+        F.lit(None).cast("string").alias("unresolved_reason")
+    )
+    cand = late.candidates(
+        c.drop("affected_date", "unresolved_reason"), c.select("receipt_id", "affected_date", "unresolved_reason")
+    )
+    out = late.classify(
+        cand, F.lit("run"), F.lit("1995-06-17 00:00:00").cast("timestamp"), F.lit("1995-12-31").cast("date")
+    )
+    return out.select(
+        "receipt_id", "change_kind",
+        F.array_join(F.transform("affected_dates", lambda d: d.cast("string")), ",").alias("affected_dates"),
+        "classification", "arrival_delay_seconds"
+    )
+
+
+@query(
+    "SELECT 'FEE' AS entity_type, fee_id AS source_id, available_on AS affected_date, CASE WHEN available_on IS NULL THEN 'FEE needs its payment''s available_on date' END AS unresolved_reason FROM fee LEFT JOIN cap ON cap.payment_id = fee.payment_id UNION ALL SELECT 'SETTLEMENT_LINE', settlement_line_id, payout_date, CASE WHEN payout_date IS NULL THEN 'SETTLEMENT_LINE needs its payout''s date' END FROM line LEFT JOIN out ON out.payout_id = line.payout_id"
+)
 def impact_dates(spark, sf_dir):
     i = fixtures.inputs(spark, sf_dir)
-    r = impact.impact_records({"FEE": i.fees.drop("available_on"), "SETTLEMENT_LINE": i.lines}, {"FEE": "fee_id", "SETTLEMENT_LINE": "settlement_line_id"}).withColumn("created_at_utc", F.lit(None).cast("timestamp"))
-    return late.resolve_impact(r, reconcile.captured(i.payments), i.payouts).select("entity_type", "source_id", "affected_date", "unresolved_reason")
-
-
-@query("SELECT min(d) AS start, (max(d) + 1)::DATE AS end_exclusive FROM (SELECT d, (d - row_number() OVER (ORDER BY d)::INTEGER)::DATE AS k FROM (SELECT DISTINCT payout_date AS d FROM out)) GROUP BY k")
+    r = impact.impact_records(
+        {"FEE": i.fees.drop("available_on"), "SETTLEMENT_LINE": i.lines},
+        {"FEE": "fee_id", "SETTLEMENT_LINE": "settlement_line_id"}
+    ).withColumn("created_at_utc", F.lit(None).cast("timestamp"))
+    return late.resolve_impact(r, reconcile.captured(i.payments), i.payouts).select(
+        "entity_type", "source_id", "affected_date", "unresolved_reason"
+    )
+
+
+@query(
+    "SELECT min(d) AS start, (max(d) + 1)::DATE AS end_exclusive FROM (SELECT d, (d - row_number() OVER (ORDER BY d)::INTEGER)::DATE AS k FROM (SELECT DISTINCT payout_date AS d FROM out)) GROUP BY k"
+)
 def date_windows(spark, sf_dir):
     return impact.date_windows(fixtures.inputs(spark, sf_dir).payouts.select(F.col("payout_date").alias("day")))
 
 
-@query("SELECT l_shipdate::DATE AS day, timezone('UTC', timezone('Europe/Berlin', l_shipdate::DATE::TIMESTAMP))::TIMESTAMP AS start_utc, timezone('UTC', timezone('Europe/Berlin', (l_shipdate::DATE + 1)::TIMESTAMP))::TIMESTAMP AS end_utc FROM lineitem GROUP BY 1", base=None)
+@query(
+    "SELECT l_shipdate::DATE AS day, timezone('UTC', timezone('Europe/Berlin', l_shipdate::DATE::TIMESTAMP))::TIMESTAMP AS start_utc, timezone('UTC', timezone('Europe/Berlin', (l_shipdate::DATE + 1)::TIMESTAMP))::TIMESTAMP AS end_utc FROM lineitem GROUP BY 1",
+    base=None
+)
 def business_day_bounds(spark, sf_dir):
-    d = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.col("l_shipdate").cast("date").alias("day")).distinct()
+    d = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        F.col("l_shipdate").cast("date").alias("day")
+    ).distinct()
     a, b = times.business_day_bounds(F.col("day"))
     return d.select("day", a.cast("timestamp_ntz").alias("start_utc"), b.cast("timestamp_ntz").alias("end_utc"))
 
 
 @query("SELECT event_id, timezone('Europe/Berlin', timezone('UTC', ts))::DATE AS business_date FROM events", base=None)
 def business_dates(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", times.business_date(F.col("ts").cast("timestamp")).alias("business_date"))
+    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        "event_id", times.business_date(F.col("ts").cast("timestamp")).alias("business_date")
+    )
 
 
 def _result(spark: SparkSession, sf_dir: str) -> reconcile.Result:
     return reconcile.reconcile(_inputs(spark, sf_dir), "run-1", "2026-01-01 00:00:00", check=False)
 
 
-@query(_OUT + "SELECT 'transactions' AS section, order_id AS entity_id, 'COLLECTION_VARIANCE' AS problem FROM ord WHERE order_id LIKE '%7' UNION ALL SELECT 'payouts', payout_id, 'KEY_NOT_UNIQUE' FROM pt WHERE day(payout_date) = 3 UNION ALL SELECT 'exceptions', payment_id, 'EXCEPTION_VARIANCE' FROM capfee WHERE n_fees = 0")
+@query(
+    _OUT + "SELECT 'transactions' AS section, order_id AS entity_id, 'COLLECTION_VARIANCE' AS problem FROM ord WHERE order_id LIKE '%7' UNION ALL SELECT 'payouts', payout_id, 'KEY_NOT_UNIQUE' FROM pt WHERE day(payout_date) = 3 UNION ALL SELECT 'exceptions', payment_id, 'EXCEPTION_VARIANCE' FROM capfee WHERE n_fees = 0"
+)
 def publication_violations(spark, sf_dir):
     """A sound result with three planted faults: wrong variances of orders and of exceptions, and payouts that come twice."""
     r = _result(spark, sf_dir)
-    off = (F.col("collection_variance") + F.when(F.endswith("order_id", F.lit("7")), 1).otherwise(0)).cast("decimal(18,2)")
+    off = (
+        F.col("collection_variance") + F.when(F.endswith("order_id", F.lit("7")), 1).otherwise(0)
+    ).cast("decimal(18,2)")
     late = (F.col("variance") + F.when(F.col("exception_type") == "MISSING_FEE", 1).otherwise(0)).cast("decimal(18,2)")
-    bad = replace(r, transactions=r.transactions.withColumn("collection_variance", off), payouts=r.payouts.unionByName(r.payouts.where("day(payout_date) = 3")), exceptions=r.exceptions.withColumn("variance", late))
+    bad = replace(
+        r, transactions=r.transactions.withColumn("collection_variance", off),
+        payouts=r.payouts.unionByName(r.payouts.where("day(payout_date) = 3")),
+        exceptions=r.exceptions.withColumn("variance", late)
+    )
     return publication.violations(bad, "run-1")
 
 
 #: State of one report under which rules are gated; the others are complete.
-_GATES = {"complete": ("orders", "COMPLETE"), "fees-pending": ("fees", "PENDING"), "payments-incomplete": ("payments", "INCOMPLETE")}
+_GATES = {
+    "complete": ("orders", "COMPLETE"), "fees-pending": ("fees", "PENDING"),
+    "payments-incomplete": ("payments", "INCOMPLETE")
+}
 
 
 @query(_TOT + _TCODES + """, late AS (SELECT order_id AS k, string_agg(DISTINCT c, ',' ORDER BY c) AS codes FROM tc WHERE c NOT IN ('MISSING_FEE', 'FEE_MISMATCH') GROUP BY 1)
@@ -451,16 +696,27 @@ def gated_transactions(spark, sf_dir):
     i, out = _inputs(spark, sf_dir, settled=False), []
     for gate, (report, state) in _GATES.items():
         day = spark.range(1).select(F.lit("1996-06-15").cast("date").alias("business_date"))
-        done = completeness.spine(spark, day).withColumn("state", F.when(F.col("report_type") == report, state).otherwise("COMPLETE"))
+        done = completeness.spine(spark, day).withColumn(
+            "state", F.when(F.col("report_type") == report, state).otherwise("COMPLETE")
+        )
         t = reconcile.transactions(replace(i, completeness=done))
-        out.append(t.select(F.lit(gate).alias("gate"), "order_id", "state", F.array_join("exception_codes", ",").alias("codes")))
+        out.append(
+            t.select(
+                F.lit(gate).alias("gate"), "order_id", "state", F.array_join("exception_codes", ",").alias("codes")
+            )
+        )
     return reduce(DataFrame.unionByName, out)
 
 
-@query("SELECT 'PAYMENT' AS entity_type, payment_id AS entity_id, 'CONFLICTING_SOURCE_VERSION' AS exception_type, string_agg(DISTINCT receipt_id, ',' ORDER BY receipt_id) AS supports FROM ev WHERE disposition = 'CONFLICTED' GROUP BY payment_id")
+@query(
+    "SELECT 'PAYMENT' AS entity_type, payment_id AS entity_id, 'CONFLICTING_SOURCE_VERSION' AS exception_type, string_agg(DISTINCT receipt_id, ',' ORDER BY receipt_id) AS supports FROM ev WHERE disposition = 'CONFLICTED' GROUP BY payment_id"
+)
 def conflict_exceptions(spark, sf_dir):
     out = reconcile.conflict_exceptions(canonical.conflicts(fixtures.payment_receipts(spark, sf_dir)))
-    return out.select("entity_type", "entity_id", "exception_type", F.array_join("supporting_source_record_ids", ",").alias("supports"))
+    return out.select(
+        "entity_type", "entity_id", "exception_type",
+        F.array_join("supporting_source_record_ids", ",").alias("supports")
+    )
 
 
 _EUR = ", refeur AS (SELECT * FROM ref WHERE currency = 'EUR')"
@@ -478,13 +734,19 @@ def durable_rebuild(spark, sf_dir):
     store = Store(spark, f"{root}/results")
     store.publish(rebuild.rebuild(ledger, "run-1", "2026-01-02 00:00:00"), "run-1")
     t = store.read_current().transactions
-    return t.select("order_id", "order_status", "captured_total", "successful_refund_total", "reported_fee_total", "lifetime_net_collection", "state", F.array_join("exception_codes", ",").alias("exception_codes"))
+    return t.select(
+        "order_id", "order_status", "captured_total", "successful_refund_total", "reported_fee_total",
+        "lifetime_net_collection", "state", F.array_join("exception_codes", ",").alias("exception_codes")
+    )
 
 
 @query()
 def result_fingerprints(spark, sf_dir):
     """A digest of each section; SQL engines have no common canonical JSON, so there is no oracle."""
-    parts = [publication.fingerprint(f).withColumn("section", F.lit(n)) for n, f in publication.sections(_result(spark, sf_dir)).items()]
+    parts = [
+        publication.fingerprint(f).withColumn("section", F.lit(n)) for n,
+        f in publication.sections(_result(spark, sf_dir)).items()
+    ]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -495,47 +757,87 @@ def result_fingerprints(spark, sf_dir):
 def affected_closure(spark, sf_dir):
     """What a change of one payment reaches; an iteration, so there is no oracle."""
     i = fixtures.inputs(spark, sf_dir)
-    frames = {"ORDER": i.orders, "PAYMENT": reconcile.captured(i.payments), "REFUND": i.refunds, "FEE": i.fees, "SETTLEMENT_LINE": i.lines, "PAYOUT": i.payouts}
-    ids = {"ORDER": "order_id", "PAYMENT": "payment_id", "REFUND": "refund_id", "FEE": "fee_id", "SETTLEMENT_LINE": "settlement_line_id", "PAYOUT": "payout_id"}
+    frames = {
+        "ORDER": i.orders, "PAYMENT": reconcile.captured(i.payments), "REFUND": i.refunds, "FEE": i.fees,
+        "SETTLEMENT_LINE": i.lines, "PAYOUT": i.payouts
+    }
+    ids = {
+        "ORDER": "order_id", "PAYMENT": "payment_id", "REFUND": "refund_id", "FEE": "fee_id",
+        "SETTLEMENT_LINE": "settlement_line_id", "PAYOUT": "payout_id"
+    }
     r = saved(impact.impact_records(frames, ids))
     changed = r.where("entity_type = 'PAYMENT'").orderBy("source_id").limit(1)
     return impact.plan(r, r, changed, late.CORRECTION).keys
 
 
-@query("SELECT k AS attempt, least(3600, 30 * pow(2, least(k - 1, 12)))::BIGINT AS delay_seconds FROM range(1, 21) t(k)", base=None)
+@query(
+    "SELECT k AS attempt, least(3600, 30 * pow(2, least(k - 1, 12)))::BIGINT AS delay_seconds FROM range(1, 21) t(k)",
+    base=None
+)
 def retry_backoff(spark, sf_dir):
-    return spark.range(1, 21).select(F.col("id").alias("attempt"), money.retry_delay(F.col("id"), F.lit(30)).alias("delay_seconds"))
+    return spark.range(1, 21).select(
+        F.col("id").alias("attempt"), money.retry_delay(F.col("id"), F.lit(30)).alias("delay_seconds")
+    )
 
 
-@query("SELECT payment_id, 'PAYMENTS/' || available_on || '/' || substr(payload_hash, 1, 2) || '/' || payload_hash || '.json' AS path FROM pay")
+@query(
+    "SELECT payment_id, 'PAYMENTS/' || available_on || '/' || substr(payload_hash, 1, 2) || '/' || payload_hash || '.json' AS path FROM pay"
+)
 def archive_paths(spark, sf_dir):
     p = canonical.canonical(fixtures.payment_receipts(spark, sf_dir))
-    return p.select("payment_id", identity.archive_path(F.lit("payments"), F.col("available_on"), F.col("payload_hash")).alias("path"))
+    return p.select(
+        "payment_id",
+        identity.archive_path(F.lit("payments"), F.col("available_on"), F.col("payload_hash")).alias("path")
+    )
 
 
-@query("""SELECT receipt_id, 'source-variant:' || sha256('{"entity_type":"PAYMENT","payload_hash":"' || payload_hash || '","source_id":"' || payment_id || '","source_system":"provider","source_version":' || source_version || '}') AS reference FROM receipts""")
+@query(
+    """SELECT receipt_id, 'source-variant:' || sha256('{"entity_type":"PAYMENT","payload_hash":"' || payload_hash || '","source_id":"' || payment_id || '","source_system":"provider","source_version":' || source_version || '}') AS reference FROM receipts"""
+)
 def variant_references(spark, sf_dir):
     r = fixtures.payment_receipts(spark, sf_dir)
-    return r.select("receipt_id", identity.variant_reference(*[F.col(c) for c in ("source_system", "entity_type", "source_id", "source_version", "payload_hash")]).alias("reference"))
+    return r.select(
+        "receipt_id",
+        identity.variant_reference(
+            *[F.col(c) for c in ("source_system", "entity_type", "source_id", "source_version", "payload_hash")]
+        ).alias("reference")
+    )
 
 
-@query("""SELECT DISTINCT payment_id, sha256('{"entity_type":"PAYMENT","file_checksum":"' || payload_hash || '","manifest_checksum":"m","original_filename":"x.json","report_date":"' || available_on || '","report_type":"payments","schema_version":"1","source_system":"provider"}') AS delivery_key FROM pay""")
+@query(
+    """SELECT DISTINCT payment_id, sha256('{"entity_type":"PAYMENT","file_checksum":"' || payload_hash || '","manifest_checksum":"m","original_filename":"x.json","report_date":"' || available_on || '","report_type":"payments","schema_version":"1","source_system":"provider"}') AS delivery_key FROM pay"""
+)
 def delivery_keys(spark, sf_dir):
     p = canonical.canonical(fixtures.payment_receipts(spark, sf_dir))
     lit = F.lit
-    return p.select("payment_id", identity.delivery_key(F.col("source_system"), lit("payments"), F.col("available_on"), F.col("entity_type"), lit(r"in\box/x.json"), lit("1"), F.col("payload_hash"), lit("m")).alias("delivery_key"))
+    return p.select(
+        "payment_id",
+        identity.delivery_key(
+            F.col("source_system"), lit("payments"), F.col("available_on"), F.col("entity_type"), lit(r"in\box/x.json"),
+            lit("1"), F.col("payload_hash"), lit("m")
+        ).alias("delivery_key")
+    )
 
 
 _BATCH = "SELECT l_suppkey AS batch_id, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_extendedprice) AS row_number, CASE WHEN l_partkey % 50 = 0 THEN 'INVALID_AMOUNT' END AS reason_code FROM lineitem"
 
 
-@query(f"SELECT b.batch_id, row_number, CASE WHEN code IS NULL THEN 'PENDING' ELSE 'QUARANTINED' END AS disposition, code AS reason_code, CASE WHEN bad THEN 'FAILED' ELSE 'PROCESSING' END AS batch_status FROM (SELECT *, batch_id % 10 = 0 OR batch_id % 10 = 1 AS bad, coalesce(reason_code, CASE WHEN batch_id % 10 < 2 THEN 'BATCH_VALIDATION_FAILED' END) AS code FROM ({_BATCH})) b", base=None)
+@query(
+    f"SELECT b.batch_id, row_number, CASE WHEN code IS NULL THEN 'PENDING' ELSE 'QUARANTINED' END AS disposition, code AS reason_code, CASE WHEN bad THEN 'FAILED' ELSE 'PROCESSING' END AS batch_status FROM (SELECT *, batch_id % 10 = 0 OR batch_id % 10 = 1 AS bad, coalesce(reason_code, CASE WHEN batch_id % 10 < 2 THEN 'BATCH_VALIDATION_FAILED' END) AS code FROM ({_BATCH})) b",
+    base=None
+)
 def batch_dispositions(spark, sf_dir):
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     w = Window.partitionBy("l_suppkey").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
-    rows = li.select(F.col("l_suppkey").alias("batch_id"), F.row_number().over(w).cast("long").alias("row_number"), F.when(F.col("l_partkey") % 50 == 0, "INVALID_AMOUNT").alias("reason_code"))
+    rows = li.select(
+        F.col("l_suppkey").alias("batch_id"), F.row_number().over(w).cast("long").alias("row_number"),
+        F.when(F.col("l_partkey") % 50 == 0, "INVALID_AMOUNT").alias("reason_code")
+    )
     b = F.col("batch_id") % 10
-    declared = rows.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n")).select("batch_id", (F.col("n") + F.when(b == 0, 1).otherwise(0)).alias("declared_row_count"), F.when(b == 1, "CHECKSUM_MISMATCH").alias("batch_error"))
+    declared = rows.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n")).select(
+        "batch_id", (F.col("n") + F.when(b == 0, 1).otherwise(0)).alias("declared_row_count"),
+        F.when(b == 1, "CHECKSUM_MISMATCH").alias("batch_error")
+    )
     return ledger_module.batch_dispositions(rows, declared)
 
 
@@ -544,9 +846,18 @@ def batch_dispositions(spark, sf_dir):
 
 def _event_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = spark.read.parquet(f"{sf_dir}/events.parquet")
-    kind = F.create_map(*[F.lit(x) for x in ("view", "page_view", "click", "add_to_cart", "purchase", "purchase")])[F.col("event_type")]
-    row = F.struct(F.coalesce(kind, F.col("event_type")).alias("event_type"), F.col("user_id"), F.when(F.col("event_id") % 3 == 0, F.col("event_id")).alias("product_id"), F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("timestamp"))
-    return e.select(F.to_json(row, {"ignoreNullFields": "false"}).alias("value"), F.concat(F.lit("e"), "event_id", F.lit(".json")).alias("source_file"))
+    kind = F.create_map(
+        *[F.lit(x) for x in ("view", "page_view", "click", "add_to_cart", "purchase", "purchase")]
+    )[F.col("event_type")]
+    row = F.struct(
+        F.coalesce(kind, F.col("event_type")).alias("event_type"), F.col("user_id"),
+        F.when(F.col("event_id") % 3 == 0, F.col("event_id")).alias("product_id"),
+        F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("timestamp")
+    )
+    return e.select(
+        F.to_json(row, {"ignoreNullFields": "false"}).alias("value"),
+        F.concat(F.lit("e"), "event_id", F.lit(".json")).alias("source_file")
+    )
 
 
 _CLICK = "SELECT 'e' || event_id || '.json' AS source_file, CASE event_type WHEN 'view' THEN 'page_view' WHEN 'click' THEN 'add_to_cart' ELSE event_type END AS event_type, user_id, CASE WHEN event_id % 3 = 0 THEN event_id END AS product_id, ts::TIMESTAMP AS event_timestamp FROM events"
@@ -555,10 +866,15 @@ _GOOD = f"(SELECT * FROM ({_CLICK}) WHERE event_type IN ('page_view', 'add_to_ca
 
 @query(f"SELECT * FROM {_GOOD}", base=None)
 def events_valid(spark, sf_dir):
-    return clickstream.ingest(_event_files(spark, sf_dir))[0].withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp_ntz"))
+    return clickstream.ingest(_event_files(spark, sf_dir))[0].withColumn(
+        "event_timestamp", F.col("event_timestamp").cast("timestamp_ntz")
+    )
 
 
-@query(f"SELECT source_file, CASE WHEN event_type NOT IN ('page_view', 'add_to_cart', 'purchase') THEN 'INVALID_EVENT_TYPE' ELSE 'INVALID_USER' END AS reason FROM ({_CLICK}) WHERE event_type NOT IN ('page_view', 'add_to_cart', 'purchase') OR user_id <= 0", base=None)
+@query(
+    f"SELECT source_file, CASE WHEN event_type NOT IN ('page_view', 'add_to_cart', 'purchase') THEN 'INVALID_EVENT_TYPE' ELSE 'INVALID_USER' END AS reason FROM ({_CLICK}) WHERE event_type NOT IN ('page_view', 'add_to_cart', 'purchase') OR user_id <= 0",
+    base=None
+)
 def events_rejected(spark, sf_dir):
     return clickstream.ingest(_event_files(spark, sf_dir))[1].drop("value")
 
@@ -567,19 +883,28 @@ def _interval(spark: SparkSession, sf_dir: str):
     return F.lit("2024-01-02 00:00:00").cast("timestamp"), F.lit("2024-01-09 00:00:00").cast("timestamp")
 
 
-@query(f"SELECT user_id, TIMESTAMP '2024-01-02' AS snapshot_hour, count(*) AS add_to_cart_count FROM {_GOOD} WHERE event_type = 'add_to_cart' AND event_timestamp >= TIMESTAMP '2024-01-02' AND event_timestamp < TIMESTAMP '2024-01-09' GROUP BY 1", base=None)
+@query(
+    f"SELECT user_id, TIMESTAMP '2024-01-02' AS snapshot_hour, count(*) AS add_to_cart_count FROM {_GOOD} WHERE event_type = 'add_to_cart' AND event_timestamp >= TIMESTAMP '2024-01-02' AND event_timestamp < TIMESTAMP '2024-01-09' GROUP BY 1",
+    base=None
+)
 def cart_snapshot(spark, sf_dir):
     out = clickstream.cart_snapshot(clickstream.ingest(_event_files(spark, sf_dir))[0], *_interval(spark, sf_dir))
     return out.withColumn("snapshot_hour", F.col("snapshot_hour").cast("timestamp_ntz"))
 
 
-@query(f"SELECT TIMESTAMP '2024-01-02' AS operation_timestamp, count(*)::DECIMAL(10,2) AS total_quantity FROM {_GOOD} WHERE event_type = 'purchase' AND event_timestamp >= TIMESTAMP '2024-01-02' AND event_timestamp < TIMESTAMP '2024-01-09'", base=None)
+@query(
+    f"SELECT TIMESTAMP '2024-01-02' AS operation_timestamp, count(*)::DECIMAL(10,2) AS total_quantity FROM {_GOOD} WHERE event_type = 'purchase' AND event_timestamp >= TIMESTAMP '2024-01-02' AND event_timestamp < TIMESTAMP '2024-01-09'",
+    base=None
+)
 def purchase_quantity(spark, sf_dir):
     out = clickstream.purchase_quantity(clickstream.ingest(_event_files(spark, sf_dir))[0], *_interval(spark, sf_dir))
     return out.withColumn("operation_timestamp", F.col("operation_timestamp").cast("timestamp_ntz"))
 
 
-@query(f"SELECT time_bucket(INTERVAL 30 SECOND, event_timestamp) AS start, event_type, CASE WHEN event_type = 'add_to_cart' THEN user_id END AS user_id, count(*) AS n FROM {_GOOD} WHERE event_type <> 'page_view' GROUP BY 1, 2, 3", base=None)
+@query(
+    f"SELECT time_bucket(INTERVAL 30 SECOND, event_timestamp) AS start, event_type, CASE WHEN event_type = 'add_to_cart' THEN user_id END AS user_id, count(*) AS n FROM {_GOOD} WHERE event_type <> 'page_view' GROUP BY 1, 2, 3",
+    base=None
+)
 def windowed_marts(spark, sf_dir):
     out = clickstream.windowed_marts(clickstream.ingest(_event_files(spark, sf_dir))[0])
     return out.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "user_id", "n")

@@ -102,21 +102,65 @@ def _f(spec: str, **enums) -> tuple[Field, ...]:
 ENTITIES = {
     e.name: e
     for e in (
-        Entity("ORDER", "order_id", _f("order_id:text created_at_utc:ts status:enum currency:currency order_total:money source_version:int", status=ORDER_STATUS)),
-        Entity("PAYMENT", "payment_id", _f("payment_id:text order_id:text attempt_number:int payment_method:enum status:enum amount:money currency:currency effective_at_utc:ts available_on:date source_version:int", payment_method=PAYMENT_METHOD, status=PAYMENT_STATUS), ("status", "available_on"), "CAPTURED"),
-        Entity("REFUND", "refund_id", _f("refund_id:text payment_id:text status:enum amount:money currency:currency effective_at_utc:ts available_on:date source_version:int", status=REFUND_STATUS), ("status", "available_on"), "SUCCEEDED"),
-        Entity("FEE", "fee_id", _f("fee_id:text payment_id:text fee_type:enum amount:money currency:currency effective_at_utc:ts available_on:date source_version:int", fee_type=FEE_TYPE)),
-        Entity("SETTLEMENT_LINE", "settlement_line_id", _f("settlement_line_id:text payout_id:text movement_type:enum movement_id:text signed_amount:signed currency:currency source_version:int", movement_type=MOVEMENT_TYPE), ("movement_type", "signed_amount")),
-        Entity("PAYOUT", "payout_id", _f("payout_id:text payout_date:date currency:currency reported_net_amount:money0 source_version:int")),
+        Entity(
+            "ORDER", "order_id",
+            _f(
+                "order_id:text created_at_utc:ts status:enum currency:currency order_total:money source_version:int",
+                status=ORDER_STATUS
+            )
+        ),
+        Entity(
+            "PAYMENT", "payment_id",
+            _f(
+                "payment_id:text order_id:text attempt_number:int payment_method:enum status:enum amount:money currency:currency effective_at_utc:ts available_on:date source_version:int",
+                payment_method=PAYMENT_METHOD, status=PAYMENT_STATUS
+            ),
+            ("status", "available_on"), "CAPTURED"
+        ),
+        Entity(
+            "REFUND", "refund_id",
+            _f(
+                "refund_id:text payment_id:text status:enum amount:money currency:currency effective_at_utc:ts available_on:date source_version:int",
+                status=REFUND_STATUS
+            ),
+            ("status", "available_on"), "SUCCEEDED"
+        ),
+        Entity(
+            "FEE", "fee_id",
+            _f(
+                "fee_id:text payment_id:text fee_type:enum amount:money currency:currency effective_at_utc:ts available_on:date source_version:int",
+                fee_type=FEE_TYPE
+            )
+        ),
+        Entity(
+            "SETTLEMENT_LINE", "settlement_line_id",
+            _f(
+                "settlement_line_id:text payout_id:text movement_type:enum movement_id:text signed_amount:signed currency:currency source_version:int",
+                movement_type=MOVEMENT_TYPE
+            ),
+            ("movement_type", "signed_amount")
+        ),
+        Entity(
+            "PAYOUT", "payout_id",
+            _f("payout_id:text payout_date:date currency:currency reported_net_amount:money0 source_version:int")
+        ),
     )
 }
-_TYPES = {"text": T.StringType(), "int": T.LongType(), "ts": T.TimestampType(), "date": T.DateType(), "money": MONEY, "money0": MONEY, "signed": MONEY, "currency": T.StringType(), "enum": T.StringType()}
+_TYPES = {
+    "text": T.StringType(), "int": T.LongType(), "ts": T.TimestampType(), "date": T.DateType(), "money": MONEY,
+    "money0": MONEY, "signed": MONEY, "currency": T.StringType(), "enum": T.StringType()
+}
 
 
 def record_type(entity: str) -> T.StructType:
     """The validated record of an entity; ``attempt_number`` is an int, other whole numbers are long."""
-    return T.StructType([T.StructField(f.name, T.IntegerType() if f.name == "attempt_number" else _TYPES[f.kind]) for f in ENTITIES[entity].fields])
+    return T.StructType(
+        [T.StructField(f.name, T.IntegerType() if f.name == "attempt_number" else _TYPES[f.kind]) for f in ENTITIES[entity].fields]
+    )
 
 
 #: The contract form of a manifest; its version and checksum are looked at first.
-MANIFEST = Entity("MANIFEST", "batch_id", _f(MANIFEST_KEYS, source_system=(PROVIDER, SHOP), report_type=tuple(REPORTS)), ("schema_version", "sha256"))
+MANIFEST = Entity(
+    "MANIFEST", "batch_id", _f(MANIFEST_KEYS, source_system=(PROVIDER, SHOP), report_type=tuple(REPORTS)),
+    ("schema_version", "sha256")
+)

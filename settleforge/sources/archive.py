@@ -83,7 +83,10 @@ class ArchiveLog:
     def request(self, key: str, source: Path, report_type: str, report_date: date, checksum: str) -> dict:
         """Ask for a file to be archived; asking again changes nothing."""
         relative_path(report_type, report_date, checksum)
-        state = {"key": key, "source": str(source), "report_type": report_type, "report_date": report_date.isoformat(), "checksum": checksum, "status": "PENDING", "attempts": 0}
+        state = {
+            "key": key, "source": str(source), "report_type": report_type, "report_date": report_date.isoformat(),
+            "checksum": checksum, "status": "PENDING", "attempts": 0
+        }
         self.files.create(f"archive/{key}.json", json.dumps(state, sort_keys=True))
         return self.state(key)
 
@@ -102,7 +105,9 @@ class ArchiveLog:
                 continue
             s["attempts"] += 1
             try:
-                target, _ = archive(self.root, Path(s["source"]), s["report_type"], date.fromisoformat(s["report_date"]), s["checksum"])
+                target, _ = archive(
+                    self.root, Path(s["source"]), s["report_type"], date.fromisoformat(s["report_date"]), s["checksum"]
+                )
                 s |= {"status": "ARCHIVED", "path": str(target)}
                 s.pop("error", None)
             except (OSError, ValueError) as e:

@@ -19,21 +19,31 @@ from pyspark.sql import functions as F
 from ..functions.identity import delivery_key
 from ..schemas import FILE_SCHEMA_VERSION, REPORTS
 
-MANIFEST_FIELDS = ("checksum_sha256", "entity_type", "filename", "report_date", "report_type", "row_count", "schema_version", "source_system")
+MANIFEST_FIELDS = (
+    "checksum_sha256", "entity_type", "filename", "report_date", "report_type", "row_count", "schema_version",
+    "source_system"
+)
 
 
 class DeliveryError(ValueError):
     """A finished delivery is not what it claims to be."""
 
 
-def publish_source_file(path: str | Path, rows: list[dict], report_type: str, report_date: str, *, source_system: str | None = None, entity_type: str | None = None, hook: Callable[[str], None] = lambda point: None) -> Path:
+def publish_source_file(
+    path: str | Path, rows: list[dict], report_type: str, report_date: str, *, source_system: str | None = None,
+    entity_type: str | None = None, hook: Callable[[str], None] = lambda point: None
+) -> Path:
     """Write a delivery: data first, manifest last, each under a part name; an existing delivery is never overwritten."""
     data, entity, system = Path(path), *REPORTS[report_type.lower()][:2]
     manifest = data.with_name(f"{data.stem}.manifest.json")
     if data.exists() or manifest.exists():
         raise FileExistsError(data)
     body = json.dumps(rows, sort_keys=True, separators=(",", ":"), ensure_ascii=False).encode()
-    said = {"filename": data.name, "source_system": source_system or system, "report_type": report_type, "report_date": report_date, "entity_type": entity_type or entity, "schema_version": FILE_SCHEMA_VERSION, "row_count": len(rows), "checksum_sha256": hashlib.sha256(body).hexdigest()}
+    said = {
+        "filename": data.name, "source_system": source_system or system, "report_type": report_type,
+        "report_date": report_date, "entity_type": entity_type or entity, "schema_version": FILE_SCHEMA_VERSION,
+        "row_count": len(rows), "checksum_sha256": hashlib.sha256(body).hexdigest()
+    }
     for target, content in ((data, body), (manifest, json.dumps(said, sort_keys=True).encode())):
         part = target.with_name(target.name + ".part")
         with open(part, "xb") as f:
@@ -57,17 +67,29 @@ def _empty_files(spark: SparkSession, folder: str) -> DataFrame:
     while files.hasNext():
         f = files.next()
         if f.getLen() == 0 and ".json" in f.getPath().getName():
-            found.append((f.getPath().toString(), bytearray(), datetime.fromtimestamp(f.getModificationTime() / 1000, timezone.utc)))
+            found.append(
+                (
+                    f.getPath().toString(), bytearray(),
+                    datetime.fromtimestamp(f.getModificationTime() / 1000, timezone.utc)
+                )
+            )
     return spark.createDataFrame(found, "path string, content binary, modificationTime timestamp")
 
 
 def read_deliveries(spark: SparkSession, folder: str) -> DataFrame:
     """One row a delivery: stem, data_bytes, manifest_bytes, writing (a part file is there, were it empty)."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json*").option("recursiveFileLookup", "true").load(folder)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json*").option(
+        "recursiveFileLookup", "true"
+    ).load(folder)
     files = files.select("path", "content", "modificationTime").unionByName(_empty_files(spark, folder))
     name = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"%20", " ")
-    kind = F.when(F.endswith(name, F.lit(".part")), "part").when(F.endswith(name, F.lit(".manifest.json")), "manifest").when(F.endswith(name, F.lit(".json")), "data")
-    one = files.select(F.regexp_replace("path", r"(\.manifest)?\.json(\.part)?$", "").alias("stem"), kind.alias("kind"), "content", "modificationTime").where("kind IS NOT NULL")
+    kind = F.when(F.endswith(name, F.lit(".part")), "part").when(
+        F.endswith(name, F.lit(".manifest.json")), "manifest"
+    ).when(F.endswith(name, F.lit(".json")), "data")
+    one = files.select(
+        F.regexp_replace("path", r"(\.manifest)?\.json(\.part)?$", "").alias("stem"), kind.alias("kind"), "content",
+        "modificationTime"
+    ).where("kind IS NOT NULL")
     return one.groupBy("stem").agg(
         F.max(F.when(F.col("kind") == "data", F.col("content"))).alias("data_bytes"),
         F.max(F.when(F.col("kind") == "manifest", F.col("content"))).alias("manifest_bytes"),
@@ -77,7 +99,10 @@ def read_deliveries(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _manifest(v: Column, field: str) -> Column:
-    return F.when(F.schema_of_variant(F.try_variant_get(v, f"$.{field}", "variant")) == "STRING", F.try_variant_get(v, f"$.{field}", "string"))
+    return F.when(
+        F.schema_of_variant(F.try_variant_get(v, f"$.{field}", "variant")) == "STRING",
+        F.try_variant_get(v, f"$.{field}", "string")
+    )
 
 
 def gate(deliveries: DataFrame, versions: tuple[str, ...] = (FILE_SCHEMA_VERSION,)) -> DataFrame:
@@ -85,15 +110,24 @@ def gate(deliveries: DataFrame, versions: tuple[str, ...] = (FILE_SCHEMA_VERSION
     m = F.col("_m")
     name = F.concat(F.element_at(F.split("stem", "/"), -1), F.lit(".json"))
     text = F.decode("data_bytes", "utf-8")
-    df = deliveries.withColumns({"_m": F.try_parse_json(F.decode("manifest_bytes", "utf-8")), "_d": F.try_parse_json(text)})
+    df = deliveries.withColumns(
+        {"_m": F.try_parse_json(F.decode("manifest_bytes", "utf-8")), "_d": F.try_parse_json(text)}
+    )
     rows = F.try_variant_get("_d", "$", "array<variant>")
     count_ok = F.schema_of_variant(F.try_variant_get(m, "$.row_count", "variant")) == "BIGINT"
     declared = F.when(count_ok, F.try_variant_get(m, "$.row_count", "bigint"))
     fields = [f for f in MANIFEST_FIELDS if f != "row_count"]
-    whole = F.coalesce((_manifest(m, "filename") == name) & (declared >= 0) & F.rlike(_manifest(m, "checksum_sha256"), F.lit(r"\A[0-9a-f]{64}\z")), F.lit(False))
+    whole = F.coalesce(
+        (_manifest(m, "filename") == name) & (declared >= 0) & F.rlike(
+            _manifest(m, "checksum_sha256"), F.lit(r"\A[0-9a-f]{64}\z")
+        ),
+        F.lit(False)
+    )
     for f in fields:
         whole = whole & _manifest(m, f).isNotNull()
-    objects = rows.isNotNull() & F.forall(rows, lambda x: F.coalesce(F.schema_of_variant(x).startswith("OBJECT"), F.lit(False)))
+    objects = rows.isNotNull() & F.forall(
+        rows, lambda x: F.coalesce(F.schema_of_variant(x).startswith("OBJECT"), F.lit(False))
+    )
     r = lambda state, reason: F.struct(F.lit(state).alias("state"), F.lit(reason).alias("reason"))
     result = (
         F.when(F.col("writing"), r("WAITING", "TEMPORARY_FILE_PRESENT"))
@@ -107,7 +141,12 @@ def gate(deliveries: DataFrame, versions: tuple[str, ...] = (FILE_SCHEMA_VERSION
         .when(F.size(rows) != declared, r("REJECTED", "ROW_COUNT_MISMATCH"))
         .otherwise(r("READY", "VERIFIED"))
     )
-    out = df.withColumn("_r", result).withColumns({"state": F.col("_r.state"), "reason": F.col("_r.reason"), "filename": name, "declared_row_count": declared, "rows": F.when(F.col("_r.state") == "READY", F.transform(rows, lambda x: F.to_json(x)))})
+    out = df.withColumn("_r", result).withColumns(
+        {
+            "state": F.col("_r.state"), "reason": F.col("_r.reason"), "filename": name, "declared_row_count": declared,
+            "rows": F.when(F.col("_r.state") == "READY", F.transform(rows, lambda x: F.to_json(x)))
+        }
+    )
     return out.withColumns({f: _manifest(m, f) for f in fields if f != "filename"}).drop("_m", "_d", "_r")
 
 
@@ -126,8 +165,16 @@ def judged(gated: DataFrame) -> DataFrame:
         .when(outside, "FILENAME_OUTSIDE_INBOX")
     )
     df = gated.where("state <> 'WAITING'").withColumn("fault", fault)
-    df = df.withColumns({"report_type": report, "report_date": F.col("report_date").try_cast("date"), "manifest_checksum": F.sha2("manifest_bytes", 256)})
-    parts = ("source_system", "report_type", "report_date", "entity_type", "filename", "schema_version", "checksum_sha256", "manifest_checksum")
+    df = df.withColumns(
+        {
+            "report_type": report, "report_date": F.col("report_date").try_cast("date"),
+            "manifest_checksum": F.sha2("manifest_bytes", 256)
+        }
+    )
+    parts = (
+        "source_system", "report_type", "report_date", "entity_type", "filename", "schema_version", "checksum_sha256",
+        "manifest_checksum"
+    )
     return df.withColumn("delivery_key", F.when(F.col("fault").isNull(), delivery_key(*[F.col(c) for c in parts])))
 
 
@@ -146,4 +193,6 @@ def ingest_ready(deliveries: DataFrame, ingest: Callable[[DataFrame], object]) -
     done = judged(found)
     ingest(done.where("fault IS NULL").drop("fault"))
     bad = done.where("fault IS NOT NULL").select("stem", F.lit("REJECTED").alias("_s"), F.col("fault").alias("_f"))
-    return found.join(bad, "stem", "left").select("stem", F.coalesce("_s", "state").alias("state"), F.coalesce("_f", "reason").alias("reason"))
+    return found.join(bad, "stem", "left").select(
+        "stem", F.coalesce("_s", "state").alias("state"), F.coalesce("_f", "reason").alias("reason")
+    )

@@ -33,7 +33,9 @@ class Ledger:
         df, batches = self._read(name), self.batches()
         if df is None or batches is None:
             return None
-        return df.join(batches.select("delivery_key"), "delivery_key", "left_semi").dropDuplicates(["delivery_key", "row_number"])
+        return df.join(
+            batches.select("delivery_key"), "delivery_key", "left_semi"
+        ).dropDuplicates(["delivery_key", "row_number"])
 
     def receipts(self, entity: str) -> DataFrame | None:
         """Valid receipts of one entity: receipt columns and the typed record."""
@@ -53,18 +55,28 @@ class Ledger:
         known = self.batches()
         if known is not None:
             new = new.join(known.select("delivery_key"), "delivery_key", "left_anti")
-        new = new.withColumn("received_at_utc", F.lit(received_at).cast("timestamp")).withColumn("batch_id", F.substring("delivery_key", 1, 32)).persist()
+        new = new.withColumn(
+            "received_at_utc", F.lit(received_at).cast("timestamp")
+        ).withColumn("batch_id", F.substring("delivery_key", 1, 32)).persist()
         n = new.count()
         if n:
             for report, (entity, _, _) in REPORTS.items():
-                rows = new.where(F.col("report_type") == report).select("delivery_key", "batch_id", "received_at_utc", F.posexplode("rows").alias("row_number", "payload"))
+                rows = new.where(F.col("report_type") == report).select(
+                    "delivery_key", "batch_id", "received_at_utc", F.posexplode("rows").alias("row_number", "payload")
+                )
                 rows = rows.withColumn("receipt_id", receipt_id(F.col("delivery_key"), F.col("row_number")))
                 good, bad = validate(rows, entity)
                 good.write.mode("append").parquet(f"{self.files.root}/receipts/{entity}")
                 bad.write.mode("append").parquet(f"{self.files.root}/quarantine")
                 hook("after_rows")
             # The batch row comes last: a delivery without one has not been ingested.
-            keep = new.select("delivery_key", "batch_id", "source_system", "report_type", "report_date", F.col("filename").alias("original_filename"), "schema_version", F.col("checksum_sha256").alias("file_checksum"), "manifest_checksum", "declared_row_count", F.size("rows").cast("long").alias("observed_row_count"), "received_at_utc", "data_bytes", "manifest_bytes", F.lit("COMMITTED").alias("status"))
+            keep = new.select(
+                "delivery_key", "batch_id", "source_system", "report_type", "report_date",
+                F.col("filename").alias("original_filename"), "schema_version",
+                F.col("checksum_sha256").alias("file_checksum"), "manifest_checksum", "declared_row_count",
+                F.size("rows").cast("long").alias("observed_row_count"), "received_at_utc", "data_bytes",
+                "manifest_bytes", F.lit("COMMITTED").alias("status")
+            )
             keep.write.mode("append").parquet(f"{self.files.root}/batches")
         new.unpersist()
         return n
@@ -75,7 +87,9 @@ class Ledger:
         for e in ENTITIES:
             r = self.receipts(e)
             if r is not None:
-                out[e] = canonical(unique_receipts(r if as_of is None else r.where(F.col("received_at_utc") <= F.lit(as_of)))).select("record.*")
+                out[e] = canonical(
+                    unique_receipts(r if as_of is None else r.where(F.col("received_at_utc") <= F.lit(as_of)))
+                ).select("record.*")
         return out
 
     def stored_batches(self) -> DataFrame:
@@ -87,7 +101,9 @@ class Ledger:
         q = self.quarantine()
         bad = self.spark.createDataFrame([], "delivery_key string") if q is None else q.select("delivery_key")
         count = lambda df, c: df.groupBy("delivery_key").agg(F.count(F.lit(1)).alias(c))
-        b = self.batches().join(count(n, "_n"), "delivery_key", "left").join(count(bad, "quarantine_count"), "delivery_key", "left")
+        b = self.batches().join(count(n, "_n"), "delivery_key", "left").join(
+            count(bad, "quarantine_count"), "delivery_key", "left"
+        )
         b = b.withColumn("quarantine_count", F.coalesce("quarantine_count", F.lit(0)))
         return b.withColumn("receipt_count", F.coalesce("_n", F.lit(0)) + F.col("quarantine_count")).drop("_n")
 
@@ -100,9 +116,14 @@ def batch_dispositions(rows: DataFrame, declared: DataFrame) -> DataFrame:
     when the observed rows are not as many as declared.
     """
     n = rows.groupBy("batch_id").agg(F.count(F.lit(1)).alias("observed_row_count"))
-    b = declared.join(n, "batch_id", "left").withColumn("observed_row_count", F.coalesce("observed_row_count", F.lit(0)))
+    b = declared.join(n, "batch_id", "left").withColumn(
+        "observed_row_count", F.coalesce("observed_row_count", F.lit(0))
+    )
     bad = F.col("batch_error").isNotNull() | (F.col("observed_row_count") != F.col("declared_row_count"))
     b = b.select("batch_id", bad.alias("_bad"))
     df = rows.join(b, "batch_id")
     code = F.coalesce("reason_code", F.when(F.col("_bad"), "BATCH_VALIDATION_FAILED"))
-    return df.select("batch_id", "row_number", F.when(code.isNotNull(), "QUARANTINED").otherwise("PENDING").alias("disposition"), code.alias("reason_code"), F.when(F.col("_bad"), "FAILED").otherwise("PROCESSING").alias("batch_status"))
+    return df.select(
+        "batch_id", "row_number", F.when(code.isNotNull(), "QUARANTINED").otherwise("PENDING").alias("disposition"),
+        code.alias("reason_code"), F.when(F.col("_bad"), "FAILED").otherwise("PROCESSING").alias("batch_status")
+    )

@@ -40,12 +40,19 @@ def check(v: Column, f: Field) -> Column:
     kind = F.coalesce(_kind(v, f.name), F.lit("VOID"))
     if f.kind == "int":
         n = F.try_variant_get(v, f"$.{f.name}", "bigint")
-        return F.when(kind != "BIGINT", fail("INVALID_TYPE", f.name, "must be an integer")).when(n <= 0, fail("INVALID_VALUE", f.name, "must be positive")).otherwise(none)
+        return F.when(
+            kind != "BIGINT", fail("INVALID_TYPE", f.name, "must be an integer")
+        ).when(n <= 0, fail("INVALID_VALUE", f.name, "must be positive")).otherwise(none)
     if f.kind in ("count", "version"):
         n, least = F.try_variant_get(v, f"$.{f.name}", "bigint"), 0 if f.kind == "count" else 1
-        out = F.when(kind != "BIGINT", fail("INVALID_TYPE", f.name, "must be an integer")).when(n < least, fail("INVALID_VALUE", f.name, f"must be {least} or more"))
+        out = F.when(
+            kind != "BIGINT", fail("INVALID_TYPE", f.name, "must be an integer")
+        ).when(n < least, fail("INVALID_VALUE", f.name, f"must be {least} or more"))
         if f.kind == "version":
-            out = out.when(n != MANIFEST_SCHEMA_VERSION, fail("UNSUPPORTED_SCHEMA_VERSION", f.name, f"must be {MANIFEST_SCHEMA_VERSION}"))
+            out = out.when(
+                n != MANIFEST_SCHEMA_VERSION,
+                fail("UNSUPPORTED_SCHEMA_VERSION", f.name, f"must be {MANIFEST_SCHEMA_VERSION}")
+            )
         return out.otherwise(none)
     if f.kind in ("money", "money0", "signed"):
         amount = parse_money(text, f.kind == "signed")
@@ -55,14 +62,23 @@ def check(v: Column, f: Field) -> Column:
             out = out.when(amount <= 0, fail("INVALID_AMOUNT", f.name, "must be greater than zero"))
         if f.kind == "signed":
             capture = _text(v, "movement_type") == "CAPTURE"
-            out = out.when((capture & (amount <= 0)) | (~capture & (amount >= 0)), fail("INVALID_MONEY_SIGN", f.name, "has the wrong sign for its movement"))
+            out = out.when(
+                (capture & (amount <= 0)) | (~capture & (amount >= 0)),
+                fail("INVALID_MONEY_SIGN", f.name, "has the wrong sign for its movement")
+            )
         return out.otherwise(none)
     out = F.when(kind != "STRING", fail("INVALID_TYPE", f.name, "must be a string"))
-    out = out.when((text == "") | F.rlike(text, F.lit(r"\A\s|\s\z")), fail("INVALID_VALUE", f.name, "must be text without outer white space"))
+    out = out.when(
+        (text == "") | F.rlike(text, F.lit(r"\A\s|\s\z")),
+        fail("INVALID_VALUE", f.name, "must be text without outer white space")
+    )
     if f.kind == "enum":
         out = out.when(~text.isin(*f.values), fail("INVALID_VALUE", f.name, "is not a known value"))
     elif f.kind == "sha256":
-        out = out.when(~F.rlike(text, F.lit(r"\A[0-9a-f]{64}\z")), fail("INVALID_VALUE", f.name, "must be 64 lower-case hex digits"))
+        out = out.when(
+            ~F.rlike(text, F.lit(r"\A[0-9a-f]{64}\z")),
+            fail("INVALID_VALUE", f.name, "must be 64 lower-case hex digits")
+        )
     elif f.kind == "currency":
         out = out.when(text != CURRENCY, fail("UNSUPPORTED_CURRENCY", f.name, f"must be {CURRENCY}"))
     elif f.kind == "ts":
@@ -82,15 +98,27 @@ def first_fault(v: Column, e: Entity) -> Column:
     extra = F.array_sort(F.array_except(keys, known))
     none = F.lit(None).cast(_FAIL)
     checks = [
-        F.when(F.schema_of_variant(v).startswith("OBJECT"), none).otherwise(fail("INVALID_TYPE", F.lit(None).cast("string"), "must be an object")),
-        F.when(F.size(missing) > 0, fail("MISSING_FIELD", missing[0], F.concat(F.lit("missing: "), F.array_join(missing, ", ")))),
-        F.when(F.size(extra) > 0, fail("UNEXPECTED_FIELD", extra[0], F.concat(F.lit("unexpected: "), F.array_join(extra, ", ")))),
+        F.when(F.schema_of_variant(v).startswith("OBJECT"), none).otherwise(
+            fail("INVALID_TYPE", F.lit(None).cast("string"), "must be an object")
+        ),
+        F.when(
+            F.size(missing) > 0,
+            fail("MISSING_FIELD", missing[0], F.concat(F.lit("missing: "), F.array_join(missing, ", ")))
+        ),
+        F.when(
+            F.size(extra) > 0,
+            fail("UNEXPECTED_FIELD", extra[0], F.concat(F.lit("unexpected: "), F.array_join(extra, ", ")))
+        ),
     ]
     by_name = {f.name: f for f in e.fields}
     for name in e.first:
         if e.dated and name == "available_on":
             there, dated = F.array_contains(keys, name), _text(v, "status") == e.dated
-            checks += [F.when(dated & ~there, fail("MISSING_FIELD", name, f"is required with status {e.dated}")), F.when(~dated & there, fail("INVALID_VALUE", name, f"needs status {e.dated}")), F.when(dated, check(v, by_name[name]))]
+            checks += [
+                F.when(dated & ~there, fail("MISSING_FIELD", name, f"is required with status {e.dated}")),
+                F.when(~dated & there, fail("INVALID_VALUE", name, f"needs status {e.dated}")),
+                F.when(dated, check(v, by_name[name]))
+            ]
         else:
             checks.append(check(v, by_name[name]))
     checks += [check(v, f) for f in e.fields if f.name not in e.first]
@@ -128,12 +156,25 @@ def validate(rows: DataFrame, entity: str, payload_col: str = "payload") -> tupl
     e, rest = ENTITIES[entity], [c for c in rows.columns if c != payload_col]
     read = rows.withColumn("_v", F.try_parse_json(payload_col))
     v = F.col("_v")
-    fault = F.when(v.isNull(), fail("INVALID_JSON", F.lit(None).cast("string"), "is not strict JSON")).otherwise(first_fault(v, e))
+    fault = F.when(
+        v.isNull(), fail("INVALID_JSON", F.lit(None).cast("string"), "is not strict JSON")
+    ).otherwise(first_fault(v, e))
     read = read.withColumn("_fault", fault)
-    good = read.where("_fault IS NULL").select(*rest, F.lit(e.system).alias("source_system"), F.lit(entity).alias("entity_type"), F.struct(*[_value(v, f).alias(f.name) for f in e.fields]).alias("record"))
-    good = good.select(*rest, "source_system", "entity_type", F.col(f"record.{e.id_field}").alias("source_id"), F.col("record.source_version").alias("source_version"), payload_hash(F.col("record"), entity).alias("payload_hash"), "record")
+    good = read.where("_fault IS NULL").select(
+        *rest, F.lit(e.system).alias("source_system"), F.lit(entity).alias("entity_type"),
+        F.struct(*[_value(v, f).alias(f.name) for f in e.fields]).alias("record")
+    )
+    good = good.select(
+        *rest, "source_system", "entity_type", F.col(f"record.{e.id_field}").alias("source_id"),
+        F.col("record.source_version").alias("source_version"),
+        payload_hash(F.col("record"), entity).alias("payload_hash"), "record"
+    )
     where = F.when(F.col("_fault.field").isNotNull(), F.concat(F.col("_fault.field"), F.lit(": "))).otherwise("")
-    bad = read.where("_fault IS NOT NULL").select(*rest, F.lit(entity).alias("entity_type"), _text(v, e.id_field).alias("source_id"), F.col("_fault.code").alias("reason_code"), F.concat(where, F.col("_fault.detail")).alias("reason_detail"), F.coalesce(F.to_json(v), F.col(payload_col)).alias("raw_payload_json"))
+    bad = read.where("_fault IS NOT NULL").select(
+        *rest, F.lit(entity).alias("entity_type"), _text(v, e.id_field).alias("source_id"),
+        F.col("_fault.code").alias("reason_code"), F.concat(where, F.col("_fault.detail")).alias("reason_detail"),
+        F.coalesce(F.to_json(v), F.col(payload_col)).alias("raw_payload_json")
+    )
     return good, bad
 
 
@@ -146,9 +187,15 @@ def parse_manifests(rows: DataFrame, payload_col: str = "payload") -> tuple[Data
     rest = [c for c in rows.columns if c != payload_col]
     read = rows.withColumn("_v", F.try_parse_json(payload_col))
     v = F.col("_v")
-    fault = F.when(v.isNull(), fail("INVALID_JSON", F.lit(None).cast("string"), "is not strict JSON")).otherwise(first_fault(v, MANIFEST))
+    fault = F.when(
+        v.isNull(), fail("INVALID_JSON", F.lit(None).cast("string"), "is not strict JSON")
+    ).otherwise(first_fault(v, MANIFEST))
     read = read.withColumn("_fault", fault)
-    good = read.where("_fault IS NULL").select(*rest, F.struct(*[_value(v, f).alias(f.name) for f in MANIFEST.fields]).alias("manifest"))
+    good = read.where("_fault IS NULL").select(
+        *rest, F.struct(*[_value(v, f).alias(f.name) for f in MANIFEST.fields]).alias("manifest")
+    )
     where = F.when(F.col("_fault.field").isNotNull(), F.concat(F.col("_fault.field"), F.lit(": "))).otherwise("")
-    bad = read.where("_fault IS NOT NULL").select(*rest, F.col("_fault.code").alias("reason_code"), F.concat(where, F.col("_fault.detail")).alias("reason_detail"))
+    bad = read.where("_fault IS NOT NULL").select(
+        *rest, F.col("_fault.code").alias("reason_code"), F.concat(where, F.col("_fault.detail")).alias("reason_detail")
+    )
     return good, bad

@@ -19,7 +19,9 @@ def parse_events(files: DataFrame, text_col: str = "value", name_col: str = "sou
     written; an offset is dropped) and ``reason`` (null for a valid event).
     """
     v = F.col("_v")
-    kind = lambda f: F.coalesce(F.schema_of_variant(F.try_variant_get(v, f"$.{f}", "variant")), F.lit("ABSENT"))
+    kind = lambda f: F.coalesce(
+        F.schema_of_variant(F.try_variant_get(v, f"$.{f}", "variant")), F.lit("ABSENT")
+    )
     keys = F.coalesce(F.json_object_keys(F.to_json(v)), F.array().cast("array<string>"))
     stamp = F.try_variant_get(v, "$.timestamp", "string")
     wall = F.try_to_timestamp(F.regexp_replace(stamp, r"(Z|[+-]\d{2}:?\d{2})$", ""))
@@ -29,12 +31,24 @@ def parse_events(files: DataFrame, text_col: str = "value", name_col: str = "sou
         F.when(v.isNull(), "INVALID_JSON")
         .when(~F.schema_of_variant(v).startswith("OBJECT"), "NOT_AN_OBJECT")
         .when(F.size(F.array_except(F.array(*[F.lit(f) for f in FIELDS]), keys)) > 0, "MISSING_FIELD")
-        .when((kind("event_type") != "STRING") | ~F.coalesce(F.try_variant_get(v, "$.event_type", "string").isin(*EVENT_TYPES), F.lit(False)), "INVALID_EVENT_TYPE")
-        .when((kind("user_id") != "BIGINT") | ~F.coalesce(F.try_variant_get(v, "$.user_id", "bigint") > 0, F.lit(False)), "INVALID_USER")
+        .when(
+            (kind("event_type") != "STRING") | ~F.coalesce(
+                F.try_variant_get(v, "$.event_type", "string").isin(*EVENT_TYPES), F.lit(False)
+            ),
+            "INVALID_EVENT_TYPE"
+        )
+        .when(
+            (kind("user_id") != "BIGINT") | ~F.coalesce(F.try_variant_get(v, "$.user_id", "bigint") > 0, F.lit(False)),
+            "INVALID_USER"
+        )
         .when(~kind("product_id").isin("BIGINT", "VOID"), "INVALID_PRODUCT")
         .when((kind("timestamp") != "STRING") | ~iso | wall.isNull(), "INVALID_TIMESTAMP")
     )
-    out = {"event_type": F.try_variant_get(v, "$.event_type", "string"), "user_id": F.try_variant_get(v, "$.user_id", "bigint"), "product_id": F.try_variant_get(v, "$.product_id", "bigint"), "event_timestamp": wall, "reason": reason}
+    out = {
+        "event_type": F.try_variant_get(v, "$.event_type", "string"),
+        "user_id": F.try_variant_get(v, "$.user_id", "bigint"),
+        "product_id": F.try_variant_get(v, "$.product_id", "bigint"), "event_timestamp": wall, "reason": reason
+    }
     return df.withColumns(out).drop("_v")
 
 
@@ -50,19 +64,29 @@ def ingest(files: DataFrame, known: DataFrame | None = None) -> tuple[DataFrame,
     good = parsed.where("reason IS NULL").dropDuplicates(["source_file"])
     if known is not None:
         good = good.join(known.select("source_file"), "source_file", "left_anti")
-    return good.select("event_type", "user_id", "product_id", "event_timestamp", "source_file"), parsed.where("reason IS NOT NULL").select("source_file", "reason", "value")
+    return good.select(
+        "event_type", "user_id", "product_id", "event_timestamp", "source_file"
+    ), parsed.where("reason IS NOT NULL").select("source_file", "reason", "value")
 
 
 def cart_snapshot(events: DataFrame, start: Column, end: Column) -> DataFrame:
     """Cart additions of each user in [start, end)."""
-    df = events.where((F.col("event_type") == "add_to_cart") & (F.col("event_timestamp") >= start) & (F.col("event_timestamp") < end))
-    return df.groupBy("user_id").agg(F.count(F.lit(1)).alias("add_to_cart_count")).select("user_id", start.alias("snapshot_hour"), "add_to_cart_count")
+    df = events.where(
+        (F.col("event_type") == "add_to_cart") & (F.col("event_timestamp") >= start) & (F.col("event_timestamp") < end)
+    )
+    return df.groupBy("user_id").agg(F.count(F.lit(1)).alias("add_to_cart_count")).select(
+        "user_id", start.alias("snapshot_hour"), "add_to_cart_count"
+    )
 
 
 def purchase_quantity(events: DataFrame, start: Column, end: Column) -> DataFrame:
     """Purchases in [start, end); one row also when there are none."""
-    df = events.where((F.col("event_type") == "purchase") & (F.col("event_timestamp") >= start) & (F.col("event_timestamp") < end))
-    return df.agg(F.count(F.lit(1)).cast("decimal(10,2)").alias("total_quantity")).select(start.alias("operation_timestamp"), "total_quantity")
+    df = events.where(
+        (F.col("event_type") == "purchase") & (F.col("event_timestamp") >= start) & (F.col("event_timestamp") < end)
+    )
+    return df.agg(
+        F.count(F.lit(1)).cast("decimal(10,2)").alias("total_quantity")
+    ).select(start.alias("operation_timestamp"), "total_quantity")
 
 
 def upsert(mart: DataFrame | None, new: DataFrame, keys: list[str]) -> DataFrame:
@@ -77,14 +101,21 @@ def has_purchases(quantity: DataFrame) -> bool:
 
 def report(quantity: DataFrame) -> DataFrame:
     """The report's lines of text."""
-    return quantity.select(F.concat(F.lit("purchases at "), F.date_format("operation_timestamp", "yyyy-MM-dd HH:mm:ss"), F.lit(": "), F.col("total_quantity").cast("long").cast("string")).alias("value"))
+    return quantity.select(
+        F.concat(
+            F.lit("purchases at "), F.date_format("operation_timestamp", "yyyy-MM-dd HH:mm:ss"), F.lit(": "),
+            F.col("total_quantity").cast("long").cast("string")
+        ).alias("value")
+    )
 
 
 def windowed_marts(events: DataFrame, interval: str = INTERVAL) -> DataFrame:
     """Cart additions by user, and purchases, of every tumbling interval that has any."""
     df = events.where("event_type IN ('add_to_cart', 'purchase')")
     w = F.window("event_timestamp", interval)
-    out = df.groupBy(w.alias("w"), "event_type", F.when(F.col("event_type") == "add_to_cart", F.col("user_id")).alias("user_id")).agg(F.count(F.lit(1)).alias("n"))
+    out = df.groupBy(
+        w.alias("w"), "event_type", F.when(F.col("event_type") == "add_to_cart", F.col("user_id")).alias("user_id")
+    ).agg(F.count(F.lit(1)).alias("n"))
     return out.select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), "event_type", "user_id", "n")
 
 
@@ -94,7 +125,9 @@ def stream(spark: SparkSession, folder: str, events_path: str, bad_path: str, ch
     The file source's checkpoint makes a restart go on where it stopped; an
     anti-join on the names makes a batch that is run again add nothing.
     """
-    files = spark.readStream.format("text").option("wholetext", "true").option("pathGlobFilter", "*.json").schema("value string").load(folder)
+    files = spark.readStream.format("text").option("wholetext", "true").option(
+        "pathGlobFilter", "*.json"
+    ).schema("value string").load(folder)
     files = files.select("value", F.col("_metadata.file_name").alias("source_file"))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
@@ -105,12 +138,23 @@ def stream(spark: SparkSession, folder: str, events_path: str, bad_path: str, ch
         good.write.mode("append").parquet(events_path)
         bad.write.mode("append").parquet(bad_path)
 
-    return files.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return files.writeStream.foreachBatch(sink).option(
+        "checkpointLocation", checkpoint
+    ).trigger(availableNow=True).start()
 
 
 def generate(spark: SparkSession, n: int, seed: int = 1) -> DataFrame:
     """Random events as JSON text, for tests."""
     r = lambda k: F.rand(seed + k)
     types = F.array(*[F.lit(x) for x in EVENT_TYPES])
-    row = F.struct(F.get(types, F.floor(r(0) * 3).cast("int")).alias("event_type"), (1 + F.floor(r(1) * 100)).alias("user_id"), F.when(r(2) < 0.8, 1 + F.floor(r(2) * 50)).alias("product_id"), F.date_format(F.timestamp_seconds(1_767_225_600 + F.floor(r(3) * 3600)), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"))
-    return spark.range(n).select(F.to_json(row, {"ignoreNullFields": "false"}).alias("value"), F.concat(F.lit("event-"), F.col("id").cast("string"), F.lit(".json")).alias("source_file"))
+    row = F.struct(
+        F.get(types, F.floor(r(0) * 3).cast("int")).alias("event_type"), (1 + F.floor(r(1) * 100)).alias("user_id"),
+        F.when(r(2) < 0.8, 1 + F.floor(r(2) * 50)).alias("product_id"),
+        F.date_format(
+            F.timestamp_seconds(1_767_225_600 + F.floor(r(3) * 3600)), "yyyy-MM-dd'T'HH:mm:ss'Z'"
+        ).alias("timestamp")
+    )
+    return spark.range(n).select(
+        F.to_json(row, {"ignoreNullFields": "false"}).alias("value"),
+        F.concat(F.lit("event-"), F.col("id").cast("string"), F.lit(".json")).alias("source_file")
+    )

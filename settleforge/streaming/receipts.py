@@ -24,7 +24,9 @@ def apply_batch(batch: DataFrame, known: DataFrame | None) -> tuple[DataFrame, D
     return new, change_kinds(new, known)
 
 
-def stream(receipts: DataFrame, path: str, checkpoint: str, on_change: Callable[[DataFrame, int], None]) -> StreamingQuery:
+def stream(
+    receipts: DataFrame, path: str, checkpoint: str, on_change: Callable[[DataFrame, int], None]
+) -> StreamingQuery:
     """Append new receipts of a streaming frame to ``path`` and hand the changes of each batch on."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
@@ -36,4 +38,6 @@ def stream(receipts: DataFrame, path: str, checkpoint: str, on_change: Callable[
         new.select(batch.columns).write.mode("append").parquet(path)
         batch.unpersist()
 
-    return receipts.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return receipts.writeStream.foreachBatch(sink).option(
+        "checkpointLocation", checkpoint
+    ).trigger(availableNow=True).start()
