@@ -55,7 +55,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     out = out.where((F.col("n_removed") == 0) | F.rlike("kept_text", F.lit(r"[^\x20\x09-\x0D]")))
     have = ["doc_id", *rest, "text", *(["n_chars"] if "n_chars" in docs.columns else [])]
     more = [F.col("kept_text"), *([F.length("kept_text").cast("long")] if "n_chars" in docs.columns else [])]
-    return _placed(out.select(*[f"_{i}" for i in range(len(rest) + 1)], *[c.alias(f"m{i}") for i, c in enumerate(more)]), docs.columns, have)
+    return _placed(
+        out.select(*[f"_{i}" for i in range(len(rest) + 1)], *[c.alias(f"m{i}") for i, c in enumerate(more)]),
+        docs.columns, have
+    )
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,7 +66,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows with one id are one document; of rows that are equal in id and text one stays.
     """
-    gone = Scratch(spark).write(near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("id")).distinct(), "gone")
+    gone = Scratch(spark).write(
+        near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("id")).distinct(), "gone"
+    )
     if not docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").isEmpty():
         docs = docs.dropDuplicates(["doc_id", "text"])
     gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
@@ -81,7 +86,9 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of training sequences."""
     out = pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
-    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+    return out.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
