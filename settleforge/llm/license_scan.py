@@ -83,26 +83,52 @@ def word_frequencies(docs: DataFrame, text_col: str, vocabulary: list[str]) -> d
 
 def _window_hits(docs: DataFrame, table: DataFrame, rare: list[str], wide: int) -> DataFrame:
     """(row, line_no, label, c) of the best window around each place of a prefix word, where it meets the template."""
-    tokens = F.flatten(F.transform("lines", lambda x, k: F.transform(words_of(x), lambda w: F.struct(w.alias("w"), k.alias("line")))))
+    tokens = F.flatten(
+        F.transform("lines", lambda x, k: F.transform(words_of(x), lambda w: F.struct(w.alias("w"), k.alias("line"))))
+    )
     texts = docs.where("lines IS NOT NULL").select("row", tokens.alias("tokens"))
     # The words around a place from which the widest window can reach it, and the place among them.
     places = F.filter(F.sequence(F.lit(1), F.size("tokens")), lambda p: F.element_at("tokens", p)["w"].isin(rare))
     first = lambda p: F.greatest(p - (wide - 1), F.lit(1))
-    around = F.transform(places, lambda p: F.struct(F.element_at("tokens", p)["w"].alias("w"), (p - first(p) + 1).alias("p"), F.slice("tokens", first(p), p - first(p) + wide).alias("near")))
+    around = F.transform(
+        places,
+        lambda p: F.struct(
+            F.element_at("tokens", p)["w"].alias("w"), (p - first(p) + 1).alias("p"),
+            F.slice("tokens", first(p), p - first(p) + wide).alias("near")
+        )
+    )
     near = texts.select("row", F.explode(around).alias("x")).select("row", "x.*").join(F.broadcast(table), "w")
     begin = F.greatest(F.col("p") - F.col("span") + 1, F.lit(1))
     words = F.transform("near", lambda x: x["w"])
     near = near.withColumn("words", words).withColumn("begin", begin)
     # A window of which this is the rarest word holds none before it, so those behind it must do.
     behind = F.slice("t_words", F.col("t_at") + 1, F.col("t"))
-    near = near.where(F.size(F.array_intersect(F.slice("words", F.col("begin"), F.col("p") - F.col("begin") + F.col("span")), behind)) >= F.col("need"))
+    near = near.where(
+        F.size(
+            F.array_intersect(F.slice("words", F.col("begin"), F.col("p") - F.col("begin") + F.col("span")), behind)
+        ) >= F.col("need")
+    )
     starts = F.filter(F.sequence("begin", "p"), lambda i: F.array_contains("t_words", F.element_at("words", i)))
-    best = F.array_max(F.transform(starts, lambda i: F.struct(F.size(F.array_intersect(F.slice("words", i, F.col("span")), F.col("t_words"))).alias("common"), i.alias("i"))))
+    best = F.array_max(
+        F.transform(
+            starts,
+            lambda i: F.struct(
+                F.size(F.array_intersect(F.slice("words", i, F.col("span")), F.col("t_words"))).alias("common"),
+                i.alias("i")
+            )
+        )
+    )
     near = near.withColumn("best", best).where(F.col("best.common") >= F.col("need"))
-    return near.select("row", F.element_at("near", F.col("best.i"))["line"].alias("line_no"), "label", (F.col("best.common") / F.col("t")).alias("c"))
+    return near.select(
+        "row", F.element_at("near", F.col("best.i"))["line"].alias("line_no"), "label",
+        (F.col("best.common") / F.col("t")).alias("c")
+    )
 
 
-def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, templates: dict[str, str] | None = None, phrases: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
+def scan_licenses(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, templates: dict[str, str] | None = None,
+    phrases: dict[str, str] | None = None, threshold: float = THRESHOLD
+) -> DataFrame:
     """Find license phrases and license blocks.
 
     Returns a row for each input row: the id, ``n_words``, ``n_base`` (places of
@@ -134,30 +160,71 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     text = F.col(text_col).cast("string")
     read = docs.select(F.col(id_col).alias("id"), text.alias("text"), words_of(text).alias("words"))
     n = F.size("words")
-    places = {p: F.when((n >= len(p.split())) & F.array_contains("words", max(p.split(), key=len)), _phrase_places(F.col("words"), p)).otherwise(F.array().cast("array<int>")) for p in phrases}
+    places = {
+        p: F.when(
+            (n >= len(p.split())) & F.array_contains("words", max(p.split(), key=len)),
+            _phrase_places(F.col("words"), p)
+        ).otherwise(F.array().cast("array<int>")) for p in phrases
+    }
     lines = F.when(F.arrays_overlap("words", _strings(rare)), F.split("text", "\n", -1))
-    read = read.select(F.monotonically_increasing_id().alias("row"), "id", n.cast("long").alias("n_words"), F.array(*places.values()).alias("places"), lines.alias("lines"))
+    read = read.select(
+        F.monotonically_increasing_id().alias("row"), "id", n.cast("long").alias("n_words"),
+        F.array(*places.values()).alias("places"), lines.alias("lines")
+    )
     docs_ = Scratch(spark).write(read, "licenses")
 
     rank = F.create_map(*[x for w, i in order.items() for x in (F.lit(w), F.lit(i))])
     own = F.array_intersect(words_of(F.col("line")), _strings(vocabulary))
     blocks = docs_.where("lines IS NOT NULL").select("row", F.posexplode("lines").alias("line_no", "line"))
-    blocks = blocks.select("row", "line_no", F.transform(F.array_sort(F.transform(own, lambda w: F.struct(rank[w].alias("r"), w.alias("w")))), lambda x: x["w"]).alias("ws")).where(F.size("ws") >= least)
-    heads = blocks.select("row", "line_no", "ws", F.posexplode(F.slice("ws", F.lit(1), F.size("ws") - least + 1)).alias("at", "w"))
-    table = spark.createDataFrame(index, "w string, label string, t_at int, t int, need int, t_words array<string>, span int")
+    blocks = blocks.select(
+        "row", "line_no",
+        F.transform(
+            F.array_sort(F.transform(own, lambda w: F.struct(rank[w].alias("r"), w.alias("w")))), lambda x: x["w"]
+        ).alias("ws")
+    ).where(F.size("ws") >= least)
+    heads = blocks.select(
+        "row", "line_no", "ws", F.posexplode(F.slice("ws", F.lit(1), F.size("ws") - least + 1)).alias("at", "w")
+    )
+    table = spark.createDataFrame(
+        index, "w string, label string, t_at int, t int, need int, t_words array<string>, span int"
+    )
     near = heads.join(F.broadcast(table), "w")
-    near = near.where((F.size("ws") >= F.col("need")) & (F.least(F.size("ws") - F.col("at"), F.col("t") - F.col("t_at")) >= F.col("need")))
+    near = near.where(
+        (F.size("ws") >= F.col("need")) & (
+            F.least(F.size("ws") - F.col("at"), F.col("t") - F.col("t_at")) >= F.col("need")
+        )
+    )
     common = F.size(F.array_intersect("ws", "t_words"))
-    hits = near.where(common >= F.col("need")).select("row", "line_no", "label", (common / F.col("t")).alias("c")).distinct()
-    hits = hits.unionByName(_window_hits(docs_, table, rare, wide)).groupBy("row", "line_no", "label").agg(F.max("c").alias("c"))
-    hits = hits.groupBy("row").agg(F.array_sort(F.collect_set("label")).alias("more"), F.max("c").alias("c"), F.array_sort(F.collect_list(F.struct(F.col("line_no").alias("line"), "label", F.col("c").alias("containment")))).alias("matches"))
+    hits = near.where(common >= F.col("need")).select(
+        "row", "line_no", "label", (common / F.col("t")).alias("c")
+    ).distinct()
+    hits = hits.unionByName(
+        _window_hits(docs_, table, rare, wide)
+    ).groupBy("row", "line_no", "label").agg(F.max("c").alias("c"))
+    hits = hits.groupBy("row").agg(
+        F.array_sort(F.collect_set("label")).alias("more"), F.max("c").alias("c"),
+        F.array_sort(
+            F.collect_list(F.struct(F.col("line_no").alias("line"), "label", F.col("c").alias("containment")))
+        ).alias("matches")
+    )
 
     out = docs_.drop("lines").join(hits, "row", "left")
     every = F.flatten("places")
-    found = F.filter(F.array(*[F.when(F.size(F.col("places")[i]) > 0, F.lit(label)) for i, label in enumerate(phrases.values())]), lambda x: x.isNotNull())
+    found = F.filter(
+        F.array(*[F.when(F.size(F.col("places")[i]) > 0, F.lit(label)) for i, label in enumerate(phrases.values())]),
+        lambda x: x.isNotNull()
+    )
     labels = F.array_sort(F.array_distinct(F.concat(found, F.coalesce("more", F.array().cast("array<string>")))))
     score = F.greatest(F.coalesce("c", F.lit(0.0)), F.when(F.size(every) > 0, 1.0).otherwise(0.0))
-    return out.select(F.col("id").alias(id_col), "n_words", F.size(every).cast("long").alias("n_base"), F.array_min(every).cast("long").alias("first_word"), F.array_max(every).cast("long").alias("last_word"), F.array_join(F.array_sort(F.array_distinct(found)), ",").alias("base_labels"), F.array_join(labels, ",").alias("labels"), score.alias("score"), F.coalesce("matches", F.array().cast("array<struct<line: int, label: string, containment: double>>")).alias("matches"))
+    return out.select(
+        F.col("id").alias(id_col), "n_words", F.size(every).cast("long").alias("n_base"),
+        F.array_min(every).cast("long").alias("first_word"), F.array_max(every).cast("long").alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct(found)), ",").alias("base_labels"),
+        F.array_join(labels, ",").alias("labels"), score.alias("score"),
+        F.coalesce(
+            "matches", F.array().cast("array<struct<line: int, label: string, containment: double>>")
+        ).alias("matches")
+    )
 
 
 def oracle(table: str = "documents") -> str:
@@ -167,7 +234,11 @@ def oracle(table: str = "documents") -> str:
     parts, rows = [], []
     for p, label in PHRASES.items():
         ws = p.split()
-        parts.append(f"SELECT r, i, '{label}' AS label FROM p WHERE " + " AND ".join(f"w[i + {k + 1}] = '{x}'" for k, x in enumerate(ws)))
+        parts.append(
+            f"SELECT r, i, '{label}' AS label FROM p WHERE " + " AND ".join(
+                f"w[i + {k + 1}] = '{x}'" for k, x in enumerate(ws)
+            )
+        )
     for label, t in TEMPLATES.items():
         ws = sorted(set(t.split()))
         rows.append(f"('{label}', {ws}, {len(ws)}, {math.ceil(round(THRESHOLD * len(ws), 9))})")

@@ -49,7 +49,10 @@ def _word_count(line: Column, most: int) -> Column:
 def _reach(lines: Column, min_words: int) -> Column:
     """(words, lines) of the shortest beginning of ``lines`` that has enough words, or of all of them."""
     none = F.struct(F.lit(0).alias("w"), F.lit(0).alias("n"))
-    return F.aggregate(lines, none, lambda a, x: F.when(a["w"] >= min_words, a).otherwise(F.struct((a["w"] + x["w"]).alias("w"), (a["n"] + 1).alias("n"))))
+    return F.aggregate(
+        lines, none, lambda a,
+        x: F.when(a["w"] >= min_words, a).otherwise(F.struct((a["w"] + x["w"]).alias("w"), (a["n"] + 1).alias("n")))
+    )
 
 
 def _windows_of(own: Column, min_words: int) -> Column:
@@ -58,7 +61,10 @@ def _windows_of(own: Column, min_words: int) -> Column:
     def ahead(i: Column) -> Column:
         r = _reach(F.slice(own, i, min_words), min_words)
         some = F.struct((r["w"] >= min_words).alias("ok"), i.alias("start"), r["n"].alias("n"))
-        return F.when(F.element_at(own, i)["w"] >= min_words, F.struct(F.lit(True).alias("ok"), i.alias("start"), F.lit(1).alias("n"))).otherwise(some)
+        return F.when(
+            F.element_at(own, i)["w"] >= min_words,
+            F.struct(F.lit(True).alias("ok"), i.alias("start"), F.lit(1).alias("n"))
+        ).otherwise(some)
 
     def behind(i: Column) -> Column:
         start = F.greatest(i - min_words + 1, F.lit(1))
@@ -66,13 +72,20 @@ def _windows_of(own: Column, min_words: int) -> Column:
         # Those that reach just far enough from their first line on are there already.
         new = (r["w"] >= min_words) & (r["w"] - F.element_at(own, i)["w"] >= min_words)
         some = F.struct(new.alias("ok"), (i - r["n"] + 1).alias("start"), r["n"].alias("n"))
-        return F.when(F.element_at(own, i)["w"] >= min_words, F.struct(F.lit(False).alias("ok"), i.alias("start"), F.lit(1).alias("n"))).otherwise(some)
+        return F.when(
+            F.element_at(own, i)["w"] >= min_words,
+            F.struct(F.lit(False).alias("ok"), i.alias("start"), F.lit(1).alias("n"))
+        ).otherwise(some)
 
     def window(x: Column) -> Column:
         lines = F.slice(own, x["start"], x["n"])
         least = F.array_min(F.transform(lines, lambda y: F.struct(y["h"].alias("h"), (-y["p"]).alias("p"))))
-        chain = lambda k, c: F.aggregate(lines, F.lit(k).cast("long"), lambda a, y: F.xxhash64(a, y[c])).alias(f"w{k}")
-        ends = F.element_at(own, x["start"])["p"].alias("first"), F.element_at(own, x["start"] + x["n"] - 1)["p"].alias("last")
+        chain = lambda k, c: F.aggregate(
+            lines, F.lit(k).cast("long"), lambda a, y: F.xxhash64(a, y[c])
+        ).alias(f"w{k}")
+        ends = F.element_at(own, x["start"])["p"].alias("first"), F.element_at(
+            own, x["start"] + x["n"] - 1
+        )["p"].alias("last")
         return F.struct(least.alias("f"), *ends, chain(1, "h"), chain(2, "g"))
 
     every = F.sequence(F.lit(1), F.size(own))
@@ -86,11 +99,16 @@ def windows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     ``f`` is the fingerprint and ``at`` its place, ``first`` and ``last`` are the first
     and last line, ``w1`` and ``w2`` two independent hashes of the window's lines.
     """
-    one = lambda x, i: F.struct(F.xxhash64(x).alias("h"), F.xxhash64(F.lit(min_words), x).alias("g"), _word_count(x, min_words).alias("w"), i.alias("p"))
+    one = lambda x, i: F.struct(
+        F.xxhash64(x).alias("h"), F.xxhash64(F.lit(min_words), x).alias("g"), _word_count(x, min_words).alias("w"),
+        i.alias("p")
+    )
     own = F.filter(F.transform("lines", one), lambda x: x["w"] > 0)
     # As a lambda's variable the array is made once, not again for every element that looks into it.
     found = F.element_at(F.transform(F.array(own), lambda x: F.when(F.size(x) > 0, _windows_of(x, min_words))), 1)
-    return docs.select("id", "row", F.explode(found).alias("x")).select("id", "row", F.col("x.f.h").alias("f"), (-F.col("x.f.p")).alias("at"), "x.first", "x.last", "x.w1", "x.w2")
+    return docs.select("id", "row", F.explode(found).alias("x")).select(
+        "id", "row", F.col("x.f.h").alias("f"), (-F.col("x.f.p")).alias("at"), "x.first", "x.last", "x.w1", "x.w2"
+    )
 
 
 def _salted(df: DataFrame) -> DataFrame:
@@ -104,7 +122,9 @@ def late_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     shared = each.groupBy("f").agg(F.min(place).alias("a"), F.max(place).alias("z")).where("a < z").select("f")
     each = each.withColumn("salt", F.pmod(F.xxhash64("id", "row"), F.lit(SALTS)).cast("int"))
     near = each.join(_salted(shared), ["f", "salt"], "left_semi")
-    earliest = near.groupBy("w1", "w2").agg(F.min(F.struct("id", "row", "first")).alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    earliest = near.groupBy("w1", "w2").agg(
+        F.min(F.struct("id", "row", "first")).alias("a"), F.count(F.lit(1)).alias("n")
+    ).where("n > 1").drop("n")
     late = near.join(_salted(earliest), ["w1", "w2", "salt"]).where(F.struct("id", "row", "first") > F.col("a"))
     return late.select("id", "row", F.explode(F.sequence("first", "last")).alias("line"))
 
@@ -114,16 +134,29 @@ def _kept_parts() -> Column:
     s = F.col("starts")
     m = F.size(s)
     # Ends of runs of late lines, and where the next run begins.
-    edge = F.filter(F.sequence(F.lit(1), m), lambda i: (i == m) | (F.element_at(s, F.least(i + 1, m)) > F.element_at(s, i) + 1))
-    after = F.transform(edge, lambda i: F.struct((F.element_at(s, i) + 1).alias("at"), F.when(i == m, F.col("n_lines")).otherwise(F.element_at(s, F.least(i + 1, m))).alias("to")))
+    edge = F.filter(
+        F.sequence(F.lit(1), m), lambda i: (i == m) | (F.element_at(s, F.least(i + 1, m)) > F.element_at(s, i) + 1)
+    )
+    after = F.transform(
+        edge,
+        lambda i: F.struct(
+            (F.element_at(s, i) + 1).alias("at"),
+            F.when(i == m, F.col("n_lines")).otherwise(F.element_at(s, F.least(i + 1, m))).alias("to")
+        )
+    )
     head = F.array(F.struct(F.lit(0).alias("at"), F.element_at(s, 1).alias("to")))
     # What is blank between two late lines goes with them.
     inner = lambda x: (x["at"] > 0) & (x["to"] < F.col("n_lines"))
-    full = lambda x: F.exists(F.slice("lines", x["at"] + 1, x["to"] - x["at"]), lambda y: F.rlike(y, F.lit(_WORD)))
+    full = lambda x: F.exists(
+        F.slice("lines", x["at"] + 1, x["to"] - x["at"]), lambda y: F.rlike(y, F.lit(_WORD))
+    )
     return F.filter(F.concat(head, after), lambda x: (x["to"] > x["at"]) & (~inner(x) | full(x)))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, min_words: int = MIN_WORDS, carry: tuple[str, ...] = ()) -> DataFrame:
+def dedup_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, min_words: int = MIN_WORDS,
+    carry: tuple[str, ...] = ()
+) -> DataFrame:
     r"""Remove each line that lies in a run of lines with ``min_words`` words or more which also starts earlier.
 
     Lines are what stands between ``\n``; they count unchanged.  A word is a run
@@ -140,18 +173,30 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     * an empty table gives no rows; a document whose lines all go keeps an empty text.
     """
     text = F.col(text_col).cast("string")
-    src = docs.select(F.col(id_col).alias("id"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(carry)], text.alias("text"), F.xxhash64(text).alias("row"))
-    late = late_lines(src.select("id", "row", _lines(F.col("text")).alias("lines")), min_words).groupBy("id", "row").agg(F.array_sort(F.collect_set("line")).alias("starts"))
+    src = docs.select(
+        F.col(id_col).alias("id"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(carry)], text.alias("text"),
+        F.xxhash64(text).alias("row")
+    )
+    late = late_lines(
+        src.select("id", "row", _lines(F.col("text")).alias("lines")), min_words
+    ).groupBy("id", "row").agg(F.array_sort(F.collect_set("line")).alias("starts"))
     late = late.select(F.col("id").alias("late_id"), F.col("row").alias("late_row"), "starts")
     both = src.join(late, src["id"].eqNullSafe(late["late_id"]) & (src["row"] == late["late_row"]), "left")
-    both = both.withColumn("lines", F.when(F.col("starts").isNotNull(), _lines(F.col("text")))).withColumn("n_lines", F.size("lines"))
+    both = both.withColumn(
+        "lines", F.when(F.col("starts").isNotNull(), _lines(F.col("text")))
+    ).withColumn("n_lines", F.size("lines"))
     parts = _kept_parts()
     kept = F.flatten(F.transform(parts, lambda x: F.slice("lines", x["at"] + 1, x["to"] - x["at"])))
     both = both.withColumn("kept", F.when(F.col("starts").isNotNull(), kept))
-    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).cast("long")
+    n_lines = F.when(F.col("text").isNull(), 0).otherwise(
+        F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
+    ).cast("long")
     removed = F.when(F.col("starts").isNotNull(), F.col("n_lines") - F.size("kept")).otherwise(0).cast("long")
     out = F.when(F.col("starts").isNotNull(), F.array_join("kept", "\n")).otherwise(F.col("text"))
-    return both.select(F.col("id").alias(id_col), *[F.col(f"c{i}").alias(c) for i, c in enumerate(carry)], n_lines.alias("n_lines"), removed.alias("n_removed"), out.alias("kept_text"))
+    return both.select(
+        F.col("id").alias(id_col), *[F.col(f"c{i}").alias(c) for i, c in enumerate(carry)], n_lines.alias("n_lines"),
+        removed.alias("n_removed"), out.alias("kept_text")
+    )
 
 
 def oracle(table: str = "documents", min_words: int = MIN_WORDS) -> str:

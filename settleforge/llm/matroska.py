@@ -86,10 +86,28 @@ def write(payload: bytes, frame: int = FRAME) -> bytes:
     if len(payload) % frame:
         raise ValueError("the payload is not a whole number of frames")
     n = len(payload) // frame
-    head = _element(EBML, _uint(EBML_VERSION, 1) + _uint(EBML_READ_VERSION, 1) + _uint(MAX_ID_LENGTH, 4) + _uint(MAX_SIZE_LENGTH, 8) + _element(DOC_TYPE, b"matroska") + _uint(DOC_TYPE_VERSION, 4) + _uint(DOC_TYPE_READ_VERSION, 2))
-    info = _element(INFO, _uint(TIMESTAMP_SCALE, 1_000_000) + _float(DURATION, float(n * MS_PER_FRAME)) + _element(MUXING_APP, b"settleforge") + _element(WRITING_APP, b"settleforge"))
+    head = _element(
+        EBML,
+        _uint(EBML_VERSION, 1) + _uint(EBML_READ_VERSION, 1) + _uint(MAX_ID_LENGTH, 4) + _uint(MAX_SIZE_LENGTH, 8) + _element(DOC_TYPE, b"matroska") + _uint(DOC_TYPE_VERSION, 4) + _uint(
+            DOC_TYPE_READ_VERSION, 2
+        )
+    )
+    info = _element(
+        INFO,
+        _uint(TIMESTAMP_SCALE, 1_000_000) + _float(
+            DURATION, float(n * MS_PER_FRAME)
+        ) + _element(MUXING_APP, b"settleforge") + _element(WRITING_APP, b"settleforge")
+    )
     audio = _element(AUDIO, _float(SAMPLING_FREQUENCY, float(RATE)) + _uint(CHANNELS, 1) + _uint(BIT_DEPTH, 8))
-    tracks = _element(TRACKS, _element(TRACK_ENTRY, _uint(TRACK_NUMBER, 1) + _uint(TRACK_UID, 1) + _uint(TRACK_TYPE, 2) + _uint(FLAG_LACING, 1) + _uint(DEFAULT_DURATION, MS_PER_FRAME * 1_000_000) + _element(CODEC_ID, PCM_CODEC) + audio))
+    tracks = _element(
+        TRACKS,
+        _element(
+            TRACK_ENTRY,
+            _uint(TRACK_NUMBER, 1) + _uint(TRACK_UID, 1) + _uint(TRACK_TYPE, 2) + _uint(FLAG_LACING, 1) + _uint(
+                DEFAULT_DURATION, MS_PER_FRAME * 1_000_000
+            ) + _element(CODEC_ID, PCM_CODEC) + audio
+        )
+    )
     parts, at, cues = [info, tracks], len(info) + len(tracks), []
     per_cluster = FRAMES_PER_BLOCK * BLOCKS_PER_CLUSTER
     for first in range(0, n, per_cluster):
@@ -98,10 +116,19 @@ def write(payload: bytes, frame: int = FRAME) -> bytes:
             count = min(FRAMES_PER_BLOCK, n - k)
             raw = payload[k * frame : (k + count) * frame]
             # Frames of one size need no sizes in the block, so they need not be cut apart here.
-            lacing = b"\x81" + struct.pack(">hB", (k - first) * MS_PER_FRAME, 0x84 if count > 1 else 0x80) + (bytes([count - 1]) if count > 1 else b"")
+            lacing = b"\x81" + struct.pack(
+                ">hB", (k - first) * MS_PER_FRAME, 0x84 if count > 1 else 0x80
+            ) + (bytes([count - 1]) if count > 1 else b"")
             body.append(_element(SIMPLE_BLOCK, lacing + raw))
         cluster = _element(CLUSTER, b"".join(body))
-        cues.append(_element(CUE_POINT, _uint(CUE_TIME, first * MS_PER_FRAME) + _element(CUE_TRACK_POSITIONS, _uint(CUE_TRACK, 1) + _uint(CUE_CLUSTER_POSITION, at))))
+        cues.append(
+            _element(
+                CUE_POINT,
+                _uint(CUE_TIME, first * MS_PER_FRAME) + _element(
+                    CUE_TRACK_POSITIONS, _uint(CUE_TRACK, 1) + _uint(CUE_CLUSTER_POSITION, at)
+                )
+            )
+        )
         parts.append(cluster)
         at += len(cluster)
     parts.append(_element(CUES, b"".join(cues)))
@@ -255,7 +282,9 @@ def _track(data: bytes, a: int, b: int) -> dict:
     out = {}
     for k, x, y in _elements(data, a, b):
         if k in (TRACK_NUMBER, TRACK_TYPE, DEFAULT_DURATION):
-            out[{TRACK_NUMBER: "number", TRACK_TYPE: "type", DEFAULT_DURATION: "default_duration"}[k]] = _number(data, x, y)
+            out[
+                {TRACK_NUMBER: "number", TRACK_TYPE: "type", DEFAULT_DURATION: "default_duration"}[k]
+            ] = _number(data, x, y)
         elif k == CODEC_ID:
             out["codec"] = data[x:y].decode("ascii", "replace")
         elif k == AUDIO:
@@ -303,7 +332,9 @@ def _cue(data: bytes, a: int, b: int, out: Media) -> None:
 
 def payload_of(data: bytes, media: Media, track: int = 1) -> bytes:
     """The bytes of a track's packets, one after another."""
-    return b"".join([data[o : o + n] for o, n, t in zip(media.offset, media.size, media.track, strict=True) if t == track])
+    return b"".join(
+        [data[o : o + n] for o, n, t in zip(media.offset, media.size, media.track, strict=True) if t == track]
+    )
 
 
 def feature_of(payload: bytes, media: Media) -> str:
@@ -338,10 +369,19 @@ def store_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                     media = parse(files[-1])
                     loads.append(payload_of(files[-1], media))
                     features.append(feature_of(loads[-1], media))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(files, pa.binary()), pa.array(loads, pa.binary()), pa.array(features)], names=["id", "n_bytes", "media", "payload", "feature"])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0), pa.array(sizes, pa.int64()), pa.array(files, pa.binary()),
+                        pa.array(loads, pa.binary()), pa.array(features)
+                    ],
+                    names=["id", "n_bytes", "media", "payload", "feature"]
+                )
 
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    out = src.mapInArrow(store, f"id {docs.schema[id_col].dataType.simpleString()}, n_bytes long, media binary, payload binary, feature string")
+    out = src.mapInArrow(
+        store,
+        f"id {docs.schema[id_col].dataType.simpleString()}, n_bytes long, media binary, payload binary, feature string"
+    )
     return out.withColumnRenamed("id", id_col)
 
 
@@ -361,13 +401,30 @@ def packet_table(files: DataFrame, id_col: str = "doc_id", media_col: str = "med
                 except (BadMedia, struct.error, IndexError) as e:
                     error, m = str(e) or "broken", None
                 if m is None or not m.size:
-                    rows = {"packet": [None], "track": [None], "time": [None], "offset": [None], "size": [None], "key": [None], "crc32": [None], "error": [error or ("no packets" if m else "no file")]}
+                    rows = {
+                        "packet": [None], "track": [None], "time": [None], "offset": [None], "size": [None],
+                        "key": [None], "crc32": [None], "error": [error or ("no packets" if m else "no file")]
+                    }
                 else:
                     n = len(m.size)
-                    rows = {"packet": list(range(n)), "track": m.track, "time": m.time, "offset": m.offset, "size": m.size, "key": m.key, "crc32": [zlib.crc32(data[o : o + k]) for o, k in zip(m.offset, m.size, strict=True)], "error": [None] * n}
+                    rows = {
+                        "packet": list(range(n)), "track": m.track, "time": m.time, "offset": m.offset, "size": m.size,
+                        "key": m.key,
+                        "crc32": [zlib.crc32(data[o : o + k]) for o, k in zip(m.offset, m.size, strict=True)],
+                        "error": [None] * n
+                    }
                 kinds = {"key": pa.bool_(), "error": pa.string()}
-                yield pa.RecordBatch.from_arrays([pa.array([ident.as_py()] * len(rows["key"]), batch.schema.field(0).type), *[pa.array(v, kinds.get(k, pa.int64())) for k, v in rows.items()]], names=["id", *rows])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([ident.as_py()] * len(rows["key"]), batch.schema.field(0).type),
+                        *[pa.array(v, kinds.get(k, pa.int64())) for k, v in rows.items()]
+                    ],
+                    names=["id", *rows]
+                )
 
     src = files.select(F.col(id_col).alias("id"), F.col(media_col).alias("media"))
-    out = src.mapInArrow(packets, f"id {files.schema[id_col].dataType.simpleString()}, packet long, track long, time long, offset long, size long, key boolean, crc32 long, error string")
+    out = src.mapInArrow(
+        packets,
+        f"id {files.schema[id_col].dataType.simpleString()}, packet long, track long, time long, offset long, size long, key boolean, crc32 long, error string"
+    )
     return out.withColumnRenamed("id", id_col)

@@ -28,10 +28,14 @@ def word_count(text: Column) -> Column:
 
 def hash_of(id_col: Column, seed: str = "") -> Column:
     """60 bits that depend on the id and the seed alone."""
-    return F.conv(F.substring(F.md5(F.concat(F.lit(seed), F.coalesce(id_col.cast("string"), F.lit("")))), 1, 15), 16, 10).cast("long")
+    return F.conv(
+        F.substring(F.md5(F.concat(F.lit(seed), F.coalesce(id_col.cast("string"), F.lit("")))), 1, 15), 16, 10
+    ).cast("long")
 
 
-def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share_num: int = 3, share_den: int = 2, most: int = 2) -> DataFrame:
+def source_targets(
+    sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share_num: int = 3, share_den: int = 2, most: int = 2
+) -> DataFrame:
     """Targets by source from (source, source_size): ``share`` of all sizes by weight, none above ``most`` times its size.
 
     What a source cannot take is shared again by weight, until none is above its
@@ -47,7 +51,13 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share_n
     t = t.withColumn("order", (F.col("bound") * lcm / F.col("weight")).cast("long"))
     before = Window.orderBy("order", F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
     every = Window.partitionBy()
-    t = t.withColumns({"all_size": F.sum("source_size").over(every), "all_weight": F.sum("weight").over(every), "bound_before": F.coalesce(F.sum("bound").over(before), F.lit(0)), "weight_before": F.coalesce(F.sum("weight").over(before), F.lit(0))})
+    t = t.withColumns(
+        {
+            "all_size": F.sum("source_size").over(every), "all_weight": F.sum("weight").over(every),
+            "bound_before": F.coalesce(F.sum("bound").over(before), F.lit(0)),
+            "weight_before": F.coalesce(F.sum("weight").over(before), F.lit(0))
+        }
+    )
     left = share_num * F.col("all_size") - share_den * F.col("bound_before")
     part = share_den * (F.col("all_weight") - F.col("weight_before"))
     free = left * F.col("weight") <= F.col("bound") * part
@@ -57,7 +67,9 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share_n
     level = F.min(F.when(F.col("free"), F.struct("n", "left", "part"))).over(every)
     t = t.withColumn("level", level)
     capped = F.col("level").isNull() | (F.col("n") < F.col("level.n"))
-    target = F.when(capped, F.col("bound").cast("double")).otherwise((F.col("level.left") * F.col("weight")).cast("double") / F.col("level.part").cast("double"))
+    target = F.when(capped, F.col("bound").cast("double")).otherwise(
+        (F.col("level.left") * F.col("weight")).cast("double") / F.col("level.part").cast("double")
+    )
     return t.select("source", "source_size", "weight", target.alias("target"))
 
 
@@ -73,7 +85,10 @@ def with_sources(left: DataFrame, right: DataFrame, how: str = "inner") -> DataF
     return left.join(right, left["source"].eqNullSafe(right["_s"]), how).drop("_s")
 
 
-def thresholds(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", *, weights: tuple[int, ...] = WEIGHTS, seed: str = "") -> DataFrame:
+def thresholds(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", *,
+    weights: tuple[int, ...] = WEIGHTS, seed: str = ""
+) -> DataFrame:
     """A row a source: ``source``, ``source_size``, ``target``, ``full`` (copies of every document), ``lo`` and ``take``.
 
     A document gets one copy more if its hash is below ``lo``, or is ``lo`` and ``take`` holds.
@@ -81,22 +96,41 @@ def thresholds(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spark = docs.sparkSession
     scratch = Scratch(spark)
     # Only what the histograms read: the choice itself needs no table of documents.
-    base = scratch.write(docs.select(F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"), hash_of(F.col(id_col), seed).alias("h")), "sizes")
+    base = scratch.write(
+        docs.select(
+            F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"),
+            hash_of(F.col(id_col), seed).alias("h")
+        ),
+        "sizes"
+    )
     sources = source_targets(base.groupBy("source").agg(F.sum("size").alias("source_size")), weights)
     full = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("int")
-    sources = scratch.write(sources.withColumn("full", full).withColumn("budget", F.col("target") - F.col("full") * F.col("source_size")), "sources")
+    sources = scratch.write(
+        sources.withColumn("full", full).withColumn("budget", F.col("target") - F.col("full") * F.col("source_size")),
+        "sources"
+    )
     # edge: (source, bits read so far, words below them, budget).
-    edge, shift = sources.select("source", F.lit(0).cast("long").alias("prefix"), F.lit(0).cast("long").alias("below"), "budget"), HASH_BITS
+    edge, shift = sources.select(
+        "source", F.lit(0).cast("long").alias("prefix"), F.lit(0).cast("long").alias("below"), "budget"
+    ), HASH_BITS
     while shift:
         step = min(STEP_BITS, shift)
         rows = with_sources(base.where("size > 0"), edge.select("source", "prefix", "below", "budget"))
         if shift < HASH_BITS:
             rows = rows.where(F.shiftright("h", shift) == F.col("prefix"))
         shift -= step
-        sums = rows.groupBy("source", "below", "budget", F.shiftright("h", shift).alias("bucket")).agg(F.sum("size").alias("size"), F.min("h").alias("lo"), F.max("h").alias("hi"))
-        upto = F.sum("size").over(Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)) + F.col("below")
+        sums = rows.groupBy("source", "below", "budget", F.shiftright("h", shift).alias("bucket")).agg(
+            F.sum("size").alias("size"), F.min("h").alias("lo"), F.max("h").alias("hi")
+        )
+        upto = F.sum("size").over(
+            Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
+        ) + F.col("below")
         sums = sums.withColumn("upto", upto).where(F.col("upto") > F.col("budget"))
-        cut = sums.groupBy("source").agg(F.min(F.struct("bucket", "upto", "size", "budget", "lo", "hi")).alias("c")).select("source", F.col("c.bucket").alias("prefix"), (F.col("c.upto") - F.col("c.size")).alias("below"), F.col("c.budget").alias("budget"), F.col("c.size").alias("size"), F.col("c.lo").alias("lo"), F.col("c.hi").alias("hi"))
+        cut = sums.groupBy("source").agg(F.min(F.struct("bucket", "upto", "size", "budget", "lo", "hi")).alias("c")).select(
+            "source", F.col("c.bucket").alias("prefix"), (F.col("c.upto") - F.col("c.size")).alias("below"),
+            F.col("c.budget").alias("budget"), F.col("c.size").alias("size"), F.col("c.lo").alias("lo"),
+            F.col("c.hi").alias("hi")
+        )
         edge = scratch.write(cut, "edge")
         if edge.where("lo <> hi").isEmpty():
             break
@@ -108,10 +142,15 @@ def thresholds(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def copies(id_col: Column, seed: str = "") -> Column:
     """How often the mix takes a document whose row holds its source's threshold."""
     h = hash_of(id_col, seed)
-    return F.col("full") + F.coalesce((h < F.col("lo")) | ((h == F.col("lo")) & F.col("take")), F.lit(False)).cast("int")
+    return F.col("full") + F.coalesce(
+        (h < F.col("lo")) | ((h == F.col("lo")) & F.col("take")), F.lit(False)
+    ).cast("int")
 
 
-def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", *, weights: tuple[int, ...] = WEIGHTS, seed: str = "") -> DataFrame:
+def mix_sources(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", *,
+    weights: tuple[int, ...] = WEIGHTS, seed: str = ""
+) -> DataFrame:
     """How often the mix takes each document.
 
     Returns a row for each input row: ``doc_id``, ``size`` (words), ``source``,
@@ -125,9 +164,15 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     * the choice depends on ids, sizes and the seed, so reruns agree.
     """
     limits = thresholds(docs, id_col, text_col, source_col, weights=weights, seed=seed)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"))
+    rows = docs.select(
+        F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
+        word_count(F.col(text_col)).alias("size")
+    )
     out = with_sources(rows, limits).withColumn("copies", copies(F.col("doc_id"), seed))
-    return out.select("doc_id", "size", "source", "source_size", "target", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
+    return out.select(
+        "doc_id", "size", "source", "source_size", "target", "copies",
+        (F.col("copies") * F.col("size")).cast("long").alias("taken")
+    )
 
 
 def oracle(table: str = "documents") -> str:

@@ -167,11 +167,20 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 for i, k, s in zip(some.tolist(), band_keys(mins), odd_sketches(mins), strict=True):
                     digest[i], bands[i], sketch[i] = hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest(), k, s
                     whole[i] = parity(sets[i])
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(size), pa.array(digest, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.list_(pa.int64())), pa.array(whole, pa.binary())], names=["id", "n_shingles", "digest", "bands", "sketch", "parity"])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0), pa.array(size), pa.array(digest, pa.binary()),
+                        pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.list_(pa.int64())),
+                        pa.array(whole, pa.binary())
+                    ],
+                    names=["id", "n_shingles", "digest", "bands", "sketch", "parity"]
+                )
         T.release()
 
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(sign, "id long, n_shingles long, digest binary, bands array<long>, sketch array<long>, parity binary")
+    return src.mapInArrow(
+        sign, "id long, n_shingles long, digest binary, bands array<long>, sketch array<long>, parity binary"
+    )
 
 
 def _near(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -192,7 +201,10 @@ def _near(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     flips = sum((F.bit_count(F.col("sa")[i].bitwiseXOR(F.col("sb")[i])) for i in range(SKETCH_BITS // 64)), F.lit(0))
 
     def side(x: str) -> DataFrame:
-        return nodes.select(F.col("id").alias(x), F.col("sketch").alias(f"s{x}"), F.col("parity").alias(f"p{x}"), F.col("n_shingles").alias(f"n{x}"))
+        return nodes.select(
+            F.col("id").alias(x), F.col("sketch").alias(f"s{x}"), F.col("parity").alias(f"p{x}"),
+            F.col("n_shingles").alias(f"n{x}")
+        )
 
     both = pairs.join(side("b"), "b").join(side("a"), "a").where(flips <= most_flips(SKETCH_SIMILARITY))
     return both.select("a", "b", (F.col("na") + F.col("nb")).alias("n"), "pa", "pb").mapInArrow(check, "a long, b long")
@@ -227,7 +239,9 @@ def confirm(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, perce
                 a = part.column(0).to_numpy()
                 new = np.concatenate(([True], a[1:] != a[:-1])) if len(a) else np.zeros(0, bool)
                 # Rows of one id may hold several texts; they stand together too, so the text decides.
-                new[1:] |= pc.not_equal(part.column(2)[1:], part.column(2)[:-1]).fill_null(True).to_numpy(zero_copy_only=False)
+                new[1:] |= pc.not_equal(
+                    part.column(2)[1:], part.column(2)[:-1]
+                ).fill_null(True).to_numpy(zero_copy_only=False)
                 left, right = sets(part.column(2).filter(pa.array(new))), sets(part.column(3))
                 which = np.cumsum(new) - 1
                 keep = np.array([_meets(left[which[i]], right[i], percent) for i in range(len(part))], bool)
@@ -237,8 +251,12 @@ def confirm(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, perce
 
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).join(ids, "id", "left_semi")
-    both = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b").join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
+    texts = docs.select(
+        F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")
+    ).join(ids, "id", "left_semi")
+    both = pairs.join(
+        texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b"
+    ).join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
     return both.select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long").distinct()
 
 
@@ -249,14 +267,35 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     label; the rounds grow with the logarithm of a component's diameter.  Only
     counts come to the driver.
     """
-    both = edges.where("a <> b").select(F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))).alias("e"))
+    both = edges.where("a <> b").select(
+        F.explode(
+            F.array(
+                F.struct(F.col("a").alias("u"), F.col("b").alias("v")),
+                F.struct(F.col("b").alias("u"), F.col("a").alias("v"))
+            )
+        ).alias("e")
+    )
     both = scratch.write(both.select("e.u", "e.v").distinct(), "edges")
-    labels = scratch.write(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), F.least("u", "m").alias("component")), "labels")
+    labels = scratch.write(
+        both.groupBy("u").agg(F.min("v").alias("m")).select(
+            F.col("u").alias("node"), F.least("u", "m").alias("component")
+        ),
+        "labels"
+    )
     while True:
-        near = both.join(labels.select(F.col("node").alias("v"), "component"), "v").groupBy("u").agg(F.min("component").alias("m"))
-        step = labels.join(near, labels["node"] == near["u"]).select("node", F.col("component").alias("old"), F.least("component", "m").alias("mid"))
+        near = both.join(
+            labels.select(F.col("node").alias("v"), "component"), "v"
+        ).groupBy("u").agg(F.min("component").alias("m"))
+        step = labels.join(near, labels["node"] == near["u"]).select(
+            "node", F.col("component").alias("old"), F.least("component", "m").alias("mid")
+        )
         up = labels.select(F.col("node").alias("mid"), F.col("component").alias("top"))
-        new = scratch.write(step.join(up, "mid").select("node", F.least("mid", "top").alias("component"), (F.least("mid", "top") < F.col("old")).alias("moved")), "labels")
+        new = scratch.write(
+            step.join(up, "mid").select(
+                "node", F.least("mid", "top").alias("component"), (F.least("mid", "top") < F.col("old")).alias("moved")
+            ),
+            "labels"
+        )
         done = new.where("moved").isEmpty()
         scratch.drop(labels)
         labels = new
@@ -270,9 +309,13 @@ def contracted(links: DataFrame, labels: DataFrame | None, scratch: Scratch) ->
     if labels is None:
         return components(links, scratch)
     end = lambda x: labels.select(F.col("node").alias(x), F.col("component").alias(f"c{x}"))
-    ends = links.join(end("a"), "a", "left").join(end("b"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    ends = links.join(end("a"), "a", "left").join(end("b"), "b", "left").select(
+        F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")
+    )
     up = components(ends.distinct(), scratch)
-    moved = labels.join(up.select(F.col("node").alias("component"), F.col("component").alias("top")), "component", "left").select("node", F.coalesce("top", "component").alias("component"))
+    moved = labels.join(
+        up.select(F.col("node").alias("component"), F.col("component").alias("top")), "component", "left"
+    ).select("node", F.coalesce("top", "component").alias("component"))
     return scratch.write(moved.unionByName(up.join(labels, "node", "left_anti")), "labels")
 
 
@@ -319,10 +362,15 @@ def _across(members: DataFrame, nearest: bool, percent: int) -> DataFrame:
 
     chunks = lambda n: F.ceil(F.col(n) / CHUNK).cast("int")
     rest, mine = chunks("n_rest"), F.col("component") == F.col("main")
-    side = F.when(mine, rest + F.pmod(F.xxhash64("id"), chunks("n_main"))).otherwise(F.pmod(F.xxhash64("id"), rest)).cast("int")
+    side = F.when(
+        mine, rest + F.pmod(F.xxhash64("id"), chunks("n_main"))
+    ).otherwise(F.pmod(F.xxhash64("id"), rest)).cast("int")
     last = F.when(mine, rest).otherwise(rest + chunks("n_main")) - 1
     dealt = members.withColumn("side", side).withColumn("other", F.explode(F.sequence(F.lit(0), last)))
-    dealt = dealt.select("key", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "side", "id", "component", "sketch", "parity", "n_shingles")
+    dealt = dealt.select(
+        "key", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "side", "id", "component",
+        "sketch", "parity", "n_shingles"
+    )
     return dealt.groupBy("key", "lo", "hi").applyInArrow(compare, "a long, b long").distinct()
 
 
@@ -337,15 +385,23 @@ def _split(own: DataFrame) -> DataFrame:
     sums = [F.sum(F.xxhash64("id") % 2**40).alias("s"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("x")]
     each = own.groupBy("key", "component").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n"), *sums)
     bucket = Window.partitionBy("key")
-    both = each.withColumn("top", F.min(F.struct("component", "least")).over(bucket)).withColumn("high", F.max("component").over(bucket))
+    both = each.withColumn(
+        "top", F.min(F.struct("component", "least")).over(bucket)
+    ).withColumn("high", F.max("component").over(bucket))
     return both.where(F.col("top.component") < F.col("high")).drop("high")
 
 
 def _unsettled(own: DataFrame, split: DataFrame) -> DataFrame:
     """Members of split buckets with what ``_across`` needs; of buckets with the same members one is enough."""
-    sums = split.groupBy("key").agg(F.max(F.struct("n", "component")).alias("m"), F.sum("n").alias("all"), F.sum("s").alias("s"), F.bit_xor("x").alias("x"))
+    sums = split.groupBy("key").agg(
+        F.max(F.struct("n", "component")).alias("m"), F.sum("n").alias("all"), F.sum("s").alias("s"),
+        F.bit_xor("x").alias("x")
+    )
     one = sums.groupBy("all", "s", "x").agg(F.min(F.struct("key", "m")).alias("k"))
-    one = one.select("k.key", F.col("k.m.component").alias("main"), F.col("k.m.n").alias("n_main"), (F.col("all") - F.col("k.m.n")).alias("n_rest"))
+    one = one.select(
+        "k.key", F.col("k.m.component").alias("main"), F.col("k.m.n").alias("n_main"),
+        (F.col("all") - F.col("k.m.n")).alias("n_rest")
+    )
     return own.join(one, "key")
 
 
@@ -368,7 +424,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sig = scratch.write(signatures(docs, id_col, text_col), "signatures")
     sets = sig.where(F.col("id").isNotNull() & F.col("digest").isNotNull())
     heads = scratch.write(sets.groupBy("digest").agg(F.min("id").alias("head")), "heads")
-    nodes = sets.join(heads.withColumnRenamed("head", "id"), ["digest", "id"], "left_semi").dropDuplicates(["digest", "id"])
+    nodes = sets.join(
+        heads.withColumnRenamed("head", "id"), ["digest", "id"], "left_semi"
+    ).dropDuplicates(["digest", "id"])
     nodes = scratch.write(nodes.drop("digest"), "nodes")
 
     banded = nodes.select("id", F.explode("bands").alias("key"))
@@ -377,7 +435,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     first = members.groupBy("id").agg(F.min("head").alias("a")).where("a < id").select("a", F.col("id").alias("b"))
     tried = scratch.write(_near(first, nodes, percent), "pairs")
     # An id that stands for several sets ties their nodes together.
-    own = sets.select("digest", "id").join(sets.groupBy("id").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).where("lo < hi"), "id", "left_semi").join(heads, "digest")
+    own = sets.select("digest", "id").join(
+        sets.groupBy("id").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).where("lo < hi"), "id",
+        "left_semi"
+    ).join(heads, "digest")
     ties = own.select(F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")).where("a < b").distinct()
     links = scratch.write(confirm(tried, docs, id_col, text_col, percent).unionByName(ties), "links")
     labels = contracted(links, None, scratch)
@@ -388,7 +449,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             continue
         if step == "head":
             split = _split(_components_of(members, labels)).where(F.col("component") > F.col("top.component"))
-            more = split.groupBy("top.component", "component").agg(F.min(F.struct(F.col("top.least").alias("a"), F.col("least").alias("b"))).alias("p"))
+            more = split.groupBy("top.component", "component").agg(
+                F.min(F.struct(F.col("top.least").alias("a"), F.col("least").alias("b"))).alias("p")
+            )
             more = more.select(F.least("p.a", "p.b").alias("a"), F.greatest("p.a", "p.b").alias("b")).distinct()
             more = _near(more.join(tried, ["a", "b"], "left_anti"), nodes, percent)
         else:
@@ -396,17 +459,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 own = scratch.write(_components_of(members, labels), "own")
                 left = scratch.write(_unsettled(own, _split(own)), "members")
                 members = left.select("key", "id")
-            more = _across(left.join(nodes.drop("bands"), "id"), step == "nearest", percent).join(tried, ["a", "b"], "left_anti")
+            more = _across(
+                left.join(nodes.drop("bands"), "id"), step == "nearest", percent
+            ).join(tried, ["a", "b"], "left_anti")
         more = scratch.write(more, "pairs")
         found = None if more.isEmpty() else scratch.write(confirm(more, docs, id_col, text_col, percent), "links")
         useless = step if found is None or found.isEmpty() else None
         if not useless:
             labels, left = contracted(found, labels, scratch), None
         tried = tried.unionByName(more)
-    top = heads.join(labels.withColumnRenamed("node", "head"), "head", "left").select("digest", F.coalesce("component", "head").alias("component"))
-    out = sig.select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.col("digest")).alias("digest")).join(top, "digest", "left")
+    top = heads.join(labels.withColumnRenamed("node", "head"), "head", "left").select(
+        "digest", F.coalesce("component", "head").alias("component")
+    )
+    out = sig.select(
+        "id", "n_shingles", F.when(F.col("id").isNotNull(), F.col("digest")).alias("digest")
+    ).join(top, "digest", "left")
     out = out.select("id", "n_shingles", F.coalesce("component", "id").alias("component_id"))
-    return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+    return out.select(
+        F.col("id").alias(id_col), "n_shingles", "component_id",
+        F.col("id").eqNullSafe(F.col("component_id")).alias("kept")
+    )
 
 
 def oracle(table: str = "documents", percent: int = 75) -> str:

@@ -163,7 +163,9 @@ def _units(buf, off, starts, ends, woff):
     # Closing punctuation.
     c = np.flatnonzero(_POINT[buf[ue - 1]]) if len(ue) else np.zeros(0, np.int64)
     if len(c):
-        last = np.maximum.accumulate(np.where(_POINT[buf], 0, np.arange(len(buf), dtype=np.int32)))[ue[c] - 1].astype(np.int64)
+        last = np.maximum.accumulate(
+            np.where(_POINT[buf], 0, np.arange(len(buf), dtype=np.int32))
+        )[ue[c] - 1].astype(np.int64)
         lead = buf[np.maximum(last - 1, 0)]
         letter = _ALNUM[buf[last]] | ((lead == 0xC3) & (buf[last] >= 0x80) & (buf[last] != 0x97) & (buf[last] != 0xB7))
         c, cut = c[(last >= us[c]) & letter], last[(last >= us[c]) & letter] + 1
@@ -174,7 +176,9 @@ def _units(buf, off, starts, ends, woff):
     return us, ue, np.searchsorted(us, off)
 
 
-def assign(sizes: np.ndarray, capacity: int = SEQUENCE, linear: float = 1.0, quadratic: float = 1.0 / SEQUENCE) -> list[tuple[int, int, int, int, int]]:
+def assign(
+    sizes: np.ndarray, capacity: int = SEQUENCE, linear: float = 1.0, quadratic: float = 1.0 / SEQUENCE
+) -> list[tuple[int, int, int, int, int]]:
     """Pack documents of the given sizes: (document, start, length, sequence, offset) for each piece."""
     out, items, n_seq = [], [], 0
     for doc, size in enumerate(sizes.tolist()):
@@ -205,7 +209,10 @@ def assign(sizes: np.ndarray, capacity: int = SEQUENCE, linear: float = 1.0, qua
 _SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, cost double"
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", *, capacity: int = SEQUENCE, end_id: int = END_ID, linear: float = 1.0, quadratic: float = 1.0 / SEQUENCE, group_tokens: int = GROUP_TOKENS) -> DataFrame:
+def pack_documents(
+    docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", *, capacity: int = SEQUENCE,
+    end_id: int = END_ID, linear: float = 1.0, quadratic: float = 1.0 / SEQUENCE, group_tokens: int = GROUP_TOKENS
+) -> DataFrame:
     """Tokenise and pack all rows.
 
     Returns a row for each piece: ``doc_id``, ``start`` and ``length`` in the
@@ -234,7 +241,14 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
                 some = pieces[k : k + 500]
                 col = [np.array(x, np.int64) for x in zip(*some, strict=True)]
                 blobs = [held[p[0]][p[1] : p[1] + p[2]].astype("<u4").tobytes() for p in some]
-                yield pa.RecordBatch.from_arrays([pa.array([ids[p[0]] for p in some], pa.int64()), pa.array(col[1]), pa.array(col[2]), pa.array(blobs, pa.binary()), pa.array(sizes[col[0]]), pa.array(col[3] + base), pa.array(col[4]), pa.array(linear * col[2] + quadratic * col[2].astype(float) ** 2)], names=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "cost"])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([ids[p[0]] for p in some], pa.int64()), pa.array(col[1]), pa.array(col[2]),
+                        pa.array(blobs, pa.binary()), pa.array(sizes[col[0]]), pa.array(col[3] + base),
+                        pa.array(col[4]), pa.array(linear * col[2] + quadratic * col[2].astype(float) ** 2)
+                    ],
+                    names=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "cost"]
+                )
             base += max((p[3] for p in pieces), default=-1) + 1
             ids, held, tokens = [], [], 0
 
@@ -242,7 +256,10 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
             for part in slices(batch, 1, SLICE_BYTES):
                 flat, at = tok.encode(*T.column_bytes(part.column(1)))
                 ids += part.column(0).to_pylist()
-                held += [np.append(flat[a:b], flat.dtype.type(end_id)) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+                held += [
+                    np.append(flat[a:b], flat.dtype.type(end_id)) for a,
+                    b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)
+                ]
                 tokens += len(flat) + len(part)
                 if tokens >= group_tokens:
                     yield from flush()

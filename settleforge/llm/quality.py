@@ -56,7 +56,9 @@ class Texts:
             return self
         keep = np.zeros(len(self.off) - 1, bool)
         keep[rows] = True
-        out = Texts(self.buf[np.repeat(keep, np.diff(self.off))], np.concatenate(([0], np.cumsum(np.diff(self.off)[rows]))))
+        out = Texts(
+            self.buf[np.repeat(keep, np.diff(self.off))], np.concatenate(([0], np.cumsum(np.diff(self.off)[rows])))
+        )
         out._made = {k: v[rows] for k, v in self._made.items() if k not in ("words", "lines", "hashes")}
         return out
 
@@ -149,15 +151,22 @@ RULES = BASE_RULES + (
     Rule("shouting", lambda t: 10 * t["n_shouts"] > 4 * t["n_words"]),
     Rule("stutter", lambda t: 100 * t["n_stutters"] > 40 * t["n_words"]),
     Rule("repeated_lines", lambda t: (t["n_lines"] >= 4) & (100 * t["n_dup_lines"] > 50 * t["n_lines"])),
-    Rule("word_length", lambda t: (t["n_words"] >= 20) & ((t["word_chars"] < 2 * t["n_words"]) | (t["word_chars"] > 25 * t["n_words"]))),
+    Rule(
+        "word_length",
+        lambda t: (t["n_words"] >= 20) & ((t["word_chars"] < 2 * t["n_words"]) | (t["word_chars"] > 25 * t["n_words"]))
+    ),
 )
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def ordered_rules(docs: DataFrame, rules: tuple[Rule, ...], id_col: str, text_col: str, rows: int = SAMPLE_ROWS) -> list[Rule]:
+def ordered_rules(
+    docs: DataFrame, rules: tuple[Rule, ...], id_col: str, text_col: str, rows: int = SAMPLE_ROWS
+) -> list[Rule]:
     """The rules by descending rejection per cost, as a sample of at most ``rows`` documents shows them."""
     text = F.col(text_col).cast("string")
-    some = docs.where(F.octet_length(text) <= SAMPLE_TEXT).where(F.pmod(F.xxhash64(F.col(id_col)), F.lit(8)) == 0).select(text.alias("text")).limit(rows).collect()
+    some = docs.where(F.octet_length(text) <= SAMPLE_TEXT).where(
+        F.pmod(F.xxhash64(F.col(id_col)), F.lit(8)) == 0
+    ).select(text.alias("text")).limit(rows).collect()
     if not some:
         return list(rules)
     buf, off = T.column_bytes(pa.array([r[0] for r in some], pa.string()))
@@ -185,7 +194,10 @@ def cascade(texts: Texts, rules: list[Rule]) -> np.ndarray:
     return left[alive]
 
 
-def judge_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, rules: tuple[Rule, ...] = RULES, base: tuple[Rule, ...] = BASE_RULES, measures: bool = True, carry: tuple[str, ...] = ()) -> DataFrame:
+def judge_quality(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, rules: tuple[Rule, ...] = RULES,
+    base: tuple[Rule, ...] = BASE_RULES, measures: bool = True, carry: tuple[str, ...] = ()
+) -> DataFrame:
     """Judge each document.
 
     Returns a row for each input row: the id, the ``carry`` columns as they are,

@@ -29,7 +29,9 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .line_dedup import dedup_lines
 
     out = dedup_lines(_table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+    return out.select(
+        "doc_id", "n_lines", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256")
+    )
 
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,7 +63,11 @@ def op8_matroska(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     out = store_texts(_table(spark, sf_dir, "documents"))
     load, media = F.col("payload"), F.col("media")
-    return out.select("doc_id", "n_bytes", F.octet_length(load).cast("long").alias("payload_bytes"), F.sha2(load, 256).alias("payload_sha256"), F.crc32(F.expr("substring(payload, -32, 32)")).alias("tail_crc32"), F.octet_length(media).cast("long").alias("media_bytes"), F.sha2(media, 256).alias("media_sha256"), "feature")
+    return out.select(
+        "doc_id", "n_bytes", F.octet_length(load).cast("long").alias("payload_bytes"),
+        F.sha2(load, 256).alias("payload_sha256"), F.crc32(F.expr("substring(payload, -32, 32)")).alias("tail_crc32"),
+        F.octet_length(media).cast("long").alias("media_bytes"), F.sha2(media, 256).alias("media_sha256"), "feature"
+    )
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,7 +76,9 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack_documents
 
     out = pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
-    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+    return out.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -126,7 +126,9 @@ class _Block:
         self.table = table.sort_by([("id", "ascending"), ("row", "ascending")])
         nulls = self.table["id"].null_count
         if nulls:  # they sort last; here they come first
-            self.table = pa.concat_tables([self.table.slice(len(self.table) - nulls), self.table.slice(0, len(self.table) - nulls)])
+            self.table = pa.concat_tables(
+                [self.table.slice(len(self.table) - nulls), self.table.slice(0, len(self.table) - nulls)]
+            )
         self.buf, self.off = T.column_bytes(self.table["text"])
         self.starts, self.ends, self.woff = T.spans(self.buf, self.off)
         self.words = T.hash_spans(self.buf, self.starts, self.ends)
@@ -148,7 +150,9 @@ class _Block:
         if n < w:
             return np.zeros(0, np.int64)
         alone = ~shared[self.which]
-        d = np.bincount(np.maximum(self.hi[alone] - w, 0), minlength=n + 2) - np.bincount(self.lo[alone] + 1, minlength=n + 2)
+        d = np.bincount(
+            np.maximum(self.hi[alone] - w, 0), minlength=n + 2
+        ) - np.bincount(self.lo[alone] + 1, minlength=n + 2)
         open_ = np.cumsum(d[: n - w + 1]) <= 0
         open_ &= self.row[: n - w + 1] == self.row[w - 1 :]
         return np.flatnonzero(open_)
@@ -181,7 +185,13 @@ def _messages(block: int, buckets: int, h: np.ndarray, more: np.ndarray) -> pa.T
     rows = np.flatnonzero(cut[1:] > cut[:-1]).tolist()
     pack = (lambda x: np.packbits(x).tobytes()) if more.dtype == bool else (lambda x: x.tobytes())
     own = (lambda x: x.tobytes()) if more.dtype == bool else (lambda x: b"")
-    return pa.table({"bucket": pa.array(rows, pa.int64()), "block": pa.array([block] * len(rows), pa.int32()), "h": pa.array([own(h[cut[b] : cut[b + 1]]) for b in rows], pa.binary()), "more": pa.array([pack(more[cut[b] : cut[b + 1]]) for b in rows], pa.binary())})
+    return pa.table(
+        {
+            "bucket": pa.array(rows, pa.int64()), "block": pa.array([block] * len(rows), pa.int32()),
+            "h": pa.array([own(h[cut[b] : cut[b + 1]]) for b in rows], pa.binary()),
+            "more": pa.array([pack(more[cut[b] : cut[b + 1]]) for b in rows], pa.binary())
+        }
+    )
 
 
 def _bits(blob: bytes, n: int) -> np.ndarray:
@@ -194,7 +204,13 @@ _ANSWER_PA = pa.schema([("block", pa.int32()), ("kind", pa.int32()), ("bucket",
 
 
 def _answers(table: pa.Table, kind: int, found: list[np.ndarray]) -> pa.Table:
-    return pa.table([table["block"].cast(pa.int32()), pa.array([kind] * len(table), pa.int32()), table["bucket"], pa.array([np.packbits(f).tobytes() for f in found], pa.binary())], schema=_ANSWER_PA)
+    return pa.table(
+        [
+            table["block"].cast(pa.int32()), pa.array([kind] * len(table), pa.int32()), table["bucket"],
+            pa.array([np.packbits(f).tobytes() for f in found], pa.binary())
+        ],
+        schema=_ANSWER_PA
+    )
 
 
 def _shared(table):
@@ -215,7 +231,10 @@ def _shared(table):
 def _earlier(table: pa.Table, buckets: int) -> pa.Table:
     """Step 4: which windows of each block an earlier document of another block has.  A block's own row (which windows were sent) passes through."""
     if table["bucket"][0].as_py() >= buckets:
-        return pa.table([table["block"].cast(pa.int32()), pa.array([1] * len(table), pa.int32()), table["bucket"], table["h"]], schema=_ANSWER_PA)
+        return pa.table(
+            [table["block"].cast(pa.int32()), pa.array([1] * len(table), pa.int32()), table["bucket"], table["h"]],
+            schema=_ANSWER_PA
+        )
     each = [np.frombuffer(b, _WINDOW) for b in table["more"].to_pylist()]
     w = np.concatenate(each)
     order = np.lexsort((w["place"]["row"], w["place"]["id"], w["h2"], w["h1"]))
@@ -229,13 +248,18 @@ def _collected(answers: pa.Table, kind: int, sizes: np.ndarray) -> np.ndarray:
     """The answers of one kind, put together in the order in which the hashes were sent."""
     out = np.zeros(int(sizes.sum()), dtype=bool)
     at = np.concatenate(([0], np.cumsum(sizes)))
-    for k, b, bits in zip(answers["kind"].to_pylist(), answers["bucket"].to_pylist(), answers["bits"].to_pylist(), strict=True):
+    for k, b, bits in zip(
+        answers["kind"].to_pylist(), answers["bucket"].to_pylist(), answers["bits"].to_pylist(), strict=True
+    ):
         if k == kind:
             out[at[b] : at[b + 1]] = _bits(bits, int(sizes[b]))
     return out
 
 
-def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, min_words: int = 20, rounds: int = ROUNDS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def dedup_substrings(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, min_words: int = 20, rounds: int = ROUNDS,
+    block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
     """Remove each word that lies in a run of ``min_words`` words which also starts earlier.
 
     "Earlier" is a smaller id, or an earlier start in the same document, as the
@@ -269,7 +293,12 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         found, _, _ = block.windows(at)
         sent = np.zeros(len(block.words), dtype=bool)
         sent[at] = True
-        own = pa.table({"bucket": pa.array([buckets + n], pa.int64()), "block": pa.array([n], pa.int32()), "h": pa.array([np.packbits(sent).tobytes()], pa.binary()), "more": pa.array([b""], pa.binary())})
+        own = pa.table(
+            {
+                "bucket": pa.array([buckets + n], pa.int64()), "block": pa.array([n], pa.int32()),
+                "h": pa.array([np.packbits(sent).tobytes()], pa.binary()), "more": pa.array([b""], pa.binary())
+            }
+        )
         return pa.concat_tables([_messages(n, buckets, found["h1"], found), own])
 
     def keep_words(key, table, answers):
@@ -292,7 +321,13 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             else:
                 runs.append([])
             kept.append(b" ".join(words))
-        return pa.table({"id": block.table["id"], "n_words": pa.array(np.diff(woff)), "n_removed": pa.array(removed), "kept_text": pa.array(kept, pa.binary()).cast(pa.string()), "removed": pa.array(runs, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))})
+        return pa.table(
+            {
+                "id": block.table["id"], "n_words": pa.array(np.diff(woff)), "n_removed": pa.array(removed),
+                "kept_text": pa.array(kept, pa.binary()).cast(pa.string()),
+                "removed": pa.array(runs, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
+            }
+        )
 
     bound_batches(docs.sparkSession)
     dealt = src.select(F.pmod(F.xxhash64("id", "row"), F.lit(blocks)).cast("int").alias("block"), "id", "text", "row")
@@ -300,7 +335,10 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     shared = symbols.groupBy("bucket").applyInArrow(_shared, _ANSWER)
     windows = dealt.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(send_windows, _MESSAGE)
     late = windows.groupBy("bucket").applyInArrow(lambda t: _earlier(t, buckets), _ANSWER)
-    out = dealt.groupBy("block").cogroup(late.groupBy("block")).applyInArrow(keep_words, "id long, n_words long, n_removed long, kept_text string, removed array<struct<start: long, end: long>>")
+    out = dealt.groupBy("block").cogroup(late.groupBy("block")).applyInArrow(
+        keep_words,
+        "id long, n_words long, n_removed long, kept_text string, removed array<struct<start: long, end: long>>"
+    )
     return out.withColumnRenamed("id", id_col)
 
 

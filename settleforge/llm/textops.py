@@ -36,7 +36,9 @@ def mix(x: np.ndarray) -> np.ndarray:
 def column_bytes(col) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column and the n + 1 offsets of its rows; null counts as empty."""
     if isinstance(col, pa.ChunkedArray):
-        col = pa.concat_arrays([c.cast(pa.large_string()) for c in col.chunks]) if col.num_chunks else pa.array([], pa.large_string())
+        col = pa.concat_arrays(
+            [c.cast(pa.large_string()) for c in col.chunks]
+        ) if col.num_chunks else pa.array([], pa.large_string())
     if col.type not in (pa.string(), pa.large_string()):
         col = col.cast(pa.large_string())
     if col.null_count:
@@ -145,7 +147,9 @@ def per_row(flags: np.ndarray, woff: np.ndarray) -> np.ndarray:
 
 def covered(starts: np.ndarray, width: int, n: int) -> np.ndarray:
     """Which of n positions lie in ``[s, s + width)`` of some start."""
-    d = np.bincount(starts, minlength=n + 1)[: n + 1] - np.bincount(np.minimum(starts + width, n), minlength=n + 1)[: n + 1]
+    d = np.bincount(starts, minlength=n + 1)[: n + 1] - np.bincount(
+        np.minimum(starts + width, n), minlength=n + 1
+    )[: n + 1]
     return np.cumsum(d[:n]) > 0
 
 

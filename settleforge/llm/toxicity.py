@@ -69,12 +69,18 @@ class Ftrl:
         self.n[at] = n + g * g
 
 
-def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "label", *, max_train: int = MAX_TRAIN, epochs: int = 3) -> dict[int, float]:
+def fit(
+    labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "label", *,
+    max_train: int = MAX_TRAIN, epochs: int = 3
+) -> dict[int, float]:
     """Weights by coordinate, the intercept under 2^BITS; only those that are not zero.
 
     ``labelled`` has id, text and a 0/1 label; rows with a null label are left out.
     """
-    rows = labelled.where(F.col(label_col).isNotNull()).select(F.xxhash64(F.col(id_col)).alias("h"), F.col(text_col).cast("string").alias("t"), F.col(label_col).cast("int").alias("y"))
+    rows = labelled.where(F.col(label_col).isNotNull()).select(
+        F.xxhash64(F.col(id_col)).alias("h"), F.col(text_col).cast("string").alias("t"),
+        F.col(label_col).cast("int").alias("y")
+    )
 
     def learn(batches):
         model, data = Ftrl(), []
@@ -94,7 +100,11 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lab
 
     # Sorted by hashes alone, so that whole texts are only moved for the rows taken.
     one = rows.withColumn("k", F.xxhash64("t")).orderBy("h", "k", "y").limit(max_train).drop("k")
-    return {r["at"]: r["w"] for r in one.repartition(1).sortWithinPartitions("h", "t", "y").mapInArrow(learn, "at long, w double").collect()}
+    return {
+        r["at"]: r["w"] for r in one.repartition(1).sortWithinPartitions("h", "t", "y").mapInArrow(
+            learn, "at long, w double"
+        ).collect()
+    }
 
 
 def score(docs: DataFrame, weights: dict[int, float], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -119,8 +129,13 @@ def score(docs: DataFrame, weights: dict[int, float], id_col: str = "doc_id", te
                 pair = np.unique(row[hit].astype(np.int64) * (len(at) + 1) + k[hit])
                 total = np.full(len(part), base)
                 if len(pair):
-                    total += np.bincount(pair // (len(at) + 1), weights=w[pair % (len(at) + 1) - 1], minlength=len(part))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.round(1.0 / (1.0 + np.exp(-np.clip(total, -35, 35))), 6))], names=[id_col, "score"])
+                    total += np.bincount(
+                        pair // (len(at) + 1), weights=w[pair % (len(at) + 1) - 1], minlength=len(part)
+                    )
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(np.round(1.0 / (1.0 + np.exp(-np.clip(total, -35, 35))), 6))],
+                    names=[id_col, "score"]
+                )
 
     src = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_text"))
     return src.mapInArrow(apply, f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, score double")
@@ -131,7 +146,10 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", *, threshold: float = 0.7, max_train: int = MAX_TRAIN) -> DataFrame:
+def score_toxicity(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", *,
+    threshold: float = 0.7, max_train: int = MAX_TRAIN
+) -> DataFrame:
     """Fit on the labelled rows that are not held out, then score all rows.
 
     Returns the id, ``held_out``, ``score`` and ``predicted`` (1 from ``threshold`` on).
@@ -150,4 +168,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     train = texts.join(F.broadcast(some), texts["_d"] == some["_i"]).select("_i", "_t", "_y")
     weights = fit(train, "_i", "_t", "_y", max_train=max_train)
     out = score(docs, weights, id_col, text_col)
-    return out.select(id_col, held_out(id_col).alias("held_out"), "score", F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"))
+    return out.select(
+        id_col, held_out(id_col).alias("held_out"), "score",
+        F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted")
+    )

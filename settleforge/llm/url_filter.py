@@ -48,7 +48,10 @@ _FOUND = rf"""(?<![^\s"'/])(?i:{_ATTRIBUTE})|//[^\s"'<>]*|(?<![A-Za-z0-9-])(?:[A
 #: The host that an address attribute leads to.
 _LEADS = r"""(?i)^\w+\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s<>]+)"""
 # Last parts of file names, which are no host names.
-_FILES = ("css", "gif", "gz", "htm", "html", "ico", "jpeg", "jpg", "js", "json", "md", "pdf", "php", "png", "svg", "txt", "webp", "xml", "zip")
+_FILES = (
+    "css", "gif", "gz", "htm", "html", "ico", "jpeg", "jpg", "js", "json", "md", "pdf", "php", "png", "svg", "txt",
+    "webp", "xml", "zip"
+)
 _NODE = r"([^@:]*)(:\d*)?$"
 
 
@@ -84,7 +87,9 @@ def node_of(host: Column) -> Column:
 def host_links(pages: DataFrame) -> DataFrame:
     """(src, dst, n) from (node, html): links between different hosts, summed."""
     found = F.regexp_extract_all("html", F.lit(_FOUND), F.lit(0))
-    one = pages.where("node <> ''").select(F.col("node").alias("src"), F.explode(found).alias("x")).where(~F.startswith("x", F.lit("//")))
+    one = pages.where("node <> ''").select(
+        F.col("node").alias("src"), F.explode(found).alias("x")
+    ).where(~F.startswith("x", F.lit("//")))
     name = F.when(~F.lower(F.substring_index("x", ".", -1)).isin(*_FILES), F.col("x"))
     one = one.withColumn("x", F.when(F.contains("x", F.lit("=")), F.regexp_extract("x", _LEADS, 1)).otherwise(name))
     one = one.select("src", node_of(F.col("x")).alias("dst")).where("src <> dst AND dst <> ''")
@@ -107,12 +112,19 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS) -> DataF
     out = edges.groupBy("walk", "src").agg(F.sum("n").alias("all"))
     parts = scratch.write(edges.join(out, ["walk", "src"]).select("walk", "src", "dst", "n", "all"), "parts")
     total = seeds.groupBy("walk").agg(F.sum("n").alias("all"))
-    start = scratch.write(seeds.join(total, "walk").select("walk", "host", _share(F.lit(str(MASS * FINE)), F.col("n"), F.col("all")).alias("mass")), "seeds")
+    start = scratch.write(
+        seeds.join(total, "walk").select(
+            "walk", "host", _share(F.lit(str(MASS * FINE)), F.col("n"), F.col("all")).alias("mass")
+        ),
+        "seeds"
+    )
     per_cent = lambda k: _share(F.col("mass"), F.lit(k), F.lit(100))
     mass = start
     for k in range(rounds):
         out = mass.select("walk", F.col("host").alias("src"), per_cent(FOLLOW).alias("mass"))
-        moved = out.join(parts, ["walk", "src"]).select("walk", F.col("dst").alias("host"), _share(F.col("mass"), F.col("n"), F.col("all")).alias("mass"))
+        moved = out.join(parts, ["walk", "src"]).select(
+            "walk", F.col("dst").alias("host"), _share(F.col("mass"), F.col("n"), F.col("all")).alias("mass")
+        )
         back = start.select("walk", "host", per_cent(100 - FOLLOW).alias("mass"))
         mass = moved.unionByName(back).groupBy("walk", "host").agg(F.sum("mass").cast(_WHOLE).alias("mass"))
         if k % CUT_EVERY == CUT_EVERY - 1:
@@ -120,7 +132,10 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS) -> DataF
     return mass
 
 
-def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", *, rules: tuple = RULES, rounds: int = ROUNDS, ratio: int = RATIO) -> DataFrame:
+def filter_urls(
+    pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", *, rules: tuple = RULES,
+    rounds: int = ROUNDS, ratio: int = RATIO
+) -> DataFrame:
     """Judge each page.
 
     Returns a row for each input row: the id, ``host``, ``path``, ``rule`` (or
@@ -136,27 +151,66 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     spark = pages.sparkSession
     scratch = Scratch(spark)
     host, path = host_and_path(F.col(url_col).cast("string"))
-    src = pages.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path"), F.col(html_col).cast("string").alias("html"))
-    judged = src.withColumn("r", rule_of(F.col("host"), F.col("path"), rules)).withColumn("node", node_of(F.col("host")))
-    hosts = judged.where("node <> ''").groupBy(F.col("node").alias("host")).agg(F.count(F.lit(1)).alias("pages"), F.count_if(F.col("r.verdict") == "allow").alias("allowed"), F.count_if(F.col("r.verdict") == "block").alias("blocked"))
+    src = pages.select(
+        F.col(id_col).alias("id"), host.alias("host"), path.alias("path"), F.col(html_col).cast("string").alias("html")
+    )
+    judged = src.withColumn(
+        "r", rule_of(F.col("host"), F.col("path"), rules)
+    ).withColumn("node", node_of(F.col("host")))
+    hosts = judged.where("node <> ''").groupBy(F.col("node").alias("host")).agg(
+        F.count(F.lit(1)).alias("pages"), F.count_if(F.col("r.verdict") == "allow").alias("allowed"),
+        F.count_if(F.col("r.verdict") == "block").alias("blocked")
+    )
     hosts = scratch.write(hosts, "hosts")
-    trusted = hosts.where("allowed > 0 AND 2 * blocked <= pages").select(F.lit(0).alias("walk"), "host", F.col("allowed").alias("n"))
+    trusted = hosts.where("allowed > 0 AND 2 * blocked <= pages").select(
+        F.lit(0).alias("walk"), "host", F.col("allowed").alias("n")
+    )
     distrusted = hosts.where("2 * blocked > pages").select(F.lit(1).alias("walk"), "host", F.col("blocked").alias("n"))
-    parent = hosts.select(F.col("host").alias("a"), F.regexp_extract("host", r"^[^.]*\.(.*)$", 1).alias("b")).join(hosts.select(F.col("host").alias("b")), "b", "left_semi")
-    ties = parent.select(F.col("a").alias("src"), F.col("b").alias("dst"), F.lit(1).cast("long").alias("n")).unionByName(parent.select(F.col("b").alias("src"), F.col("a").alias("dst"), F.lit(1).cast("long").alias("n")))
-    links = scratch.write(host_links(judged).unionByName(ties).groupBy("src", "dst").agg(F.sum("n").alias("n")), "links")
-    both = links.select(F.lit(0).alias("walk"), "src", "dst", "n").unionByName(links.select(F.lit(1).alias("walk"), F.col("dst").alias("src"), F.col("src").alias("dst"), "n"))
+    parent = hosts.select(
+        F.col("host").alias("a"), F.regexp_extract("host", r"^[^.]*\.(.*)$", 1).alias("b")
+    ).join(hosts.select(F.col("host").alias("b")), "b", "left_semi")
+    ties = parent.select(
+        F.col("a").alias("src"), F.col("b").alias("dst"), F.lit(1).cast("long").alias("n")
+    ).unionByName(parent.select(F.col("b").alias("src"), F.col("a").alias("dst"), F.lit(1).cast("long").alias("n")))
+    links = scratch.write(
+        host_links(judged).unionByName(ties).groupBy("src", "dst").agg(F.sum("n").alias("n")), "links"
+    )
+    both = links.select(F.lit(0).alias("walk"), "src", "dst", "n").unionByName(
+        links.select(F.lit(1).alias("walk"), F.col("dst").alias("src"), F.col("src").alias("dst"), "n")
+    )
     mass = propagate(both, trusted.unionByName(distrusted), rounds)
-    mass = mass.groupBy("host").agg(*[F.sum(F.when(F.col("walk") == k, F.col("mass")).otherwise(F.lit(0).cast(_WHOLE))).cast(_WHOLE).alias(c) for k, c in enumerate(("trust", "distrust"))])
-    known = scratch.write(hosts.select("host").join(mass, "host").select(F.col("host").alias("h"), *[_share(F.col(c), F.lit(1), F.lit(FINE)).cast("long").alias(c) for c in ("trust", "distrust")], (F.col("distrust") > F.col("trust") * ratio).alias("bad")), "trust")
-    out = judged.drop("html").join(known, judged["node"] == known["h"], "left").withColumns({"trust": F.coalesce("trust", F.lit(0)), "distrust": F.coalesce("distrust", F.lit(0))})
+    mass = mass.groupBy("host").agg(
+        *[
+            F.sum(
+                F.when(F.col("walk") == k, F.col("mass")).otherwise(F.lit(0).cast(_WHOLE))
+            ).cast(_WHOLE).alias(c) for k,
+            c in enumerate(("trust", "distrust"))
+        ]
+    )
+    known = scratch.write(
+        hosts.select("host").join(mass, "host").select(
+            F.col("host").alias("h"),
+            *[_share(F.col(c), F.lit(1), F.lit(FINE)).cast("long").alias(c) for c in ("trust", "distrust")],
+            (F.col("distrust") > F.col("trust") * ratio).alias("bad")
+        ),
+        "trust"
+    )
+    out = judged.drop("html").join(known, judged["node"] == known["h"], "left").withColumns(
+        {"trust": F.coalesce("trust", F.lit(0)), "distrust": F.coalesce("distrust", F.lit(0))}
+    )
     method = F.when(F.col("bad"), "block").otherwise("allow")
-    return out.select(F.col("id").alias(id_col), "host", "path", F.col("r.rule").alias("rule"), F.coalesce("r.verdict", method).alias("verdict"), "trust", "distrust")
+    return out.select(
+        F.col("id").alias(id_col), "host", "path", F.col("r.rule").alias("rule"),
+        F.coalesce("r.verdict", method).alias("verdict"), "trust", "distrust"
+    )
 
 
 def oracle(table: str = "pages") -> str:
     """The same walks in SQL, one table expression a round; each quoting of an address has a pattern of its own."""
-    cases = "".join(f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '/{p}') THEN {{'rule': '{r}', 'verdict': '{v}'}} " for v, r in sorted(RULES, key=lambda x: (-len(x[1]), x[1])) for h, _, p in [r.partition("/")])
+    cases = "".join(
+        f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '/{p}') THEN {{'rule': '{r}', 'verdict': '{v}'}} " for v,
+        r in sorted(RULES, key=lambda x: (-len(x[1]), x[1])) for h, _, p in [r.partition("/")]
+    )
     low = lambda x: f"translate({x}, '{_UPPER}', '{_UPPER.lower()}')"
     node = lambda x: low(rf"regexp_extract({x}, '([^@:]*)(:\d*)?$', 1)")
     rounds = []
@@ -168,7 +222,9 @@ def oracle(table: str = "pages") -> str:
     scheme, host = r"\s*(?:[Hh][Tt][Tt][Pp][Ss]?:)?//", r"""([^/?#"''\s<>]+)"""
     attribute = r"""(?:^|[\s"''/])(?:[Hh][Rr][Ee][Ff]|[Ss][Rr][Cc])\s*=\s*"""
     found = ", ".join(f"regexp_extract_all(html, '{attribute}{quote}{scheme}{host}', 1)" for quote in ('"', "''", ""))
-    address = rf"""(?:^|[\s"''/])(?i:{_ATTRIBUTE})|//[^\s"''<>]*""".replace("'[^']*'", "''[^'']*''").replace("""[^\\s"'>]+""", """[^\\s"''>]+""")
+    address = rf"""(?:^|[\s"''/])(?i:{_ATTRIBUTE})|//[^\s"''<>]*""".replace("'[^']*'", "''[^'']*''").replace(
+        """[^\\s"'>]+""", """[^\\s"''>]+"""
+    )
     name = r"(?:[A-Za-z0-9-]+\.){2,}[A-Za-z]{2,}"
     return rf"""
 WITH u AS (SELECT page_id, html, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) END AS rest FROM {table}),
