@@ -15,12 +15,16 @@ from ..sources.deliveries import gate, judged
 from ..sources.ledger import Ledger
 from .checkpoints import saved
 from .recovery import Queue, Request
+from .store import Store
 
 _RECEIPT = (
     "delivery_key", "receipt_id", "source_system", "entity_type", "source_id", "source_version", "payload_hash",
     "received_at_utc"
 )
-_EMPTY = "delivery_key string, receipt_id string, source_system string, entity_type string, source_id string, source_version long, payload_hash string, received_at_utc timestamp"
+_EMPTY = (
+    "delivery_key string, receipt_id string, source_system string, entity_type string, source_id string, "
+    "source_version long, payload_hash string, received_at_utc timestamp"
+)
 
 
 class EvidenceLost(ValueError):
@@ -28,7 +32,7 @@ class EvidenceLost(ValueError):
 
 
 def envelopes(ledger: Ledger, as_of) -> DataFrame:
-    """Every valid receipt that had come in by ``as_of``, of all entities, without its record."""
+    """Every receipt fit for use that had come in by ``as_of``, of all entities, without its record."""
     out = ledger.spark.createDataFrame([], _EMPTY)
     for e in ENTITIES:
         r = ledger.receipts(e)
@@ -66,12 +70,15 @@ def input_fingerprint(ledger: Ledger, as_of) -> str:
     return ledger.spark.range(1).select(F.sha2(F.lit("|".join(parts)), 256)).first()[0]
 
 
-def rebuild(ledger: Ledger, run_id: str, as_of, *, expected_days: DataFrame | None = None) -> Result:
+def rebuild(
+    ledger: Ledger, run_id: str, as_of, *, expected_days: DataFrame | None = None, judge_reports: bool = True
+) -> Result:
     """Reconcile all evidence that had come in by ``as_of``.
 
     Raises ``EvidenceLost`` unless every ingested row is a receipt or quarantined.
-    With ``expected_days`` reports are judged from the stored bytes, and the worst
-    state of each report gates the rules.
+    Reports are judged from the stored bytes, over the days that the ledger expects
+    and ``expected_days``, and the worst state of each report gates the rules;
+    without ``judge_reports`` the rules run ungated.
     """
     bad = lost_evidence(ledger, as_of).take(5)
     if bad:
@@ -85,8 +92,10 @@ def rebuild(ledger: Ledger, run_id: str, as_of, *, expected_days: DataFrame | No
         )
     ]
     done = None
-    if expected_days is not None:
-        days = completeness.stored_completeness(ledger.stored_batches(), expected_days, F.lit(as_of).cast("timestamp"))
+    if judge_reports:
+        due = ledger.expected_days()
+        due = due if expected_days is None else due.unionByName(expected_days.select("business_date"))
+        days = completeness.stored_completeness(ledger.stored_batches(), due, F.lit(as_of).cast("timestamp"))
         done = saved(completeness.worst_by_report(days))
     q = ledger.quarantine().where(F.col("received_at_utc") <= F.lit(as_of).cast("timestamp"))
     q = q.select("entity_type", "source_id", "reason_code", "reason_detail", "raw_payload_json")
@@ -96,16 +105,69 @@ def rebuild(ledger: Ledger, run_id: str, as_of, *, expected_days: DataFrame | No
 def ingest(
     ledger: Ledger, queue: Queue, deliveries: DataFrame, received_at: datetime
 ) -> tuple[DataFrame, list[Request]]:
-    """Store sound deliveries and ask for one rebuild each; returns findings of all deliveries and the new requests.
+    """Store deliveries and ask for one rebuild of each committed one; returns findings of all and the new requests.
 
     Requests are made for every committed batch that has none, so a crash after
-    the ledger's commit is made good by the next call.  The days of stored reports
-    count as expected from then on (``stored_completeness``).
+    the ledger's commit is made good by the next call; only the keys of those come
+    to the driver.  The days of stored reports, failed ones included, count as
+    expected from then on (``Ledger.expected_days``).
     """
-    found = saved(judged(gate(deliveries)).select("*"))
-    ledger.ingest(found.where("fault IS NULL").drop("fault"), received_at)
-    known, made = {r.request_id for r in queue.requests()}, []
-    for row in ledger.batches().select("delivery_key", "received_at_utc").toLocalIterator():
-        if Queue.request_id(row["delivery_key"]) not in known:
-            made.append(queue.enqueue(row["delivery_key"], "EVIDENCE_COMMITTED", received_at))
+    spark = ledger.spark
+    found = saved(judged(gate(deliveries)))
+    ledger.ingest(found, received_at)
+    known = spark.createDataFrame([(r.request_id,) for r in queue.requests()], "request_id string")
+    batches = ledger.batches().where("status = 'COMMITTED'").select(
+        "delivery_key", "batch_id", F.substring(F.sha2("delivery_key", 256), 1, 32).alias("request_id")
+    )
+    made = [
+        queue.enqueue(row["delivery_key"], "EVIDENCE_COMMITTED", received_at, trigger_batch_id=row["batch_id"])
+        for row in batches.join(known, "request_id", "left_anti").orderBy("request_id").toLocalIterator()
+    ]
     return found.select("stem", "state", F.coalesce("fault", "reason").alias("reason")), made
+
+
+def inspections(queue: Queue, ledger: Ledger, store: Store) -> DataFrame:
+    """(request_id, status, attempt_count, batch_status, run_published, action, problem) of every request.
+
+    ``action`` is what ``recovery.inspect`` says of one request; where a request
+    contradicts the ledger or the store it is null and ``problem`` says how.  The
+    queue is small and comes from the driver; batches and runs are joined to it.
+    """
+    spark, fields = ledger.spark, (
+        "request_id", "status", "attempt_count", "max_attempts", "next_attempt_at_utc", "completed_at_utc",
+        "last_error", "result_run_id", "trigger_batch_id"
+    )
+    schema = "request_id string, status string, attempt_count int, max_attempts int, next_attempt_at_utc string, "
+    schema += "completed_at_utc string, last_error string, result_run_id string, trigger_batch_id string"
+    q = spark.createDataFrame([tuple(getattr(r, f) for f in fields) for r in queue.requests()], schema)
+    b = ledger.batches().select(F.col("batch_id").alias("trigger_batch_id"), F.col("status").alias("batch_status"))
+    runs = spark.createDataFrame([(r, True) for r in store.runs()], "result_run_id string, run_published boolean")
+    df = q.join(b, "trigger_batch_id", "left").join(runs, "result_run_id", "left").withColumn(
+        "run_published", F.coalesce("run_published", F.lit(False))
+    )
+    c, now = F.col, F.lit(queue.clock()).cast("timestamp")
+    open_ = c("result_run_id").isNotNull() | c("completed_at_utc").isNotNull()
+    problem = (
+        F.when(~c("batch_status").eqNullSafe(F.lit("COMMITTED")), "NOT_ON_COMMITTED_EVIDENCE")
+        .when((c("status") == "SUCCEEDED") & (c("completed_at_utc").isNull() | ~c("run_published")), "RESULT_MISSING")
+        .when(
+            (c("status") == "FAILED") & (
+                c("result_run_id").isNotNull() | c("completed_at_utc").isNull() | c("last_error").isNull()
+            ),
+            "FAILED_INCONSISTENT"
+        )
+        .when(
+            (c("status") == "PENDING") & (open_ | (c("attempt_count") >= c("max_attempts"))), "PENDING_INCONSISTENT"
+        )
+        .when(~c("status").isin("SUCCEEDED", "FAILED", "PENDING"), "UNKNOWN_STATUS")
+    )
+    action = (
+        F.when(c("status") == "SUCCEEDED", "DO_NOT_REPEAT")
+        .when(c("status") == "FAILED", "MANUAL_REQUEUE")
+        .when(c("next_attempt_at_utc").cast("timestamp") <= now, "RETRY_NOW")
+        .otherwise("WAIT_FOR_RETRY")
+    )
+    return df.withColumn("problem", problem).select(
+        "request_id", "status", "attempt_count", "batch_status", "run_published",
+        F.when(c("problem").isNull(), action).alias("action"), "problem"
+    )

@@ -59,6 +59,7 @@ class Request:
     last_error: str | None = None
     result_run_id: str | None = None
     source_batch_status: str = "COMMITTED"
+    trigger_batch_id: str = ""
 
 
 def _text(t: datetime) -> str:
@@ -231,7 +232,10 @@ class Worker:
             self.hook("after_claim")
             result = self.build(run_id, _time(r.as_of_utc))
             self.hook("after_build")
-            self.store.publish(result, run_id, before_commit=lambda _: self.hook("before_pointer"), hook=self.hook)
+            self.store.publish(
+                result, run_id, before_commit=lambda _: self.hook("before_pointer"), hook=self.hook,
+                observed_at=_time(r.as_of_utc)
+            )
             self.hook("after_pointer")
             self.hook("before_complete")
             self.queue.mark_succeeded(r.request_id, run_id)

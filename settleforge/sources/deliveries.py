@@ -144,14 +144,18 @@ def gate(deliveries: DataFrame, versions: tuple[str, ...] = (FILE_SCHEMA_VERSION
     out = df.withColumn("_r", result).withColumns(
         {
             "state": F.col("_r.state"), "reason": F.col("_r.reason"), "filename": name, "declared_row_count": declared,
-            "rows": F.when(F.col("_r.state") == "READY", F.transform(rows, lambda x: F.to_json(x)))
+            "rows": F.when(objects & (F.col("_r.state") != "WAITING"), F.transform(rows, lambda x: F.to_json(x)))
         }
     )
     return out.withColumns({f: _manifest(m, f) for f in fields if f != "filename"}).drop("_m", "_d", "_r")
 
 
 def judged(gated: DataFrame) -> DataFrame:
-    """Finished deliveries with their key and ``fault`` (null: sound); a bad one does not keep the others back."""
+    """Finished deliveries with their key and ``fault`` (null: sound); a bad one does not keep the others back.
+
+    A delivery has a key if it is sound, or if its rows can be read and only its
+    checksum or row count is wrong; its checksum is then that of the bytes received.
+    """
     report = F.lower("report_type")
     entity = F.create_map(*[F.lit(x) for k, (e, _, _) in REPORTS.items() for x in (k, e)])[report]
     system = F.create_map(*[F.lit(x) for k, (_, s, _) in REPORTS.items() for x in (k, s)])[report]
@@ -175,7 +179,12 @@ def judged(gated: DataFrame) -> DataFrame:
         "source_system", "report_type", "report_date", "entity_type", "filename", "schema_version", "checksum_sha256",
         "manifest_checksum"
     )
-    return df.withColumn("delivery_key", F.when(F.col("fault").isNull(), delivery_key(*[F.col(c) for c in parts])))
+    known = ~(disagree | no_date | outside) & F.col("rows").isNotNull()
+    kept = F.col("fault").isNull() | (F.col("fault").isin("CHECKSUM_MISMATCH", "ROW_COUNT_MISMATCH") & known)
+    df = df.withColumn("_kept", kept).withColumn("checksum_sha256", F.sha2("data_bytes", 256))
+    return df.withColumn(
+        "delivery_key", F.when(F.col("_kept"), delivery_key(*[F.col(c) for c in parts]))
+    ).drop("_kept")
 
 
 def verify(gated: DataFrame) -> DataFrame:

@@ -1,14 +1,17 @@
 """The ingestion ledger: append-only Parquet tables of batches, receipts and typed records.
 
 A delivery is appended once, by its key; dispositions are derived from the
-receipts when they are read and never updated.
+receipts when they are read and never updated.  Every append carries the id of its
+attempt, and only rows of an attempt that has a batch row are read, so what a
+broken attempt left behind needs no removal and reading needs no shuffle.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.identity import receipt_id
@@ -17,6 +20,20 @@ from ..plans.store import FileSystem
 from ..schemas import ENTITIES, REPORTS
 from .validate import validate
 
+#: Faults of deliveries whose rows can be read; the ledger keeps those as FAILED batches.
+KEPT_FAULTS = ("CHECKSUM_MISMATCH", "ROW_COUNT_MISMATCH")
+_BATCH = (
+    "delivery_key string, batch_id string, attempt string, source_system string, report_type string, report_date date, "
+    "original_filename string, schema_version string, file_checksum string, manifest_checksum string, "
+    "declared_row_count long, observed_row_count long, received_at_utc timestamp, data_bytes binary, "
+    "manifest_bytes binary, status string, error_message string"
+)
+_QUARANTINE = (
+    "delivery_key string, batch_id string, attempt string, received_at_utc timestamp, row_number int, "
+    "receipt_id string, entity_type string, source_id string, reason_code string, reason_detail string, "
+    "raw_payload_json string"
+)
+
 
 class Ledger:
     def __init__(self, spark: SparkSession, root: str):
@@ -25,57 +42,90 @@ class Ledger:
     def _read(self, name: str) -> DataFrame | None:
         return self.spark.read.parquet(f"{self.files.root}/{name}") if self.files.exists(name) else None
 
-    def batches(self) -> DataFrame | None:
-        return self._read("batches")
+    def batches(self) -> DataFrame:
+        """One row a delivery, COMMITTED or FAILED; of two writers of one delivery the first counts."""
+        df = self._read("batches")
+        if df is None:
+            return self.spark.createDataFrame([], _BATCH)
+        first = Window.partitionBy("delivery_key").orderBy("received_at_utc", "attempt")
+        return df.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
 
-    def _committed(self, name: str) -> DataFrame | None:
-        """Rows of deliveries that have a batch row, once each however often a broken attempt was repeated."""
-        df, batches = self._read(name), self.batches()
-        if df is None or batches is None:
-            return None
-        return df.join(
-            batches.select("delivery_key"), "delivery_key", "left_semi"
-        ).dropDuplicates(["delivery_key", "row_number"])
+    def _stored(self, name: str) -> DataFrame | None:
+        """Rows that an attempt with a batch row has stored."""
+        df = self._read(name)
+        keys = ["delivery_key", "attempt"]
+        return None if df is None else df.join(self.batches().select(*keys), keys, "left_semi")
 
     def receipts(self, entity: str) -> DataFrame | None:
         """Valid receipts of one entity: receipt columns and the typed record."""
-        return self._committed(f"receipts/{entity}")
+        return self._stored(f"receipts/{entity}")
+
+    def quarantine(self) -> DataFrame:
+        """Rows that broke a rule, and all others of failed batches."""
+        df = self._stored("quarantine")
+        return self.spark.createDataFrame([], _QUARANTINE) if df is None else df
 
-    def quarantine(self) -> DataFrame | None:
-        return self._committed("quarantine")
+    def expect(self, days: DataFrame) -> None:
+        """Declare business days (``business_date``) whose reports are due; a day declared again changes nothing."""
+        days.select(F.col("business_date").cast("date")).distinct().write.mode("append").parquet(
+            f"{self.files.root}/expected_days"
+        )
 
-    def ingest(self, verified: DataFrame, received_at, hook: Callable[[str], None] = lambda point: None) -> int:
+    def expected_days(self) -> DataFrame:
+        """Days that were declared, and those of any batch, failed ones included."""
+        days = self.batches().select(F.col("report_date").alias("business_date"))
+        more = self._read("expected_days")
+        return (days if more is None else days.unionByName(more)).distinct()
+
+    def ingest(self, found: DataFrame, received_at, hook: Callable[[str], None] = lambda point: None) -> int:
         """Append deliveries whose key is new; returns how many.
 
+        ``found``: deliveries from ``verify``, or from ``judged``: of those with a
+        fault, the ones whose rows can be read (``KEPT_FAULTS``) become FAILED
+        batches, whose valid rows are quarantined with BATCH_VALIDATION_FAILED.
+
         A repeated delivery changes nothing.  After a crash between the appends the
         delivery has no batch row: nothing of it is read, and ingesting it again
         completes it.  ``hook`` is called between the appends.
         """
-        new = verified.dropDuplicates(["delivery_key"])
-        known = self.batches()
-        if known is not None:
-            new = new.join(known.select("delivery_key"), "delivery_key", "left_anti")
-        new = new.withColumn(
-            "received_at_utc", F.lit(received_at).cast("timestamp")
-        ).withColumn("batch_id", F.substring("delivery_key", 1, 32)).persist()
+        attempt = uuid.uuid4().hex
+        fault = F.col("fault") if "fault" in found.columns else F.lit(None).cast("string")
+        new = found.withColumn("fault", fault).where("delivery_key IS NOT NULL").dropDuplicates(["delivery_key"])
+        new = new.join(self.batches().select("delivery_key"), "delivery_key", "left_anti").withColumns(
+            {
+                "received_at_utc": F.lit(received_at).cast("timestamp"), "attempt": F.lit(attempt),
+                "batch_id": F.substring("delivery_key", 1, 32)
+            }
+        ).persist()
         n = new.count()
         if n:
             for report, (entity, _, _) in REPORTS.items():
                 rows = new.where(F.col("report_type") == report).select(
-                    "delivery_key", "batch_id", "received_at_utc", F.posexplode("rows").alias("row_number", "payload")
+                    "delivery_key", "batch_id", "attempt", "received_at_utc", F.col("fault").alias("_fault_of_batch"),
+                    F.posexplode("rows").alias("row_number", "payload")
                 )
                 rows = rows.withColumn("receipt_id", receipt_id(F.col("delivery_key"), F.col("row_number")))
-                good, bad = validate(rows, entity)
-                good.write.mode("append").parquet(f"{self.files.root}/receipts/{entity}")
-                bad.write.mode("append").parquet(f"{self.files.root}/quarantine")
+                good, bad = validate(rows.withColumn("_raw", F.col("payload")), entity)
+                failed = good.where("_fault_of_batch IS NOT NULL").select(
+                    *bad.drop("_raw", "reason_code", "reason_detail", "raw_payload_json").columns,
+                    F.lit("BATCH_VALIDATION_FAILED").alias("reason_code"),
+                    F.concat(F.lit("the batch is bad: "), "_fault_of_batch").alias("reason_detail"),
+                    F.to_json(F.try_parse_json("_raw")).alias("raw_payload_json")
+                )
+                kept = good.where("_fault_of_batch IS NULL").drop("_fault_of_batch", "_raw")
+                kept.write.mode("append").parquet(f"{self.files.root}/receipts/{entity}")
+                bad.drop("_raw").unionByName(failed).drop("_fault_of_batch").write.mode("append").parquet(
+                    f"{self.files.root}/quarantine"
+                )
                 hook("after_rows")
             # The batch row comes last: a delivery without one has not been ingested.
             keep = new.select(
-                "delivery_key", "batch_id", "source_system", "report_type", "report_date",
+                "delivery_key", "batch_id", "attempt", "source_system", "report_type", "report_date",
                 F.col("filename").alias("original_filename"), "schema_version",
                 F.col("checksum_sha256").alias("file_checksum"), "manifest_checksum", "declared_row_count",
                 F.size("rows").cast("long").alias("observed_row_count"), "received_at_utc", "data_bytes",
-                "manifest_bytes", F.lit("COMMITTED").alias("status")
+                "manifest_bytes", F.when(F.col("fault").isNull(), "COMMITTED").otherwise("FAILED").alias("status"),
+                F.col("fault").alias("error_message")
             )
             keep.write.mode("append").parquet(f"{self.files.root}/batches")
         new.unpersist()
@@ -93,19 +143,18 @@ class Ledger:
         return out
 
     def stored_batches(self) -> DataFrame:
-        """Batches with receipt and quarantine counts, for certification from stored bytes."""
-        one = [self.receipts(e).select("delivery_key") for e in ENTITIES if self.receipts(e) is not None]
-        n = self.spark.createDataFrame([], "delivery_key string")
-        for x in one:
-            n = n.unionByName(x)
-        q = self.quarantine()
-        bad = self.spark.createDataFrame([], "delivery_key string") if q is None else q.select("delivery_key")
-        count = lambda df, c: df.groupBy("delivery_key").agg(F.count(F.lit(1)).alias(c))
-        b = self.batches().join(count(n, "_n"), "delivery_key", "left").join(
-            count(bad, "quarantine_count"), "delivery_key", "left"
+        """Committed batches with receipt and quarantine counts, for certification from stored bytes."""
+        none = self.spark.createDataFrame([], "delivery_key string, bad boolean")
+        rows = none.unionByName(self.quarantine().select("delivery_key", F.lit(True).alias("bad")))
+        for e in ENTITIES:
+            r = self.receipts(e)
+            if r is not None:
+                rows = rows.unionByName(r.select("delivery_key", F.lit(False).alias("bad")))
+        n = rows.groupBy("delivery_key").agg(
+            F.count(F.lit(1)).alias("receipt_count"), F.count_if("bad").alias("quarantine_count")
         )
-        b = b.withColumn("quarantine_count", F.coalesce("quarantine_count", F.lit(0)))
-        return b.withColumn("receipt_count", F.coalesce("_n", F.lit(0)) + F.col("quarantine_count")).drop("_n")
+        b = self.batches().where("status = 'COMMITTED'").join(n, "delivery_key", "left")
+        return b.fillna(0, ["receipt_count", "quarantine_count"])
 
 
 def batch_dispositions(rows: DataFrame, declared: DataFrame) -> DataFrame:

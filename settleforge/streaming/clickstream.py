@@ -119,11 +119,26 @@ def windowed_marts(events: DataFrame, interval: str = INTERVAL) -> DataFrame:
     return out.select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), "event_type", "user_id", "n")
 
 
-def stream(spark: SparkSession, folder: str, events_path: str, bad_path: str, checkpoint: str) -> StreamingQuery:
+def cadence(every: str | None) -> dict:
+    """The trigger of a stream: all that is there, then stop; or on and on at an interval."""
+    return {"availableNow": True} if every is None else {"processingTime": every}
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    return spark.read.parquet(path) if there else None
+
+
+def stream(
+    spark: SparkSession, folder: str, events_path: str, bad_path: str, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
     """Take up new files as they come; each file is ingested once, bad files are kept aside with their reason.
 
     The file source's checkpoint makes a restart go on where it stopped; an
     anti-join on the names makes a batch that is run again add nothing.
+    ``every``: how often, such as "30 seconds"; without it the query ends when
+    it has taken up what is there.
     """
     files = spark.readStream.format("text").option("wholetext", "true").option(
         "pathGlobFilter", "*.json"
@@ -132,15 +147,32 @@ def stream(spark: SparkSession, folder: str, events_path: str, bad_path: str, ch
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         s = batch.sparkSession
-        path = s._jvm.org.apache.hadoop.fs.Path(events_path)
-        there = path.getFileSystem(s.sparkContext._jsc.hadoopConfiguration()).exists(path)
-        good, bad = ingest(batch, s.read.parquet(events_path) if there else None)
+        good, bad = ingest(batch, _stored(s, events_path))
+        known = _stored(s, bad_path)
+        if known is not None:
+            bad = bad.join(known.select("source_file"), "source_file", "left_anti")
         good.write.mode("append").parquet(events_path)
         bad.write.mode("append").parquet(bad_path)
 
     return files.writeStream.foreachBatch(sink).option(
         "checkpointLocation", checkpoint
-    ).trigger(availableNow=True).start()
+    ).trigger(**cadence(every)).start()
+
+
+def stream_marts(
+    events: DataFrame, path: str, checkpoint: str, late: str = "10 minutes", interval: str = INTERVAL,
+    every: str | None = None
+) -> StreamingQuery:
+    """Append the finished intervals of ``windowed_marts`` of a streaming frame of valid events to ``path``.
+
+    An interval is finished when an event came in that is ``late`` after its end;
+    events that come in later still are not counted, as a watermark has it.  For
+    results that late events correct, recompute ``windowed_marts`` and ``upsert``.
+    """
+    out = windowed_marts(events.withWatermark("event_timestamp", late), interval)
+    return out.writeStream.format("parquet").outputMode("append").option("path", path).option(
+        "checkpointLocation", checkpoint
+    ).trigger(**cadence(every)).start()
 
 
 def generate(spark: SparkSession, n: int, seed: int = 1) -> DataFrame:

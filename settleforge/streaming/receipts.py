@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.canonical import check_receipts, unique_receipts
 from ..operators.late import change_kinds
+from .clickstream import cadence
 
 
 def apply_batch(batch: DataFrame, known: DataFrame | None) -> tuple[DataFrame, DataFrame]:
@@ -25,9 +26,13 @@ def apply_batch(batch: DataFrame, known: DataFrame | None) -> tuple[DataFrame, D
 
 
 def stream(
-    receipts: DataFrame, path: str, checkpoint: str, on_change: Callable[[DataFrame, int], None]
+    receipts: DataFrame, path: str, checkpoint: str, on_change: Callable[[DataFrame, int], None],
+    every: str | None = None
 ) -> StreamingQuery:
-    """Append new receipts of a streaming frame to ``path`` and hand the changes of each batch on."""
+    """Append new receipts of a streaming frame to ``path`` and hand the changes of each batch on.
+
+    ``every``: how often, such as "30 seconds"; without it what is there is taken up and the query ends.
+    """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         s = batch.sparkSession
@@ -40,4 +45,4 @@ def stream(
 
     return receipts.writeStream.foreachBatch(sink).option(
         "checkpointLocation", checkpoint
-    ).trigger(availableNow=True).start()
+    ).trigger(**cadence(every)).start()

@@ -237,10 +237,20 @@ def test_rebuild_from_stored_evidence(spark, tmp_path):
     findings, made = rebuild.ingest(ledger, q, deliveries.read_deliveries(spark, str(box)), clock.now)
     assert {r["state"] for r in findings.collect()} == {"READY"} and len(made) == 6
     assert rebuild.ingest(ledger, q, deliveries.read_deliveries(spark, str(box)), clock.now)[1] == []
-    days = spark.createDataFrame([(day,)], "business_date date")
-    build = lambda run_id, as_of: rebuild.rebuild(ledger, run_id, as_of, expected_days=days)
+    assert [r["business_date"] for r in ledger.expected_days().collect()] == [day]
+    build = lambda run_id, as_of: rebuild.rebuild(ledger, run_id, as_of)
     done = recovery.drain(recovery.Worker(q, store, build), max_requests=1)
     assert done["failed"] == 0 and [r["state"] for r in store.read_current().transactions.collect()] == ["RECONCILED"]
+    [run] = store.runs()
+    seen = store.read_snapshot(run).collect()
+    assert len(seen) == 6 and {(r["run_id"], r["state"], tuple(r["issue_codes"])) for r in seen} == {(run, "COMPLETE", ())}
+    assert all(r["observed_at_utc"] == clock.now.replace(tzinfo=None) and r["deadline_utc"].date() == day + timedelta(days=1) for r in seen)
+    said = rebuild.inspections(q, ledger, store).collect()
+    assert sorted(r["action"] for r in said) == ["DO_NOT_REPEAT"] + ["RETRY_NOW"] * 5
+    for r in said:
+        assert r["action"] == recovery.inspect(q, r["request_id"], lambda x: x in store.runs()).action and r["problem"] is None
+    odd = q.enqueue("elsewhere", "NEW", clock.now)
+    assert {r["request_id"]: r["problem"] for r in rebuild.inspections(q, ledger, store).collect()}[odd.request_id] == "NOT_ON_COMMITTED_EVIDENCE"
     before = rebuild.input_fingerprint(ledger, clock.now)
     clock.now += timedelta(days=1)
     from test_scenarios import refund
@@ -250,12 +260,52 @@ def test_rebuild_from_stored_evidence(spark, tmp_path):
     assert rebuild.input_fingerprint(ledger, clock.now) != before == rebuild.input_fingerprint(ledger, clock.now - timedelta(days=1))
     late = rebuild.rebuild(ledger, "late", clock.now)
     assert [str(r["successful_refund_total"]) for r in late.transactions.collect()] == ["30.00"]
+    # The second day's other reports are expected now, and not there though their deadlines have passed.
+    assert clock.now > datetime(2026, 3, 4, 12, tzinfo=timezone.utc)
+    assert [r["state"] for r in late.transactions.collect()] == ["INCOMPLETE"]
+    ungated = rebuild.rebuild(ledger, "free", clock.now, judge_reports=False)
+    assert {r["state"] for r in ungated.transactions.collect()} <= {"RECONCILED", "EXCEPTION"}
     spark.read.parquet(ledger.files.root + "/receipts/FEE").limit(0).write.mode("overwrite").parquet(ledger.files.root + "/receipts/FEE2")
     ledger.files.delete("receipts/FEE")
     with pytest.raises(rebuild.EvidenceLost, match="ROWS_NOT_CONSERVED"):
         rebuild.rebuild(ledger, "lost", clock.now)
 
 
+def test_failed_batches_stay_as_evidence(spark, tmp_path):
+    """A delivery with a wrong count or checksum is kept, quarantined row by row; its day is expected, its report is not there."""
+    from settleforge.plans import rebuild
+
+    box = tmp_path / "box"
+    box.mkdir()
+    day = "2026-03-02"
+    deliveries.publish_source_file(box / "orders.json", [order(), order(total="x", id="o2")], "orders", day)
+    deliveries.publish_source_file(box / "fees.json", [], "fees", day)
+    deliveries.publish_source_file(box / "gone.json", [{}], "payments", day)
+    said = json.loads((box / "orders.manifest.json").read_text())
+    (box / "orders.manifest.json").write_text(json.dumps({**said, "row_count": 5}))
+    (box / "fees.json").write_text("[ ]")
+    (box / "gone.json").write_text("{")
+    clock = Clock()
+    ledger = Ledger(spark, "file://" + str(tmp_path / "ledger"))
+    q = recovery.Queue(FileSystem(spark, "file://" + str(tmp_path / "control")), clock)
+    read = lambda: deliveries.read_deliveries(spark, str(box))
+    # Before anything sound has come in there is nothing to rebuild, and no error.
+    found, made = rebuild.ingest(ledger, q, read(), clock.now)
+    assert made == [] and {r["reason"] for r in found.collect()} == {"ROW_COUNT_MISMATCH", "CHECKSUM_MISMATCH"}
+    b = {r["report_type"]: (r["status"], r["error_message"], r["observed_row_count"]) for r in ledger.batches().collect()}
+    assert b == {"orders": ("FAILED", "ROW_COUNT_MISMATCH", 2), "fees": ("FAILED", "CHECKSUM_MISMATCH", 0)}
+    rows = {r["source_id"]: r["reason_code"] for r in ledger.quarantine().collect()}
+    assert rows == {"o1": "BATCH_VALIDATION_FAILED", "o2": "INVALID_AMOUNT"} and ledger.receipts("ORDER").isEmpty()
+    assert ledger.stored_batches().isEmpty() and rebuild.lost_evidence(ledger, clock.now).isEmpty()
+    rebuild.ingest(ledger, q, read(), clock.now)
+    assert ledger.batches().count() == 2 and ledger.quarantine().count() == 2
+    ledger.expect(spark.createDataFrame([(date(2026, 3, 1),), (date(2026, 3, 2),)], "business_date date"))
+    assert sorted(str(r[0]) for r in ledger.expected_days().collect()) == ["2026-03-01", "2026-03-02"]
+    out = rebuild.rebuild(ledger, "r", datetime(2026, 3, 5, tzinfo=timezone.utc))
+    assert {r["state"] for r in out.completeness.collect()} == {"INCOMPLETE"} and out.transactions.isEmpty()
+    assert out.quarantine.count() == 2
+
+
 def test_failure_after_the_pointer_is_not_repeated(spark, tmp_path):
     q, store = recovery.Queue(FileSystem(spark, "file://" + str(tmp_path)), Clock()), MemoryStore()
     r = q.enqueue("k", "NEW", q.clock())
@@ -301,7 +351,8 @@ def test_gate_ledger_and_certification(spark, tmp_path):
     stop = recovery.FailOnce("after_rows")
     with pytest.raises(recovery.InjectedFailure):
         ledger.ingest(ready, "2026-03-02 19:00:00", hook=stop)
-    assert ledger.batches() is None and ledger.receipts("ORDER") is None and ledger.quarantine() is None
+    assert ledger.batches().isEmpty() and ledger.receipts("ORDER") is None and ledger.quarantine().isEmpty()
+    assert ledger.stored_batches().isEmpty() and ledger.expected_days().isEmpty()
     assert ledger.ingest(ready, "2026-03-02 20:00:00") == 2
     assert ledger.ingest(ready, "2026-03-02 21:00:00") == 0
     assert sorted(r["order_id"] for r in ledger.current()["ORDER"].collect()) == ["b", "good"]
@@ -404,6 +455,23 @@ def test_click_stream(spark, tmp_path):
     assert clickstream.ingest(made.unionByName(made), clickstream.ingest(made.limit(10))[0])[0].count() == 40
 
 
+def test_marts_stream(spark, tmp_path):
+    """Finished intervals are appended once; the last one waits for its watermark."""
+    box = tmp_path / "in"
+    rows_ = [("purchase", 1, f"2026-03-02 10:{m:02d}:{s:02d}") for m, s in ((0, 1), (0, 2), (0, 31), (30, 0))]
+    df = spark.createDataFrame(rows_, "event_type string, user_id long, at string")
+    df = df.select("event_type", "user_id", F.col("at").cast("timestamp").alias("event_timestamp"))
+    df.write.parquet(str(box))
+    events = spark.readStream.schema(df.schema).parquet(str(box))
+    args = (str(tmp_path / "marts"), str(tmp_path / "checkpoint"))
+    clickstream.stream_marts(events, *args).awaitTermination()
+    got = spark.read.parquet(args[0])
+    assert sorted((str(r["start"])[11:], r["n"]) for r in got.collect()) == [("10:00:00", 2), ("10:00:30", 1)]
+    clickstream.stream_marts(events, *args).awaitTermination()
+    assert spark.read.parquet(args[0]).count() == 2
+    assert clickstream.cadence("30 seconds") == {"processingTime": "30 seconds"}
+
+
 def test_receipt_stream(spark):
     known = spark.createDataFrame(rows(("r1", "p", 2, "a")), R)
     new = spark.createDataFrame(rows(("r1", "p", 2, "a"), ("r2", "p", 3, "b"), ("r3", "p", 2, "a"), ("r4", "p", 2, "z"), ("r5", "p", 1, "q"), ("r6", "n", 1, "n")), R)
