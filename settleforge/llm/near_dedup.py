@@ -442,6 +442,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ties = own.select(F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")).where("a < b").distinct()
     links = scratch.write(confirm(tried, docs, id_col, text_col, percent).unionByName(ties), "links")
     labels = contracted(links, None, scratch)
+    scratch.tidy()
 
     members, left, useless = members.drop("head"), None, None
     for step in ["head"] * HEAD_ROUNDS + ["nearest"] * NEAREST_ROUNDS + ["all"]:
@@ -468,6 +469,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if not useless:
             labels, left = contracted(found, labels, scratch), None
         tried = tried.unionByName(more)
+        scratch.tidy()
     top = heads.join(labels.withColumnRenamed("node", "head"), "head", "left").select(
         "digest", F.coalesce("component", "head").alias("component")
     )

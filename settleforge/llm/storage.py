@@ -7,6 +7,7 @@ dropped at once, the others when the driver's JVM ends.
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,5 +48,14 @@ class Scratch:
         self.paths[id(out)] = (path, out)
         return out
 
+    def tidy(self) -> None:
+        """Have Spark free broadcast tables and shuffle files of finished steps.
+
+        It frees what the driver's garbage collector finds unreachable, and the
+        driver of a long iteration collects too seldom for its executors.
+        """
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
     def drop(self, df: DataFrame) -> None:
         remove(self.spark, self.paths.pop(id(df))[0])
