@@ -87,12 +87,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .spelling import group_variants
+
+    return group_variants(_table(spark, sf_dir, "documents"), drop_every=31)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import license_scan, line_dedup, mixing, near_dedup, quality, substring_dedup, url_filter
+    from . import license_scan, line_dedup, mixing, near_dedup, quality, spelling, substring_dedup, url_filter
 
     return {
         "op1_substring_dedup": substring_dedup.oracle(),
@@ -102,4 +108,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_license_scan": license_scan.oracle(),
         "op6_source_mixing": mixing.oracle(),
         "op7_quality_rules": quality.oracle(),
+        "op11_spelling_variants": spelling.oracle(),
     }
