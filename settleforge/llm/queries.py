@@ -93,6 +93,18 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_variants(_table(spark, sf_dir, "documents"), drop_every=31)
 
 
+def op13_cobucketed_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .cobucket import bucket_of, rewrite_pair
+
+    sales, lines = _table(spark, sf_dir, "sales"), _table(spark, sf_dir, "sale_lines")
+    b = F.coalesce(bucket_of(F.col("sale_id"), 600), F.lit(601))
+    item = (F.crc32(F.col("item_id").cast("string").cast("binary")) % 600).cast("int")
+    return rewrite_pair(
+        sales, lines, "sale_id", F.when(b % 4 == 1, b - 1).otherwise(b), F.coalesce(item, F.lit(0)),
+        names=("sales", "sale_lines")
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
