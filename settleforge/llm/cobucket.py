@@ -162,16 +162,20 @@ def _place(root: str) -> tuple[pafs.FileSystem, str, str]:
     return files, base, base if isinstance(files, pafs.LocalFileSystem) else root
 
 
-def write_sorted(df: DataFrame, folder: str, key: str, scratch: Scratch, partitions: int) -> DataFrame:
+def write_sorted(
+    df: DataFrame, names: list[str], folder: str, key: str, scratch: Scratch, partitions: int
+) -> DataFrame:
     """One Parquet file for each value of ``df``'s first column, with the other columns, sorted by ``key`` and then them.
 
+    The other columns are called ``names`` in the files, whatever they are called here.
+
     Returns (number, path, n_rows, ids_sha256) of the files, where the last is the
     SHA-256 of the keys in file order, in decimal, joined by commas.
     """
     fields = df.schema.fields[1:]
-    order = sorted(range(len(fields)), key=lambda i: (fields[i].name != key, i))
+    order = sorted(range(len(fields)), key=lambda i: (names[i] != key, i))
     codec = RowCodec([fields[i].dataType.simpleString() for i in order])
-    schema = pa.schema([pa.field(f.name, _KINDS[f.dataType.simpleString()][1]) for f in fields])
+    schema = pa.schema([pa.field(n, _KINDS[f.dataType.simpleString()][1]) for n, f in zip(names, fields)])
     back = [order.index(i) for i in range(len(fields))]
 
     def encode(batches):
@@ -206,12 +210,13 @@ def write_sorted(df: DataFrame, folder: str, key: str, scratch: Scratch, partiti
 
 
 def _read(spark: SparkSession, files: list, schema: T.StructType) -> DataFrame:
-    """The rows of files, after a column ``_s`` with each row's file number."""
-    name = r"([0-9]+)-[0-9a-f]+\.parquet$"
+    """The rows of files as columns c0, c1 and so on, after ``s`` with each row's file number."""
+    name, cols = r"([0-9]+)-[0-9a-f]+\.parquet$", [f"c{i}" for i in range(len(schema))]
     if not files:
-        return spark.createDataFrame([], T.StructType([T.StructField("_s", T.IntegerType()), *schema.fields]))
+        own = [T.StructField(c, f.dataType) for c, f in zip(cols, schema.fields)]
+        return spark.createDataFrame([], T.StructType([T.StructField("s", T.IntegerType()), *own]))
     df = spark.read.schema(schema).parquet(*[f["path"] for f in files])
-    return df.select(F.regexp_extract(F.input_file_name(), name, 1).cast("int").alias("_s"), "*")
+    return df.select(F.regexp_extract(F.input_file_name(), name, 1).cast("int"), "*").toDF("s", *cols)
 
 
 def bucket_of(key: Column, buckets: int) -> Column:
@@ -246,54 +251,57 @@ def rewrite_pair(
     pair = {names[0]: (parents, start_parents), names[1]: (children, start_children)}
     start, files = {}, {}
     for name, (df, no) in pair.items():
-        files[name] = write_sorted(df.select(no.cast("int").alias("_s"), "*"), f"{folder}/{name}", key, scratch, n)
+        files[name] = write_sorted(df.select(no.cast("int"), "*"), df.columns, f"{folder}/{name}", key, scratch, n)
         start[name] = _read(spark, files[name].select("path").collect(), df.schema)
 
     def marked(name: str) -> DataFrame:
-        """(_b, _s, _n) before the table's columns: bucket, starting file, and the row's partners in the other table."""
-        k, df = F.col(f"`{key}`"), start[name]
+        """(b, s, j) before the table's columns: bucket, starting file, and how many rows of the other table each joins."""
+        df = start[name]
+        k, cols = F.col(f"c{pair[name][0].columns.index(key)}"), df.columns[1:]
         if name == names[0]:
-            return df.select(F.coalesce(bucket_of(k, buckets), F.lit(buckets + 1)).alias("_b"), "_s", F.lit(0).cast("long").alias("_n"), *df.columns[1:])
-        ids = start[names[0]].where(k.isNotNull()).groupBy(k.alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+            b = F.coalesce(bucket_of(k, buckets), F.lit(buckets + 1))
+            return df.select(b.alias("b"), "s", F.lit(0).cast("long").alias("j"), *cols)
+        own = F.col(f"c{parents.columns.index(key)}")
+        ids = start[names[0]].where(own.isNotNull()).groupBy(own.alias("k")).agg(F.count(F.lit(1)).alias("j"))
         # Never broadcast: the keys grow with the input.
-        both = df.join(ids.hint("merge"), k == F.col("_k"), "left")
-        b = F.when(k.isNull(), buckets + 1).when(F.col("_n").isNull(), buckets).otherwise(bucket_of(k, buckets))
-        return both.select(b.alias("_b"), "_s", F.coalesce("_n", F.lit(0).cast("long")).alias("_n"), *df.columns[1:])
+        both = df.join(ids.hint("merge"), k == F.col("k"), "left")
+        b = F.when(k.isNull(), buckets + 1).when(F.col("j").isNull(), buckets).otherwise(bucket_of(k, buckets))
+        return both.select(b.alias("b"), "s", F.coalesce("j", F.lit(0).cast("long")).alias("j"), *cols)
 
     facts = [
-        marked(t).groupBy("_b", "_s").agg(F.count(F.lit(1)).alias("n"), F.sum("_n").alias("j")).select(F.lit(t).alias("t"), "*")
+        marked(t).groupBy("b", "s").agg(F.count(F.lit(1)).alias("n"), F.sum("j").alias("j")).select(F.lit(t).alias("t"), "*")
         for t in names
     ]
     facts = scratch.write(facts[0].unionByName(facts[1]), "facts")
-    by_file = facts.groupBy("t", "_s").agg(F.count(F.lit(1)).alias("m"))
-    by_file = by_file.where("m = 1").select("t", F.col("_s").alias("one"), F.lit(True).alias("whole"))
-    parts = F.sort_array(F.collect_list(F.struct("_s", "n")))  # a bucket's starting files, at most as many as there are numbers
-    told = F.array_join(F.transform(parts, lambda x: F.concat_ws(":", x["_s"], x["n"])), ",")
-    by_bucket = facts.groupBy("t", "_b").agg(
+    by_file = facts.groupBy("t", "s").agg(F.count(F.lit(1)).alias("m"))
+    by_file = by_file.where("m = 1").select("t", F.col("s").alias("one"), F.lit(True).alias("whole"))
+    parts = F.sort_array(F.collect_list(F.struct("s", "n")))  # a bucket's starting files, at most as many as there are numbers
+    told = F.array_join(F.transform(parts, lambda x: F.concat_ws(":", x["s"], x["n"])), ",")
+    by_bucket = facts.groupBy("t", "b").agg(
         F.sha2(told, 256).alias("lineage_sha256"), F.sum("n").alias("rows"), F.sum("j").alias("joined"),
-        F.when(F.count(F.lit(1)) == 1, F.min("_s")).alias("one")
+        F.when(F.count(F.lit(1)) == 1, F.min("s")).alias("one")
     ).join(by_file.hint("merge"), ["t", "one"], "left")
     by_bucket = scratch.write(by_bucket.withColumn("stays", F.coalesce("whole", F.lit(False))), "buckets")
-    joined = by_bucket.where(F.col("t") == names[1]).select("_b", F.col("joined").alias("n_joined"))
+    joined = by_bucket.where(F.col("t") == names[1]).select("b", F.col("joined").alias("n_joined"))
     final = []
     for t in names:
         mine = by_bucket.where(F.col("t") == t).drop("t")
-        stay = [r["_b"] for r in mine.where("stays").select("_b").collect()]
+        stay = [r["b"] for r in mine.where("stays").select("b").collect()]
         rest = marked(t)
-        rest = rest.where(~F.col("_b").isin(stay)) if stay else rest
-        new = write_sorted(rest.drop("_s", "_n"), f"{folder}/{t}", key, scratch, n)
-        new = new.withColumnRenamed("number", "_b").withColumn("rewritten", F.lit(True))
-        old = mine.where("stays").select("_b", F.col("one").alias("number")).join(files[t].hint("merge"), "number")
+        rest = rest.where(~F.col("b").isin(stay)) if stay else rest
+        new = write_sorted(rest.drop("s", "j"), pair[t][0].columns, f"{folder}/{t}", key, scratch, n)
+        new = new.withColumnRenamed("number", "b").withColumn("rewritten", F.lit(True))
+        old = mine.where("stays").select("b", F.col("one").alias("number")).join(files[t].hint("merge"), "number")
         both = new.unionByName(old.drop("number").withColumn("rewritten", F.lit(False)))
         final.append(
-            both.join(mine.select("_b", "lineage_sha256").hint("merge"), "_b").select(
+            both.join(mine.select("b", "lineage_sha256").hint("merge"), "b").select(
                 F.lit(t).alias("table_name"), "path", F.lit(",".join(pair[t][0].columns)).alias("columns"), "ids_sha256",
-                "lineage_sha256", F.col("_b"), "n_rows", "rewritten"
+                "lineage_sha256", "b", "n_rows", "rewritten"
             )
         )
-    out = final[0].unionByName(final[1]).join(joined.hint("merge"), "_b", "left")
+    out = final[0].unionByName(final[1]).join(joined.hint("merge"), "b", "left")
     out = scratch.write(out.select(
-        "table_name", "path", "columns", "ids_sha256", "lineage_sha256", F.col("_b").cast("long").alias("bucket"), "n_rows",
+        "table_name", "path", "columns", "ids_sha256", "lineage_sha256", F.col("b").cast("long").alias("bucket"), "n_rows",
         F.coalesce("n_joined", F.lit(0).cast("long")).alias("n_joined"), "rewritten"
     ), "result")
     keep = {r["path"].rsplit("/", 1)[1] for r in out.select("path").collect()}

@@ -93,6 +93,12 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_variants(_table(spark, sf_dir, "documents"), drop_every=31)
 
 
+def op12_ngram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ngram_lm import score_texts
+
+    return score_texts(_table(spark, sf_dir, "documents"), order=2)
+
+
 def op13_cobucketed_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .cobucket import bucket_of, rewrite_pair
 
