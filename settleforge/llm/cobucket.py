@@ -38,8 +38,8 @@ from pyspark.sql import types as T
 from ..plans.checkpoints import shared_dir
 from .storage import Scratch
 
-#: Rows that are decoded and written at a time.
-CHUNK = 1 << 15
+#: Rows that are decoded and written at a time, and rows that are sorted in a task, about.
+CHUNK, TASK_ROWS = 1 << 15, 1 << 18
 _FILE = "number int, path string, n_rows long, ids_sha256 string"
 _INTS = {"tinyint": ("i1", pa.int8()), "smallint": ("i2", pa.int16()), "int": ("i4", pa.int32()), "bigint": ("i8", pa.int64())}
 _INTS |= {"date": ("i4", pa.date32()), "timestamp": ("i8", pa.timestamp("us", "UTC")), "timestamp_ntz": ("i8", pa.timestamp("us"))}
@@ -246,7 +246,7 @@ def rewrite_pair(
     """
     spark = parents.sparkSession
     scratch, folder = Scratch(spark), f"{shared_dir(spark)}/cobucket-{uuid.uuid4().hex}"
-    n = partitions or max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    n = partitions or max(spark.sparkContext.defaultParallelism, -(-max(parents.count(), children.count()) // TASK_ROWS))
     n = min(buckets + 2, n)
     pair = {names[0]: (parents, start_parents), names[1]: (children, start_children)}
     start, files = {}, {}
@@ -254,6 +254,11 @@ def rewrite_pair(
         files[name] = write_sorted(df.select(no.cast("int"), "*"), df.columns, f"{folder}/{name}", key, scratch, n)
         start[name] = _read(spark, files[name].select("path").collect(), df.schema)
 
+    own = F.col(f"c{parents.columns.index(key)}")
+    # Written, so that the join's sides are plain shuffles, whose hot partitions adaptive execution can split.
+    ids = start[names[0]].where(own.isNotNull()).groupBy(own.alias("k")).agg(F.count(F.lit(1)).alias("j"))
+    ids = scratch.write(ids, "keys")
+
     def marked(name: str) -> DataFrame:
         """(b, s, j) before the table's columns: bucket, starting file, and how many rows of the other table each joins."""
         df = start[name]
@@ -261,8 +266,6 @@ def rewrite_pair(
         if name == names[0]:
             b = F.coalesce(bucket_of(k, buckets), F.lit(buckets + 1))
             return df.select(b.alias("b"), "s", F.lit(0).cast("long").alias("j"), *cols)
-        own = F.col(f"c{parents.columns.index(key)}")
-        ids = start[names[0]].where(own.isNotNull()).groupBy(own.alias("k")).agg(F.count(F.lit(1)).alias("j"))
         # Never broadcast: the keys grow with the input.
         both = df.join(ids.hint("merge"), k == F.col("k"), "left")
         b = F.when(k.isNull(), buckets + 1).when(F.col("j").isNull(), buckets).otherwise(bucket_of(k, buckets))
