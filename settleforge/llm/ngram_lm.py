@@ -36,8 +36,9 @@ from .packing import slices
 from .storage import Scratch, bound_batches
 
 #: Tokens of the corpus for one shard, about.
-SHARD_TOKENS = 1 << 21
-SLICE_BYTES = 8 << 20
+SHARD_TOKENS = 1 << 20
+#: Bytes of text that are scored, and whose n-grams are added up, at a time.
+SLICE_BYTES, SUM_BYTES = 8 << 20, 12 << 20
 #: Before the first token of a text stands BOS, before that PAD; END is a token.
 PAD, BOS, END = (np.uint64(x) for x in range(3))
 #: Discounts where the counts of a tiny corpus give none.
@@ -95,9 +96,10 @@ def _mapped(path: str, kind: str) -> np.ndarray:
     return np.memmap(path, kind, "r") if os.path.exists(path) and os.path.getsize(path) else np.zeros(0, kind)
 
 
-def _counts(n: np.ndarray) -> np.ndarray:
-    """Counts in four bytes where they fit."""
-    return n.astype("<u4") if len(n) == 0 or n.max() < 2**32 else n.astype("<u8")
+def _counts(h: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
+    """Counts as columns of a shard: one byte each, and hashes and counts of those that have no room in it."""
+    large = n > 254
+    return [np.where(large, 255, n).astype("u1"), h[large], n[large].astype("<u8")]
 
 
 class Model:
@@ -117,10 +119,18 @@ class Model:
             if len(have):
                 at = np.minimum(np.searchsorted(have, q[i:j]), len(have) - 1)
                 hit = have[at] == q[i:j]
-                for c, (values, kind) in enumerate(zip(out, kinds)):
+                c = 1
+                for values, kind in zip(out, kinds):
+                    got = _mapped(f"{path}.{c}", "u1" if kind == "count" else kind)[at[hit]]
                     if kind == "count":
-                        kind = f"<u{os.path.getsize(f'{path}.{c + 1}') // len(have)}"
-                    values[i:j][hit] = _mapped(f"{path}.{c + 1}", kind)[at[hit]]
+                        more = np.flatnonzero(got == 255)
+                        got = got.astype(np.float64)
+                        if len(more):
+                            place = np.searchsorted(_mapped(f"{path}.{c + 1}", "<u8"), q[i:j][hit][more])
+                            got[more] = _mapped(f"{path}.{c + 2}", "<u8")[place]
+                        c += 2
+                    values[i:j][hit] = got
+                    c += 1
         return [v[back] for v in out]
 
     def score(self, seq: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -141,18 +151,34 @@ class Model:
         return raw, p
 
 
+def _gathered(batches):
+    """The texts of batches, in columns of about ``SUM_BYTES``: the more texts, the more equal n-grams are added up at once."""
+    some, size = [], 0
+    for b in batches:
+        for part in slices(b, 0, SUM_BYTES):
+            some.append(part.column(0))
+            size += int(T.column_bytes(part.column(0))[1][-1])
+            if size >= SUM_BYTES:
+                yield pa.chunked_array(some)
+                some, size = [], 0
+    if some:
+        yield pa.chunked_array(some)
+
+
 def _emit(order: int, bits: int):
     """Texts to (shard, words, n), equal n-grams of a slice added up."""
 
     def emit(batches):
-        for b in batches:
-            for part in slices(b, 0, SLICE_BYTES):
-                seq, at, _ = token_rows(*T.column_bytes(part.column(0)), order)
-                words = [seq[at - j] for j in range(order - 1, -1, -1)]
-                h = gram_hash(words)
-                first, (n,) = _summed(h, np.ones(len(h), np.int64))
-                cols = [pa.array(_shard(h[first], bits)), *[pa.array(w[first].view(np.int64)) for w in words], pa.array(n)]
-                yield pa.RecordBatch.from_arrays(cols, names=["shard", *[f"w{i}" for i in range(order)], "raw"])
+        for column in _gathered(batches):
+            seq, at, _ = token_rows(*T.column_bytes(column), order)
+            words = [seq[at - j] for j in range(order - 1, -1, -1)]
+            h = gram_hash(words)
+            first, (n,) = _summed(h, np.ones(len(h), np.int64))
+            # In the order of their first words, which the shuffle's compression then finds side by side.
+            by = np.argsort(words[0][first], kind="stable")
+            first, n = first[by], n[by]
+            cols = [pa.array(_shard(h[first], bits)), *[pa.array(w[first].view(np.int64)) for w in words], pa.array(n)]
+            yield pa.RecordBatch.from_arrays(cols, names=["shard", *[f"w{i}" for i in range(order)], "raw"])
 
     return emit
 
@@ -170,7 +196,8 @@ def _store(root: str, k: int, bits: int):
         # Sequences that reach beyond the start of a text are of a lower order; they occur as often as they are counted.
         real = words[0] != PAD
         a = adjusted[real]
-        _save(root, f"n{k}", key[0].as_py(), h[real], _counts(a), *([_counts(raw[real])] if k == 1 else []))
+        h = h[real]
+        _save(root, f"n{k}", key[0].as_py(), h, *_counts(h, a), *(_counts(h, raw[real]) if k == 1 else []))
         parts = []
 
         def add(kind, shard, hashes, *values):

@@ -151,7 +151,8 @@ def prose():
     r = random.Random(9)
     words = [f"W{k}" for k in range(40)]
     text = lambda n: " ".join(words[min(39, int(r.expovariate(0.15)))] for _ in range(n))
-    return awkward() + rows_of([(100 + i, text(r.randint(0, 60))) for i in range(150)])
+    often = [(400 + i, "w1 w1 " * 200) for i in range(3)]  # counts beyond one byte
+    return awkward() + rows_of([(100 + i, text(r.randint(0, 60))) for i in range(150)] + often)
 
 
 def out_of(i):
