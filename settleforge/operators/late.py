@@ -6,7 +6,7 @@ is compared as a plain column and nothing is ever dropped because of it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.times import business_date, delay_seconds
@@ -90,18 +90,65 @@ def classify(cands: DataFrame, run_id: Column, watermark: Column, covered_throug
     )
 
 
+def current_runs(receipts: DataFrame, runs: DataFrame, time_col: str = "received_at_utc") -> DataFrame:
+    """Receipts with the run that was current when they came in: the last one published by then.
+
+    ``runs``: run_id, published_at_utc, input_watermark_utc, covered_through_date;
+    their columns are added, null before the first run.  An as-of join by a union:
+    receipts and runs are put on one time line and the last run is carried on.  The
+    line is cut into hours, each opened by the run that was current at its start, so
+    no task holds more than an hour's; only hours and runs, which are few, are put in
+    one order.  Of runs published at one time the largest id counts.
+    """
+    run, no_run = F.struct("run_id", "published_at_utc", "input_watermark_utc", "covered_through_date"), F.lit(None)
+    rows = receipts.select(F.struct(*[F.col(f"`{c}`") for c in receipts.columns]).alias("_row"), F.col(time_col).alias("_t"))
+    rows = rows.withColumn("_d", F.date_trunc("hour", "_t"))
+    line = runs.select(run.alias("_run"), F.col("published_at_utc").alias("_t")).withColumn("_d", F.date_trunc("hour", "_t"))
+    kind, no_row = line.schema["_run"].dataType, F.lit(None).cast(rows.schema["_row"].dataType)
+    # A run published on the hour belongs to its own hour, not to what opens it.
+    starts = rows.select("_d").distinct().select("_d", F.col("_d").alias("_t"), no_run.cast(kind).alias("_run"), F.lit(0).alias("_k"))
+    every = Window.orderBy("_t", "_k", "_run.run_id").rowsBetween(Window.unboundedPreceding, 0)
+    opened = starts.unionByName(line.withColumn("_k", F.lit(1)))
+    opened = opened.withColumn("_run", F.last("_run", ignorenulls=True).over(every)).where("_k = 0")
+    both = rows.select("_d", "_t", "_row", no_run.cast(kind).alias("_run"), F.lit(2).alias("_k"))
+    for more in (line.withColumn("_k", F.lit(1)), opened):
+        both = both.unionByName(more.withColumn("_row", no_row))
+    hour = Window.partitionBy("_d").orderBy("_t", "_k", "_run.run_id").rowsBetween(Window.unboundedPreceding, 0)
+    out = both.withColumn("_run", F.last("_run", ignorenulls=True).over(hour)).where("_row IS NOT NULL")
+    return out.select("_row.*", "_run.*")
+
+
+def classify_by_runs(cands: DataFrame, runs: DataFrame) -> DataFrame:
+    """``classify`` of each candidate against the run that was current when it came in.
+
+    Before the first run nothing is late: such a candidate is NOT_YET_PUBLISHED
+    (unless it changes nothing) and needs no reprocessing.
+    """
+    df = current_runs(cands, runs).withColumnsRenamed(
+        {"run_id": "_id", "input_watermark_utc": "_mark", "covered_through_date": "_covered"}
+    )
+    out = classify(df, F.col("_id"), F.col("_mark"), F.col("_covered"))
+    first = F.col("_id").isNull() & (F.col("classification") != "NO_LOGICAL_CHANGE")
+    no = {c: F.when(first, False).otherwise(F.col(c)) for c in ("is_late", "requires_reprocessing")}
+    no |= {"arrived_after_watermark": F.coalesce("arrived_after_watermark", F.lit(False))}
+    return out.withColumns({"classification": F.when(first, "NOT_YET_PUBLISHED").otherwise(F.col("classification"))} | no).drop(
+        "_id", "_mark", "_covered"
+    )
+
+
 def change_kinds(receipts: DataFrame, known: DataFrame) -> DataFrame:
     """What each new receipt does to the known receipts of its entity.
 
-    Higher version: a correction; same version and payload: a duplicate; same
-    version, other payload: a conflict; lower version: stale; no entity yet: new.
+    Higher version: a correction; same version and one of its payloads: a duplicate;
+    same version, other payload: a conflict; lower version: stale; no entity yet: new.
     """
     who = ["source_system", "entity_type", "source_id"]
-    top = known.groupBy(*who).agg(
-        F.max("source_version").alias("_top"), F.max_by("payload_hash", "source_version").alias("_hash")
+    # All payloads of the highest version: an entity in conflict has several.
+    top = known.groupBy(*who, "source_version").agg(F.collect_set("payload_hash").alias("_h")).groupBy(*who).agg(
+        F.max("source_version").alias("_top"), F.max_by("_h", "source_version").alias("_hashes")
     )
     df = receipts.join(top, who, "left")
     kind = F.when(F.col("_top").isNull(), NEW).when(F.col("source_version") > F.col("_top"), CORRECTION).when(
         F.col("source_version") < F.col("_top"), STALE
-    ).when(F.col("payload_hash") == F.col("_hash"), DUPLICATE).otherwise(CONFLICT)
-    return df.withColumn("change_kind", kind).drop("_top", "_hash")
+    ).when(F.array_contains("_hashes", F.col("payload_hash")), DUPLICATE).otherwise(CONFLICT)
+    return df.withColumn("change_kind", kind).drop("_top", "_hashes")

@@ -61,6 +61,7 @@ class Result:
     exceptions: DataFrame
     completeness: DataFrame | None
     quarantine: DataFrame | None
+    detected_at: object = None
 
 
 def ref(entity: str, id_col: str) -> Column:
@@ -543,6 +544,7 @@ def reconcile(i: Inputs, run_id: str, detected_at, *, check: bool = True) -> Res
         merge_exceptions(raw).withColumns(run | {"detected_at_utc": at, "status": F.lit("OPEN")}),
         i.completeness,
         i.quarantine,
+        detected_at,
     )
 
 

@@ -129,9 +129,11 @@ def ingest(
 def inspections(queue: Queue, ledger: Ledger, store: Store) -> DataFrame:
     """(request_id, status, attempt_count, batch_status, run_published, action, problem) of every request.
 
-    ``action`` is what ``recovery.inspect`` says of one request; where a request
-    contradicts the ledger or the store it is null and ``problem`` says how.  The
-    queue is small and comes from the driver; batches and runs are joined to it.
+    ``action`` is what an operator should do; where a request contradicts the ledger
+    or the store it is null and ``problem`` says how.  The rows of the current run are
+    read again and held against its fingerprint, so that nobody is told not to repeat
+    a run whose rows are damaged.  The queue is small and comes from the driver;
+    batches and runs are joined to it.
     """
     spark, fields = ledger.spark, (
         "request_id", "status", "attempt_count", "max_attempts", "next_attempt_at_utc", "completed_at_utc",
@@ -141,7 +143,10 @@ def inspections(queue: Queue, ledger: Ledger, store: Store) -> DataFrame:
     schema += "completed_at_utc string, last_error string, result_run_id string, trigger_batch_id string"
     q = spark.createDataFrame([tuple(getattr(r, f) for f in fields) for r in queue.requests()], schema)
     b = ledger.batches().select(F.col("batch_id").alias("trigger_batch_id"), F.col("status").alias("batch_status"))
-    runs = spark.createDataFrame([(r, True) for r in store.runs()], "result_run_id string, run_published boolean")
+    damaged = {store.current()["run_id"]} if store.current() and not store.sound() else set()
+    runs = spark.createDataFrame(
+        [(r, True, r in damaged) for r in store.runs()], "result_run_id string, run_published boolean, damaged boolean"
+    )
     df = q.join(b, "trigger_batch_id", "left").join(runs, "result_run_id", "left").withColumn(
         "run_published", F.coalesce("run_published", F.lit(False))
     )
@@ -150,6 +155,7 @@ def inspections(queue: Queue, ledger: Ledger, store: Store) -> DataFrame:
     problem = (
         F.when(~c("batch_status").eqNullSafe(F.lit("COMMITTED")), "NOT_ON_COMMITTED_EVIDENCE")
         .when((c("status") == "SUCCEEDED") & (c("completed_at_utc").isNull() | ~c("run_published")), "RESULT_MISSING")
+        .when((c("status") == "SUCCEEDED") & c("damaged"), "RESULT_DAMAGED")
         .when(
             (c("status") == "FAILED") & (
                 c("result_run_id").isNotNull() | c("completed_at_utc").isNull() | c("last_error").isNull()

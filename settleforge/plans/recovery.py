@@ -60,6 +60,7 @@ class Request:
     result_run_id: str | None = None
     source_batch_status: str = "COMMITTED"
     trigger_batch_id: str = ""
+    generation: int = 0
 
 
 def _text(t: datetime) -> str:
@@ -84,14 +85,31 @@ class Queue:
         return hashlib.sha256(change_key.encode()).hexdigest()[:32]
 
     def _save(self, r: Request) -> None:
-        self.files.write(f"queue/{r.request_id}.json", json.dumps(asdict(r), sort_keys=True))
+        """A request that is done moves to ``done``, so that open ones are found without reading all."""
+        text, name = json.dumps(asdict(r), sort_keys=True), f"{r.request_id}.json"
+        there, other = ("queue/done/", "queue/") if r.status != "PENDING" else ("queue/", "queue/done/")
+        self.files.write(there + name, text)
+        self.files.delete(other + name)
+
+    @staticmethod
+    def _parsed(text: str | None) -> Request | None:
+        """None for a file that is not there or holds no request."""
+        try:
+            return None if text is None else Request(**json.loads(text))
+        except (ValueError, TypeError):
+            return None
 
     def get(self, request_id: str) -> Request | None:
-        text = self.files.read(f"queue/{request_id}.json")
-        return None if text is None else Request(**json.loads(text))
+        """A request; of one that a crash left in both places, what it was when done."""
+        done = self._parsed(self.files.read(f"queue/done/{request_id}.json"))
+        return done or self._parsed(self.files.read(f"queue/{request_id}.json"))
 
-    def requests(self) -> list[Request]:
-        return [r for n in self.files.names("queue") if n.endswith(".json") and (r := self.get(n[:-5]))]
+    def requests(self, open_only: bool = False) -> list[Request]:
+        """All requests, or those that are not done; files that hold none are passed over."""
+        names = [n for n in self.files.names("queue") if n.endswith(".json")]
+        done = set() if open_only else {n for n in self.files.names("queue/done") if n.endswith(".json")}
+        found = [self.get(n[:-5]) for n in sorted({*names, *done})]
+        return [r for r in found if r and (not open_only or r.status == "PENDING")]
 
     def enqueue(
         self, change_key: str, reason_code: str, as_of: datetime, *, canonical_changed: bool = True,
@@ -103,13 +121,18 @@ class Queue:
         request_id = self.request_id(change_key)
         now = _text(self.clock())
         r = Request(request_id, reason_code, _text(as_of), created_at_utc=now, next_attempt_at_utc=now, **options)
+        known = self.get(request_id)
+        if known:
+            return known
+        if self.files.read(f"queue/{request_id}.json") is not None:
+            self.files.delete(f"queue/{request_id}.json")  # it holds no request
         # The first of several callers makes the file; the others get what it holds.
         made = self.files.create(f"queue/{request_id}.json", json.dumps(asdict(r), sort_keys=True))
         return r if made else self.get(request_id)
 
     def _due(self) -> list[Request]:
         now = self.clock()
-        due = [r for r in self.requests() if r.status == "PENDING" and _time(r.next_attempt_at_utc) <= now]
+        due = [r for r in self.requests(open_only=True) if r.status == "PENDING" and _time(r.next_attempt_at_utc) <= now]
         return sorted(due, key=lambda r: (r.next_attempt_at_utc, r.created_at_utc, r.request_id))
 
     def claim_next(self, owner: str = "worker", lease_seconds: int = 3600) -> Request | None:
@@ -121,16 +144,28 @@ class Queue:
         for r in self._due():
             generation = 0
             while True:
-                name = f"queue/claims/{r.request_id}-{r.attempt_count}-{generation}"
                 until = self.clock() + timedelta(seconds=lease_seconds)
-                if self.files.create(name, json.dumps({"owner": owner, "until": _text(until)})):
+                text = json.dumps({"owner": owner, "until": _text(until)})
+                if self.files.create(self._claim(r, generation), text):
+                    r.generation = generation
                     return r
-                held = json.loads(self.files.read(name) or "{}")
-                if not held or _time(held["until"]) > self.clock():
+                try:
+                    held = _time(json.loads(self.files.read(self._claim(r, generation)) or "")["until"])
+                except (ValueError, KeyError, TypeError):
+                    held = self.clock()  # it names no owner: nobody holds it
+                if held > self.clock():
                     break
                 generation += 1
         return None
 
+    @staticmethod
+    def _claim(r: Request, generation: int) -> str:
+        return f"queue/claims/{r.request_id}-{r.attempt_count}-{generation}"
+
+    def overtaken(self, r: Request) -> bool:
+        """Whether another worker has claimed the request since, after this claim's lease ran out."""
+        return self.files.exists(self._claim(r, r.generation + 1))
+
     def next_ready(self) -> Request | None:
         """The pending request that is due and has waited longest."""
         return next(iter(self._due()), None)
@@ -169,50 +204,6 @@ class Queue:
         self._save(r)
 
 
-@dataclass
-class Observation:
-    request_id: str
-    status: str | None
-    action: str
-    reason: str
-
-
-def inspect(queue: Queue, request_id: str, published: Callable[[str], bool] = lambda run_id: True) -> Observation:
-    """What an operator should do about a request.
-
-    CHECK_AGAIN, INVESTIGATE_MISSING_REQUEST, DO_NOT_REPEAT, MANUAL_REQUEUE,
-    RETRY_NOW or WAIT_FOR_RETRY; raises on a state that cannot be.
-    """
-    try:
-        r = queue.get(request_id)
-    except OSError:
-        return Observation(
-            request_id, None, "CHECK_AGAIN", "the control log could not be read; read it again before deciding"
-        )
-    if r is None:
-        return Observation(
-            request_id, None, "INVESTIGATE_MISSING_REQUEST",
-            "there is no such request; look at the delivery that should have made it"
-        )
-    if r.source_batch_status != "COMMITTED":
-        raise QueueError("the request does not rest on committed evidence")
-    if r.status == "SUCCEEDED":
-        if not (r.result_run_id and r.completed_at_utc and published(r.result_run_id)):
-            raise QueueError("a succeeded request lacks its published result")
-        return Observation(request_id, r.status, "DO_NOT_REPEAT", "its result is published")
-    if r.status == "FAILED":
-        if r.result_run_id or not r.completed_at_utc or not r.last_error:
-            raise QueueError("a failed request is inconsistent")
-        return Observation(
-            request_id, r.status, "MANUAL_REQUEUE", "attempts are used up; mend the cause, then grant more"
-        )
-    if r.status != "PENDING" or r.result_run_id or r.completed_at_utc or r.attempt_count >= r.max_attempts:
-        raise QueueError("a pending request is inconsistent")
-    if _time(r.next_attempt_at_utc) <= queue.clock():
-        return Observation(request_id, r.status, "RETRY_NOW", "it is due")
-    return Observation(request_id, r.status, "WAIT_FOR_RETRY", "its next attempt is not due yet")
-
-
 class Worker:
     """Claims a request, builds a result as of its cutoff, publishes it and completes the request."""
 
@@ -227,20 +218,27 @@ class Worker:
         r = self.queue.claim_next(self.owner)
         if r is None:
             return None
-        run_id = f"run-{r.request_id[:12]}-{r.attempt_count + 1}"
+        # Each claim has a run id of its own, so no claim writes over what another has published.
+        first = f"run-{r.request_id[:12]}-"
+        run_id = f"{first}{r.attempt_count + 1}" + (f"-{r.generation}" if r.generation else "")
+        done = next((x for x in self.store.runs() if x.startswith(first)), None)
+        if done:
+            # A worker died after its result became current: the work is done and only the request is open.
+            self.queue.mark_succeeded(r.request_id, done)
+            return done
         try:
             self.hook("after_claim")
             result = self.build(run_id, _time(r.as_of_utc))
             self.hook("after_build")
             self.store.publish(
-                result, run_id, before_commit=lambda _: self.hook("before_pointer"), hook=self.hook,
+                result, run_id, before_commit=lambda _: self._before_commit(r), hook=self.hook,
                 observed_at=_time(r.as_of_utc)
             )
             self.hook("after_pointer")
             self.hook("before_complete")
             self.queue.mark_succeeded(r.request_id, run_id)
         except Exception as error:
-            if self.store.current() and self.store.current().get("run_id") == run_id:
+            if run_id in self.store.runs():
                 # The pointer has moved: the work is done and must not be repeated.
                 self.queue.mark_succeeded(r.request_id, run_id)
                 return run_id
@@ -249,6 +247,11 @@ class Worker:
         self.hook("after_commit")
         return run_id
 
+    def _before_commit(self, r: Request) -> None:
+        self.hook("before_pointer")
+        if self.queue.overtaken(r):
+            raise QueueError("the lease ran out and another worker holds the request")
+
 
 def drain(
     worker: Worker, *, max_requests: int = 10, max_seconds: float = 300.0, clock: Callable[[], float] = time.monotonic

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
@@ -13,13 +14,16 @@ from pyspark.sql import functions as F
 from . import fixtures
 from .functions import identity, money, times
 from .operators import canonical, completeness, impact, late, publication, reconcile
-from .plans import rebuild
+from .plans import rebuild, windowed
 from .plans.checkpoints import delete_at_end, saved, shared_dir
 from .plans.store import Store
 from .sources import deliveries
 from .sources import ledger as ledger_module
 from .sources.validate import validate
-from .streaming import clickstream
+from .schemas import MONEY
+from .streaming import clickstream, deadlines
+from .streaming import receipts as receipt_stream
+from .streaming.state import EvidenceState
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -596,6 +600,19 @@ def completeness_exceptions(spark, sf_dir):
     "SELECT receipt_id, change_kind, strftime(d, '%Y-%m-%d') AS affected_dates, CASE WHEN change_kind IN ('EXACT_DUPLICATE', 'STALE_VERSION') THEN 'NO_LOGICAL_CHANGE' WHEN received <= TIMESTAMP '1995-06-17' THEN 'WITHIN_WATERMARK' WHEN d > DATE '1995-12-31' THEN 'FUTURE_IMPACT' WHEN change_kind = 'CORRECTION' THEN 'LATE_CORRECTION' WHEN change_kind = 'CONFLICT' THEN 'LATE_CONFLICT' ELSE 'LATE_NEW_FACT' END AS classification, greatest(0, date_diff('second', TIMESTAMP '1995-06-17', received)) AS arrival_delay_seconds FROM (SELECT receipt_id, available_on AS d, (available_on - 3)::TIMESTAMP + to_hours(5) AS received, CASE source_version WHEN 1 THEN 'NEW_RECORD' WHEN 2 THEN 'CORRECTION' ELSE CASE WHEN l_partkey % 2 = 0 THEN 'CONFLICT' ELSE 'EXACT_DUPLICATE' END END AS change_kind FROM receipts)"
 )
 def late_classification(spark, sf_dir):
+    out = late.classify(
+        _late_candidates(spark, sf_dir), F.lit("run"), F.lit("1995-06-17 00:00:00").cast("timestamp"),
+        F.lit("1995-12-31").cast("date")
+    )
+    return out.select(
+        "receipt_id", "change_kind",
+        F.array_join(F.transform("affected_dates", lambda d: d.cast("string")), ",").alias("affected_dates"),
+        "classification", "arrival_delay_seconds"
+    )
+
+
+def _late_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payment receipts that come in three days before they take effect, with the changes that they bring."""
     r = fixtures.payment_receipts(spark, sf_dir)
     kind = F.when(F.col("source_version") == 1, late.NEW).when(
         F.col("source_version") == 2, late.CORRECTION
@@ -606,16 +623,37 @@ def late_classification(spark, sf_dir):
         kind.alias("change_kind"), F.col("available_on").alias("affected_date"),
         F.lit(None).cast("string").alias("unresolved_reason")
     )
-    cand = late.candidates(
+    return late.candidates(
         c.drop("affected_date", "unresolved_reason"), c.select("receipt_id", "affected_date", "unresolved_reason")
     )
-    out = late.classify(
-        cand, F.lit("run"), F.lit("1995-06-17 00:00:00").cast("timestamp"), F.lit("1995-12-31").cast("date")
+
+
+#: Runs of a history: id, time of publication, watermark and last covered day.
+_RUNS = (
+    ("run-1", "1993-01-01 00:00:00", "1992-12-31 00:00:00", "1992-12-31"),
+    ("run-2", "1994-07-01 05:00:00", "1994-06-30 12:00:00", "1994-06-30"),
+    ("run-3", "1995-06-17 00:00:00", "1995-06-17 00:00:00", "1995-12-31"),
+    ("run-4", "1997-01-01 12:00:00", "1996-12-31 00:00:00", "1997-03-31"),
+)
+_RUNS_SQL = "(VALUES " + ", ".join(f"('{i}', TIMESTAMP '{p}', TIMESTAMP '{w}', DATE '{c}')" for i, p, w, c in _RUNS) + ") h(run_id, published, mark, covered)"
+
+
+@query(
+    f""", c AS (SELECT receipt_id, available_on AS d, available_on::TIMESTAMP - INTERVAL 72 HOUR + INTERVAL 5 HOUR AS received,
+   CASE WHEN source_version = 1 THEN 'NEW_RECORD' WHEN source_version = 2 THEN 'CORRECTION' WHEN l_partkey % 2 = 0 THEN 'CONFLICT' ELSE 'EXACT_DUPLICATE' END AS change_kind FROM receipts),
+  j AS (SELECT * FROM c ASOF LEFT JOIN {_RUNS_SQL} ON c.received >= h.published)
+  SELECT receipt_id, run_id, CASE WHEN change_kind = 'EXACT_DUPLICATE' THEN 'NO_LOGICAL_CHANGE' WHEN run_id IS NULL THEN 'NOT_YET_PUBLISHED' WHEN received <= mark THEN 'WITHIN_WATERMARK' WHEN d > covered THEN 'FUTURE_IMPACT'
+   WHEN change_kind = 'CORRECTION' THEN 'LATE_CORRECTION' WHEN change_kind = 'CONFLICT' THEN 'LATE_CONFLICT' ELSE 'LATE_NEW_FACT' END AS classification,
+   run_id IS NOT NULL AND change_kind <> 'EXACT_DUPLICATE' AND received > mark AND d <= covered AS is_late FROM j"""
+)
+def late_by_run_history(spark, sf_dir):
+    """Receipts against the run that was current when each came in, of a history of four."""
+    runs = spark.createDataFrame(_RUNS, "run_id string, p string, w string, c string").select(
+        "run_id", F.col("p").cast("timestamp").alias("published_at_utc"),
+        F.col("w").cast("timestamp").alias("input_watermark_utc"), F.col("c").cast("date").alias("covered_through_date")
     )
-    return out.select(
-        "receipt_id", "change_kind",
-        F.array_join(F.transform("affected_dates", lambda d: d.cast("string")), ",").alias("affected_dates"),
-        "classification", "arrival_delay_seconds"
+    return late.classify_by_runs(_late_candidates(spark, sf_dir), runs).select(
+        "receipt_id", F.col("boundary_run_id").alias("run_id"), "classification", "is_late"
     )
 
 
@@ -753,6 +791,64 @@ def result_fingerprints(spark, sf_dir):
     return out
 
 
+#: The captures after some were corrected: a higher amount, a day later; what derives from them in SQL reads these instead.
+_CORRECTED = """, cap2 AS MATERIALIZED (SELECT * REPLACE (CASE payment_method WHEN 'CARD' THEN round(0.20 + amount * 0.018, 2) ELSE round(0.25 + amount * 0.020, 2) END::DECIMAL(18,2) AS fee) FROM (
+  SELECT * REPLACE ((amount + CASE WHEN l_partkey % 211 = 5 THEN 1.00 ELSE 0.00 END)::DECIMAL(18,2) AS amount, (available_on + CASE WHEN l_partkey % 211 = 5 THEN 1 ELSE 0 END)::DATE AS available_on) FROM cap)),
+ capfee2 AS MATERIALIZED (SELECT cap2.*, f.fee_total, coalesce(f.n, 0) AS n_fees, f.fee_id FROM cap2 LEFT JOIN (SELECT payment_id AS k, sum(amount)::DECIMAL(18,2) AS fee_total, count(*) AS n, min(fee_id) AS fee_id FROM fee GROUP BY 1) f ON f.k = cap2.payment_id),
+ mov2 AS MATERIALIZED (SELECT 'CAPTURE' AS movement_type, payment_id AS movement_id, available_on, amount AS signed_amount, l_partkey FROM cap2
+  UNION ALL SELECT 'FEE', CASE WHEN n_fees = 1 THEN fee_id ELSE 'expected-fee:' || payment_id END, available_on, -fee, l_partkey FROM capfee2
+  UNION ALL SELECT 'REFUND', refund_id, available_on, -amount, l_partkey FROM ref)"""
+
+
+def _after_correction(sql: str) -> str:
+    return re.sub(r"\b(cap|capfee|mov)\b", r"\g<1>2", sql)
+
+
+@query(
+    _CORRECTED + _after_correction(_TOT + _TCODES + _SET + _OUT + _PCODES) + f""", x AS ({_after_correction(_ALL)})
+  SELECT 'transactions' AS section, order_id AS entity_id, CASE WHEN codes IS NULL THEN 'RECONCILED' ELSE 'EXCEPTION' END AS state, coalesce(codes, '') AS codes, captured_total AS first_amount,
+   (captured_total - successful_refund_total - expected_fee_total)::DECIMAL(18,2) AS second_amount FROM tot LEFT JOIN tcodes ON k = order_id
+  UNION ALL SELECT 'payouts', payout_id, CASE WHEN codes IS NULL AND reported_net_amount = expected_payout THEN 'RECONCILED' ELSE 'EXCEPTION' END, coalesce(codes, ''), expected_payout::DECIMAL(18,2),
+   (reported_net_amount - expected_payout)::DECIMAL(18,2) FROM pt LEFT JOIN pcodes ON k = payout_id
+  UNION ALL SELECT 'movements', movement_type || ':' || movement_id, available_on::VARCHAR, '', signed_amount::DECIMAL(18,2), NULL FROM mov2
+  UNION ALL SELECT 'exceptions', entity_type || ':' || entity_id, rule_id, exception_type, expected_amount, actual_amount FROM x"""
+)
+def windowed_rebuild(spark, sf_dir):
+    """The published result after some payments were corrected and only what that reaches was made again; the SQL makes all of it."""
+    root = f"{shared_dir(spark)}/windowed/{uuid.uuid4().hex}"
+    store, before = Store(spark, root), _inputs(spark, sf_dir)
+    before.payments = saved(before.payments)
+    store.publish(reconcile.reconcile(before, "run-1", "2026-01-01 00:00:00", check=False), "run-1")
+    delete_at_end(spark, root)
+    hit = (F.col("status") == "CAPTURED") & (F.col("l_partkey") % 211 == 5)
+    payments = before.payments.withColumns(
+        {
+            "amount": F.when(hit, (F.col("amount") + 1).cast(MONEY)).otherwise(F.col("amount")),
+            "available_on": F.when(hit, F.date_add("available_on", 1)).otherwise(F.col("available_on"))
+        }
+    )
+    changed = before.payments.where(hit).select(F.lit("PAYMENT").alias("entity_type"), F.col("payment_id").alias("source_id"))
+    windowed.rebuild_windows(store, before, replace(before, payments=payments, made={}), changed, "run-2", "2026-01-02 00:00:00")
+    r, codes = store.read_current(), F.array_join("exception_codes", ",").alias("codes")
+    none = F.lit(None).cast(MONEY)
+    out = [
+        r.transactions.select(
+            F.lit("transactions").alias("section"), F.col("order_id").alias("entity_id"), "state", codes,
+            F.col("captured_total").alias("first_amount"), F.col("lifetime_net_collection").alias("second_amount")
+        ),
+        r.payouts.select(F.lit("payouts"), "payout_id", "state", codes, "expected_payout", "end_to_end_payout_variance"),
+        r.movements.select(
+            F.lit("movements"), F.concat_ws(":", "movement_type", "movement_id"), F.col("available_on").cast("string"),
+            F.lit(""), "signed_amount", none
+        ),
+        r.exceptions.select(
+            F.lit("exceptions"), F.concat_ws(":", "entity_type", "entity_id"), "rule_id", "exception_type",
+            "expected_amount", "actual_amount"
+        ),
+    ]
+    return reduce(DataFrame.union, out)
+
+
 @query()
 def affected_closure(spark, sf_dir):
     """What a change of one payment reaches; an iteration, so there is no oracle."""
@@ -910,6 +1006,75 @@ def windowed_marts(spark, sf_dir):
     return out.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "user_id", "n")
 
 
+@query(
+    f"SELECT t AS operation_timestamp, coalesce(n, 0)::DECIMAL(10,2) AS total_quantity FROM (SELECT unnest(generate_series(date_trunc('day', min(event_timestamp)), date_trunc('day', max(event_timestamp)) + INTERVAL '86370 seconds', INTERVAL 30 SECOND)) AS t FROM {_GOOD}) LEFT JOIN (SELECT time_bucket(INTERVAL 30 SECOND, event_timestamp) AS b, count(*) AS n FROM {_GOOD} WHERE event_type = 'purchase' GROUP BY 1) ON b = t",
+    base=None
+)
+def purchase_intervals(spark, sf_dir):
+    """The purchase mart of all intervals, zeros too, after two deliveries: what comes late has its days made again."""
+    root = f"{shared_dir(spark)}/marts/{uuid.uuid4().hex}"
+    events = saved(clickstream.ingest(_event_files(spark, sf_dir))[0])
+    ends = events.select(F.min("event_timestamp").cast("date").alias("a"), F.max("event_timestamp").cast("date").alias("b"))
+    days = ends.select(F.explode(F.sequence("a", "b")).alias("day"))
+    mart = clickstream.Mart(spark, f"{root}/purchases", "operation_timestamp")
+    # Events of one user in fifty come late.
+    late_ones = F.col("user_id") % 50 == 7
+    mart.write(clickstream.purchase_intervals(events.where(~late_ones), days))
+    delete_at_end(spark, root)
+    mart.correct(events.where(late_ones), events, clickstream.purchase_intervals)
+    return mart.read().select(F.col("operation_timestamp").cast("timestamp_ntz"), "total_quantity")
+
+
+def _spread(spark: SparkSession, df: DataFrame, parts: int, by) -> tuple[str, DataFrame]:
+    """A frame as files of a folder, one for each part of ``by``, and the folder as a stream of one file at a time."""
+    root = f"{shared_dir(spark)}/streams/{uuid.uuid4().hex}"
+    for k in range(parts):
+        df.where(by == k).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    delete_at_end(spark, root)
+    return root, spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+
+
+@query("SELECT receipt_id, disposition FROM ev")
+def stateful_dispositions(spark, sf_dir):
+    """Receipts as a stream of three batches and a replay, resolved through keyed state; the SQL has all of them at once."""
+    r = saved(fixtures.payment_receipts(spark, sf_dir).select(
+        "receipt_id", "source_system", "entity_type", "source_id", "source_version", "payload_hash", "l_suppkey"
+    ))
+    again = r.withColumn("part", F.lit(3)).where("l_suppkey % 3 = 1")
+    root, stream = _spread(
+        spark, r.withColumn("part", (F.col("l_suppkey") % 3).cast("int")).unionByName(again), 4, F.col("part")
+    )
+    receipt_stream.stream(
+        stream, f"{root}/state", f"{root}/checkpoint", lambda changes, batch: None, buckets=16
+    ).awaitTermination()
+    return EvidenceState(spark, f"{root}/state").dispositions().select("receipt_id", "disposition")
+
+
+@query(f"SELECT report_type, business_date, state FROM ({_STATE})", base=None)
+def deadline_stream(spark, sf_dir):
+    """States of all reports as of a time, from a stream in which deadlines pass by timers and ticks of a clock alone."""
+    days = _days(spark, sf_dir)
+    events = deadlines.report_events(
+        days, _evidence(spark, sf_dir), F.col("business_date").cast("timestamp") - F.expr("INTERVAL 1 DAY")
+    )
+    at = F.lit(_AS_OF).cast("timestamp")
+    clock = spark.range(1).select(*deadlines.tick(at))
+    # Expectations of later reports are known before the clock is moved, those of earlier ones come in two batches.
+    part = F.when(F.col("report_type").isNull(), 2).when(F.col("at") < F.lit("1994-01-01").cast("timestamp"), 0).otherwise(1)
+    known = saved(events.where(F.col("at") <= at).unionByName(clock))
+    root, stream = _spread(spark, known.withColumn("part", part), 3, F.col("part"))
+    changed = deadlines.changes(stream.drop("part"))
+    changed.writeStream.format("parquet").option("path", f"{root}/changes").option(
+        "checkpointLocation", f"{root}/checkpoint"
+    ).trigger(availableNow=True).start().awaitTermination()
+    seen = deadlines.states(spark.read.schema(deadlines.CHANGE).parquet(f"{root}/changes"), at)
+    # Reports whose expectation lies beyond the cutoff have not been in the stream.
+    later = completeness.spine(spark, days).select("report_type", "business_date").join(
+        seen, ["report_type", "business_date"], "left"
+    )
+    return later.withColumn("state", F.coalesce("state", F.lit("PENDING")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -119,6 +121,77 @@ def windowed_marts(events: DataFrame, interval: str = INTERVAL) -> DataFrame:
     return out.select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), "event_type", "user_id", "n")
 
 
+def interval_spine(days: DataFrame, interval: str = INTERVAL) -> DataFrame:
+    """The starts of all intervals that begin on the days (day), as one column ``start``.
+
+    Intervals count from the epoch, as those of ``window`` do.
+    """
+    n = F.unix_micros(F.timestamp_seconds(F.lit(0)) + F.expr(f"INTERVAL {interval}"))
+    first = lambda t: F.ceil(F.unix_micros(t) / n).cast("long")
+    day = F.col("day").cast("timestamp")
+    upto = first(day + F.expr("INTERVAL 1 DAY"))
+    own = F.when(upto > first(day), F.sequence(first(day), upto - 1)).otherwise(F.array().cast("array<long>"))
+    return days.select(F.explode(own).alias("k"), n.alias("n")).select(
+        F.timestamp_micros(F.col("k") * F.col("n")).alias("start")
+    )
+
+
+def purchase_intervals(events: DataFrame, days: DataFrame, interval: str = INTERVAL) -> DataFrame:
+    """(operation_timestamp, total_quantity) of every interval of the days, those without purchases with a zero."""
+    w = F.window("event_timestamp", interval).alias("w")
+    n = events.where("event_type = 'purchase'").groupBy(w).agg(F.count(F.lit(1)).alias("n"))
+    df = interval_spine(days, interval).join(n.select(F.col("w.start").alias("start"), "n"), "start", "left")
+    return df.select(
+        F.col("start").alias("operation_timestamp"),
+        F.coalesce("n", F.lit(0)).cast("decimal(10,2)").alias("total_quantity")
+    )
+
+
+def cart_intervals(events: DataFrame, interval: str = INTERVAL) -> DataFrame:
+    """(user_id, snapshot_hour, add_to_cart_count) of every interval in which a user added to a cart."""
+    df = events.where("event_type = 'add_to_cart'").groupBy(F.window("event_timestamp", interval).alias("w"), "user_id")
+    return df.agg(F.count(F.lit(1)).alias("add_to_cart_count")).select(
+        "user_id", F.col("w.start").alias("snapshot_hour"), "add_to_cart_count"
+    )
+
+
+class Mart:
+    """A mart in one partition a day of intervals; writing replaces the partitions that it has rows for and no others."""
+
+    def __init__(self, spark: SparkSession, path: str, time_col: str):
+        self.spark, self.path, self.time_col = spark, path, time_col
+
+    def write(self, rows: DataFrame) -> None:
+        """Whole days of intervals; days that have no row among them stay as they are."""
+        df = rows.withColumn("day", F.col(self.time_col).cast("date"))
+        df.hint("rebalance", "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "day"
+        ).parquet(self.path)
+
+    def read(self) -> DataFrame:
+        return self.spark.read.parquet(self.path).drop("day")
+
+    def correct(
+        self, late: DataFrame, events: DataFrame, build: Callable[[DataFrame, DataFrame], DataFrame]
+    ) -> DataFrame:
+        """Make the days of late events again, from all events of those days; returns the days.
+
+        ``build`` gives the mart's rows from events and their days (day).
+        """
+        days = late.select(F.col("event_timestamp").cast("date").alias("day")).where("day IS NOT NULL").distinct()
+        own = events.withColumn("day", F.col("event_timestamp").cast("date")).join(days, "day", "left_semi")
+        self.write(build(own.drop("day"), days))
+        return days
+
+
+def write_report(spark: SparkSession, quantity: DataFrame, path: str) -> bool:
+    """Write the report's lines as text where one is due; whether it was."""
+    due = has_purchases(quantity)
+    if due:
+        report(quantity.where("total_quantity > 0")).write.mode("overwrite").text(path)
+    return due
+
+
 def cadence(every: str | None) -> dict:
     """The trigger of a stream: all that is there, then stop; or on and on at an interval."""
     return {"availableNow": True} if every is None else {"processingTime": every}

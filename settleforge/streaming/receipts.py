@@ -1,4 +1,4 @@
-"""Receipts as a stream: append new ones, classify late ones, keep a list of what must be rebuilt.
+"""Receipts as a stream: take up new ones, say what each changes, keep a list of what must be rebuilt.
 
 No watermark drops anything here: what comes late is classified and replayed.
 """
@@ -10,38 +10,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.canonical import check_receipts, unique_receipts
-from ..operators.late import change_kinds
 from .clickstream import cadence
-
-
-def apply_batch(batch: DataFrame, known: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """(receipts that are new, with what each changes).  An exact replay gives no rows."""
-    check_receipts(batch if known is None else known.select(batch.columns).unionByName(batch))
-    new = unique_receipts(batch)
-    if known is None:
-        known = batch.limit(0)
-    new = new.join(known.select("receipt_id"), "receipt_id", "left_anti")
-    return new, change_kinds(new, known)
+from .state import EvidenceState
 
 
 def stream(
     receipts: DataFrame, path: str, checkpoint: str, on_change: Callable[[DataFrame, int], None],
-    every: str | None = None
+    every: str | None = None, buckets: int = 64
 ) -> StreamingQuery:
-    """Append new receipts of a streaming frame to ``path`` and hand the changes of each batch on.
+    """Take the receipts of a streaming frame up into the state under ``path`` and hand the changes of each batch on.
 
+    A batch is committed before it is handed on.  One that Spark runs again after a
+    crash is handed on again with the same number and the same rows, so ``on_change``
+    should key what it does by the number.
     ``every``: how often, such as "30 seconds"; without it what is there is taken up and the query ends.
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        s = batch.sparkSession
-        p = s._jvm.org.apache.hadoop.fs.Path(path)
-        there = p.getFileSystem(s.sparkContext._jsc.hadoopConfiguration()).exists(p)
-        new, changes = apply_batch(batch.persist(), s.read.parquet(path) if there else None)
-        on_change(changes, batch_id)
-        new.select(batch.columns).write.mode("append").parquet(path)
-        batch.unpersist()
+        on_change(EvidenceState(batch.sparkSession, path, buckets).apply(batch, batch_id), batch_id)
 
     return receipts.writeStream.foreachBatch(sink).option(
         "checkpointLocation", checkpoint
