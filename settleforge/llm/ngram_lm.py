@@ -1,23 +1,26 @@
 """An interpolated modified Kneser-Ney n-gram model: counted in Spark, kept as sorted hash arrays, mapped by workers.
 
-Counting.  Tasks turn texts into n-grams of the highest order, add up equal ones
-and deal them out to shards by hash; each shard is one group of a Spark shuffle,
-where an n-gram is one row a task at most, so frequent ones do not make a group
-large.  A shard sums its n-grams and writes them; what it hands on, summed as well,
-is the next lower order (each n-gram once: Kneser-Ney counts how many different
+Counting.  First the words are counted; a word's number is its rank among the sorted
+hashes of all words, which workers find in the mapped arrays, so an n-gram is a few
+four-byte numbers.  Tasks turn texts into n-grams of the highest order, add up equal
+ones and deal them out to shards by hash; each shard is one group of a Spark shuffle,
+where an n-gram is one row a slice of texts at most, so frequent ones do not make a
+group large.  A shard sums its n-grams and writes them; what it hands on, summed as
+well, is the next lower order (each n-gram once: Kneser-Ney counts how many different
 words stand before a sequence, not how often it occurs), what follows each context,
 and how many n-grams have the counts 1 to 4, which give the discounts.  The number
-of shards grows with the corpus, so that a shard holds some ``SHARD_TOKENS``.
+of shards grows with the corpus, so that a shard holds some ``SHARD_TOKENS``.  With
+2^32 words or more their 64-bit hashes take the place of the numbers.
 
-Storage.  A shard is a pair of files in the shared folder, ascending 64-bit hashes
-and their counts, or for contexts their totals and back-off weights.  The top bits
-of a hash name its shard.
+Storage.  A shard is a few files in the shared folder: ascending 64-bit hashes and
+their counts, or for contexts their totals and back-off weights.  The top bits of a
+hash name its shard.
 
 Scoring.  Workers map those files into memory and look up the sorted distinct
 n-grams of many texts at a time, so pages are read in order and shared by all workers
-of a machine.  Nothing is broadcast but a dozen numbers.  Equal 64-bit hashes of
-different n-grams would share a count; among 10^9 n-grams an unseen one meets
-another's hash with probability 5e-11.
+of a machine.  Nothing is broadcast but a dozen numbers and the size of each shard's
+vocabulary.  Equal 64-bit hashes of different words or n-grams would share a count;
+among 10^9 n-grams an unseen one meets another's hash with probability 5e-11.
 """
 
 from __future__ import annotations
@@ -36,11 +39,13 @@ from .packing import slices
 from .storage import Scratch, bound_batches
 
 #: Tokens of the corpus for one shard, about.
-SHARD_TOKENS = 1 << 20
+SHARD_TOKENS = 1 << 22
 #: Bytes of text that are scored, and whose n-grams are added up, at a time.
 SLICE_BYTES, SUM_BYTES = 8 << 20, 12 << 20
 #: Before the first token of a text stands BOS, before that PAD; END is a token.
 PAD, BOS, END = (np.uint64(x) for x in range(3))
+#: The number of a word that training does not have, and how many numbers are taken.
+UNKNOWN, TAKEN = np.uint64(2**32 - 1), 3
 #: Discounts where the counts of a tiny corpus give none.
 FALLBACK = (0.0, 0.5, 1.0, 1.5)
 _SUFFIX, _CONTEXT, _STATS = range(3)
@@ -55,6 +60,25 @@ def gram_hash(words: list[np.ndarray]) -> np.ndarray:
     return h
 
 
+def packed(words: list[np.ndarray], wide: bool) -> list[np.ndarray]:
+    """Words as columns of long: two numbers in each, or with ``wide`` one hash."""
+    if wide:
+        return [w.view(np.int64) for w in words]
+    two = [*words, *[np.zeros(len(words[0]), np.uint64)] * (len(words) % 2)]
+    return [((x << np.uint64(32)) | y).view(np.int64) for x, y in zip(two[::2], two[1::2])]
+
+
+def unpacked(columns: list[np.ndarray], k: int, wide: bool) -> list[np.ndarray]:
+    columns = [c.view(np.uint64) for c in columns]
+    if wide:
+        return columns
+    return [x for c in columns for x in (c >> np.uint64(32), c & np.uint64(2**32 - 1))][:k]
+
+
+def _columns(k: int, wide: bool) -> list[str]:
+    return [f"w{i}" for i in range(k if wide else (k + 1) // 2)]
+
+
 def _shard(h: np.ndarray, bits: int) -> np.ndarray:
     return (h >> np.uint64(64 - bits)).astype(np.int32) if bits else np.zeros(len(h), np.int32)
 
@@ -103,10 +127,24 @@ def _counts(h: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
 
 
 class Model:
-    """Lookups in the files of a model; ``stats`` has, by order, the discounts, the number of n-grams and their totals."""
+    """Lookups in the files of a model.
+
+    ``stats`` has, by order, the discounts, the number of n-grams and their totals;
+    ``sizes`` the number of words in each shard.
+    """
+
+    def __init__(self, root: str, order: int, bits: int, sizes: np.ndarray, tokens: int, wide: bool):
+        self.root, self.order, self.bits, self.tokens, self.wide = root, order, bits, tokens, wide
+        self.first, self.vocabulary = TAKEN + np.cumsum(sizes) - sizes, int(sizes.sum())
+        self.stats: dict[int, dict] = {}
 
-    def __init__(self, root: str, order: int, bits: int, stats: dict[int, dict]):
-        self.root, self.order, self.bits, self.stats = root, order, bits, stats
+    def words(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of hashed words, and their occurrences in training."""
+        if self.wide:
+            return h, self.find("v", h, "count")[0]
+        rank, raw = self.find("v", h, "rank", "count")
+        ids = np.where(raw > 0, rank.astype(np.uint64), UNKNOWN)
+        return np.where(h < np.uint64(TAKEN), h, ids), raw
 
     def find(self, name: str, h: np.ndarray, *kinds: str) -> list[np.ndarray]:
         """The columns' values for hashes, 0 where there is none."""
@@ -121,6 +159,9 @@ class Model:
                 hit = have[at] == q[i:j]
                 c = 1
                 for values, kind in zip(out, kinds):
+                    if kind == "rank":
+                        values[i:j][hit] = self.first[shard] + at[hit]
+                        continue
                     got = _mapped(f"{path}.{c}", "u1" if kind == "count" else kind)[at[hit]]
                     if kind == "count":
                         more = np.flatnonzero(got == 255)
@@ -135,9 +176,10 @@ class Model:
 
     def score(self, seq: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Occurrences of each token in training, and its probability."""
+        seq, raw = self.words(seq)
         one = self.stats[1]
-        adjusted, raw = self.find("n1", gram_hash([seq[at]]), "count", "count")
-        p = np.full(len(at), 1.0 / (one["grams"] + 1))
+        (adjusted,) = self.find("n1", gram_hash([seq[at]]), "count")
+        p = np.full(len(at), 1.0 / (self.vocabulary + 1))
         if one["adjusted"]:
             d = np.array(one["discounts"])
             p = (adjusted - d[np.minimum(adjusted, 3).astype(int)]) / one["adjusted"] + one["left"] * p
@@ -148,7 +190,7 @@ class Model:
             d = np.array(self.stats[k]["discounts"])
             known = total > 0
             p[known] = (n - d[np.minimum(n, 3).astype(int)])[known] / total[known] + left[known] * p[known]
-        return raw, p
+        return raw[at], p
 
 
 def _gathered(batches):
@@ -165,64 +207,84 @@ def _gathered(batches):
         yield pa.chunked_array(some)
 
 
-def _emit(order: int, bits: int):
+def _emit_words(bits: int):
+    """Texts to (shard, word's hash, n)."""
+
+    def emit(batches):
+        for column in _gathered(batches):
+            seq, _, _ = token_rows(*T.column_bytes(column), 1)
+            h, n = np.unique(seq, return_counts=True)
+            cols = [pa.array(_shard(h, bits)), pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))]
+            yield pa.RecordBatch.from_arrays(cols, names=["shard", "w0", "n"])
+
+    return emit
+
+
+def _store_words(root: str):
+    def store(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        h = table.column("w0").to_numpy().view(np.uint64)
+        first, (n,) = _summed(h, table.column("n").to_numpy())
+        h = h[first]
+        _save(root, "v", key[0].as_py(), h, *_counts(h, n))
+        return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "words": [len(h)], "tokens": [int(n.sum())]})
+
+    return store
+
+
+def _emit(model: Model):
     """Texts to (shard, words, n), equal n-grams of a slice added up."""
+    order = model.order
 
     def emit(batches):
         for column in _gathered(batches):
             seq, at, _ = token_rows(*T.column_bytes(column), order)
+            seq, _ = model.words(seq)
             words = [seq[at - j] for j in range(order - 1, -1, -1)]
             h = gram_hash(words)
             first, (n,) = _summed(h, np.ones(len(h), np.int64))
-            # In the order of their first words, which the shuffle's compression then finds side by side.
-            by = np.argsort(words[0][first], kind="stable")
-            first, n = first[by], n[by]
-            cols = [pa.array(_shard(h[first], bits)), *[pa.array(w[first].view(np.int64)) for w in words], pa.array(n)]
-            yield pa.RecordBatch.from_arrays(cols, names=["shard", *[f"w{i}" for i in range(order)], "raw"])
+            cols = [pa.array(_shard(h[first], model.bits)), *map(pa.array, packed([w[first] for w in words], model.wide)), pa.array(n)]
+            yield pa.RecordBatch.from_arrays(cols, names=["shard", *_columns(order, model.wide), "n"])
 
     return emit
 
 
-def _store(root: str, k: int, bits: int):
+def _store(root: str, k: int, bits: int, wide: bool):
     """A shard's n-grams of order ``k``: written, and summed for what comes next."""
 
     def store(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        col = lambda name: table.column(name).to_numpy()
-        words = [col(f"w{i}").view(np.uint64) for i in range(k)]
-        raw = col("raw")
+        words = unpacked([table.column(c).to_numpy() for c in _columns(k, wide)], k, wide)
         h = gram_hash(words)
-        first, (raw, adjusted) = _summed(h, raw, col("adjusted") if "adjusted" in table.column_names else raw)
+        first, (n,) = _summed(h, table.column("n").to_numpy())
         h, words = h[first], [w[first] for w in words]
         # Sequences that reach beyond the start of a text are of a lower order; they occur as often as they are counted.
         real = words[0] != PAD
-        a = adjusted[real]
-        h = h[real]
-        _save(root, f"n{k}", key[0].as_py(), h, *_counts(h, a), *(_counts(h, raw[real]) if k == 1 else []))
-        parts = []
-
-        def add(kind, shard, hashes, *values):
-            n = len(shard)
-            whole = [*hashes, *[np.zeros(n, np.int64)] * (max(k - 1, 1) - len(hashes))]
-            values = [*values, *[np.zeros(n, np.int64)] * (7 - len(values))]
-            cols = [np.full(n, kind, np.int32), shard, *[w.view(np.int64) for w in whole], *[v.astype(np.int64) for v in values]]
-            parts.append(pa.Table.from_arrays([pa.array(c) for c in cols], names=_part_names(k)))
+        a = n[real]
+        _save(root, f"n{k}", key[0].as_py(), h[real], *_counts(h[real], a))
+        parts, names = [], _part_names(k, wide)
+
+        def add(kind, shard, columns, *values):
+            size, more = len(shard), len(names) - 8 - len(columns)
+            columns = [*columns, *[np.zeros(size, np.int64)] * more]
+            values = [*values, *[np.zeros(size, np.int64)] * (6 - len(values))]
+            cols = [np.full(size, kind, np.int32), shard, *columns, *[v.astype(np.int64) for v in values]]
+            parts.append(pa.Table.from_arrays([pa.array(c) for c in cols], names=names))
 
         if k > 1:
             hs = gram_hash(words[1:])
-            at, (n, d) = _summed(hs, raw, np.where(real, 1, raw))
-            add(_SUFFIX, _shard(hs[at], bits), [w[at] for w in words[1:]], n, d)
+            at, (d,) = _summed(hs, np.where(real, 1, n))
+            add(_SUFFIX, _shard(hs[at], bits), packed([w[at] for w in words[1:]], wide), d)
             hc = gram_hash([w[real] for w in words[:-1]])
             at, sums = _summed(hc, a, *[(a == i).astype(np.int64) for i in (1, 2)], (a > 2).astype(np.int64))
-            add(_CONTEXT, _shard(hc[at], bits), [hc[at]], *sums)
-        sums = [*[(a == i).sum() for i in (1, 2, 3, 4)], len(a), a.sum(), raw.sum()]
+            add(_CONTEXT, _shard(hc[at], bits), [hc[at].view(np.int64)], *sums)
+        sums = [*[(a == i).sum() for i in (1, 2, 3, 4)], len(a), a.sum()]
         add(_STATS, np.zeros(1, np.int32), [], *[np.array([x], np.int64) for x in sums])
         return pa.concat_tables(parts)
 
     return store
 
 
-def _part_names(k: int) -> list[str]:
-    return ["kind", "shard", *[f"w{i}" for i in range(max(k - 1, 1))], *[f"v{i}" for i in range(7)]]
+def _part_names(k: int, wide: bool) -> list[str]:
+    return ["kind", "shard", *_columns(max(k - 1, 1), wide), *[f"v{i}" for i in range(6)]]
 
 
 def _contexts(root: str, k: int, discounts: list[float]):
@@ -253,41 +315,53 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 5 == 1
 
 
-def train(texts: DataFrame, order: int, *, shard_tokens: int = SHARD_TOKENS) -> Model:
-    """Count the one column of ``texts`` and write the model into the shared folder, where it stays until the driver ends."""
-    spark, scratch = texts.sparkSession, Scratch(texts.sparkSession)
+def train(texts: DataFrame, order: int, *, shard_tokens: int = SHARD_TOKENS, wide: bool | None = None) -> Model:
+    """Count the one column of ``texts`` and write the model into the shared folder, where it stays until the driver ends.
+
+    ``wide``: words by hash and not by number, which by default is done where there are too many for four bytes.
+    """
+    scratch = Scratch(texts.sparkSession)
     root = scratch.root.removeprefix("file://").removeprefix("file:")
     if "://" in root:
         raise ValueError("workers map the model's files, so spark.checkpoint.dir must be a mounted folder (file:)")
     (col,) = texts.columns
     size = texts.agg(F.sum(F.octet_length(F.col(col)))).first()[0] or 0
     bits = max(0, int(np.ceil(np.log2(max(1, size / 6 / shard_tokens)))))
-    os.makedirs(f"{root}/model", exist_ok=True)
     root = f"{root}/model"
-    names = ", ".join(f"w{i} long" for i in range(order))
-    rows, stats = texts.mapInArrow(_emit(order, bits), f"shard int, {names}, raw long"), {}
+    os.makedirs(root, exist_ok=True)
+    words = texts.mapInArrow(_emit_words(bits), "shard int, w0 long, n long").groupBy("shard")
+    words = words.applyInArrow(_store_words(root), "shard int, words long, tokens long")
+    sizes, tokens = np.zeros(1 << bits, np.int64), 0
+    for r in scratch.write(words, "words").collect():  # one row a shard
+        sizes[r["shard"]], tokens = r["words"], tokens + r["tokens"]
+    if wide is None:
+        wide = int(sizes.sum()) + TAKEN >= int(UNKNOWN)
+    model = Model(root, order, bits, sizes, tokens, wide)
+    long = lambda names: ", ".join(f"{n} long" for n in names)
+    rows = texts.mapInArrow(_emit(model), f"shard int, {long([*_columns(order, wide), 'n'])}")
     for k in range(order, 0, -1):
-        kinds = ["kind int", "shard int", *[f"{n} long" for n in _part_names(k)[2:]]]
-        parts = scratch.write(rows.groupBy("shard").applyInArrow(_store(root, k, bits), ", ".join(kinds)), f"order{k}")
+        made = rows.groupBy("shard").applyInArrow(
+            _store(root, k, bits, wide), f"kind int, shard int, {long(_part_names(k, wide)[2:])}"
+        )
+        parts, made = scratch.write(made, f"order{k}"), None
         scratch.tidy()
-        sums = parts.where(F.col("kind") == _STATS).agg(*[F.sum(f"v{i}") for i in range(7)]).first()
+        sums = parts.where(F.col("kind") == _STATS).agg(*[F.sum(f"v{i}") for i in range(6)]).first()
         n = [x or 0 for x in sums]
-        stats[k] = {"discounts": discounts(*n[:4]), "grams": n[4], "adjusted": n[5], "tokens": n[6]}
+        d = discounts(*n[:4])
+        model.stats[k] = {"discounts": d, "grams": n[4], "adjusted": n[5]}
+        scratch.tidy()
         if k == 1:
-            d, more = stats[k]["discounts"], n[4] - n[0] - n[1]
-            stats[k]["left"] = (d[1] * n[0] + d[2] * n[1] + d[3] * more) / n[5] if n[5] else 1.0
-            break
+            more = n[4] - n[0] - n[1]
+            model.stats[1]["left"] = (d[1] * n[0] + d[2] * n[1] + d[3] * more) / n[5] if n[5] else 1.0
+            return model
         mine = parts.where(F.col("kind") == _CONTEXT).select("shard", "w0", *[f"v{i}" for i in range(4)])
-        mine.groupBy("shard").applyInArrow(_contexts(root, k, stats[k]["discounts"]), "n long").agg(F.sum("n")).collect()
-        lower = [F.col(f"w{i}") for i in range(k - 1)]
-        rows = parts.where(F.col("kind") == _SUFFIX).select(
-            "shard", *lower, F.col("v0").alias("raw"), F.col("v1").alias("adjusted")
-        )
-    return Model(root, order, bits, stats)
+        mine.groupBy("shard").applyInArrow(_contexts(root, k, d), "n long").agg(F.sum("n")).collect()
+        rows = parts.where(F.col("kind") == _SUFFIX).select("shard", *_columns(k - 1, wide), F.col("v0").alias("n"))
 
 
 def score_texts(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, order: int = 2, shard_tokens: int = SHARD_TOKENS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, order: int = 2, shard_tokens: int = SHARD_TOKENS,
+    wide: bool | None = None
 ) -> DataFrame:
     """Log10 probabilities of whole texts under the model of the texts that are not held out.
 
@@ -305,8 +379,8 @@ def score_texts(
         F.col(id_col).alias("_i"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_t"),
         held_out(id_col).alias("_h")
     )
-    model = train(src.where(~F.col("_h")).select("_t"), order, shard_tokens=shard_tokens)
-    tokens, grams = model.stats[1]["tokens"], model.stats[1]["grams"]
+    model = train(src.where(~F.col("_h")).select("_t"), order, shard_tokens=shard_tokens, wide=wide)
+    tokens, grams = model.tokens, model.vocabulary
 
     def apply(batches):
         for b in batches:

@@ -159,12 +159,12 @@ def out_of(i):
     return zlib.crc32(("" if i is None else str(i)).encode()) % 5 == 1
 
 
-@pytest.mark.parametrize("order,shard_tokens", [(1, 1 << 21), (2, 200), (2, 1 << 21), (3, 400), (4, 1 << 21)])
-def test_ngrams(spark, order, shard_tokens):
+@pytest.mark.parametrize("order,shard_tokens,wide", [(1, 1 << 21, None), (2, 200, None), (2, 1 << 21, True), (3, 400, None), (4, 1 << 21, None), (4, 600, True)])
+def test_ngrams(spark, order, shard_tokens, wide):
     from settleforge.llm.ngram_lm import score_texts
 
     rows = prose()
-    got = score_texts(spark.createDataFrame(rows, SCHEMA).repartition(3), order=order, shard_tokens=shard_tokens).collect()
+    got = score_texts(spark.createDataFrame(rows, SCHEMA).repartition(3), order=order, shard_tokens=shard_tokens, wide=wide).collect()
     model = Brute([t for i, t, *_ in rows if not out_of(i)], order)
     total, kinds = sum(model.raw.values()), len(model.raw)
     want = []
