@@ -34,7 +34,6 @@ import math
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -49,6 +48,8 @@ SAMPLES = BANDS * ROWS
 SKETCH_BITS = 512
 #: Sketches that estimate less are not confirmed; more than four standard deviations below 0.75.
 SKETCH_SIMILARITY = 0.55
+#: Partners that a document's set is held against in one task.
+PARTNERS = 256
 #: Members compared with each other in one task.
 CHUNK = 512
 #: Times that steps 2 and 3 run at most; what they leave is step 4's.
@@ -218,10 +219,11 @@ def _meets(u: tuple[np.ndarray, np.ndarray], v: tuple[np.ndarray, np.ndarray], p
 
 
 def confirm(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int = 75) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets meet 100 * intersection >= percent * union.  ``pairs`` is read twice.
+    """The pairs (a, b) whose full shingle sets meet 100 * intersection >= percent * union.  ``pairs`` is read three times.
 
-    The smaller id of a pair is often a hub, so its text is joined last: it is
-    shuffled once however many partners it has, and hashed once a slice.
+    The smaller id of a pair is often a hub.  Its text is no column beside its
+    partners' texts: it comes once, ahead of them, and its set is kept while they pass.
+    A hub of more than ``PARTNERS`` is dealt out, its text to each of its parts.
     """
 
     def sets(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -234,19 +236,20 @@ def confirm(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, perce
         return out
 
     def check(batches):
+        hub, texts = None, []
         for batch in batches:
             for part in slices(batch, 3, SLICE_BYTES):
-                a = part.column(0).to_numpy()
-                new = np.concatenate(([True], a[1:] != a[:-1])) if len(a) else np.zeros(0, bool)
-                # Rows of one id may hold several texts; they stand together too, so the text decides.
-                new[1:] |= pc.not_equal(
-                    part.column(2)[1:], part.column(2)[:-1]
-                ).fill_null(True).to_numpy(zero_copy_only=False)
-                left, right = sets(part.column(2).filter(pa.array(new))), sets(part.column(3))
-                which = np.cumsum(new) - 1
-                keep = np.array([_meets(left[which[i]], right[i], percent) for i in range(len(part))], bool)
+                own, keep = sets(part.column(3)), np.zeros(len(part), bool)
+                ids = zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True)
+                for i, (a, salt, b) in enumerate(ids):
+                    if (a, salt) != hub:
+                        hub, texts = (a, salt), []
+                    if b is None:
+                        texts.append(own[i])  # rows of one id may hold several texts
+                    else:
+                        keep[i] = any(_meets(x, own[i], percent) for x in texts)
                 at = pa.array(np.flatnonzero(keep))
-                yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(1).take(at)], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(2).take(at)], names=["a", "b"])
         T.release()
 
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
@@ -254,10 +257,13 @@ def confirm(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, perce
     texts = docs.select(
         F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")
     ).join(ids, "id", "left_semi")
-    both = pairs.join(
-        texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b"
-    ).join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
-    return both.select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long").distinct()
+    parts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).cast("int").alias("parts"))
+    hubs = parts.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"))
+    hubs = hubs.join(texts.withColumnRenamed("id", "a"), "a").select("a", "salt", F.lit(None).cast("long").alias("b"), "text")
+    dealt = pairs.join(parts, "a").select("a", "b", F.pmod(F.xxhash64("b"), "parts").cast("int").alias("salt"))
+    dealt = dealt.join(texts.withColumnRenamed("id", "b"), "b").select("a", "salt", "b", "text")
+    rows = hubs.unionByName(dealt).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
+    return rows.mapInArrow(check, "a long, b long").distinct()
 
 
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
