@@ -145,7 +145,7 @@ def deliveries(spark: SparkSession, sf_dir: str, keep: Callable[[DataFrame], Dat
     money = lambda c: F.col(c).cast("string").alias(c)
     rows = {
         "orders": (
-            i.orders, F.lit("2020-01-01"),
+            i.orders, day("created_at_utc"),
             [
                 "order_id", F.lit("2020-01-01T00:00:00Z").alias("created_at_utc"), "status", "currency",
                 money("order_total"), version

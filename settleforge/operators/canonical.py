@@ -64,9 +64,9 @@ def evidence(receipts: DataFrame, first_seen: str | None = None) -> DataFrame:
     return df.withColumns({"disposition": disposition, "reason": reason}).drop("_top", "_n", "_lo", "_hi")
 
 
-def canonical(receipts: DataFrame) -> DataFrame:
-    """The accepted receipt of each entity without conflict."""
-    return evidence(receipts).where("disposition = 'ACCEPTED'").drop("disposition", "reason")
+def canonical(receipts: DataFrame, first_seen: str | None = None) -> DataFrame:
+    """The accepted receipt of each entity without conflict; ``first_seen`` as in ``evidence``."""
+    return evidence(receipts, first_seen).where("disposition = 'ACCEPTED'").drop("disposition", "reason")
 
 
 def conflicts(receipts: DataFrame) -> DataFrame:

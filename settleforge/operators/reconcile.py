@@ -62,6 +62,7 @@ class Result:
     completeness: DataFrame | None
     quarantine: DataFrame | None
     detected_at: object = None
+    input_fingerprint: str | None = None
 
 
 def ref(entity: str, id_col: str) -> Column:

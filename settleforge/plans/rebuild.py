@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import canonical, completeness
-from ..operators.publication import fingerprint
+from ..operators.publication import fingerprint, stabilize_conflicts
 from ..operators.reconcile import Inputs, Result, reconcile
 from ..schemas import ENTITIES, REPORTS, record_type
 from ..sources.deliveries import gate, judged
@@ -61,12 +62,20 @@ def lost_evidence(ledger: Ledger, as_of) -> DataFrame:
 
 
 def input_fingerprint(ledger: Ledger, as_of) -> str:
-    """A digest of what a rebuild as of an instant reads; equal inputs in any order have equal ones."""
+    """A digest of what a rebuild as of an instant reads: batches, declared days, receipts and quarantined rows.
+
+    Dispositions and completeness follow from these; equal inputs in any order have equal digests.
+    """
     stable = [c for c in _RECEIPT if c != "received_at_utc"]
     q = ledger.quarantine().where(
         F.col("received_at_utc") <= F.lit(as_of).cast("timestamp")
     ).select("delivery_key", "receipt_id", "reason_code")
-    parts = [fingerprint(envelopes(ledger, as_of).select(*stable)).first()[0], fingerprint(q).first()[0]]
+    b = ledger.batches().where(F.col("received_at_utc") <= F.lit(as_of).cast("timestamp")).select(
+        "delivery_key", "batch_id", "status", "error_message", "file_checksum", "manifest_checksum", "report_type",
+        "report_date", "declared_row_count", "observed_row_count"
+    )
+    frames = [envelopes(ledger, as_of).select(*stable), q, b, ledger.expected_days()]
+    parts = [fingerprint(df).first()[0] for df in frames]
     return ledger.spark.range(1).select(F.sha2(F.lit("|".join(parts)), 256)).first()[0]
 
 
@@ -99,7 +108,13 @@ def rebuild(
         done = saved(completeness.worst_by_report(days))
     q = ledger.quarantine().where(F.col("received_at_utc") <= F.lit(as_of).cast("timestamp"))
     q = q.select("entity_type", "source_id", "reason_code", "reason_detail", "raw_payload_json")
-    return reconcile(Inputs(*frames, done, canonical.conflicts(receipts), q), run_id, as_of, check=done is not None)
+    out = reconcile(
+        Inputs(*frames, done, canonical.conflicts(receipts), q), run_id, as_of, check=done is not None
+    )
+    # Receipt ids name deliveries; what supports a conflict is named by what the receipts brought, which outlasts them.
+    return replace(
+        out, exceptions=stabilize_conflicts(out.exceptions, receipts), input_fingerprint=input_fingerprint(ledger, as_of)
+    )
 
 
 def ingest(

@@ -757,11 +757,23 @@ def conflict_exceptions(spark, sf_dir):
     )
 
 
-_EUR = ", refeur AS (SELECT * FROM ref WHERE currency = 'EUR')"
+#: A result's rows in one shape.
+_SECTIONS_SQL = """SELECT 'transactions' AS section, order_id AS entity_id, CASE WHEN codes IS NULL THEN 'RECONCILED' ELSE 'EXCEPTION' END AS state, coalesce(codes, '') AS codes, captured_total AS first_amount,
+   (captured_total - successful_refund_total - expected_fee_total)::DECIMAL(18,2) AS second_amount FROM tot LEFT JOIN tcodes ON k = order_id
+  UNION ALL SELECT 'payouts', payout_id, CASE WHEN codes IS NULL AND reported_net_amount = expected_payout THEN 'RECONCILED' ELSE 'EXCEPTION' END, coalesce(codes, ''), expected_payout::DECIMAL(18,2),
+   (reported_net_amount - expected_payout)::DECIMAL(18,2) FROM pt LEFT JOIN pcodes ON k = payout_id
+  UNION ALL SELECT 'movements', movement_type || ':' || movement_id, available_on::VARCHAR, '', signed_amount::DECIMAL(18,2), NULL FROM mov
+  UNION ALL SELECT 'exceptions', entity_type || ':' || entity_id, rule_id, exception_type, expected_amount, actual_amount FROM x"""
 
 
-@query((_EUR + _TOT + _TCODES).replace("FROM ref ", "FROM refeur AS ref ").replace("SELECT * FROM refeur AS ref WHERE", "SELECT * FROM ref WHERE") + """SELECT order_id, status AS order_status, captured_total, successful_refund_total, reported_fee_total, (captured_total - successful_refund_total - expected_fee_total)::DECIMAL(18,2) AS lifetime_net_collection,
-  CASE WHEN codes IS NULL THEN 'RECONCILED' ELSE 'EXCEPTION' END AS state, coalesce(codes, '') AS exception_codes FROM tot LEFT JOIN tcodes ON k = order_id""")
+#: The same where refunds in another currency have been quarantined.
+_EUR = """, refeur AS MATERIALIZED (SELECT * FROM ref WHERE currency = 'EUR'), mov3 AS MATERIALIZED (SELECT * FROM mov WHERE movement_type <> 'REFUND' OR movement_id IN (SELECT refund_id FROM refeur))"""
+
+
+@query(
+    _EUR + re.sub(r"\bmov\b", "mov3", re.sub(r"\bref\b(?=\s|\.)", "refeur", _TOT + _TCODES + _SET + _OUT + _PCODES + f", x AS ({_ALL}) @"))
+    .replace("@", "") + """SELECT * FROM (@)""".replace("@", re.sub(r"\bmov\b", "mov3", _SECTIONS_SQL))
+)
 def durable_rebuild(spark, sf_dir):
     """Daily deliveries of all reports through gate, ledger, rebuild and publication; refunds in another currency are quarantined on the way."""
     root = f"{shared_dir(spark)}/durable/{uuid.uuid4().hex}"
@@ -771,11 +783,7 @@ def durable_rebuild(spark, sf_dir):
     delete_at_end(spark, root)
     store = Store(spark, f"{root}/results")
     store.publish(rebuild.rebuild(ledger, "run-1", "2026-01-02 00:00:00", judge_reports=False), "run-1")
-    t = store.read_current().transactions
-    return t.select(
-        "order_id", "order_status", "captured_total", "successful_refund_total", "reported_fee_total",
-        "lifetime_net_collection", "state", F.array_join("exception_codes", ",").alias("exception_codes")
-    )
+    return _sections(store.read_current())
 
 
 @query()
@@ -804,17 +812,14 @@ def _after_correction(sql: str) -> str:
     return re.sub(r"\b(cap|capfee|mov)\b", r"\g<1>2", sql)
 
 
-@query(
-    _CORRECTED + _after_correction(_TOT + _TCODES + _SET + _OUT + _PCODES) + f""", x AS ({_after_correction(_ALL)})
-  SELECT 'transactions' AS section, order_id AS entity_id, CASE WHEN codes IS NULL THEN 'RECONCILED' ELSE 'EXCEPTION' END AS state, coalesce(codes, '') AS codes, captured_total AS first_amount,
-   (captured_total - successful_refund_total - expected_fee_total)::DECIMAL(18,2) AS second_amount FROM tot LEFT JOIN tcodes ON k = order_id
-  UNION ALL SELECT 'payouts', payout_id, CASE WHEN codes IS NULL AND reported_net_amount = expected_payout THEN 'RECONCILED' ELSE 'EXCEPTION' END, coalesce(codes, ''), expected_payout::DECIMAL(18,2),
-   (reported_net_amount - expected_payout)::DECIMAL(18,2) FROM pt LEFT JOIN pcodes ON k = payout_id
-  UNION ALL SELECT 'movements', movement_type || ':' || movement_id, available_on::VARCHAR, '', signed_amount::DECIMAL(18,2), NULL FROM mov2
-  UNION ALL SELECT 'exceptions', entity_type || ':' || entity_id, rule_id, exception_type, expected_amount, actual_amount FROM x"""
-)
+@query(_CORRECTED + _after_correction(_TOT + _TCODES + _SET + _OUT + _PCODES + f", x AS ({_ALL}) {_SECTIONS_SQL}"))
 def windowed_rebuild(spark, sf_dir):
     """The published result after some payments were corrected and only what that reaches was made again; the SQL makes all of it."""
+    return _sections(_corrected_runs(spark, sf_dir).read_current())
+
+
+def _corrected_runs(spark: SparkSession, sf_dir: str) -> Store:
+    """A store with a whole run and, current, one that a correction of payments made from it."""
     root = f"{shared_dir(spark)}/windowed/{uuid.uuid4().hex}"
     store, before = Store(spark, root), _inputs(spark, sf_dir)
     before.payments = saved(before.payments)
@@ -828,9 +833,15 @@ def windowed_rebuild(spark, sf_dir):
         }
     )
     changed = before.payments.where(hit).select(F.lit("PAYMENT").alias("entity_type"), F.col("payment_id").alias("source_id"))
-    windowed.rebuild_windows(store, before, replace(before, payments=payments, made={}), changed, "run-2", "2026-01-02 00:00:00")
-    r, codes = store.read_current(), F.array_join("exception_codes", ",").alias("codes")
-    none = F.lit(None).cast(MONEY)
+    windowed.rebuild_windows(
+        store, before, replace(before, payments=payments, made={}), changed, "run-2", "2026-01-02 00:00:00"
+    )
+    return store
+
+
+def _sections(r: reconcile.Result) -> DataFrame:
+    """The rows of a result in one shape."""
+    codes, none = F.array_join("exception_codes", ",").alias("codes"), F.lit(None).cast(MONEY)
     out = [
         r.transactions.select(
             F.lit("transactions").alias("section"), F.col("order_id").alias("entity_id"), "state", codes,
@@ -849,6 +860,28 @@ def windowed_rebuild(spark, sf_dir):
     return reduce(DataFrame.union, out)
 
 
+_BEFORE_SQL = _TOT + _TCODES + _SET + _OUT + _PCODES
+_NAMED = r"\b(cap|capfee|mov|tot|tc|tcodes|sup|own|st|pt|pc|pcodes|x)\b"
+
+
+@query(
+    _BEFORE_SQL + f", x AS ({_ALL}), r1 AS MATERIALIZED ({_SECTIONS_SQL})" + _CORRECTED
+    + re.sub(_NAMED, r"\g<1>2", _BEFORE_SQL + f", x AS ({_ALL}), r2 AS MATERIALIZED ({_SECTIONS_SQL})")
+    + """ SELECT section, entity_id, codes, CASE WHEN k1 IS NULL THEN 'ADDED' WHEN k2 IS NULL THEN 'REMOVED' ELSE 'CHANGED' END AS change FROM
+   (SELECT section, entity_id, CASE WHEN section = 'exceptions' THEN codes ELSE '' END AS codes, r1 AS k1 FROM r1) FULL JOIN
+   (SELECT section, entity_id, CASE WHEN section = 'exceptions' THEN codes ELSE '' END AS codes, r2 AS k2 FROM r2) USING (section, entity_id, codes) WHERE k1 IS DISTINCT FROM k2"""
+)
+def run_differences(spark, sf_dir):
+    """What differs between a run and the corrected one, found by the digests of their partitions."""
+    d = _corrected_runs(spark, sf_dir).differences("run-1", "run-2")
+    k, other = F.split("key", r"\|"), F.col("section").isin("transactions", "payouts")
+    entity = F.when(other, F.col("key")).when(F.col("section") == "movements", F.concat_ws(":", k[0], k[1]))
+    return d.select(
+        "section", entity.otherwise(F.concat_ws(":", F.get(k, F.lit(2)), F.get(k, F.lit(3)))).alias("entity_id"),
+        F.when(F.col("section") == "exceptions", F.get(k, F.lit(1))).otherwise("").alias("codes"), "change"
+    )
+
+
 @query()
 def affected_closure(spark, sf_dir):
     """What a change of one payment reaches; an iteration, so there is no oracle."""

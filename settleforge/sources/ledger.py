@@ -11,7 +11,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.identity import receipt_id
@@ -35,6 +35,10 @@ _QUARANTINE = (
 )
 
 
+class RowsLost(ValueError):
+    """What was written does not add up to what came in."""
+
+
 class Ledger:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.files = spark, FileSystem(spark, root)
@@ -84,6 +88,10 @@ class Ledger:
         fault, the ones whose rows can be read (``KEPT_FAULTS``) become FAILED
         batches, whose valid rows are quarantined with BATCH_VALIDATION_FAILED.
 
+        Rows are counted while they are written, by delivery: unless every row of every
+        delivery has become a receipt or been quarantined, ``RowsLost`` is raised and no
+        batch row is written, so nothing of the attempt is ever read.
+
         A repeated delivery changes nothing.  After a crash between the appends the
         delivery has no batch row: nothing of it is read, and ingesting it again
         completes it.  ``hook`` is called between the appends.
@@ -99,7 +107,13 @@ class Ledger:
         ).persist()
         n = new.count()
         if n:
+            # By report, how many rows there are, and a sum that also tells of which deliveries.
+            mark = F.pmod(F.xxhash64("delivery_key"), F.lit(1 << 31))
+            due = new.groupBy("report_type").agg(F.sum(F.size("rows")).alias("n"), F.sum(F.size("rows") * mark).alias("s"))
+            due = {r["report_type"]: (r["n"], r["s"]) for r in due.collect()}
             for report, (entity, _, _) in REPORTS.items():
+                if report not in due:
+                    continue
                 rows = new.where(F.col("report_type") == report).select(
                     "delivery_key", "batch_id", "attempt", "received_at_utc", F.col("fault").alias("_fault_of_batch"),
                     F.posexplode("rows").alias("row_number", "payload")
@@ -113,10 +127,15 @@ class Ledger:
                     F.to_json(F.try_parse_json("_raw")).alias("raw_payload_json")
                 )
                 kept = good.where("_fault_of_batch IS NULL").drop("_fault_of_batch", "_raw")
-                kept.write.mode("append").parquet(f"{self.files.root}/receipts/{entity}")
-                bad.drop("_raw").unionByName(failed).drop("_fault_of_batch").write.mode("append").parquet(
-                    f"{self.files.root}/quarantine"
-                )
+                lost = bad.drop("_raw").unionByName(failed).drop("_fault_of_batch")
+                written = [Observation(), Observation()]
+                for df, where, o in ((kept, f"receipts/{entity}", written[0]), (lost, "quarantine", written[1])):
+                    df = df.observe(o, F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(mark), F.lit(0)).alias("s"))
+                    df.write.mode("append").parquet(f"{self.files.root}/{where}")
+                got = tuple(sum(o.get[c] for o in written) for c in ("n", "s"))
+                if got != due[report]:
+                    new.unpersist()
+                    raise RowsLost(f"{report}: {due[report][0]} rows came in, {got[0]} were stored")
                 hook("after_rows")
             # The batch row comes last: a delivery without one has not been ingested.
             keep = new.select(
@@ -137,9 +156,9 @@ class Ledger:
         for e in ENTITIES:
             r = self.receipts(e)
             if r is not None:
-                out[e] = canonical(
-                    unique_receipts(r if as_of is None else r.where(F.col("received_at_utc") <= F.lit(as_of)))
-                ).select("record.*")
+                seen = r if as_of is None else r.where(F.col("received_at_utc") <= F.lit(as_of))
+                # Of equal receipts the one that came first stays the representative, whatever comes later.
+                out[e] = canonical(unique_receipts(seen), "received_at_utc").select("record.*")
         return out
 
     def stored_batches(self) -> DataFrame:
