@@ -39,7 +39,7 @@ from .packing import slices
 from .storage import Scratch, bound_batches
 
 #: Tokens of the corpus for one shard, about.
-SHARD_TOKENS = 1 << 22
+SHARD_TOKENS = 1 << 21
 #: Bytes of text that are scored, and whose n-grams are added up, at a time.
 SLICE_BYTES, SUM_BYTES = 8 << 20, 12 << 20
 #: Before the first token of a text stands BOS, before that PAD; END is a token.
@@ -216,6 +216,7 @@ def _emit_words(bits: int):
             h, n = np.unique(seq, return_counts=True)
             cols = [pa.array(_shard(h, bits)), pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))]
             yield pa.RecordBatch.from_arrays(cols, names=["shard", "w0", "n"])
+        T.release()
 
     return emit
 
@@ -226,6 +227,7 @@ def _store_words(root: str):
         first, (n,) = _summed(h, table.column("n").to_numpy())
         h = h[first]
         _save(root, "v", key[0].as_py(), h, *_counts(h, n))
+        T.release()
         return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "words": [len(h)], "tokens": [int(n.sum())]})
 
     return store
@@ -244,6 +246,8 @@ def _emit(model: Model):
             first, (n,) = _summed(h, np.ones(len(h), np.int64))
             cols = [pa.array(_shard(h[first], model.bits)), *map(pa.array, packed([w[first] for w in words], model.wide)), pa.array(n)]
             yield pa.RecordBatch.from_arrays(cols, names=["shard", *_columns(order, model.wide), "n"])
+            del seq, at, words, h, first, n, by, cols
+        T.release()
 
     return emit
 
@@ -278,6 +282,8 @@ def _store(root: str, k: int, bits: int, wide: bool):
             add(_CONTEXT, _shard(hc[at], bits), [hc[at].view(np.int64)], *sums)
         sums = [*[(a == i).sum() for i in (1, 2, 3, 4)], len(a), a.sum()]
         add(_STATS, np.zeros(1, np.int32), [], *[np.array([x], np.int64) for x in sums])
+        del words, first, h, n, a, table
+        T.release()
         return pa.concat_tables(parts)
 
     return store
@@ -396,6 +402,8 @@ def score_texts(
                     ],
                     names=[id_col, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
                 )
+                del seq, at, raw, p, base
+        T.release()
 
     kind = docs.schema[id_col].dataType.simpleString()
     return src.mapInArrow(
