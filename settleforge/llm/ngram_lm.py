@@ -246,7 +246,7 @@ def _emit(model: Model):
             first, (n,) = _summed(h, np.ones(len(h), np.int64))
             cols = [pa.array(_shard(h[first], model.bits)), *map(pa.array, packed([w[first] for w in words], model.wide)), pa.array(n)]
             yield pa.RecordBatch.from_arrays(cols, names=["shard", *_columns(order, model.wide), "n"])
-            del seq, at, words, h, first, n, by, cols
+            del seq, at, words, h, first, n, cols
         T.release()
 
     return emit
