@@ -74,7 +74,7 @@ def input_fingerprint(ledger: Ledger, as_of) -> str:
         "delivery_key", "batch_id", "status", "error_message", "file_checksum", "manifest_checksum", "report_type",
         "report_date", "declared_row_count", "observed_row_count"
     )
-    frames = [envelopes(ledger, as_of).select(*stable), q, b, ledger.expected_days()]
+    frames = [envelopes(ledger, as_of).select(*stable), q, b, ledger.declared_days()]
     parts = [fingerprint(df).first()[0] for df in frames]
     return ledger.spark.range(1).select(F.sha2(F.lit("|".join(parts)), 256)).first()[0]
 

@@ -75,11 +75,14 @@ class Ledger:
             f"{self.files.root}/expected_days"
         )
 
+    def declared_days(self) -> DataFrame:
+        df = self._read("expected_days")
+        return self.spark.createDataFrame([], "business_date date") if df is None else df.distinct()
+
     def expected_days(self) -> DataFrame:
         """Days that were declared, and those of any batch, failed ones included."""
         days = self.batches().select(F.col("report_date").alias("business_date"))
-        more = self._read("expected_days")
-        return (days if more is None else days.unionByName(more)).distinct()
+        return days.unionByName(self.declared_days()).distinct()
 
     def ingest(self, found: DataFrame, received_at, hook: Callable[[str], None] = lambda point: None) -> int:
         """Append deliveries whose key is new; returns how many.
