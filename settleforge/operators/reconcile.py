@@ -13,7 +13,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.money import contract_fee, total, variance
@@ -359,8 +359,7 @@ def line_amount_mismatches(i: Inputs) -> DataFrame:
 def payout_totals(i: Inputs) -> DataFrame:
     """Each payout with its lines' total and its day's expected movements."""
     l = i.lines.groupBy("payout_id").agg(
-        total("signed_amount").alias("reported_line_total"), F.count(F.lit(1)).alias("settlement_line_count"),
-        F.collect_set(ref("SETTLEMENT_LINE", "settlement_line_id")).alias("line_refs")
+        total("signed_amount").alias("reported_line_total"), F.count(F.lit(1)).alias("settlement_line_count")
     )  # noqa: E741
     m = expected_movements(i).groupBy(F.col("available_on").alias("payout_date")).agg(
         total("signed_amount").alias("expected_payout"), F.count(F.lit(1)).alias("expected_movement_count")
@@ -370,7 +369,7 @@ def payout_totals(i: Inputs) -> DataFrame:
     df = df.withColumns(
         {c: F.coalesce(c, zero) for c in ("reported_line_total", "expected_payout")} | {
             c: F.coalesce(c, F.lit(0)) for c in ("settlement_line_count", "expected_movement_count")
-        } | {"line_refs": F.coalesce("line_refs", F.array().cast("array<string>"))}
+        }
     )
     return df.withColumns(
         {
@@ -381,7 +380,14 @@ def payout_totals(i: Inputs) -> DataFrame:
 
 
 def payout_total_mismatches(i: Inputs) -> DataFrame:
-    df = i.shared(payout_totals).where("provider_report_variance <> 0")
+    """Payouts whose reported amount is not their lines' total; the lines of these alone are gathered as supports."""
+    off = i.shared(payout_totals).where("provider_report_variance <> 0")
+    refs = i.lines.join(off.select("payout_id"), "payout_id", "left_semi").groupBy("payout_id").agg(
+        F.collect_set(ref("SETTLEMENT_LINE", "settlement_line_id")).alias("line_refs")
+    )
+    df = off.join(refs, "payout_id", "left").withColumn(
+        "line_refs", F.coalesce("line_refs", F.array().cast("array<string>"))
+    )
     return exception(
         df, "PAYOUT_TOTAL_MISMATCH", "PAYOUT", F.col("payout_id"), F.col("reported_line_total"),
         F.col("reported_net_amount"), F.concat(F.array(ref("PAYOUT", "payout_id")), F.col("line_refs")),
@@ -389,6 +395,30 @@ def payout_total_mismatches(i: Inputs) -> DataFrame:
     )
 
 
+def mismatch_supports(i: Inputs) -> DataFrame:
+    """(payout_id, ordinal, support) of payouts with another total than their lines: a row a support, for payouts of any size.
+
+    Ordinals follow the published order of supports.  Lines are numbered by ranges
+    of their ids, counted first and then numbered inside, so no task sorts all lines
+    of a payout.
+    """
+    off = i.shared(payout_totals).where("provider_report_variance <> 0").select("payout_id")
+    mine = i.lines.join(off, "payout_id", "left_semi").select(
+        "payout_id", ref("SETTLEMENT_LINE", "settlement_line_id").alias("support")
+    )
+    rows = off.select("payout_id", ref("PAYOUT", "payout_id").alias("support")).unionByName(mine).distinct()
+    # The cuts are quantiles of the supports as they are, so the ranges are about even.
+    rows = rows.repartitionByRange("payout_id", "support").sortWithinPartitions("payout_id", "support")
+    rows = saved(rows.withColumn("_r", F.spark_partition_id()))  # written, so that the ranges stay what they are
+    n = rows.groupBy("payout_id", "_r").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("payout_id").orderBy("_r")) - F.col("n")
+    start = n.select("payout_id", "_r", before.alias("start"))
+    inside = F.row_number().over(Window.partitionBy("payout_id", "_r").orderBy("support"))
+    return rows.withColumn("k", inside).join(start, ["payout_id", "_r"]).select(
+        "payout_id", (F.col("start") + F.col("k")).alias("ordinal"), "support"
+    )
+
+
 def conflict_exceptions(conflicts: DataFrame) -> DataFrame:
     """Entities in conflict; the exception's entity type is the conflict's own."""
     c = conflicts.withColumn("_type", F.col("entity_type"))

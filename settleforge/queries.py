@@ -18,6 +18,7 @@ from .plans import rebuild, windowed
 from .plans.checkpoints import delete_at_end, saved, shared_dir
 from .plans.store import Store
 from .sources import deliveries
+from .sources.bucketed import BucketedReceipts
 from .sources import ledger as ledger_module
 from .sources.validate import validate
 from .schemas import MONEY
@@ -298,6 +299,13 @@ def payout_total_mismatches(spark, sf_dir):
     return _rule(reconcile.payout_total_mismatches, spark, sf_dir)
 
 
+@query(
+    _OUT + "SELECT payout_id, row_number() OVER (PARTITION BY payout_id ORDER BY s)::BIGINT AS ordinal, s AS support FROM (SELECT payout_id, unnest(list_append(refs, 'provider:PAYOUT:' || payout_id)) AS s FROM pt WHERE reported_net_amount <> reported_line_total)"
+)
+def payout_mismatch_supports(spark, sf_dir):
+    return reconcile.mismatch_supports(_inputs(spark, sf_dir))
+
+
 _TCODES = """, tc AS (SELECT order_id, 'CAPTURE_FOR_NON_PAYABLE_ORDER' AS c FROM cap WHERE order_id IN (SELECT order_id FROM ord WHERE status = 'CANCELLED')
   UNION ALL SELECT order_id, 'EXCESS_REFUND' FROM cap JOIN (SELECT payment_id AS p, sum(amount) AS t FROM ref GROUP BY 1) ON p = payment_id WHERE t > amount
   UNION ALL SELECT order_id, 'MISSING_FEE' FROM capfee WHERE n_fees = 0 UNION ALL SELECT order_id, 'FEE_MISMATCH' FROM capfee WHERE n_fees > 0 AND fee_total <> fee
@@ -1083,6 +1091,20 @@ def stateful_dispositions(spark, sf_dir):
     return EvidenceState(spark, f"{root}/state").dispositions().select("receipt_id", "disposition")
 
 
+@query("SELECT receipt_id, disposition FROM ev")
+def bucketed_evidence(spark, sf_dir):
+    """Receipts appended in two parts, some twice, to a table bucketed by identity, and settled there without a shuffle."""
+    root = f"{shared_dir(spark)}/bucketed/{uuid.uuid4().hex}"
+    r = fixtures.payment_receipts(spark, sf_dir).select(
+        "receipt_id", *canonical.IDENTITY, "source_version", "payload_hash", "l_suppkey"
+    )
+    table = BucketedReceipts(spark, root, r.drop("l_suppkey").schema, 16)
+    table.append(r.where("l_suppkey % 3 > 0"))
+    table.append(r.where("l_suppkey % 3 < 2"))
+    delete_at_end(spark, root)
+    return table.evidence().select("receipt_id", "disposition")
+
+
 @query(f"SELECT report_type, business_date, state FROM ({_STATE})", base=None)
 def deadline_stream(spark, sf_dir):
     """States of all reports as of a time, from a stream in which deadlines pass by timers and ticks of a clock alone."""

@@ -39,3 +39,26 @@ def test_lost_rows(spark, tmp_path, monkeypatch, which):
         monkeypatch.setattr(module, "validate", real)
         assert ledger.ingest(found(spark), datetime(2026, 3, 4)) == 1
     assert (ledger.receipts("FEE").count(), ledger.quarantine().count()) == (3, 1)
+
+
+def test_bucketed_receipts_are_settled_in_place(spark, tmp_path):
+    import random
+
+    from settleforge.operators import canonical
+    from settleforge.sources.bucketed import BucketedReceipts
+
+    r = random.Random(2)
+    rows = [(f"r{k}", "provider", r.choice(["FEE", "PAYMENT"]), f"e{r.randrange(20)}", r.randrange(1, 4), r.choice("ab")) for k in range(120)]
+    df = spark.createDataFrame(rows, "receipt_id string, source_system string, entity_type string, source_id string, source_version long, payload_hash string")
+    path = "file://" + str(tmp_path / "receipts")
+    table = BucketedReceipts(spark, path, df.schema, 8)
+    table.append(df.limit(80))
+    table.append(df)
+    got, want = table.evidence(), canonical.evidence(df)
+    assert sorted(map(tuple, got.select("receipt_id", "disposition").collect())) == sorted(map(tuple, want.select("receipt_id", "disposition").collect()))
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    table.forget()
+    again = BucketedReceipts(spark, path, df.schema, 8)
+    assert again.read().count() == 200 and again.unique().count() == 120
+    again.forget()
+    assert any((tmp_path / "receipts").iterdir())
