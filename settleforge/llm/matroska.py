@@ -254,6 +254,7 @@ def parse(data: bytes) -> Media:
                 if k == DOC_TYPE:
                     out.doc_type = data[x:y].rstrip(b"\0").decode("ascii", "replace")
         elif ident == SEGMENT:
+            start = a  # of the element itself, as cues count it
             for k, x, y in _elements(data, a, b):
                 if k == INFO:
                     for f, u, v in _elements(data, x, y):
@@ -268,11 +269,12 @@ def parse(data: bytes) -> Media:
                             out.tracks.append(track)
                             step[track.get("number", 0)] = track.get("default_duration", 0) // out.timestamp_scale
                 elif k == CLUSTER:
-                    _cluster(data, x, y, step, out, a)
+                    _cluster(data, x, y, step, out, start - a)
                 elif k == CUES:
                     for f, u, v in _elements(data, x, y):
                         if f == CUE_POINT:
                             _cue(data, u, v, out)
+                start = y
     if not out.doc_type:
         raise BadMedia("no EBML header")
     return out
@@ -296,7 +298,7 @@ def _track(data: bytes, a: int, b: int) -> dict:
     return out
 
 
-def _cluster(data: bytes, a: int, b: int, step: dict, out: Media, segment: int) -> None:
+def _cluster(data: bytes, a: int, b: int, step: dict, out: Media, position: int) -> None:
     time, head = 0, True
     for k, x, y in _elements(data, a, b):
         if k == TIMESTAMP:
@@ -312,7 +314,7 @@ def _cluster(data: bytes, a: int, b: int, step: dict, out: Media, segment: int)
                     key = False
             if found:
                 _block(data, *found, time, key, step, out)
-    out.clusters.append((a - segment, time))
+    out.clusters.append((position, time))
 
 
 def _cue(data: bytes, a: int, b: int, out: Media) -> None:

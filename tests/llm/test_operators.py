@@ -429,6 +429,12 @@ def test_matroska_round_trip(docs, empty):
     assert [p["time"] for p in packets] == [12 * k for k in range(len(packets))]
     assert b"".join(media[p["offset"] : p["offset"] + p["size"]] for p in packets) == load
     assert all(zlib.crc32(media[p["offset"] : p["offset"] + p["size"]]) == p["crc32"] for p in packets)
+    from settleforge.llm.matroska import FRAME, parse, write
+
+    read = parse(write(bytes(FRAME * 6000)))
+    places = dict(read.clusters)
+    assert len(places) > 1 and len(read.cues) == len(places)
+    assert all(places[position] == time for time, _, position in read.cues)
     assert store_texts(empty).count() == 0
 
 
@@ -759,22 +765,62 @@ def test_op1_query_digest(spark, sf):
     assert got == {(i, n, g, hashlib.sha256(t.encode()).hexdigest()) for i, n, g, t in want}
 
 
-def test_pipeline(spark, sf):
+def test_pipeline(spark, sf, tmp_path):
+    """Each stage's rows are those that SQL gives for the rows it was given; packing covers every token of its documents once."""
+    import duckdb
+
     import corpus_pipeline as p
+    from settleforge.llm import line_dedup, mixing, near_dedup, quality
     from settleforge.llm.storage import Scratch
 
     docs, scratch = spark.read.parquet(f"{sf}/documents.parquet"), Scratch(spark)
-    columns, counts, kept = docs.columns, [docs.count()], docs
+    # Near copies on a line of their own, which only the third stage takes out.
+    words = next(t.split() for (t,) in docs.where("length(text) > 1500 AND lang = 'en'").orderBy("doc_id").select("text").collect())[:150]
+    near = [(10**7 + k, " ".join([*words[:at], "changed", *words[at + 1 :]])) for k, at in enumerate((20, 60, 100))]
+    more = spark.createDataFrame([(i, t, "en", "planted", len(t)) for i, t in near], docs.schema)
+    sf = str(tmp_path)
+    docs.unionByName(more).write.parquet(f"{sf}/documents.parquet")
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    columns, kept, rows = docs.columns, docs, {}
     for name, stage in p.STAGES[:-1]:
-        before, kept = kept, scratch.write(stage(spark, kept, sf), name)
+        rows[name] = kept.toPandas()
+        kept = scratch.write(stage(spark, kept, sf), name)
         assert kept.columns == columns, name
-        assert kept.join(before, "doc_id", "left_anti").count() == 0
-        counts.append(kept.count())
-    assert counts[0] > counts[1] >= counts[2] >= counts[3] > 0
-    want = brute_near([tuple(r) for r in scratch.write(p.line_dedup(spark, p.quality(spark, docs, sf), sf), "again").select("doc_id", "text").collect()])
-    assert {i for i, (_, c) in want.items() if i == c} >= {r[0] for r in kept.select("doc_id").distinct().collect()}
-    out = p.run(spark, sf)
-    assert out.agg(F.sum("length")).first()[0] == p.packing(spark, kept, sf).agg(F.sum("length")).first()[0]
+    rows["packing"] = kept.toPandas()
+
+    def sql(module, name):
+        with duckdb.connect() as con:
+            con.register("documents", rows[name])
+            return con.sql(module.oracle()).df()
+
+    ids = lambda name: sorted(rows[name]["doc_id"])
+    want = sql(quality, "quality")
+    assert ids("line_dedup") == sorted(want[want.kept]["doc_id"]) and len(ids("line_dedup")) < len(ids("quality"))
+    want = {r.doc_id: r for r in sql(line_dedup, "line_dedup").itertuples()}
+    got = {r.doc_id: r.text for r in rows["near_dedup"].itertuples()}
+    for i, r in want.items():
+        if i in got:
+            assert hashlib.sha256(got[i].encode()).hexdigest() == r.kept_sha256
+        else:
+            assert r.n_removed > 0
+    assert set(got) <= set(want) and all(r.n_chars == len(r.text) for r in rows["near_dedup"].itertuples())
+    assert sum(r.n_removed for r in want.values()) > 0
+    want = sql(near_dedup, "near_dedup")
+    assert ids("mixing") == sorted(want[want.kept]["doc_id"]) and len(ids("mixing")) < len(ids("near_dedup"))
+    want = sql(mixing, "mixing")
+    assert collections.Counter(ids("packing")) == {
+        r.doc_id: r.taken // r.size for r in want.itertuples() if r.taken
+    }
+    out = p.run(spark, sf).collect()
+    pieces = collections.defaultdict(list)
+    for r in out:
+        pieces[r["doc_id"]].append((r["start"], r["length"], r["doc_tokens"]))
+    assert set(pieces) == set(ids("packing"))
+    copies = collections.Counter(ids("packing"))
+    for i, own in pieces.items():
+        n = own[0][2]
+        covered = collections.Counter(t for start, length, _ in own for t in range(start, start + length))
+        assert covered == {t: copies[i] for t in range(n)}
 
 
 def test_pipeline_on_awkward_rows(spark, docs, empty):
