@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 
 from ..functions.identity import receipt_id
 from ..operators.canonical import canonical, unique_receipts
+from ..plans.checkpoints import saved
 from ..plans.store import FileSystem
 from ..schemas import ENTITIES, REPORTS
-from .validate import validate
+from .validate import checked, split
 
 #: Faults of deliveries whose rows can be read; the ledger keeps those as FAILED batches.
 KEPT_FAULTS = ("CHECKSUM_MISMATCH", "ROW_COUNT_MISMATCH")
@@ -102,18 +103,23 @@ class Ledger:
         attempt = uuid.uuid4().hex
         fault = F.col("fault") if "fault" in found.columns else F.lit(None).cast("string")
         new = found.withColumn("fault", fault).where("delivery_key IS NOT NULL").dropDuplicates(["delivery_key"])
-        new = new.join(self.batches().select("delivery_key"), "delivery_key", "left_anti").withColumns(
+        # Written, so that the many plans below do not each carry the plan that the deliveries came from.
+        new = saved(new.join(self.batches().select("delivery_key"), "delivery_key", "left_anti").withColumns(
             {
                 "received_at_utc": F.lit(received_at).cast("timestamp"), "attempt": F.lit(attempt),
                 "batch_id": F.substring("delivery_key", 1, 32)
             }
-        ).persist()
+        ))
         n = new.count()
         if n:
             # By report, how many rows there are, and a sum that also tells of which deliveries.
             mark = F.pmod(F.xxhash64("delivery_key"), F.lit(1 << 31))
-            due = new.groupBy("report_type").agg(F.sum(F.size("rows")).alias("n"), F.sum(F.size("rows") * mark).alias("s"))
-            due = {r["report_type"]: (r["n"], r["s"]) for r in due.collect()}
+            due = new.groupBy("report_type").agg(
+                F.sum(F.size("rows")).alias("n"), F.sum(F.size("rows") * mark).alias("s"),
+                F.bool_or(F.col("fault").isNotNull()).alias("faulty")
+            ).collect()
+            faulty = {r["report_type"]: r["faulty"] for r in due}
+            due = {r["report_type"]: (r["n"], r["s"]) for r in due}
             for report, (entity, _, _) in REPORTS.items():
                 if report not in due:
                     continue
@@ -122,7 +128,9 @@ class Ledger:
                     F.posexplode("rows").alias("row_number", "payload")
                 )
                 rows = rows.withColumn("receipt_id", receipt_id(F.col("delivery_key"), F.col("row_number")))
-                good, bad = validate(rows.withColumn("_raw", F.col("payload")), entity)
+                # Both tables are written from rows that are checked once.
+                rows = checked(rows.withColumn("_raw", F.col("payload")), entity).persist()
+                good, bad = split(rows, entity)
                 failed = good.where("_fault_of_batch IS NOT NULL").select(
                     *bad.drop("_raw", "reason_code", "reason_detail", "raw_payload_json").columns,
                     F.lit("BATCH_VALIDATION_FAILED").alias("reason_code"),
@@ -130,14 +138,15 @@ class Ledger:
                     F.to_json(F.try_parse_json("_raw")).alias("raw_payload_json")
                 )
                 kept = good.where("_fault_of_batch IS NULL").drop("_fault_of_batch", "_raw")
-                lost = bad.drop("_raw").unionByName(failed).drop("_fault_of_batch")
+                lost = bad.drop("_raw")
+                lost = (lost.unionByName(failed) if faulty[report] else lost).drop("_fault_of_batch")
                 written = [Observation(), Observation()]
                 for df, where, o in ((kept, f"receipts/{entity}", written[0]), (lost, "quarantine", written[1])):
                     df = df.observe(o, F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(mark), F.lit(0)).alias("s"))
                     df.write.mode("append").parquet(f"{self.files.root}/{where}")
+                rows.unpersist()
                 got = tuple(sum(o.get[c] for o in written) for c in ("n", "s"))
                 if got != due[report]:
-                    new.unpersist()
                     raise RowsLost(f"{report}: {due[report][0]} rows came in, {got[0]} were stored")
                 hook("after_rows")
             # The batch row comes last: a delivery without one has not been ingested.
@@ -150,7 +159,6 @@ class Ledger:
                 F.col("fault").alias("error_message")
             )
             keep.write.mode("append").parquet(f"{self.files.root}/batches")
-        new.unpersist()
         return n
 
     def current(self, as_of=None) -> dict[str, DataFrame]:

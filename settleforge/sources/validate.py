@@ -151,15 +151,24 @@ def validate(rows: DataFrame, entity: str, payload_col: str = "payload") -> tupl
     reason_detail, raw_payload_json`` (canonical).  Every row is in one of them.
     Text that is no strict JSON is quarantined with ``INVALID_JSON``.
     """
+    return split(checked(rows, entity, payload_col), entity, payload_col)
+
+
+def checked(rows: DataFrame, entity: str, payload_col: str = "payload") -> DataFrame:
+    """Rows of JSON text with their first fault (``_fault``, null for none); the costly half of ``validate``."""
     if entity not in ENTITIES:
         raise ValueError(f"UNSUPPORTED_ENTITY_TYPE: {entity}")
-    e, rest = ENTITIES[entity], [c for c in rows.columns if c != payload_col]
-    read = rows.withColumn("_v", F.try_parse_json(payload_col))
     v = F.col("_v")
     fault = F.when(
         v.isNull(), fail("INVALID_JSON", F.lit(None).cast("string"), "is not strict JSON")
-    ).otherwise(first_fault(v, e))
-    read = read.withColumn("_fault", fault)
+    ).otherwise(first_fault(v, ENTITIES[entity]))
+    return rows.withColumn("_v", F.try_parse_json(payload_col)).withColumn("_fault", fault).drop("_v")
+
+
+def split(rows: DataFrame, entity: str, payload_col: str = "payload") -> tuple[DataFrame, DataFrame]:
+    """``validate``'s two frames from checked rows."""
+    e, rest = ENTITIES[entity], [c for c in rows.columns if c not in (payload_col, "_fault")]
+    read, v = rows.withColumn("_v", F.try_parse_json(payload_col)), F.col("_v")
     good = read.where("_fault IS NULL").select(
         *rest, F.lit(e.system).alias("source_system"), F.lit(entity).alias("entity_type"),
         F.struct(*[_value(v, f).alias(f.name) for f in e.fields]).alias("record")

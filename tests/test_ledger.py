@@ -21,14 +21,14 @@ def found(spark, n=4):
 
 @pytest.mark.parametrize("which", ["receipt", "quarantined row", None])
 def test_lost_rows(spark, tmp_path, monkeypatch, which):
-    real = module.validate
+    real = module.split
 
     def leaky(df, entity):
         good, bad = real(df, entity)
         keep = F.col("row_number") != 1
         return (good.where(keep) if which == "receipt" else good), (bad.limit(0) if which == "quarantined row" else bad)
 
-    monkeypatch.setattr(module, "validate", leaky)
+    monkeypatch.setattr(module, "split", leaky)
     ledger = Ledger(spark, "file://" + str(tmp_path))
     if which is None:
         assert ledger.ingest(found(spark), datetime(2026, 3, 3)) == 1
@@ -36,7 +36,7 @@ def test_lost_rows(spark, tmp_path, monkeypatch, which):
         with pytest.raises(RowsLost, match="4 rows came in, 3 were stored"):
             ledger.ingest(found(spark), datetime(2026, 3, 3))
         assert ledger.batches().isEmpty() and ledger.receipts("FEE").isEmpty() and ledger.quarantine().isEmpty()
-        monkeypatch.setattr(module, "validate", real)
+        monkeypatch.setattr(module, "split", real)
         assert ledger.ingest(found(spark), datetime(2026, 3, 4)) == 1
     assert (ledger.receipts("FEE").count(), ledger.quarantine().count()) == (3, 1)
 
