@@ -84,3 +84,25 @@ def test_quarantine_reasons_reads_every_line(spark, sf):
     want = collections.Counter(("-".join(map(str, r)), codes[r["l_partkey"] % 5]) for r in lines if r["l_partkey"] % 5 in codes)
     got = {(r["id"], r["reason_code"]): r["n"] for r in quarantine_reasons(spark, sf).collect()}
     assert got == want and any(r["l_partkey"] % 7 >= 2 for r in lines)
+
+
+def test_rows_are_parsed_and_judged_once(spark, sf):
+    """Neither half of the split, nor a filter on it, carries the checks again; verdicts agree with the halves."""
+    from settleforge import queries
+    from settleforge.sources.validate import validate, verdicts
+
+    for name in ("parsed_payments", "quarantine_reasons"):
+        plan = queries.QUERIES[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.lower().count("parse_json") == 1 or plan.count("parseJson") == 1
+    texts = ['{"payout_id":"p","payout_date":"2020-01-02","currency":"EUR","reported_net_amount":"1.00","source_version":1}',
+             '{"payout_id":"p","payout_id":"q"}', "[1]", "null", "{}", '{"payout_id":null}', '{"payout_id":7,"x":1}', None, "",
+             '{"payout_id":"","payout_date":"2020-01-02","currency":"EUR","reported_net_amount":"1.00","source_version":1}',
+             '{"payout_id":"p","payout_date":"2020-01-02","currency":"EUR","reported_net_amount":"1.00","source_version":1.0}']
+    rows = spark.createDataFrame(list(enumerate(texts)), "n int, payload string")
+    good, bad = validate(rows, "PAYOUT")
+    want = {r["n"]: None for r in good.collect()} | {r["n"]: r["reason_code"] for r in bad.collect()}
+    assert want == {r["n"]: r["reason_code"] for r in verdicts(rows, "PAYOUT").collect()}
+    assert want == {
+        0: None, 1: "INVALID_JSON", 2: "INVALID_TYPE", 3: "INVALID_TYPE", 4: "MISSING_FIELD", 5: "MISSING_FIELD",
+        6: "MISSING_FIELD", 7: "INVALID_JSON", 8: "INVALID_JSON", 9: "INVALID_VALUE", 10: "INVALID_TYPE"
+    }
