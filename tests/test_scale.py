@@ -38,3 +38,22 @@ def test_rules_read_all_payments_that_they_need(spark, sf):
         assert x.exceptAll(y).isEmpty() and y.exceptAll(x).isEmpty()
     x, y = (i.payments.where("status = 'CAPTURED'") for i in (a, b))
     assert x.exceptAll(y).isEmpty() and y.exceptAll(x).isEmpty()
+
+
+def test_receipts_lose_repeats_before_they_are_named(spark, sf):
+    """Rows without names are sorted for repeats, and two windows judge what is left."""
+    for name in ("canonical_payments", "evidence_dispositions"):
+        plan = _plan(queries.QUERIES[name](spark, sf))
+        assert plan.count("Window [") == 2
+        assert "first(payment_id" not in plan and "first(source_system" not in plan and "first(status" not in plan
+
+
+def test_conflicts_without_hash_or_version(spark):
+    """A payload without a hash makes no conflict, and one without a version is never the highest."""
+    rows = [("a", 2, None, "r1"), ("a", 2, "x", "r2"), ("b", 2, "x", "r3"), ("b", 2, "y", "r4"), ("b", 2, None, "r5"),
+            ("c", None, "x", "r6"), ("c", 1, "y", "r7"), ("d", -(2**63), "x", "r8"), ("d", 1, "x", "r9")]
+    r = spark.createDataFrame(rows, "source_id string, source_version long, payload_hash string, receipt_id string")
+    r = r.selectExpr("*", "'provider' AS source_system", "'PAYMENT' AS entity_type")
+    got = {x["receipt_id"]: x["disposition"] for x in canonical.evidence(r).collect()}
+    assert got["r1"] == got["r2"] == "ACCEPTED" and {got[k] for k in ("r3", "r4", "r5")} == {"CONFLICTED"}
+    assert got["r7"] == got["r9"] == "ACCEPTED" and got["r8"] == "STALE"
