@@ -8,7 +8,7 @@ fails wins.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,29 +36,31 @@ def _text(v: Column, name: str) -> Column:
     return F.when(_kind(v, name) == "STRING", F.try_variant_get(v, f"$.{name}", "string"))
 
 
-def _once(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is worked out once, however often it is named there."""
-    return F.transform(F.array(value), body)[0]
+class _Fields:
+    """A payload's fields as columns beside it: of each the value, its kind (VOID where it is null or absent) and its text, null for other kinds."""
 
+    def __init__(self, e: Entity):
+        self.names = [f.name for f in e.fields]
 
-def _held(fields: Column, name: str) -> Column:
-    """A field's value as a variant, the kind of it (VOID where it is null or absent) and its text, null for other kinds."""
-    return _once(
-        F.try_element_at(fields, F.lit(name)), lambda x: _once(
-            F.coalesce(F.schema_of_variant(x), F.lit("VOID")), lambda kind: F.struct(
-                x.alias("value"), kind.alias("kind"), F.when(kind == "STRING", x.try_cast("string")).alias("text")
-            )
-        )
-    )
-
+    def __getitem__(self, name: str) -> dict[str, Column]:
+        return {c: F.col(f"_{c}_{name}") for c in ("value", "kind", "text")}
 
-def check(fields: Column, f: Field) -> Column:
-    """(code, field, detail) of the first fault of a field, or null; ``fields``: names to values."""
-    return _once(_held(fields, f.name), lambda x: _check(fields, x, f))
+    def beside(self, rows: DataFrame) -> DataFrame:
+        """Rows with a parsed text ``_v`` and its fields; each step reads columns of the one before, so nothing is worked out twice."""
+        df = rows.withColumn("_fields", F.try_variant_get("_v", "$", "map<string, variant>"))
+        df = df.withColumns({"_keys": F.map_keys("_fields")} | {
+            f"_value_{n}": F.try_element_at("_fields", F.lit(n)) for n in self.names
+        })
+        kind = lambda n: F.coalesce(F.schema_of_variant(f"_value_{n}"), F.lit("VOID"))
+        df = df.withColumns({f"_kind_{n}": kind(n) for n in self.names})
+        text = lambda n: F.when(F.col(f"_kind_{n}") == "STRING", F.col(f"_value_{n}").try_cast("string"))
+        return df.withColumns({f"_text_{n}": text(n) for n in self.names})
 
 
-def _check(fields: Column, x: Column, f: Field) -> Column:
-    text, kind, none = x["text"], x["kind"], F.lit(None).cast(_FAIL)
+def check(fields: _Fields, f: Field) -> Column:
+    """(code, field, detail) of the first fault of a field, or null."""
+    x, none = fields[f.name], F.lit(None).cast(_FAIL)
+    text, kind = x["text"], x["kind"]
     if f.kind == "int":
         n = x["value"].try_cast("bigint")
         return F.when(
@@ -82,7 +84,7 @@ def _check(fields: Column, x: Column, f: Field) -> Column:
         if f.kind == "money":
             out = out.when(amount <= 0, fail("INVALID_AMOUNT", f.name, "must be greater than zero"))
         if f.kind == "signed":
-            capture = _held(fields, "movement_type")["text"] == "CAPTURE"
+            capture = fields["movement_type"]["text"] == "CAPTURE"
             out = out.when(
                 (capture & (amount <= 0)) | (~capture & (amount >= 0)),
                 fail("INVALID_MONEY_SIGN", f.name, "has the wrong sign for its movement")
@@ -110,42 +112,41 @@ def _check(fields: Column, x: Column, f: Field) -> Column:
     return out.otherwise(none)
 
 
-def first_fault(v: Column, e: Entity) -> Column:
-    """The first fault of a payload: keys, then the entity's leading fields, then the others in order."""
-    fields = F.try_variant_get(v, "$", "map<string, variant>")
-    return _once(fields, lambda m: F.when(
-        m.isNull(), fail("INVALID_TYPE", F.lit(None).cast("string"), "must be an object")
-    ).otherwise(_once(F.map_keys(m), lambda keys: _first_fault(m, keys, e))))
-
-
-def _first_fault(fields: Column, keys: Column, e: Entity) -> Column:
+def first_fault(e: Entity) -> Column:
+    """The first fault of a payload whose fields stand beside it: keys, then the entity's leading fields, then the others in order."""
+    fields, keys = _Fields(e), F.col("_keys")
     names = [f.name for f in e.fields if not (e.dated and f.name == "available_on")]
     known = F.array(*[F.lit(f.name) for f in e.fields])
-    missing = F.array_sort(F.array_except(F.array(*[F.lit(n) for n in names]), keys))
-    extra = F.array_sort(F.array_except(keys, known))
+    # Names are listed for faulty rows alone; sort_array is compiled, and array_sort would keep the whole step from it.
+    missing = F.sort_array(F.array_except(F.array(*[F.lit(n) for n in names]), keys))
+    extra = F.sort_array(F.array_except(keys, known))
+    there = {f.name: fields[f.name]["value"].isNotNull() for f in e.fields}
+    n_known = reduce(lambda a, b: a + b, [x.cast("int") for x in there.values()])
     checks = [
         F.when(
-            F.size(missing) > 0,
+            ~reduce(lambda a, b: a & b, [there[n] for n in names]),
             fail("MISSING_FIELD", missing[0], F.concat(F.lit("missing: "), F.array_join(missing, ", ")))
         ),
         F.when(
-            F.size(extra) > 0,
+            F.size(keys) > n_known,
             fail("UNEXPECTED_FIELD", extra[0], F.concat(F.lit("unexpected: "), F.array_join(extra, ", ")))
         ),
     ]
     by_name = {f.name: f for f in e.fields}
     for name in e.first:
         if e.dated and name == "available_on":
-            there, dated = F.array_contains(keys, name), _held(fields, "status")["text"] == e.dated
+            dated = fields["status"]["text"] == e.dated
             checks += [
-                F.when(dated & ~there, fail("MISSING_FIELD", name, f"is required with status {e.dated}")),
-                F.when(~dated & there, fail("INVALID_VALUE", name, f"needs status {e.dated}")),
+                F.when(dated & ~there[name], fail("MISSING_FIELD", name, f"is required with status {e.dated}")),
+                F.when(~dated & there[name], fail("INVALID_VALUE", name, f"needs status {e.dated}")),
                 F.when(dated, check(fields, by_name[name]))
             ]
         else:
             checks.append(check(fields, by_name[name]))
     checks += [check(fields, f) for f in e.fields if f.name not in e.first]
-    return F.coalesce(*checks)
+    return F.when(
+        F.col("_fields").isNull(), fail("INVALID_TYPE", F.lit(None).cast("string"), "must be an object")
+    ).otherwise(F.coalesce(*checks))
 
 
 def _value(v: Column, f: Field) -> Column:
@@ -193,17 +194,15 @@ def _parsed(rows: DataFrame, e: Entity, payload_col: str) -> DataFrame:
 
     Both come out of an ``explode`` of one element: a filter on a column of a projection is moved below it
     together with the whole expression, one on what an ``explode`` yields is not.  So a text is parsed once a
-    row, and its checks are made once.
+    row, and its checks are made once.  They are made on columns, not inside a function of an array's elements,
+    which Spark does not compile.
     """
-
-    def judged(v: Column) -> Column:
-        fault = F.when(
-            v.isNull(), fail("INVALID_JSON", F.lit(None).cast("string"), "is not strict JSON")
-        ).otherwise(first_fault(v, e))
-        return F.struct(v.alias("_v"), fault.alias("_fault"))
-
-    one = F.explode(F.transform(F.array(F.try_parse_json(payload_col)), judged)).alias("_judged")
-    return rows.select("*", one).select(*rows.columns, "_judged._v", "_judged._fault")
+    fault = F.when(
+        F.col("_v").isNull(), fail("INVALID_JSON", F.lit(None).cast("string"), "is not strict JSON")
+    ).otherwise(first_fault(e))
+    read = _Fields(e).beside(rows.withColumn("_v", F.try_parse_json(payload_col)))
+    one = F.explode(F.array(F.struct("_v", fault.alias("_fault")))).alias("_judged")
+    return read.select(*rows.columns, one).select(*rows.columns, "_judged._v", "_judged._fault")
 
 
 def split(rows: DataFrame, entity: str, payload_col: str = "payload") -> tuple[DataFrame, DataFrame]:

@@ -5,7 +5,8 @@ import json
 
 import pytest
 
-from settleforge.sources.validate import validate
+from settleforge.schemas import ENTITIES
+from settleforge.sources.validate import validate, verdicts
 
 PAYMENT = {"payment_id": "p-7", "order_id": "o-7", "attempt_number": 1, "payment_method": "WALLET", "status": "CAPTURED", "amount": "64.50", "currency": "EUR", "effective_at_utc": "2026-03-02T10:15:00+01:00", "available_on": "2026-03-03", "source_version": 1}
 LINE = {"settlement_line_id": "l", "payout_id": "o", "movement_type": "FEE", "movement_id": "f", "signed_amount": "-2.00", "currency": "EUR", "source_version": 1}
@@ -89,7 +90,6 @@ def test_quarantine_reasons_reads_every_line(spark, sf):
 def test_rows_are_parsed_and_judged_once(spark, sf):
     """Neither half of the split, nor a filter on it, carries the checks again; verdicts agree with the halves."""
     from settleforge import queries
-    from settleforge.sources.validate import validate, verdicts
 
     for name in ("parsed_payments", "quarantine_reasons"):
         plan = queries.QUERIES[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
@@ -106,3 +106,11 @@ def test_rows_are_parsed_and_judged_once(spark, sf):
         0: None, 1: "INVALID_JSON", 2: "INVALID_TYPE", 3: "INVALID_TYPE", 4: "MISSING_FIELD", 5: "MISSING_FIELD",
         6: "MISSING_FIELD", 7: "INVALID_JSON", 8: "INVALID_JSON", 9: "INVALID_VALUE", 10: "INVALID_TYPE"
     }
+
+
+def test_checks_are_compiled(spark):
+    """No check is a function over array elements, which Spark would interpret together with all that it is worked out with."""
+    for entity in ENTITIES:
+        rows = spark.createDataFrame([("{}",)], "payload string")
+        plan = verdicts(rows, entity)._jdf.queryExecution().executedPlan().toString()
+        assert "lambda" not in plan and "array_sort" not in plan
