@@ -147,7 +147,12 @@ def change_kinds(receipts: DataFrame, known: DataFrame) -> DataFrame:
     top = known.groupBy(*who, "source_version").agg(F.collect_set("payload_hash").alias("_h")).groupBy(*who).agg(
         F.max("source_version").alias("_top"), F.max_by("_h", "source_version").alias("_hashes")
     )
-    df = receipts.join(top, who, "left")
+    return kinds_by_top(receipts, top)
+
+
+def kinds_by_top(receipts: DataFrame, top: DataFrame) -> DataFrame:
+    """``change_kinds`` against the highest version of each known entity (``_top``) and its payloads (``_hashes``)."""
+    df = receipts.join(top, ["source_system", "entity_type", "source_id"], "left")
     kind = F.when(F.col("_top").isNull(), NEW).when(F.col("source_version") > F.col("_top"), CORRECTION).when(
         F.col("source_version") < F.col("_top"), STALE
     ).when(F.array_contains("_hashes", F.col("payload_hash")), DUPLICATE).otherwise(CONFLICT)

@@ -22,8 +22,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.canonical import IDENTITY, EvidenceError, check_receipts, unique_receipts
-from ..operators.late import change_kinds
+from ..operators.canonical import IDENTITY, EvidenceError
+from ..operators.late import kinds_by_top
 from ..plans.store import FileSystem
 
 #: Files of a bucket of ids above which they are put together.
@@ -85,40 +85,43 @@ class EvidenceState:
             f"{self.files.root}/{folder}"
         )
         rows = self._read([folder], schema)
-        check_receipts(rows)
         own = self._touched(rows, "receipt_id")
         known = self._read([p for b in own for p in self.manifest["ids"].get(b, [])], _IDS)
-        both = rows.alias("n").join(known.alias("o"), "receipt_id")
-        other = [~F.col(f"n.{c}").eqNullSafe(F.col(f"o.{c}")) for c in _IDS.names[1:]]
-        bad = both.where(F.greatest(*[x.cast("int") for x in other]) == 1).select("receipt_id").take(5)
+        # One shuffle, of each row as it is, tells ids that are used twice and what is known from what is new.
+        both = rows.withColumn("old", F.lit(False)).unionByName(known.withColumn("old", F.lit(True)), allowMissingColumns=True)
+        content = F.struct(*_IDS.names[1:])
+        judged = both.repartition("receipt_id").groupBy("receipt_id").agg(
+            F.min(content).alias("lo"), F.max(content).alias("hi"), F.min("first").alias("first"), F.max("old").alias("old")
+        ).where("lo <> hi OR NOT old")
+        added = f"{folder}-new"
+        judged.select("receipt_id", "lo.*", "first", F.expr("lo <> hi").alias("split")).write.parquet(f"{self.files.root}/{added}")
+        judged = self._read([added], T.StructType([*schema.fields, T.StructField("split", T.BooleanType())]))
+        bad = judged.where("split").select("receipt_id").take(5)
         if bad:
             raise EvidenceError(f"receipt ids reused with different contents: {[r[0] for r in bad]}")
-        new = unique_receipts(rows).join(known.select("receipt_id"), "receipt_id", "left_anti").select(*schema.names)
-        added = f"{folder}-new"
-        new.write.parquet(f"{self.files.root}/{added}")
-        new = self._read([added], schema)
+        new = judged.drop("split")
 
         touched = self._touched(new, *IDENTITY)
         old = self._read([self.manifest["state"][b] for b in touched if b in self.manifest["state"]], _STATE)
-        who = new.select(*IDENTITY).distinct()
-        mine = old.join(who, list(IDENTITY), "left_semi")
-        held = mine.select(*IDENTITY, "source_version", F.explode("payloads").alias("p")).select(
+        held = old.select(*IDENTITY, "source_version", F.explode_outer("payloads").alias("p")).select(
             *IDENTITY, "source_version", "p.*"
         )
+        top = old.select(
+            *IDENTITY, F.col("source_version").alias("_top"), F.col("payloads.payload_hash").alias("_hashes")
+        )
         changes = f"{folder}-changes"
-        change_kinds(new, held).select(*_CHANGES.names).write.parquet(f"{self.files.root}/{changes}")
+        kinds_by_top(new, top).select(*_CHANGES.names).write.parquet(f"{self.files.root}/{changes}")
 
+        # All entities of the buckets go through: those without a new receipt come out as they were.  One shuffle serves all steps.
         heads = new.select(*IDENTITY, "source_version", "payload_hash", "first", "receipt_id").unionByName(held)
+        heads = heads.repartition(*IDENTITY)
         # The earliest receipt of each payload, then all payloads of the highest version.
         heads = heads.groupBy(*IDENTITY, "source_version", "payload_hash").agg(F.min(F.struct("first", "receipt_id")).alias("m"))
-        heads = heads.groupBy(*IDENTITY, "source_version").agg(
-            F.sort_array(F.collect_list(F.struct("payload_hash", "m.first", "m.receipt_id"))).alias("payloads")
-        )
-        heads = heads.groupBy(*IDENTITY).agg(
+        one = F.when(F.col("m.receipt_id").isNotNull(), F.struct("payload_hash", "m.first", "m.receipt_id"))
+        heads = heads.groupBy(*IDENTITY, "source_version").agg(F.sort_array(F.collect_list(one)).alias("payloads"))
+        state = heads.groupBy(*IDENTITY).agg(
             F.max_by("payloads", "source_version").alias("payloads"), F.max("source_version").alias("source_version")
-        )
-        rest = old.join(who, list(IDENTITY), "left_anti")
-        state = heads.select(*_STATE.names).unionByName(rest.select(*_STATE.names))
+        ).select(*_STATE.names)
         made = self._write(state.withColumn("_b", self._bucket(*IDENTITY)), "state")
         ids = self._write(new.drop("first").withColumn("_b", self._bucket("receipt_id")), "ids")
 

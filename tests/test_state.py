@@ -186,3 +186,19 @@ def test_runs_that_were_current(spark):
     want = {k: max(((p, i) for i, p in runs if t and p <= t), default=(None, None))[1] for k, t in enumerate(times)}
     assert {r["k"]: r["run_id"] for r in got} == want and len(got) == len(times)
     assert late.current_runs(spark.createDataFrame([(1, AT)], "k long, received_at_utc timestamp"), df.limit(0)).first()["run_id"] is None
+
+
+def test_a_batch_reads_its_rows_and_the_known_ids_once(spark, tmp_path, monkeypatch):
+    """What is new, what is known and ids used twice come out of one pass; untouched entities of a bucket stay as they are."""
+    state, n = EvidenceState(spark, "file://" + str(tmp_path / "s"), buckets=1), []
+    row = lambda k, v, h: (f"r{k}{v}{h}", "provider", "PAYMENT", k, v, h)
+    frame = lambda rows: spark.createDataFrame(rows, "receipt_id string, source_system string, entity_type string, source_id string, source_version long, payload_hash string")
+    state.apply(frame([row("a", 1, "x"), row("b", 2, "y"), row("b", 2, "z")]))
+    before = {r["source_id"]: r for r in state.state().collect()}
+    kind = type(state.state())
+    join = kind.join
+    monkeypatch.setattr(kind, "join", lambda *a, **k: n.append(1) or join(*a, **k))
+    state.apply(frame([row("a", 3, "w"), row("b", 2, "y")]))
+    monkeypatch.undo()
+    after = {r["source_id"]: r for r in state.state().collect()}
+    assert len(n) == 1 and after["b"] == before["b"] and after["a"]["source_version"] == 3
