@@ -57,3 +57,18 @@ def test_conflicts_without_hash_or_version(spark):
     got = {x["receipt_id"]: x["disposition"] for x in canonical.evidence(r).collect()}
     assert got["r1"] == got["r2"] == "ACCEPTED" and {got[k] for k in ("r3", "r4", "r5")} == {"CONFLICTED"}
     assert got["r7"] == got["r9"] == "ACCEPTED" and got["r8"] == "STALE"
+
+
+def test_receipts_are_settled_in_tasks_of_bounded_rows(spark, sf):
+    """Tasks are counted by rows, which nothing merges again; Spark's own count goes by compressed bytes."""
+    plan = fixtures.payment_receipts(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and "REPARTITION_BY_COL" not in plan
+    rows = 600_000
+    assert [fixtures.receipt_tasks(rows * k, 12) for k in (0, 1, 6, 60, 360, 3600)] == [12, 12, 18, 180, 216, 2160]
+
+
+def test_receipts_are_settled_raw(spark, sf):
+    """Below the windows that choose current payments no text of a payment but its id is made."""
+    plan = _plan(fixtures.inputs(spark, sf, settled=False, ordered=False).payments)
+    below = plan[plan.index("Window ["):]
+    assert "ORD-" in plan and not any(x in below for x in ("ORD-", "WALLET", "CAPTURED", "EUR"))
