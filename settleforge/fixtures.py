@@ -155,8 +155,9 @@ def inputs(
         F.concat(F.lit("OUT-"), F.col("available_on").cast("string")).alias("payout_id"), "movement_type",
         "movement_id", amount.alias("signed_amount"), "available_on", "l_partkey"
     )
-    lines = one.unionByName(
-        one.where("l_partkey % 60 = 5").withColumn("settlement_line_id", F.concat("settlement_line_id", F.lit("-2")))
+    again = F.array("settlement_line_id", F.concat("settlement_line_id", F.lit("-2")))
+    lines = one.withColumn(
+        "settlement_line_id", F.explode(F.when(part % 60 == 5, again).otherwise(F.array("settlement_line_id")))
     )
     later = keep if settled else lambda df: df
     lines = later(lines)

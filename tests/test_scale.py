@@ -78,3 +78,10 @@ def test_merged_exceptions_carry_no_supports(spark, sf):
     """What the query leaves out is not gathered before."""
     plan = _plan(queries.QUERIES["exceptions_all"](spark, sf))
     assert "supporting_source_record_ids" not in plan and ":SETTLEMENT_LINE:" not in plan
+
+
+def test_movements_are_made_into_lines_once(spark, sf):
+    """Lines that come twice are doubled as rows; movements and their join are not made a second time for them."""
+    i = fixtures.inputs(spark, sf, settled=False, ordered=False, failed=False)
+    assert _plan(i.lines).count("Union") == 1
+    assert i.lines.where("endswith(settlement_line_id, '-2')").count() > 0
