@@ -37,6 +37,13 @@ def receipt_tasks(rows: int, cores: int) -> int:
     return max(cores, min(-(-rows // ROWS), DIRECT), -(-rows // MOST_ROWS))
 
 
+def bound_scan(spark: SparkSession, tasks: int) -> None:
+    """Have the session read tables in so many tasks at least, as far as their row groups allow; a larger setting stays."""
+    name = "spark.sql.files.minPartitionNum"
+    if int(spark.conf.get(name, None) or 0) < tasks:
+        spark.conf.set(name, tasks)
+
+
 def _raw_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Receipts of payments with what identifies and orders them; the rest as it stands in the lines."""
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
@@ -51,6 +58,9 @@ def _raw_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Repeats go first, by the id alone; the other texts (names, hashes) are made of the rows that are left.
     receipt = F.concat_ws("|", "source_id", "l_partkey", "l_suppkey", F.col("amount").cast("string"))
     n = receipt_tasks(li.count(), spark.sparkContext.defaultParallelism)
+    if n > DIRECT:
+        # A map task now sorts its rows in memory, and a split of 128 MB has ten million of them.
+        bound_scan(spark, n)
     df = line.repartition(n, "source_id").withColumn(
         "receipt_id", receipt
     ).dropDuplicates(["source_id", "receipt_id"])

@@ -67,6 +67,26 @@ def test_receipts_are_settled_in_tasks_of_bounded_rows(spark, sf):
     assert [fixtures.receipt_tasks(rows * k, 12) for k in (0, 1, 6, 60, 360, 3600)] == [12, 12, 18, 180, 216, 2160]
 
 
+def test_receipts_are_read_in_tasks_of_bounded_rows(spark, sf, monkeypatch):
+    """Where map tasks sort what they write, they are as many as those that settle; else the session is left alone."""
+    name, cost = "spark.sql.files.minPartitionNum", "spark.sql.files.openCostInBytes"
+    tasks = lambda: spark.read.parquet(f"{sf}/lineitem.parquet").rdd.getNumPartitions()
+    spark.conf.set(cost, "1")
+    try:
+        fixtures.payment_receipts(spark, sf)
+        assert spark.conf.get(name, None) is None and tasks() < 20
+        a = fixtures.payment_receipts(spark, sf).select("receipt_id", "payload_hash").collect()
+        for k, v in (("ROWS", 200), ("MOST_ROWS", 200), ("DIRECT", 10)):
+            monkeypatch.setattr(fixtures, k, v)
+        b = fixtures.payment_receipts(spark, sf).select("receipt_id", "payload_hash").collect()
+        assert tasks() >= 30 and sorted(a) == sorted(b)
+        fixtures.bound_scan(spark, 5)
+        assert tasks() >= 30
+    finally:
+        spark.conf.unset(name)
+        spark.conf.unset(cost)
+
+
 def test_receipts_are_settled_raw(spark, sf):
     """Below the windows that choose current payments no text of a payment but its id is made."""
     plan = _plan(fixtures.inputs(spark, sf, settled=False, ordered=False).payments)
