@@ -202,3 +202,26 @@ def test_a_batch_reads_its_rows_and_the_known_ids_once(spark, tmp_path, monkeypa
     monkeypatch.undo()
     after = {r["source_id"]: r for r in state.state().collect()}
     assert len(n) == 1 and after["b"] == before["b"] and after["a"]["source_version"] == 3
+
+
+def test_what_is_known_is_not_shuffled(spark, tmp_path, monkeypatch):
+    """A batch is dealt out once, as files; from there on a bucket is a task of its own that reads what is known beside the batch."""
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    state, r, plans = EvidenceState(spark, "file://" + str(tmp_path), 3), random.Random(5), []
+    batches = [spark.createDataFrame(receipts(r, 40, 100 * k), R) for k in range(2)]
+    writer = type(batches[0].write)
+    write = writer.parquet
+    monkeypatch.setattr(writer, "parquet", lambda w, *a, **k: plans.append(plan(w._df)) or write(w, *a, **k))
+    for batch in batches:
+        state.apply(batch)
+    monkeypatch.undo()
+    assert len(plans) >= 8 and not any("Exchange" in p for p in plans)
+    out = state.dispositions()
+    assert "Exchange" not in plan(out) and out.rdd.getNumPartitions() == 3
+    assert kinds(out) == kinds(canonical.evidence(batches[0].unionByName(batches[1])))
+    # An id that is known of one entity is refused for any other, in whatever bucket that lies.
+    before = state.manifest
+    for k in range(6):
+        with pytest.raises(canonical.EvidenceError, match="r7"):
+            state.apply(spark.createDataFrame([("r7", "provider", "FEE", f"other{k}", 1, "a", AT)], R))
+    assert state.manifest == before
