@@ -42,6 +42,11 @@ def buckets(rows: int) -> int:
     return max(16, -(-rows // MOST_ROWS))
 
 
+def settling_tasks(spark: SparkSession, sf_dir: str) -> int:
+    """Tasks in which the receipts of payments lie, by ``source_id``."""
+    return receipt_tasks(spark.read.parquet(f"{sf_dir}/lineitem.parquet").count(), spark.sparkContext.defaultParallelism)
+
+
 def bound_scan(spark: SparkSession, tasks: int) -> None:
     """Have the session read tables in so many tasks at least, as far as their row groups allow; a larger setting stays."""
     name = "spark.sql.files.minPartitionNum"
@@ -62,7 +67,7 @@ def _raw_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The only shuffle, by the identity, which a receipt id begins with: what follows needs no other.
     # Repeats go first, by the id alone; the other texts (names, hashes) are made of the rows that are left.
     receipt = F.concat_ws("|", "source_id", "l_partkey", "l_suppkey", F.col("amount").cast("string"))
-    n = receipt_tasks(li.count(), spark.sparkContext.defaultParallelism)
+    n = settling_tasks(spark, sf_dir)
     if n > DIRECT:
         # A map task now sorts its rows in memory, and a split of 128 MB has ten million of them.
         bound_scan(spark, n)

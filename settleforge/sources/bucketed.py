@@ -17,22 +17,33 @@ from ..operators.canonical import IDENTITY, evidence
 
 
 class BucketedReceipts:
-    """The table at ``path``; ``schema`` are its columns, of which ``canonical.evidence`` needs some."""
+    """The table at ``path``; ``schema`` are its columns, of which ``canonical.evidence`` needs some.
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, buckets: int = 64):
-        self.spark, self.schema, self.buckets = spark, schema, buckets
+    A bucket is one task, which sorts its receipts, so ``buckets`` should follow their
+    number.  ``by``: columns of the identity that decide on the bucket; like
+    ``buckets`` it stays what it was when the table was made.
+    """
+
+    def __init__(
+        self, spark: SparkSession, path: str, schema: T.StructType, buckets: int = 64, by: tuple[str, ...] = IDENTITY
+    ):
+        self.spark, self.schema, self.buckets, self.by = spark, schema, buckets, by
         self.name = f"receipts_{hashlib.md5(path.encode()).hexdigest()}"
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-        who, place = ", ".join(f"`{c}`" for c in IDENTITY), path.replace("'", "\\'")
+        who, place = ", ".join(f"`{c}`" for c in by), path.replace("'", "\\'")
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.name} ({columns}) USING parquet "
-            f"CLUSTERED BY ({who}) SORTED BY ({who}) INTO {buckets} BUCKETS LOCATION '{place}'"
+            f"OPTIONS (compression 'zstd') CLUSTERED BY ({who}) SORTED BY ({who}) INTO {buckets} BUCKETS LOCATION '{place}'"
         )
 
-    def append(self, receipts: DataFrame) -> None:
-        """Add receipts: one file a bucket, dealt out as the table is."""
+    def append(self, receipts: DataFrame, placed: bool = False) -> None:
+        """Add receipts: one file a bucket, dealt out as the table is.
+
+        ``placed``: they lie by ``by`` in so many tasks already that each has whole
+        buckets, and are not shuffled; where that is not so, buckets get more files.
+        """
         rows = receipts.select(*[f"`{c}`" for c in self.schema.names])
-        rows.repartition(self.buckets, *IDENTITY).write.insertInto(self.name)
+        (rows if placed else rows.repartition(self.buckets, *self.by)).write.insertInto(self.name)
 
     def read(self) -> DataFrame:
         return self.spark.table(self.name)

@@ -62,3 +62,24 @@ def test_bucketed_receipts_are_settled_in_place(spark, tmp_path):
     assert again.read().count() == 200 and again.unique().count() == 120
     again.forget()
     assert any((tmp_path / "receipts").iterdir())
+
+
+def test_receipts_that_lie_in_buckets_are_not_shuffled(spark, tmp_path):
+    """Rows that lie by the bucket's columns go into its files as they are; tasks and buckets follow the rows."""
+    from settleforge import fixtures
+    from settleforge.operators import canonical
+    from settleforge.sources.bucketed import BucketedReceipts
+
+    names = ["receipt_id", *canonical.IDENTITY, "source_version", "payload_hash"]
+    r = fixtures.payment_receipts(spark, "/root/testdata/sf0.001").select(*names)
+    n, plan = fixtures.settling_tasks(spark, "/root/testdata/sf0.001"), lambda df: df._jdf.queryExecution().executedPlan().toString()
+    table = BucketedReceipts(spark, "file://" + str(tmp_path / "t"), r.schema, 2 * n, ("source_id",))
+    for _ in range(2):
+        table.append(r, placed=True)
+    files = [p.name for p in (tmp_path / "t").glob("part-*.parquet")]
+    assert n < len(files) <= 2 * 2 * n
+    out = table.evidence()
+    assert "Exchange" not in plan(out) and out.rdd.getNumPartitions() == 2 * n
+    pick = lambda df: sorted(df.select("receipt_id", "disposition").collect())
+    assert pick(out) == pick(canonical.evidence(r))
+    table.forget()
