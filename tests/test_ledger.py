@@ -83,3 +83,18 @@ def test_receipts_that_lie_in_buckets_are_not_shuffled(spark, tmp_path):
     pick = lambda df: sorted(df.select("receipt_id", "disposition").collect())
     assert pick(out) == pick(canonical.evidence(r))
     table.forget()
+
+
+def test_a_delivery_is_parsed_once_and_a_receipt_is_shuffled_once(spark, tmp_path):
+    """Conditions on findings do not repeat the parsing, and current records and conflicts come out of one shuffle by identity."""
+    from settleforge.sources import deliveries
+
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    raw = spark.createDataFrame([("x/a", b"[]", b"{}", False)] * 2, "stem string, data_bytes binary, manifest_bytes binary, writing boolean").repartition(2)
+    sound = plan(deliveries.judged(deliveries.gate(raw)).where("fault IS NULL AND delivery_key IS NOT NULL"))
+    assert sound.count("parseJson") == 2 and sound.count("ArrayType(VariantType") == 1
+    ledger = Ledger(spark, "file://" + str(tmp_path))
+    assert ledger.ingest(found(spark), datetime(2026, 3, 3)) == 1
+    one = plan(ledger.evidence()["FEE"])
+    assert one.count("hashpartitioning(source_system") == 1 and "hashpartitioning(receipt_id" not in one
+    assert ledger.current()["FEE"].count() == ledger.evidence()["FEE"].where("disposition = 'ACCEPTED'").count() > 0
