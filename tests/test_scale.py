@@ -105,3 +105,18 @@ def test_movements_are_made_into_lines_once(spark, sf):
     i = fixtures.inputs(spark, sf, settled=False, ordered=False, failed=False)
     assert _plan(i.lines).count("Union") == 1
     assert i.lines.where("endswith(settlement_line_id, '-2')").count() > 0
+
+
+def test_runs_are_compared_in_one_shuffle_without_a_sort(spark):
+    """Rows of both runs are shuffled once and counted by hashing; rows that repeat count."""
+    from settleforge.operators.publication import differing_rows
+
+    rows = lambda *x: spark.createDataFrame(list(x), "order_id string, a string, b string")
+    a = rows(("k", "1", "2"), ("gone", "1", None), ("null", None, "1"), ("twice", "r", "r"), ("twice", "r", "r"), ("bag", "p", ""), ("bag", "q", ""), (None, "z", ""))
+    b = rows(("k", "1", "2"), ("new", "1", None), ("null", "1", None), ("twice", "s", "s"), ("twice", "s", "s"), ("bag", "q", ""), ("bag", "p", ""), (None, "z", ""))
+    out = differing_rows(a, b, "transactions")
+    assert {(r["key"], r["change"]) for r in out.collect()} == {("gone", "REMOVED"), ("new", "ADDED"), ("null", "CHANGED"), ("twice", "CHANGED")}
+    whole = {(r["key"], r["change"]) for r in differing_rows(a, b.unionByName(b.limit(1)), "quarantine").collect()}
+    assert ('{"a":"1","b":"2","order_id":"k"}', "CHANGED") in whole and ('{"a":"q","b":"","order_id":"bag"}', "CHANGED") not in whole
+    plan = _plan(out)
+    assert plan.count("Exchange") == 1 and "Join" not in plan and "SortAggregate" not in plan
